@@ -8,6 +8,7 @@ from quillspark.plans.registry import ORACLES, QUERIES
 
 _MODULES = (
     "quillspark.plans.text_plans",
+    "quillspark.plans.log_plans",
 )
 
 _loaded = False
