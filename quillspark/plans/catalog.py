@@ -9,6 +9,7 @@ from quillspark.plans.registry import ORACLES, QUERIES
 _MODULES = (
     "quillspark.plans.text_plans",
     "quillspark.plans.log_plans",
+    "quillspark.plans.feature_plans",
 )
 
 _loaded = False
