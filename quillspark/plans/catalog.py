@@ -10,6 +10,7 @@ _MODULES = (
     "quillspark.plans.text_plans",
     "quillspark.plans.log_plans",
     "quillspark.plans.feature_plans",
+    "quillspark.plans.grid_plans",
 )
 
 _loaded = False
