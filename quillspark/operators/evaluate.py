@@ -31,3 +31,92 @@ def assign_batches(split: DataFrame, batch_size: int) -> DataFrame:
     return (train.join(F.broadcast(per_rep), "rep")  # one row per repeat
             .where(F.col("pos") < full)
             .select("rep", F.expr(f"pos div {int(batch_size)}").alias("batch"), "vec_id"))
+
+
+# ---- scores ------------------------------------------------------------------------------------
+def accuracy(df: DataFrame, pred: str = "pred", label: str = "label") -> DataFrame:
+    return df.agg(F.avg((F.col(pred) == F.col(label)).cast("double")).alias("accuracy"))
+
+
+def cross_entropy(df: DataFrame, scores: str = "s", label: str = "label") -> DataFrame:
+    """Mean of log(sum exp(s)) - s[label] (softmax cross-entropy on logits)."""
+    from quillspark.functions.numeric import log_sum_exp
+    per = log_sum_exp(scores) - F.get(F.col(scores), F.col(label))
+    return df.agg(F.avg(per).alias("cross_entropy"))
+
+
+def boxplot_stats(df: DataFrame, value: str, group: str) -> DataFrame:
+    """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences) and outlier
+    count per group."""
+    from quillspark.operators.ranking import exact_quantiles
+    q = exact_quantiles(df, value, (0.25, 0.5, 0.75), [group], ("q1", "median", "q3"))
+    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+    lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
+    hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
+    v = F.col(value)
+    # One row of statistics per group: a broadcast side bounded by the group count.
+    t = df.join(F.broadcast(q), group)
+    return t.groupBy(group, "q1", "median", "q3").agg(
+        F.min(F.when(v >= lo, v)).alias("whisker_lo"),
+        F.max(F.when(v <= hi, v)).alias("whisker_hi"),
+        F.count(F.when((v < lo) | (v > hi), 1)).alias("n_outliers"))
+
+
+def sort_scores(scores: DataFrame, by_model, other_model) -> DataFrame:
+    """(pos, rep, acc_a, acc_b): the two models side by side per repeat, ordered by
+    model ``by_model``'s accuracy (ties by repeat). One row per repeat."""
+    from pyspark.sql import Window
+    wide = scores.groupBy("rep").agg(
+        F.max(F.when(F.col("model") == F.lit(other_model), F.col("accuracy"))).alias("acc_a"),
+        F.max(F.when(F.col("model") == F.lit(by_model), F.col("accuracy"))).alias("acc_b"))
+    w = Window.orderBy("acc_b", "rep")  # rows = repeats (a small parameter)
+    return wide.select((F.row_number().over(w) - 1).cast("bigint").alias("pos"), "rep", "acc_a", "acc_b")
+
+
+# ---- classifiers ---------------------------------------------------------------------------------
+def _vectors(df: DataFrame, x_col: str, label_col: str) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+    return df.select("rep", "vec_id", "is_train", array_to_vector(x_col).alias("features"),
+                     F.col(label_col).cast("double").alias("label"))
+
+
+def _split_table(split: DataFrame, df: DataFrame, x_col: str, label_col: str) -> DataFrame:
+    from quillspark.session import checkpointed
+    joined = split.join(df.select("vec_id", x_col, label_col), "vec_id")
+    return checkpointed(_vectors(joined, x_col, label_col))
+
+
+def _fit_score(model, data: DataFrame, rep: int) -> float:
+    part = data.where(F.col("rep") == rep)
+    fitted = model.fit(part.where("is_train"))
+    pred = fitted.transform(part.where(~F.col("is_train")))
+    return float(pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
+
+
+def train_logistic(df: DataFrame, split: DataFrame, max_iter: int = 100, x_col: str = "x",
+                   label_col: str = "label") -> DataFrame:
+    """(rep, accuracy): multinomial logistic regression per repeat, test accuracy."""
+    from pyspark.ml.classification import LogisticRegression
+    data = _split_table(split, df, x_col, label_col)
+    reps = sorted(r[0] for r in split.select("rep").distinct().collect())  # R repeats
+    lr = LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter)
+    rows = [(rep, _fit_score(lr, data, rep)) for rep in reps]
+    return df.sparkSession.createDataFrame(rows, "rep int, accuracy double")
+
+
+def compare_classifiers(df: DataFrame, split: DataFrame, hidden: tuple[int, ...] = (16,),
+                        max_iter: int = 100, x_col: str = "x", label_col: str = "label",
+                        seed: int = 7) -> DataFrame:
+    """(rep, model, accuracy): logistic regression and a multilayer perceptron trained and
+    tested on the same split of every repeat."""
+    from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+    data = _split_table(split, df, x_col, label_col)
+    d = len(data.select("features").first()[0])
+    k = int(data.agg(F.max("label")).first()[0]) + 1
+    reps = sorted(r[0] for r in split.select("rep").distinct().collect())  # R repeats
+    models = {
+        "logistic": LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter),
+        "mlp": MultilayerPerceptronClassifier(layers=[d, *hidden, k], maxIter=max_iter, seed=seed),
+    }
+    rows = [(rep, name, _fit_score(m, data, rep)) for rep in reps for name, m in models.items()]
+    return df.sparkSession.createDataFrame(rows, "rep int, model string, accuracy double")

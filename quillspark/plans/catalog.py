@@ -11,6 +11,7 @@ _MODULES = (
     "quillspark.plans.log_plans",
     "quillspark.plans.feature_plans",
     "quillspark.plans.grid_plans",
+    "quillspark.plans.image_plans",
 )
 
 _loaded = False
