@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import const_array, one_hot as one_hot_expr
 from quillspark.operators.ranking import exact_quantiles, global_rank
 
@@ -37,7 +38,7 @@ def scan_feature_matrix(embeddings: DataFrame, dim: int | None = None,
 
 def long_form(df: DataFrame, x_col: str = "x", keep: Sequence[str] = ("vec_id",)) -> DataFrame:
     """(keep..., p int, v double): one row per value."""
-    return df.select(*keep, F.posexplode(x_col).alias("p", "v"))
+    return explode_rows(df, x_col, list(keep), "v", "p")
 
 
 def feature_quantiles(df: DataFrame, qs: Sequence[float] = (0.25, 0.5, 0.75),

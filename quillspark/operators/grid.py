@@ -135,12 +135,14 @@ def convolve_expr(x, n: int, kernel) -> Column:
     w = np.asarray(kernel, dtype=float)
     kh, kw = w.shape
     ph, pw = (kh - 1) // 2, (kw - 1) // 2
-    taps = ", ".join(f"named_struct('dr', {i - ph}, 'dc', {j - pw}, 'w', {float(w[i, j])!r}D)"
-                     for i in range(kh) for j in range(kw) if w[i, j] != 0.0)
+    taps = [(i - ph, j - pw, float(w[i, j])) for i in range(kh) for j in range(kw) if w[i, j] != 0.0]
     if not taps:
         return F.expr(f"array_repeat(0D, {n * n})")
     a = _arr(x)
-    rr, cc = f"(p div {n} + t.dr)", f"(p % {n} + t.dc)"
-    return F.expr(
-        f"transform(sequence(0, {n * n - 1}), p -> aggregate(array({taps}), 0D, (acc, t) -> "
-        f"acc + IF({rr} >= 0 AND {rr} < {n} AND {cc} >= 0 AND {cc} < {n}, t.w * {a}[{rr} * {n} + {cc}], 0D)))")
+    # Taps are unrolled into one arithmetic expression per pixel (no inner lambda).
+    terms = []
+    for dr, dc, wt in taps:
+        rr, cc = f"(p div {n} + {dr})", f"(p % {n} + {dc})"
+        terms.append(f"IF({rr} >= 0 AND {rr} < {n} AND {cc} >= 0 AND {cc} < {n}, "
+                     f"{wt!r}D * {a}[p + {dr * n + dc}], 0D)")
+    return F.expr(f"transform(sequence(0, {n * n - 1}), p -> {' + '.join(terms)})")

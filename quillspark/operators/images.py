@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
+from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import soft_threshold_array
 from quillspark.operators import grid as GR
 from quillspark.operators import matrix as MX
@@ -107,7 +108,7 @@ def tv_smooth_images(df: DataFrame, f: np.ndarray, res: int, lam: float, gam: fl
 
 def tv_fit_error(smoothed: DataFrame) -> DataFrame:
     """(round, err): Frobenius rebuild error of all images after each round."""
-    return (smoothed.select(F.posexplode("sq_err").alias("round", "e"))
+    return (explode_rows(smoothed, "sq_err", [], "e", "round")
             .groupBy("round").agg(F.sqrt(F.sum("e")).alias("err")))
 
 

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
+from quillspark.functions.arrays import explode_rows
 
 
 def word_counts(df: DataFrame, words: Column, name: str = "word") -> DataFrame:
     """(word, n): ``words`` is an array column of tokens per input row."""
-    return (df.select(F.explode(words).alias(name))
+    return (explode_rows(df, words, [], name)
             .groupBy(name).agg(F.count(F.lit(1)).alias("n")))
 
 

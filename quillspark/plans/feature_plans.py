@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions import numeric as N
+from quillspark.functions.arrays import explode_rows
 from quillspark.functions.registry import register_functions as bind_sql_functions
 from quillspark.operators import evaluate as E
 from quillspark.operators import features as X
@@ -57,7 +58,7 @@ SELECT vec_id, CAST(c AS INTEGER) AS cls, CAST(label = c AS INTEGER) AS ind
 FROM embeddings, range(0, (SELECT max(label) + 1 FROM embeddings)) t(c)""")
 def one_hot(spark, sf):
     oh = X.one_hot(feats(spark, sf))
-    return oh.select("vec_id", F.posexplode("y").alias("cls", "ind"))
+    return explode_rows(oh, "y", ["vec_id"], "ind", "cls")
 
 
 @register("top_n_per_class", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import soft_threshold_array
 from quillspark.operators import grid as GR
 from quillspark.operators import matrix as MX
@@ -27,8 +28,7 @@ FROM ({_C}) a1, ({_C}) a2"""
 
 
 def _explode(df, col, idx="p", val="v", digits=6):
-    return df.select("vec_id", F.posexplode(col).alias(idx, val)) \
-        .select("vec_id", idx, F.round(val, digits).alias(val))
+    return explode_rows(df, col, ["vec_id"], val, idx).select("vec_id", idx, F.round(val, digits).alias(val))
 
 
 @register("grid_diff", f"""
@@ -40,7 +40,7 @@ SELECT a.vec_id, 1, a.p // {n}, a.p % {n}, round(b.v - a.v, 6)
 FROM l a JOIN l b ON a.vec_id = b.vec_id AND b.p = a.p + 1 AND a.p % {n} <> {n - 1}""")
 def grid_diff(spark, sf):
     d = feats(spark, sf).select("vec_id", GR.grid_diff_expr("x", n).alias("dx"))
-    e = d.select("vec_id", F.posexplode("dx").alias("k", "d"))
+    e = explode_rows(d, "dx", ["vec_id"], "d", "k")
     down = F.col("k") < M
     kk = F.col("k") - M
     return e.select("vec_id", F.when(down, 0).otherwise(1).alias("axis"),
@@ -59,9 +59,8 @@ FROM l a JOIN l b ON a.vec_id = b.vec_id AND b.p = a.p + 1 AND a.p % {n} <> {n -
 def stack_directions(spark, sf):
     """The down and across difference tables stacked as rows of one matrix D (bag union)."""
     d = feats(spark, sf).select("vec_id", GR.grid_diff_expr("x", n).alias("dx"))
-    down = d.select("vec_id", F.posexplode(F.slice("dx", 1, M)).alias("k", "d"))
-    across = d.select("vec_id", F.posexplode(F.slice("dx", M + 1, M)).alias("k", "d")) \
-        .withColumn("k", F.col("k") + M)
+    down = explode_rows(d, F.slice("dx", 1, M), ["vec_id"], "d", "k")
+    across = explode_rows(d, F.slice("dx", M + 1, M), ["vec_id"], "d", "k").withColumn("k", F.col("k") + M)
     return down.unionByName(across).select("vec_id", "k", F.round("d", 6).alias("d"))
 
 
@@ -82,7 +81,7 @@ SELECT vec_id, ((p // {n}) // 2) * {(n + 1) // 2} + (p % {n}) // 2 AS q, max(v)
 FROM ({_LONG}) GROUP BY 1, 2""")
 def grid_max_pool(spark, sf):
     y = feats(spark, sf).select("vec_id", GR.max_pool_expr("x", n).alias("mp"))
-    return y.select("vec_id", F.posexplode("mp").alias("q", "v"))
+    return explode_rows(y, "mp", ["vec_id"], "v", "q")
 
 
 def _kernel_values():

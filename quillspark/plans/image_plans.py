@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions import numeric as N
+from quillspark.functions.arrays import explode_rows
 from quillspark.operators import evaluate as E
 from quillspark.operators import images as IM
 from quillspark.operators import kernel as KN
@@ -19,8 +20,7 @@ CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings"""
 
 
 def _explode(df, col, idx="p", val="v", digits=6):
-    return df.select("vec_id", F.posexplode(col).alias(idx, val)) \
-        .select("vec_id", idx, F.round(val, digits).alias(val))
+    return explode_rows(df, col, ["vec_id"], val, idx).select("vec_id", idx, F.round(val, digits).alias(val))
 
 
 # ---- kernels and affinities ----------------------------------------------------------------------
@@ -43,7 +43,7 @@ def rbf_pairs(spark, sf):
     ids, lm = KN.landmarks(x, K.N_LANDMARKS)
     k = KN.rbf_pairs(x, lm, 1.0 / 64)
     ids_arr = F.array(*[F.lit(int(i)).cast("bigint") for i in ids])
-    return k.select("vec_id", F.posexplode("k").alias("_j", "k")) \
+    return explode_rows(k, "k", ["vec_id"], "k", "_j") \
         .select("vec_id", F.get(ids_arr, F.col("_j")).alias("lm"), F.round("k", 6).alias("k"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
+from quillspark.functions.arrays import explode_rows
 from quillspark.operators import wordcount as W
 from quillspark.plans.registry import register
 from quillspark.sources.tables import table
@@ -44,14 +45,14 @@ SELECT doc_id, line_no, unnest(regexp_split_to_array(line, '[ \\t\\r\\n\\f]+'))
 @register("tokenize_words", f"SELECT doc_id, line_no, word FROM ({_TOKENS}) WHERE word <> ''")
 def tokenize_words(spark, sf):
     lines = document_lines(table(spark, sf, "documents"))
-    return lines.select("doc_id", "line_no", F.explode(T.split_words("line")).alias("word"))
+    return explode_rows(lines, T.split_words("line"), ["doc_id", "line_no"], "word")
 
 
 @register("filter_prefix", f"""
 SELECT doc_id, line_no, lower(word) AS word FROM ({_TOKENS}) WHERE lower(word) LIKE 'h%'""")
 def filter_prefix(spark, sf):
     lines = document_lines(table(spark, sf, "documents"))
-    words = lines.select("doc_id", "line_no", F.explode(T.split_words(T.fold_case("line"))).alias("word"))
+    words = explode_rows(lines, T.split_words(T.fold_case("line")), ["doc_id", "line_no"], "word")
     return words.where(T.starts_with("word", "h"))
 
 

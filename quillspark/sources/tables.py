@@ -9,7 +9,22 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has task slots.
+
+    A parquet row group is the smallest scan split, so a table stored as one big row
+    group is read by one task. On large inputs (many files, many row groups) the scan
+    already has more partitions than slots and this returns ``df`` unchanged, so no
+    shuffle is added at scale. Column pruning and filters still reach the scan.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_scan else df

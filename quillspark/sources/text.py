@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.functions.arrays import explode_rows
+
 
 def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line of the text files at ``path`` (file, folder or glob); gzip by suffix."""
@@ -19,7 +21,5 @@ def scan_text_glob(spark: SparkSession, pattern: str) -> DataFrame:
 
 def document_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, line_no, line): a text table cut into its lines, whole texts kept."""
-    return documents.select(
-        "doc_id",
-        F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
-    ).withColumn("line_no", F.col("line_no").cast("bigint"))
+    lines = explode_rows(documents, F.split("text", "\n", -1), ["doc_id"], "line", "line_no")
+    return lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "line")
