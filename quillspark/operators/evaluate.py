@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.ranking import global_rank
+from quillspark.operators.ranking import rank_within
 
 
 def holdout_split(df: DataFrame, repeats: int, train_pct: int) -> DataFrame:
@@ -13,11 +13,12 @@ def holdout_split(df: DataFrame, repeats: int, train_pct: int) -> DataFrame:
     ``n * train_pct // 100`` are training rows.
 
     The order is md5(id:rep), tie-broken by id: reproducible without a seed and the
-    same on any engine. Positions come from ``global_rank``, so a repeat is never one task.
+    same on any engine. Positions come from ``rank_within``: a repeat larger than one
+    task's share goes through the range-partitioned ``global_rank``.
     """
     reps = df.select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep"))
     key = F.md5(F.concat_ws(":", F.col("vec_id").cast("string"), F.col("rep").cast("string")))
-    ranked = global_rank(reps.withColumn("_h", key), [F.col("_h"), F.col("vec_id")], ["rep"])
+    ranked = rank_within(reps.withColumn("_h", key), [F.col("_h"), F.col("vec_id")], ["rep"])
     is_train = F.col("pos") < F.expr(f"group_n * {int(train_pct)} div 100")
     return ranked.select("rep", "vec_id", "pos", is_train.alias("is_train"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import const_array, one_hot as one_hot_expr
-from quillspark.operators.ranking import exact_quantiles, global_rank
+from quillspark.operators.ranking import exact_quantiles, rank_within
 
 
 def feature_matrix(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -66,7 +66,7 @@ def robust_scale(df: DataFrame) -> DataFrame:
 def rank_normalize(df: DataFrame) -> DataFrame:
     """(vec_id, p, r): each feature replaced by its 0-based rank / N; ties by id."""
     lf = long_form(df)
-    ranked = global_rank(lf, [F.col("v"), F.col("vec_id")], ["p"])
+    ranked = rank_within(lf, [F.col("v"), F.col("vec_id")], ["p"])
     return ranked.select("vec_id", "p", (F.col("pos") / F.col("group_n")).alias("r"))
 
 

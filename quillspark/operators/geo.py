@@ -42,8 +42,11 @@ def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
     ``df`` should hold each address once (e.g. distinct hosts with their hit counts).
     """
     keys = block_keys(blocks_country)
-    # Bounded: prefix lengths lie in 0..32.
-    plens = sorted(r[0] for r in keys.select("plen").distinct().collect())
+    # One small job gives the prefix lengths present (at most 33 rows: 0..32) and the
+    # block count that decides between a broadcast and a shuffle join.
+    stats = keys.groupBy("plen").agg(F.count(F.lit(1)).alias("n")).collect()
+    plens = sorted(r["plen"] for r in stats)
+    n_blocks = sum(r["n"] for r in stats)
     if not plens:
         return df.select(ip_col, *carry, F.lit(None).cast("int").alias("geoname_id"),
                          F.lit(None).cast("string").alias("country_name"))
@@ -51,7 +54,8 @@ def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
     probes = (df.select(ip_col, *carry, ipnum.alias("_ip"))
               .withColumn("plen", F.explode(F.array(*[F.lit(p) for p in plens])))
               .withColumn("key", F.call_function("shiftright", F.col("_ip"), 32 - F.col("plen"))))
-    matched = probes.join(bounded_broadcast(keys, MAX_BROADCAST_BLOCKS), ["plen", "key"], "left")
+    right = F.broadcast(keys) if n_blocks <= MAX_BROADCAST_BLOCKS else keys
+    matched = probes.join(right, ["plen", "key"], "left")
     best = F.max_by(F.struct("geoname_id", "country_name"), F.when(F.col("geoname_id").isNotNull(),
                                                                    F.col("plen")))
     return (matched.groupBy(ip_col, *carry).agg(best.alias("_b"))

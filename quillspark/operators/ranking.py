@@ -22,6 +22,17 @@ from quillspark.session import bounded_broadcast, checkpointed
 _LOW_BITS = (1 << 33) - 1
 # One row per (range partition, group) pair: at most partitions + groups - 1 rows.
 MAX_BROADCAST_CHUNKS = 2_000_000
+# Largest group a single task may hold (window / exact percentile buffers). Above it the
+# range-partitioned path is used, which never puts a whole group in one task.
+MAX_GROUP_IN_TASK = 1_000_000
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Row count of the biggest group (one small aggregation job)."""
+    if not group:
+        return int(df.count())
+    r = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[str] = (),
@@ -54,16 +65,41 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
         .drop("_mid", "_pid", "_loc", "_first", "_off")
 
 
+def rank_within(df: DataFrame, order: Sequence[Column | str], group: Sequence[str] = (),
+                max_in_task: int | None = None, pos_col: str = "pos",
+                n_col: str = "group_n") -> DataFrame:
+    """``global_rank`` semantics, choosing the plan by the measured largest group.
+
+    Groups that fit one task: ``row_number`` over a window partitioned by the group (one
+    shuffle, no checkpoint). Any larger group: the range-partitioned ``global_rank``.
+    """
+    group = list(group)
+    limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
+    if not group or largest_group(df, group) > limit:
+        return global_rank(df, order, group, pos_col=pos_col, n_col=n_col)
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    w = Window.partitionBy(*group).orderBy(*order)
+    return (df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("bigint"))
+            .withColumn(n_col, F.count(F.lit(1)).over(Window.partitionBy(*group))))
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Sequence[str] = (),
-                    names: Sequence[str] | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, max_in_task: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy's default, SQL ``percentile_cont``) per group.
 
-    Only the two rows around each target position are kept before the final
-    aggregation, so the group-by sees 2 x len(qs) rows per group.
+    Groups that fit one task use Spark's exact ``percentile`` aggregate. Larger groups
+    are ranked by ``global_rank``; only the two rows around each target position are kept
+    before the final aggregation, so that group-by sees 2 x len(qs) rows per group.
     """
     group = list(group)
     names = list(names or [f"q{i}" for i in range(len(qs))])
-    ranked = global_rank(df.where(F.col(value).isNotNull()), [F.col(value)], group)
+    src = df.where(F.col(value).isNotNull())
+    limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
+    if largest_group(src, group) <= limit:
+        pc = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
+        g = src.groupBy(*group).agg(pc.alias("_qs"))
+        return g.select(*group, *[F.get("_qs", i).alias(nm) for i, nm in enumerate(names)])
+    ranked = global_rank(src, [F.col(value)], group)
     pos, cnt = F.col("pos"), F.col("group_n")
     targets = [F.lit(float(q)) * (cnt - 1) for q in qs]
     keep = None

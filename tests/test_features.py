@@ -14,16 +14,30 @@ def _frame(spark, mat, labels=None):
     return spark.createDataFrame(rows, "vec_id long, x array<double>, label int")
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("max_in_task", [0, None])
+def test_exact_quantiles_match_numpy(spark, max_in_task):
+    """Both plans (range-partitioned ranks and the in-task percentile) are exact."""
     rng = np.random.default_rng(1)
     vals = rng.normal(size=(101, 3))
     vals[:, 2] = np.round(vals[:, 2])          # many duplicates
-    df = _frame(spark, vals)
-    got = {r.feature: (r.q25, r.q50, r.q75) for r in X.feature_quantiles(df).collect()}
+    lf = X.long_form(_frame(spark, vals))
+    q = exact_quantiles(lf, "v", (0.25, 0.5, 0.75), ["p"], ("a", "b", "c"), max_in_task=max_in_task)
+    got = {r.p: (r.a, r.b, r.c) for r in q.collect()}
     for j in range(3):
         assert np.allclose(got[j], np.percentile(vals[:, j], [25, 50, 75]), atol=1e-12)
 
 
+@pytest.mark.parametrize("max_in_task", [0, None])
+def test_rank_within_both_plans(spark, max_in_task):
+    from quillspark.operators.ranking import rank_within
+    df = spark.createDataFrame([(i, i % 3, (i * 7) % 5) for i in range(40)], "id long, g int, v int")
+    got = {r.id: (r.pos, r.group_n) for r in rank_within(df, ["v", "id"], ["g"], max_in_task=max_in_task).collect()}
+    for g in range(3):
+        ids = sorted((v, i) for i, gg, v in [(i, i % 3, (i * 7) % 5) for i in range(40)] if gg == g)
+        for pos, (_, i) in enumerate(ids):
+            assert got[i] == (pos, len(ids))
+
+
 def test_median_of_even_count_interpolates(spark):
     df = _frame(spark, [[1.0], [2.0], [4.0], [10.0]])
     assert X.feature_quantiles(df).first().q50 == 3.0
