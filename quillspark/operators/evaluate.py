@@ -55,8 +55,8 @@ def boxplot_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
     v = F.col(value)
-    # One row of statistics per group: a broadcast side bounded by the group count.
-    t = df.join(F.broadcast(q), group)
+    from quillspark.session import bounded_broadcast
+    t = df.join(bounded_broadcast(q, 1_000_000), group)   # one row per group
     return t.groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi, v)).alias("whisker_hi"),

@@ -31,9 +31,7 @@ def scan_feature_matrix(embeddings: DataFrame, dim: int | None = None,
     df = feature_matrix(embeddings)
     if dim is not None:
         df = df.withColumn("x", F.slice("x", 1, dim))
-    if num_rows is not None:
-        df = df.orderBy("vec_id").limit(num_rows)
-    return df
+    return limit_rows(df, num_rows) if num_rows is not None else df
 
 
 def long_form(df: DataFrame, x_col: str = "x", keep: Sequence[str] = ("vec_id",)) -> DataFrame:
@@ -63,19 +61,22 @@ def robust_scale(df: DataFrame) -> DataFrame:
     return df.withColumn("x", F.transform("x", lambda v, i: (v - F.get(m, i)) / F.get(s, i)))
 
 
-def rank_normalize(df: DataFrame) -> DataFrame:
+def rank_normalize(df: DataFrame, keep: Sequence[str] = ("vec_id",)) -> DataFrame:
     """(vec_id, p, r): each feature replaced by its 0-based rank / N; ties by id."""
-    lf = long_form(df)
+    lf = long_form(df, keep=keep)
     ranked = rank_within(lf, [F.col("v"), F.col("vec_id")], ["p"])
-    return ranked.select("vec_id", "p", (F.col("pos") / F.col("group_n")).alias("r"))
+    return ranked.select(*keep, "p", (F.col("pos") / F.col("group_n")).alias("r"))
 
 
 def rank_normalize_wide(df: DataFrame) -> DataFrame:
-    """Wide form of ``rank_normalize``: (vec_id, x = ranks / N, label)."""
-    r = rank_normalize(df)
-    wide = r.groupBy("vec_id").agg(F.sort_array(F.collect_list(F.struct("p", "r"))).alias("_s"))
-    return (wide.join(df.select("vec_id", "label"), "vec_id")
-            .select("vec_id", F.transform("_s", lambda s: s["r"]).alias("x"), "label"))
+    """Wide form of ``rank_normalize``: (vec_id, x = ranks / N, label).
+
+    The label rides along in the long form, so regrouping by row needs no join back;
+    each group holds one row's d values.
+    """
+    r = rank_normalize(df, keep=("vec_id", "label"))
+    wide = r.groupBy("vec_id", "label").agg(F.sort_array(F.collect_list(F.struct("p", "r"))).alias("_s"))
+    return wide.select("vec_id", F.transform("_s", lambda s: s["r"]).alias("x"), "label")
 
 
 def pixel_percentiles(df: DataFrame, qs: Sequence[float] = (0.01, 0.98, 0.99)) -> DataFrame:
@@ -124,5 +125,14 @@ def top_n_per_class(df: DataFrame, n: int) -> DataFrame:
             .withColumn("pos", (F.col("pos") - 1).cast("bigint")))
 
 
+# Largest n served by a single-task top-n (TakeOrderedAndProject keeps n rows per task).
+MAX_TOP_ROWS = 100_000
+
+
 def limit_rows(df: DataFrame, n: int) -> DataFrame:
-    return df.orderBy("vec_id").limit(n)
+    """First n rows by id. Beyond MAX_TOP_ROWS the cut is a filter on global positions,
+    so no task has to hold n rows."""
+    if n <= MAX_TOP_ROWS:
+        return df.orderBy("vec_id").limit(n)
+    ranked = rank_within(df, [F.col("vec_id")], [])
+    return ranked.where(F.col("pos") < n).drop("pos", "group_n")

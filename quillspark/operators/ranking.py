@@ -27,20 +27,27 @@ MAX_BROADCAST_CHUNKS = 2_000_000
 MAX_GROUP_IN_TASK = 1_000_000
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Row count of the biggest group (one small aggregation job)."""
+def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
+    """(rows in the biggest group, number of groups) in one small aggregation job."""
     if not group:
-        return int(df.count())
-    r = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
+        return int(df.count()), 1
+    r = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) \
+        .agg(F.max("_n").alias("mx"), F.count(F.lit(1)).alias("g")).first()
+    return int(r["mx"] or 0), int(r["g"] or 0)
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    return group_sizes(df, group)[0]
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[str] = (),
                 num_partitions: int | None = None, pos_col: str = "pos",
-                n_col: str = "group_n") -> DataFrame:
+                n_col: str = "group_n", n_groups: int | None = None) -> DataFrame:
     """Add ``pos`` (0-based position inside its group by ``order``) and ``group_n``.
 
     Give ``order`` a unique tiebreak (an id) when positions must be reproducible.
+    ``n_groups``, when known, bounds the offset table (partitions + groups rows) and
+    saves the job that would otherwise check its size before broadcasting it.
     """
     spark = df.sparkSession
     group = list(group)
@@ -60,7 +67,11 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
         (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
         F.sum("_cnt").over(wall).alias(n_col))
     chunk = chunk.fillna(0, subset=["_off"])
-    out = s.join(bounded_broadcast(chunk, MAX_BROADCAST_CHUNKS), ["_pid", *group])
+    if n_groups is not None and n + n_groups <= MAX_BROADCAST_CHUNKS:
+        side = F.broadcast(chunk)
+    else:
+        side = bounded_broadcast(chunk, MAX_BROADCAST_CHUNKS)
+    out = s.join(side, ["_pid", *group])
     return out.withColumn(pos_col, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("bigint")) \
         .drop("_mid", "_pid", "_loc", "_first", "_off")
 
@@ -75,8 +86,9 @@ def rank_within(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
     """
     group = list(group)
     limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
-    if not group or largest_group(df, group) > limit:
-        return global_rank(df, order, group, pos_col=pos_col, n_col=n_col)
+    biggest, n_groups = group_sizes(df, group)
+    if not group or biggest > limit:
+        return global_rank(df, order, group, pos_col=pos_col, n_col=n_col, n_groups=n_groups)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*group).orderBy(*order)
     return (df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("bigint"))
@@ -95,11 +107,12 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Seque
     names = list(names or [f"q{i}" for i in range(len(qs))])
     src = df.where(F.col(value).isNotNull())
     limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
-    if largest_group(src, group) <= limit:
+    biggest, n_groups = group_sizes(src, group)
+    if biggest <= limit:
         pc = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
         g = src.groupBy(*group).agg(pc.alias("_qs"))
         return g.select(*group, *[F.get("_qs", i).alias(nm) for i, nm in enumerate(names)])
-    ranked = global_rank(src, [F.col(value)], group)
+    ranked = global_rank(src, [F.col(value)], group, n_groups=n_groups)
     pos, cnt = F.col("pos"), F.col("group_n")
     targets = [F.lit(float(q)) * (cnt - 1) for q in qs]
     keep = None

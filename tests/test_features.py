@@ -122,3 +122,10 @@ def test_exact_quantiles_grouped(spark):
     df = spark.createDataFrame([(g, float(v)) for g in range(2) for v in range(g * 10, g * 10 + 5)], "g int, v double")
     got = {r.g: r.q0 for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()}
     assert got == {0: 2.0, 1: 12.0}
+
+
+def test_limit_rows_large_n_uses_positions(spark, monkeypatch):
+    df = _frame(spark, [[float(i)] for i in range(50)])
+    monkeypatch.setattr(X, "MAX_TOP_ROWS", 5)
+    got = sorted(r.vec_id for r in X.limit_rows(df.repartition(4), 17).collect())
+    assert got == list(range(17))
