@@ -81,10 +81,21 @@ def _vectors(df: DataFrame, x_col: str, label_col: str) -> DataFrame:
                      F.col(label_col).cast("double").alias("label"))
 
 
+# Rows of feature vectors per training task: iterative fits run one job per iteration, so
+# a small table spread over many tasks pays the scheduling cost every iteration.
+ROWS_PER_TRAIN_TASK = 200_000
+
+
 def _split_table(split: DataFrame, df: DataFrame, x_col: str, label_col: str) -> DataFrame:
+    """Split rows with their vectors, checkpointed once for all repeats and models, and
+    narrowed (no shuffle) to about ROWS_PER_TRAIN_TASK rows per partition."""
+    import math
+
     from quillspark.session import checkpointed
     joined = split.join(df.select("vec_id", x_col, label_col), "vec_id")
-    return checkpointed(_vectors(joined, x_col, label_col))
+    data = checkpointed(_vectors(joined, x_col, label_col))
+    want = max(1, math.ceil(data.count() / ROWS_PER_TRAIN_TASK))
+    return data.coalesce(want) if want < data.rdd.getNumPartitions() else data
 
 
 def _fit_score(model, data: DataFrame, rep: int) -> float:
