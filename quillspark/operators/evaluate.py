@@ -29,7 +29,8 @@ def assign_batches(split: DataFrame, batch_size: int) -> DataFrame:
     train = split.where("is_train")
     per_rep = train.groupBy("rep").agg(F.count(F.lit(1)).alias("_nt"))
     full = F.expr(f"(_nt div {int(batch_size)}) * {int(batch_size)}")
-    return (train.join(F.broadcast(per_rep), "rep")  # one row per repeat
+    from quillspark.session import bounded_broadcast
+    return (train.join(bounded_broadcast(per_rep, 1_000_000), "rep")  # one row per repeat
             .where(F.col("pos") < full)
             .select("rep", F.expr(f"pos div {int(batch_size)}").alias("batch"), "vec_id"))
 

@@ -19,7 +19,7 @@ from quillspark.functions.numeric import soft_threshold_array
 from quillspark.operators import grid as GR
 from quillspark.operators import matrix as MX
 from quillspark.operators.features import rank_normalize_wide
-from quillspark.session import checkpointed
+from quillspark.session import bounded_broadcast, checkpointed
 
 
 def _sign_fix(v: np.ndarray) -> np.ndarray:
@@ -207,8 +207,9 @@ def feature_affinity(df: DataFrame, gamma: float, x_col: str = "x") -> DataFrame
     """(i, j, a): RBF affinity between feature columns, d2 = G_ii + G_jj - 2 G_ij."""
     g = MX.gram_matrix(df, x_col)
     diag = g.where(F.col("i") == F.col("j")).select(F.col("i").alias("_k"), F.col("g").alias("_d"))
-    di = F.broadcast(diag.select(F.col("_k").alias("i"), F.col("_d").alias("gi")))  # d rows
-    dj = F.broadcast(diag.select(F.col("_k").alias("j"), F.col("_d").alias("gj")))
+    diag = bounded_broadcast(diag, 1_000_000)   # one row per feature
+    di = diag.select(F.col("_k").alias("i"), F.col("_d").alias("gi"))
+    dj = diag.select(F.col("_k").alias("j"), F.col("_d").alias("gj"))
     t = g.join(di, "i").join(dj, "j")
     d2 = F.greatest(F.col("gi") + F.col("gj") - F.lit(2.0) * F.col("g"), F.lit(0.0))
     return t.select("i", "j", F.exp(F.lit(-gamma) * d2).alias("a"))

@@ -94,12 +94,11 @@ def cross_product(df: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFram
 
 def collect_matrix(ijg: DataFrame, shape: tuple[int, int] | None = None) -> np.ndarray:
     """Bring a small (i, j, g) table to the driver as a dense matrix."""
-    rows = ijg.select("i", "j", "g").collect()
+    pdf = ijg.select("i", "j", "g").toPandas()          # Arrow transfer, d x k rows
     if shape is None:
-        shape = (max(r[0] for r in rows) + 1, max(r[1] for r in rows) + 1)
+        shape = (int(pdf["i"].max()) + 1, int(pdf["j"].max()) + 1) if len(pdf) else (0, 0)
     m = np.zeros(shape)
-    for i, j, g in rows:
-        m[i, j] = g
+    m[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["g"].to_numpy()
     return m
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.session import bounded_broadcast
+
 # The rendered access-log line (F2). Every 97th event becomes a junk
 # line; every 11th size is '-'.
 _LOG_LINE_SQL = """
@@ -51,7 +53,7 @@ def locations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """F4 places: every fifth country name carries a comma (quoted in CSV)."""
     name = F.when(F.col("n_nationkey") % 5 == 0, F.concat("n_name", F.lit(", Islands"))) \
         .otherwise(F.col("n_name"))
-    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(bounded_broadcast(region, 100_000), nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").cast("int").alias("geoname_id"),
                     F.lit("en").alias("locale_code"),
                     F.upper(F.substring("r_name", 1, 2)).alias("continent_code"),
