@@ -5,7 +5,7 @@ def norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
-        return (1, "nan") if math.isnan(v) else (1, repr(v + 0.0))
+        return (1, "nan") if math.isnan(v) else (1, repr(v))
     if hasattr(v, "isoformat"):
         return (2, v.isoformat())
     if isinstance(v, bool):
