@@ -27,47 +27,80 @@ def join_blocks_country(blocks: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def block_keys(blocks_country: DataFrame) -> DataFrame:
-    """Blocks with their numeric bounds and the equi-join key for their own prefix."""
+    """Blocks with the equi-join key for their own prefix, one row per (plen, key).
+
+    Duplicate blocks (same network twice) keep the smallest place id, so a lookup never
+    multiplies rows.
+    """
     b = blocks_country.select("*", *IP.cidr_bounds("network"))
     b = b.where(F.col("prefix").between(0, 32) & F.col("start").isNotNull())
-    return b.select(F.col("prefix").alias("plen"),
-                    F.call_function("shiftright", F.col("start"), 32 - F.col("prefix")).alias("key"),
-                    "geoname_id", "country_name")
+    b = b.select(F.col("prefix").alias("plen"),
+                 F.call_function("shiftright", F.col("start"), 32 - F.col("prefix")).alias("key"),
+                 "geoname_id", "country_name")
+    best = F.min_by(F.struct("geoname_id", "country_name"), F.col("geoname_id"))
+    return b.groupBy("plen", "key").agg(best.alias("_b")) \
+        .select("plen", "key", "_b.geoname_id", "_b.country_name")
 
 
 def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
-                 carry: tuple[str, ...] = ()) -> DataFrame:
-    """(ip_col, *carry, geoname_id, country_name) per input row; unplaced -> NULLs.
+                 carry: tuple[str, ...] | None = None) -> DataFrame:
+    """``df`` plus (geoname_id, country_name) of each address; unplaced -> NULLs.
 
-    ``df`` should hold each address once (e.g. distinct hosts with their hit counts).
+    Broadcast plan (block table within MAX_BROADCAST_BLOCKS): the block table is broadcast
+    once, and one hash join per prefix length present probes it, longest first, filling
+    only rows still unplaced. It is map-only, so any number of rows (log lines, distinct
+    hosts) can be placed with no shuffle. Larger block tables use ``_geolocate_shuffled``.
     """
     keys = block_keys(blocks_country)
     # One small job gives the prefix lengths present (at most 33 rows: 0..32) and the
-    # block count that decides between a broadcast and a shuffle join.
+    # block count that decides between broadcasts and a shuffle join.
     stats = keys.groupBy("plen").agg(F.count(F.lit(1)).alias("n")).collect()
-    plens = sorted(r["plen"] for r in stats)
+    plens = sorted((r["plen"] for r in stats), reverse=True)
     n_blocks = sum(r["n"] for r in stats)
+    cols = list(df.columns) if carry is None else [ip_col, *carry]
+    if n_blocks > MAX_BROADCAST_BLOCKS:
+        return _geolocate_shuffled(df.select(*cols), keys, plens, ip_col, cols)
+    # One build side for every step: (plen, key) packed into one long (key < 2^32), so the
+    # same broadcast exchange is reused by all the joins.
+    side = F.broadcast(keys.select(
+        (F.col("plen").cast("long") * (1 << 33) + F.col("key")).alias("_bk"),
+        F.col("geoname_id").alias("_bg"), F.col("country_name").alias("_bc")))
+    out = df.select(*cols, IP.ip_to_long(ip_col).alias("_ip"),
+                    F.lit(None).cast("int").alias("geoname_id"),
+                    F.lit(None).cast("string").alias("country_name"))
+    for p in plens:
+        probe = F.when(F.col("geoname_id").isNull(),
+                       F.lit(p * (1 << 33)) + F.call_function("shiftright", F.col("_ip"), F.lit(32 - p)))
+        out = (out.withColumn("_pk", probe).join(side, F.col("_pk") == F.col("_bk"), "left")
+               .select(*cols, "_ip", F.coalesce("geoname_id", "_bg").alias("geoname_id"),
+                       F.coalesce("country_name", "_bc").alias("country_name")))
+    return out.drop("_ip")
+
+
+def _geolocate_shuffled(df: DataFrame, keys: DataFrame, plens: list[int], ip_col: str,
+                        cols: list[str]) -> DataFrame:
+    """Shuffle plan for block tables too big to broadcast: every address probes all prefix
+    lengths in one equi-join on (plen, key), and ``max_by`` keeps the longest match.
+    ``df`` should hold each address once (e.g. distinct hosts)."""
     if not plens:
-        return df.select(ip_col, *carry, F.lit(None).cast("int").alias("geoname_id"),
+        return df.select(*cols, F.lit(None).cast("int").alias("geoname_id"),
                          F.lit(None).cast("string").alias("country_name"))
-    ipnum = IP.ip_to_long(ip_col)
-    probes = (df.select(ip_col, *carry, ipnum.alias("_ip"))
+    probes = (df.withColumn("_ip", IP.ip_to_long(ip_col))
               .withColumn("plen", F.explode(F.array(*[F.lit(p) for p in plens])))
               .withColumn("key", F.call_function("shiftright", F.col("_ip"), 32 - F.col("plen"))))
-    right = F.broadcast(keys) if n_blocks <= MAX_BROADCAST_BLOCKS else keys
-    matched = probes.join(right, ["plen", "key"], "left")
-    best = F.max_by(F.struct("geoname_id", "country_name"), F.when(F.col("geoname_id").isNotNull(),
-                                                                   F.col("plen")))
-    return (matched.groupBy(ip_col, *carry).agg(best.alias("_b"))
-            .select(ip_col, *carry, F.col("_b.geoname_id").alias("geoname_id"),
+    matched = probes.join(keys, ["plen", "key"], "left")
+    best = F.max_by(F.struct("geoname_id", "country_name"),
+                    F.when(F.col("geoname_id").isNotNull(), F.col("plen")))
+    return (matched.groupBy(*cols).agg(best.alias("_b"))
+            .select(*cols, F.col("_b.geoname_id").alias("geoname_id"),
                     F.col("_b.country_name").alias("country_name")))
 
 
 def hits_by_country(parsed: DataFrame, blocks_country: DataFrame) -> DataFrame:
     """(country_name, n): log lines per country of their host; NULL = no block.
 
-    Hosts are counted first (map-side combine), so the geolocation join sees each
-    address once however hot it is.
+    Hosts are counted first (map-side combine), so the lookup sees each address once
+    however hot it is; with broadcast blocks the lookup itself adds no shuffle.
     """
     per_host = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("hits"))
     located = geolocate_ip(per_host, blocks_country, "host", carry=("hits",))

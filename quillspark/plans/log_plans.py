@@ -13,17 +13,21 @@ from quillspark.operators import articles as A
 from quillspark.operators import geo as G
 from quillspark.operators import weblog as L
 from quillspark.plans.registry import register
-from quillspark.session import scratch_path
+from quillspark.session import materialized, scratch_path
 from quillspark.sources import derived as D
 from quillspark.sources import files as IO
 from quillspark.sources.tables import table
 from quillspark.sources.text import scan_text_glob as read_glob
+from quillspark.sources.text import scan_text_lines
 
 YEAR = 2024  # events cover January 2024
 
 
 def _lines(spark, sf):
-    return D.access_log_lines(table(spark, sf, "events"))
+    """F2 as text files (written once per application), read like any access log."""
+    path = materialized(spark, "access-log-text", sf,
+                        lambda p: D.access_log_lines(table(spark, sf, "events")).write.text(p))
+    return scan_text_lines(spark, path)
 
 
 def _parsed(spark, sf):
@@ -159,12 +163,16 @@ def sink_single_file(spark, sf):
 
 
 # ---- address blocks and places ---------------------------------------------------------
-def _written_dims(spark, sf):
-    root = scratch_path(spark, "geo-csv")
+def _write_dims(spark, sf, root):
     IO.write_csv(D.address_blocks(table(spark, sf, "nation"), table(spark, sf, "supplier")),
                  f"{root}/blocks")
     IO.write_csv(D.locations(table(spark, sf, "nation"), table(spark, sf, "region")),
                  f"{root}/locations")
+
+
+def _written_dims(spark, sf):
+    """F3 and F4 as CSV files with a header (written once per application)."""
+    root = materialized(spark, "geo-csv", sf, lambda p: _write_dims(spark, sf, p))
     return (IO.scan_csv_dim(spark, f"{root}/blocks", IO.BLOCKS_SCHEMA),
             IO.scan_csv_dim(spark, f"{root}/locations", IO.LOCATIONS_SCHEMA))
 
@@ -221,8 +229,9 @@ o_orderpriority AS body FROM orders"""
 
 
 def _articles(spark, sf):
-    path = scratch_path(spark, "articles-tsv")
-    IO.sink_tsv(D.article_rows(table(spark, sf, "orders")), path)
+    """F5 as a tab-separated dump (written once per application)."""
+    path = materialized(spark, "articles-tsv", sf,
+                        lambda p: IO.sink_tsv(D.article_rows(table(spark, sf, "orders")), p))
     return IO.scan_tsv(spark, path, IO.ARTICLES_SCHEMA)
 
 

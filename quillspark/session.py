@@ -71,6 +71,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+_MATERIALIZED: dict[tuple[str, str, str], str] = {}
+
+
+def materialized(spark: SparkSession, name: str, source: str, write) -> str:
+    """Path of a derived input written once per application under the shared folder.
+
+    ``write(path)`` produces it on first use; later queries of the same application read
+    the files, as they would read input that already sits in storage.
+    """
+    key = (spark.sparkContext.applicationId, name, source)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        write(path)
+        _MATERIALIZED[key] = path
+    return path
+
+
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)

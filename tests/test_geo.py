@@ -64,3 +64,21 @@ def test_join_blocks_country_is_inner(spark):
     places = spark.createDataFrame([(1, "One")], "geoname_id int, country_name string")
     got = [tuple(r) for r in G.join_blocks_country(blocks, places).collect()]
     assert got == [("10.1.0.0/16", 1, "One")]
+
+
+def test_shuffled_plan_equals_broadcast_plan(spark, monkeypatch):
+    blocks = _blocks(spark, [("10.0.0.0/8", 1, "Wide"), ("10.1.0.0/16", 2, "Mid"),
+                             ("10.1.2.0/24", 3, "Narrow"), ("10.1.2.0/24", 5, "Dup")])
+    hosts = spark.createDataFrame([("10.1.2.3",), ("10.1.9.9",), ("10.9.0.1",), ("1.1.1.1",)], "host string")
+    fast = {r.host: (r.geoname_id, r.country_name) for r in G.geolocate_ip(hosts, blocks).collect()}
+    monkeypatch.setattr(G, "MAX_BROADCAST_BLOCKS", 0)
+    slow = {r.host: (r.geoname_id, r.country_name) for r in G.geolocate_ip(hosts, blocks).collect()}
+    assert fast == slow == {"10.1.2.3": (3, "Narrow"), "10.1.9.9": (2, "Mid"),
+                            "10.9.0.1": (1, "Wide"), "1.1.1.1": (None, None)}
+
+
+def test_lookup_keeps_every_row(spark):
+    blocks = _blocks(spark, [("10.1.0.0/16", 2, "Mid")])
+    lines = spark.createDataFrame([("10.1.0.1", 1), ("10.1.0.1", 2), ("9.9.9.9", 3)], "host string, k int")
+    got = sorted((r.k, r.country_name) for r in G.geolocate_ip(lines, blocks).collect())
+    assert got == [(1, "Mid"), (2, "Mid"), (3, None)]
