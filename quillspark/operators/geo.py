@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import ip as IP
-from quillspark.session import bounded_broadcast
+from quillspark.session import bounded_broadcast, checkpointed
 
 # Place tables (countries) stay in the hundreds of rows; block tables in the low millions.
 MAX_BROADCAST_PLACES = 100_000
@@ -51,7 +51,9 @@ def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
     only rows still unplaced. It is map-only, so any number of rows (log lines, distinct
     hosts) can be placed with no shuffle. Larger block tables use ``_geolocate_shuffled``.
     """
-    keys = block_keys(blocks_country)
+    # The block table is small next to the rows it places: materialise it once (reliable
+    # checkpoint) so the stats job and every lookup step read the same files.
+    keys = checkpointed(block_keys(blocks_country))
     # One small job gives the prefix lengths present (at most 33 rows: 0..32) and the
     # block count that decides between broadcasts and a shuffle join.
     stats = keys.groupBy("plen").agg(F.count(F.lit(1)).alias("n")).collect()
