@@ -1,8 +1,6 @@
 """Scores, box plots, classifier runs."""
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from quillspark.functions import numeric as N
 from quillspark.operators import evaluate as E
 
@@ -57,4 +55,3 @@ def test_compare_classifiers_shape(spark):
     assert {r.model for r in res} == {"logistic", "mlp"}
     assert all(0.0 <= r.accuracy <= 1.0 for r in res)
     assert res[0].rep == res[1].rep
-    _ = F

@@ -98,7 +98,6 @@ def test_holdout_split_is_reproducible_and_sized(spark):
     df = _frame(spark, [[0.0]] * 23)
     a = E.holdout_split(df, 4, 70).collect()
     b = E.holdout_split(df.repartition(3), 4, 70).collect()
-    key = lambda r: (r.rep, r.vec_id)
     assert sorted(map(tuple, a), key=lambda t: (t[0], t[1])) == sorted(map(tuple, b), key=lambda t: (t[0], t[1]))
     for rep in range(4):
         rows = [r for r in a if r.rep == rep]
@@ -106,7 +105,6 @@ def test_holdout_split_is_reproducible_and_sized(spark):
         assert sum(r.is_train for r in rows) == 23 * 70 // 100
     orders = {rep: [r.vec_id for r in sorted((r for r in a if r.rep == rep), key=lambda r: r.pos)] for rep in range(4)}
     assert len({tuple(o) for o in orders.values()}) > 1     # repeats differ
-    _ = key
 
 
 def test_assign_batches_full_batches_only(spark):
