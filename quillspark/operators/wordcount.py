@@ -36,12 +36,16 @@ def wordcount_top(documents: DataFrame, k: int = 20, fold: bool = False,
 
     clean=True: per line delete all but letters, digits, space; lower-case; split on
     spaces (the newline is kept as a separator so lines never glue together).
+    Empty tokens and the prefix test are row filters after the explode (code-generated),
+    not lambdas over every token array.
     """
     txt = F.col(text_col)
     if clean:
-        words = T.split_words(T.fold_case(T.strip_chars_keep_lines(txt)), "[ \\n]+")
+        tokens = F.split(T.fold_case(T.strip_chars_keep_lines(txt)), "[ \\n]+", -1)
     else:
-        words = T.split_words(T.fold_case(txt) if fold else txt)
+        tokens = F.split(T.fold_case(txt) if fold else txt, T.WHITESPACE, -1)
+    words = explode_rows(documents, tokens, [], "word").where(F.col("word") != "")
     if prefix is not None:
-        words = F.filter(words, lambda w: w.startswith(prefix))
-    return topk_by_count(word_counts(documents, words), k)
+        words = words.where(F.col("word").startswith(prefix))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return topk_by_count(counts, k)
