@@ -40,8 +40,8 @@ def rbf_pairs(df: DataFrame, lm: np.ndarray, gamma: float, x_col: str = "x",
             if pdf.empty:
                 continue
             x = MX._stack(pdf[x_col])
-            diff = x[:, None, :] - L[None, :, :]
-            k = np.exp(-gamma * (diff * diff).sum(-1))
+            # |x - l|^2 = |x|^2 + |l|^2 - 2 x.l: memory batch x m, never batch x m x d.
+            k = np.exp(-gamma * _sqdist(x, L))
             yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("int64"), out_col: list(k)})
 
     return df.select("vec_id", x_col).mapInPandas(run, schema)
