@@ -67,16 +67,19 @@ def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
     side = F.broadcast(keys.select(
         (F.col("plen").cast("long") * (1 << 33) + F.col("key")).alias("_bk"),
         F.col("geoname_id").alias("_bg"), F.col("country_name").alias("_bc")))
-    out = df.select(*cols, IP.ip_to_long(ip_col).alias("_ip"),
+    out = df.select(*cols, IP.ip_to_long(ip_col).alias("_ip"), F.lit(False).alias("_hit"),
                     F.lit(None).cast("int").alias("geoname_id"),
                     F.lit(None).cast("string").alias("country_name"))
     for p in plens:
-        probe = F.when(F.col("geoname_id").isNull(),
+        # Rows placed by a longer prefix get a NULL probe key, so they match nothing here.
+        probe = F.when(~F.col("_hit"),
                        F.lit(p * (1 << 33)) + F.call_function("shiftright", F.col("_ip"), F.lit(32 - p)))
+        hit = F.col("_bk").isNotNull()
         out = (out.withColumn("_pk", probe).join(side, F.col("_pk") == F.col("_bk"), "left")
-               .select(*cols, "_ip", F.coalesce("geoname_id", "_bg").alias("geoname_id"),
-                       F.coalesce("country_name", "_bc").alias("country_name")))
-    return out.drop("_ip")
+               .select(*cols, "_ip", (F.col("_hit") | hit).alias("_hit"),
+                       F.when(hit, F.col("_bg")).otherwise(F.col("geoname_id")).alias("geoname_id"),
+                       F.when(hit, F.col("_bc")).otherwise(F.col("country_name")).alias("country_name")))
+    return out.drop("_ip", "_hit")
 
 
 def _geolocate_shuffled(df: DataFrame, keys: DataFrame, plens: list[int], ip_col: str,

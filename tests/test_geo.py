@@ -82,3 +82,10 @@ def test_lookup_keeps_every_row(spark):
     lines = spark.createDataFrame([("10.1.0.1", 1), ("10.1.0.1", 2), ("9.9.9.9", 3)], "host string, k int")
     got = sorted((r.k, r.country_name) for r in G.geolocate_ip(lines, blocks).collect())
     assert got == [(1, "Mid"), (2, "Mid"), (3, None)]
+
+
+def test_longest_match_kept_when_its_country_is_null(spark):
+    blocks = _blocks(spark, [("10.0.0.0/8", 1, "Wide"), ("10.1.0.0/16", 2, None)])
+    hosts = spark.createDataFrame([("10.1.0.1",), ("10.2.0.1",)], "host string")
+    got = {r.host: (r.geoname_id, r.country_name) for r in G.geolocate_ip(hosts, blocks).collect()}
+    assert got == {"10.1.0.1": (2, None), "10.2.0.1": (1, "Wide")}
