@@ -106,20 +106,32 @@ def _fit_score(model, data: DataFrame, rep: int) -> float:
     return float(pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
 
 
+def _run_fits(tasks, parallelism: int):
+    """Run independent fits from up to ``parallelism`` driver threads (as Spark ML's
+    CrossValidator does): each fit is a sequence of small distributed jobs, so
+    concurrent fits keep the cluster busy between one model's iterations."""
+    from concurrent.futures import ThreadPoolExecutor
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
 def train_logistic(df: DataFrame, split: DataFrame, max_iter: int = 100, x_col: str = "x",
-                   label_col: str = "label") -> DataFrame:
+                   label_col: str = "label", parallelism: int = 4) -> DataFrame:
     """(rep, accuracy): multinomial logistic regression per repeat, test accuracy."""
     from pyspark.ml.classification import LogisticRegression
     data = _split_table(split, df, x_col, label_col)
     reps = sorted(r[0] for r in split.select("rep").distinct().collect())  # R repeats
     lr = LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter)
-    rows = [(rep, _fit_score(lr, data, rep)) for rep in reps]
+    scores = _run_fits([lambda rep=rep: _fit_score(lr, data, rep) for rep in reps], parallelism)
+    rows = list(zip(reps, scores))
     return df.sparkSession.createDataFrame(rows, "rep int, accuracy double")
 
 
 def compare_classifiers(df: DataFrame, split: DataFrame, hidden: tuple[int, ...] = (16,),
                         max_iter: int = 100, x_col: str = "x", label_col: str = "label",
-                        seed: int = 7) -> DataFrame:
+                        seed: int = 7, parallelism: int = 4) -> DataFrame:
     """(rep, model, accuracy): logistic regression and a multilayer perceptron trained and
     tested on the same split of every repeat."""
     from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
@@ -131,5 +143,8 @@ def compare_classifiers(df: DataFrame, split: DataFrame, hidden: tuple[int, ...]
         "logistic": LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter),
         "mlp": MultilayerPerceptronClassifier(layers=[d, *hidden, k], maxIter=max_iter, seed=seed),
     }
-    rows = [(rep, name, _fit_score(m, data, rep)) for rep in reps for name, m in models.items()]
+    pairs = [(rep, name) for rep in reps for name in models]
+    scores = _run_fits([lambda rep=rep, name=name: _fit_score(models[name], data, rep)
+                        for rep, name in pairs], parallelism)
+    rows = [(rep, name, acc) for (rep, name), acc in zip(pairs, scores)]
     return df.sparkSession.createDataFrame(rows, "rep int, model string, accuracy double")
