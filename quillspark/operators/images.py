@@ -127,6 +127,12 @@ def tv_objective(df: DataFrame, f: np.ndarray, res: int, lam: float, gam: float,
                     + F.lit(0.5 * gam) * F.sum("fit_x")).alias("objective"))
 
 
+def objective_table(spark: SparkSession, objectives: list[float]) -> DataFrame:
+    """(round, objective): the per-round values of ``tv_image_embedding`` as a table."""
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(objectives)],
+                                 "round int, objective double")
+
+
 def tv_image_embedding(df: DataFrame, f0: np.ndarray, res: int, lam: float, gam: float,
                        rounds: int, x_col: str = "x") -> tuple[np.ndarray, list[float]]:
     """Embedding matrix under a TV penalty by alternating updates.

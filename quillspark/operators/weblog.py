@@ -28,9 +28,14 @@ def in_year(parsed: DataFrame, year: int | None) -> DataFrame:
     return parsed if year is None else parsed.where(F.year("day") == year)
 
 
-def hits_by_day(parsed: DataFrame, year: int | None = None) -> DataFrame:
-    """(day, n): URLs served each day, in day order."""
-    return (in_year(parsed, year).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+def with_status(parsed: DataFrame, statuses=None) -> DataFrame:
+    """Keep only lines whose status is in ``statuses`` (None keeps every parsed line)."""
+    return parsed if statuses is None else parsed.where(F.col("status").isin(list(statuses)))
+
+
+def hits_by_day(parsed: DataFrame, year: int | None = None, statuses=None) -> DataFrame:
+    """(day, n): URLs served each day, in day order; optionally only some statuses."""
+    return (in_year(with_status(parsed, statuses), year).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
             .orderBy("day"))
 
 
@@ -44,8 +49,8 @@ def sort_by_date(daily: DataFrame) -> DataFrame:
     return daily.select((F.row_number().over(w) - 1).cast("bigint").alias("pos"), "day", "n")
 
 
-def top_pages(parsed: DataFrame, k: int = 20, strip_query: bool = False) -> DataFrame:
+def top_pages(parsed: DataFrame, k: int = 20, strip_query: bool = False, statuses=None) -> DataFrame:
     """(url, n): the k most requested pages, most requested first, ties by url."""
     url = F.substring_index("url", "?", 1) if strip_query else F.col("url")
-    counts = parsed.groupBy(url.alias("url")).agg(F.count(F.lit(1)).alias("n"))
+    counts = with_status(parsed, statuses).groupBy(url.alias("url")).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.col("n").desc(), F.col("url")).limit(k)

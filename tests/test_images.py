@@ -149,3 +149,8 @@ def test_splat_images_equal_numpy(spark):
 def test_collect_matrix_shape(spark):
     m = np.arange(6.0).reshape(2, 3)
     assert np.allclose(MX.collect_matrix(MX.matrix_frame(spark, m)), m)
+
+
+def test_objective_table(spark):
+    t = IM.objective_table(spark, [3.0, 2.5])
+    assert [tuple(r) for r in t.orderBy("round").collect()] == [(0, 3.0), (1, 2.5)]

@@ -100,3 +100,12 @@ def test_glob_and_gzip_scan(spark, tmp_path):
     got = scan_text_glob(spark, str(tmp_path / "access.log.2012-01-??*"))
     assert sorted(r.line for r in got.collect()) == ["a", "b", "c"]
     assert got.select(F.countDistinct("file_path")).first()[0] == 2
+
+
+def test_status_filter_is_optional(spark):
+    ok = GOOD.replace('" 200 -', '" 200 7')
+    bad = GOOD.replace('" 200 -', '" 404 7')
+    parsed = L.parse_access_log(spark.createDataFrame([(ok,), (bad,), (bad,)], "line string"))
+    assert [r.n for r in L.hits_by_day(parsed).collect()] == [3]
+    assert [r.n for r in L.hits_by_day(parsed, statuses=[200]).collect()] == [1]
+    assert [(r.url, r.n) for r in L.top_pages(parsed, 5, statuses=[404]).collect()] == [("/a?x=1", 2)]
