@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
+from quillspark.session import ship_package
+
 
 def _stack(series: pd.Series, width: int | None = None) -> np.ndarray:
     vals = list(series)
@@ -26,6 +28,7 @@ def _stack(series: pd.Series, width: int | None = None) -> np.ndarray:
 
 
 def broadcast_matrix(spark: SparkSession, m: np.ndarray):
+    ship_package(spark)
     return spark.sparkContext.broadcast(np.ascontiguousarray(np.asarray(m, dtype=float)))
 
 
@@ -60,6 +63,7 @@ _IJG = StructType([StructField("i", IntegerType()), StructField("j", IntegerType
 
 def _partial_products(df: DataFrame, x_col: str, y_col: str | None, upper: bool) -> DataFrame:
     cols = [x_col] if y_col is None else [x_col, y_col]
+    ship_package(df.sparkSession)
 
     def run(batches):
         acc = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -88,6 +89,34 @@ def materialized(spark: SparkSession, name: str, source: str, write) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quillspark`` importable in Python workers (once per application).
+
+    Arrow batch functions are defined in this package and pickled by reference, so the
+    workers import it. The package is zipped and added with ``SparkContext.addPyFile``,
+    which serves it to every executor (what ``--py-files`` does at submit time). The zip
+    is staged under the shared checkpoint folder when that is a local path; otherwise
+    it is staged beside the driver only, which is all ``addPyFile`` reads.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else (base if base.startswith("/") else None)
+    stage = os.path.join(local, "pyfiles", uuid.uuid4().hex) if local else tempfile.mkdtemp()
+    os.makedirs(stage, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(stage, "quillspark"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="quillspark")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
