@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.common import documents
 from quillspark.llm.mixing import mix_sources
+from quillspark.llm.packing import pack_documents
 from quillspark.llm.quality import judge_quality
+from quillspark.llm.simhash import simhash_components
+from quillspark.llm.tokenfile import token_files
 from quillspark.llm.urlfilter import judge_urls
 from quillspark.sources.tables import table
 
+#: Parameters of the SimHash contract: words in a shingle, differing bits of a link.
+SHINGLE, MAX_BITS = 4, 4
+#: Tokens in a packed sequence.
+SEQUENCE = 2048
 #: Production parameters of the mixing query: relative weights of the sources.
 MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
 #: Fixed values of the url contract: verdict, host, path prefix.
@@ -22,6 +29,24 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir), SHINGLE, MAX_BITS)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), SEQUENCE)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -37,6 +62,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op4_packing": op4_packing,
+    "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_url_filter": op9_url_filter,
