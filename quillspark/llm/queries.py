@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillspark.llm.common import documents
 from quillspark.llm.mixing import mix_sources
@@ -10,6 +11,7 @@ from quillspark.llm.packing import pack_documents
 from quillspark.llm.quality import judge_quality
 from quillspark.llm.simhash import simhash_components
 from quillspark.llm.tokenfile import token_files
+from quillspark.llm.toxicity import score_toxicity
 from quillspark.llm.urlfilter import judge_urls
 from quillspark.sources.tables import table
 
@@ -39,6 +41,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir), SHINGLE, MAX_BITS)
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows whose labels are never learnt from: crc32(doc_id as text) mod 5 is 0."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", "toxic")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(documents(spark, sf_dir), training_labels(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), SEQUENCE)
 
@@ -63,6 +79,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
