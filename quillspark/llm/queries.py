@@ -10,6 +10,7 @@ from quillspark.llm.mixing import mix_sources
 from quillspark.llm.packing import pack_documents
 from quillspark.llm.quality import judge_quality
 from quillspark.llm.simhash import simhash_components
+from quillspark.llm.substring import remove_repeated_words
 from quillspark.llm.tokenfile import token_files
 from quillspark.llm.toxicity import score_toxicity
 from quillspark.llm.urlfilter import judge_urls
@@ -17,6 +18,8 @@ from quillspark.sources.tables import table
 
 #: Parameters of the SimHash contract: words in a shingle, differing bits of a link.
 SHINGLE, MAX_BITS = 4, 4
+#: Length of a repeat: words (substring dedup).
+REPEAT_WORDS = 20
 #: Tokens in a packed sequence.
 SEQUENCE = 2048
 #: Production parameters of the mixing query: relative weights of the sources.
@@ -41,6 +44,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir), SHINGLE, MAX_BITS)
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(documents(spark, sf_dir), REPEAT_WORDS)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows whose labels are never learnt from: crc32(doc_id as text) mod 5 is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -79,6 +86,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_substring": op2_substring,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op6_token_files": op6_token_files,
