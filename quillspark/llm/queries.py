@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.llm.chunking import fingerprint_documents
 from quillspark.llm.common import documents
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.packing import pack_documents
@@ -66,6 +67,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), SEQUENCE)
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -89,6 +94,7 @@ _QUERIES = {
     "op2_substring": op2_substring,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_fingerprint": op5_fingerprint,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
