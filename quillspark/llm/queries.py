@@ -12,6 +12,7 @@ from quillspark.llm.packing import pack_documents
 from quillspark.llm.quality import judge_quality
 from quillspark.llm.simhash import simhash_components
 from quillspark.llm.substring import remove_repeated_words
+from quillspark.llm.suffixes import remove_repeated_bytes
 from quillspark.llm.tokenfile import token_files
 from quillspark.llm.toxicity import score_toxicity
 from quillspark.llm.urlfilter import judge_urls
@@ -19,8 +20,8 @@ from quillspark.sources.tables import table
 
 #: Parameters of the SimHash contract: words in a shingle, differing bits of a link.
 SHINGLE, MAX_BITS = 4, 4
-#: Length of a repeat: words (substring dedup).
-REPEAT_WORDS = 20
+#: Length of a repeat: words (substring dedup), bytes (suffix-array dedup).
+REPEAT_WORDS, REPEAT_BYTES = 20, 100
 #: Tokens in a packed sequence.
 SEQUENCE = 2048
 #: Production parameters of the mixing query: relative weights of the sources.
@@ -35,6 +36,10 @@ URL_RULES = [
 ]
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(documents(spark, sf_dir), REPEAT_BYTES)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -99,6 +104,7 @@ _QUERIES = {
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_url_filter": op9_url_filter,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 

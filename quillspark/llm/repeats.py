@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -64,11 +65,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def runs(h: np.ndarray, length: int, gram: int, block: int = BLOCK):
+def runs(h: np.ndarray, length: int, gram: int, block: int = BLOCK, segments: bool = True):
     """(base, lo, hi, anchor, digest, segment) arrays, a block of windows at a time.
 
     Window starts lo..hi (counted from ``base``) share the anchor at ``anchor``, whose k-gram
-    has ``digest``; ``segment`` digests all their text. Blocks bound the memory of long texts.
+    has ``digest``; ``segment`` digests all their text (None if not wanted). Blocks bound the
+    memory of long texts.
     """
     width = length - gram + 1
     for base in range(0, len(h) - length + 1, block):
@@ -85,6 +87,9 @@ def runs(h: np.ndarray, length: int, gram: int, block: int = BLOCK):
         change = np.flatnonzero(at[1:] != at[:-1]) + 1
         lo = np.concatenate(([0], change))
         hi = np.concatenate((change - 1, [len(at) - 1]))
+        if not segments:
+            yield base, lo, hi, at[lo], g[at[lo]], None
+            continue
         up, down = _powers(len(part) + 1)
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part * up[:len(part)])))
         end = hi + length
@@ -92,6 +97,23 @@ def runs(h: np.ndarray, length: int, gram: int, block: int = BLOCK):
         yield base, lo, hi, at[lo], g[at[lo]], segment
 
 
+def batch(columns, names) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
+def in_chunks(rows, size: int = 1_000_000):
+    """Concatenate tuples of arrays until they hold ``size`` rows."""
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += len(r[0])
+        if n >= size:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held, n = [], 0
+    if n:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def text_digest(text: bytes) -> int:
     return xxhash.xxh32_intdigest(text) >> 1
 

@@ -21,7 +21,6 @@ from itertools import compress
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,27 +29,9 @@ from quillspark.llm.common import WordHashes, map_batches, stored, text_bytes
 from quillspark.session import ship_package
 
 GRAM = 6
-CHUNK = 1_000_000
 _SEEDS = "seed long, seg long, doc long, ref long, n int, known boolean"
 
 
-def _batch(columns, names) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-
-
-def _in_chunks(rows, size: int = CHUNK):
-    """Concatenate tuples of arrays until they hold ``size`` rows."""
-    held, n = [], 0
-    for r in rows:
-        held.append(r)
-        n += len(r[0])
-        if n >= size:
-            yield [np.concatenate(c) for c in zip(*held)]
-            held, n = [], 0
-    if n:
-        yield [np.concatenate(c) for c in zip(*held)]
-
-
 def word_digests(words: list[bytes], known: WordHashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
@@ -72,11 +53,11 @@ def seeds(docs: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
                            lo + (base | key), (hi - lo + 1).astype(np.int32))
 
     def run(batches):
-        for seed, seg, doc, ref, n in _in_chunks(of_texts(batches)):
+        for seed, seg, doc, ref, n in R.in_chunks(of_texts(batches)):
             # runs longer than 127 windows do not occur: a run has at most length - gram + 1
             first = R.first_of_equal(seg, doc, ref & 0x7FFFFFFF)
             seed = np.where(first, seed, R.salted(doc, ref))
-            yield _batch((seed, seg, doc, ref, n, ~first), ["seed", "seg", "doc", "ref", "n", "known"])
+            yield R.batch((seed, seg, doc, ref, n, ~first), ["seed", "seg", "doc", "ref", "n", "known"])
 
     return map_batches(docs.select(R.doc_order().alias("doc"), text_bytes()), run, _SEEDS)
 
@@ -104,9 +85,9 @@ def edge_windows(texts: DataFrame, edges: DataFrame, length: int) -> DataFrame:
                 yield digest.view(np.int64), np.full(len(start), doc, np.int64), start + (key << 32)
 
     def run(batches):
-        for digest, doc, ref in _in_chunks(of_texts(batches)):
+        for digest, doc, ref in R.in_chunks(of_texts(batches)):
             first = R.first_of_equal(digest, doc, ref & 0x7FFFFFFF)
-            yield _batch((np.where(first, digest, R.salted(doc, ref)), doc, ref, ~first), ["digest", "doc", "ref", "known"])
+            yield R.batch((np.where(first, digest, R.salted(doc, ref)), doc, ref, ~first), ["digest", "doc", "ref", "known"])
 
     joined = R.with_spans(texts, edges, "inner").select("__doc", "__tkey", "__z", "__at")
     return map_batches(joined, run, "digest long, doc long, ref long, known boolean")

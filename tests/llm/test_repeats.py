@@ -75,3 +75,85 @@ def test_word_edges(docs_of):
     got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in remove_repeated_words(docs_of(rows)).collect())
     assert got == [("1", 30, 0), ("1", 30, 0), ("2", 5, 0), ("3", 0, 0), ("3", 0, 0), ("None", 30, 30)]
     assert remove_repeated_words(docs_of(rows).filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("seed,max_class,pairwise", [(1, 200_000, 12), (2, 200_000, 1), (3, 2, 1)])
+def test_bytes_match_brute_force(docs_of, seed, max_class, pairwise, monkeypatch):
+    from quillspark.llm import suffixes as S
+    monkeypatch.setattr(S, "PAIRWISE", pairwise)  # in force where the driver's process merges; see below too
+    docs = mixed_docs(seed)
+    got = {r.doc_id: tuple(r)[1:] for r in S.remove_repeated_bytes(docs_of(list(docs.items())), max_class=max_class).collect()}
+    assert got == bytes_result(docs)
+
+
+@pytest.mark.parametrize("pairwise,max_class", [(12, 10**6), (1, 10**6), (1, 3)])
+def test_class_paths_agree(pairwise, max_class, monkeypatch):
+    from quillspark.llm import suffixes as S
+    monkeypatch.setattr(S, "PAIRWISE", pairwise)
+    rng = random.Random(pairwise)
+    seed = rng.randbytes(20)
+    found = []
+    for i in range(40):
+        right = seed + bytes(rng.choices(b"ab", k=rng.randint(0, 6))) + b"z" * 60
+        left = bytes(rng.choices(b"cd", k=rng.randint(0, 5))) + b"y" * 40
+        right, left = right[:rng.randint(60, 86)], left[:rng.randint(40, 45)]
+        found.append((right, left, rng.randint(0, 8), 1000 * i + 500))
+    out = S.Spans()
+    S.settle_class(list(found), 100, 20, out, max_class)
+    got, ranked = set(), {}
+    for digest, doc, ref, n, settled in zip(*out.rows):
+        if settled:
+            got |= {(doc, ref + k) for k in range(n)}
+        else:
+            ranked.setdefault(digest, []).append((doc, ref))
+    for places in ranked.values():
+        got |= {p for p in places if p > min(places)}
+    windows = {}
+    for right, left, doc, ref in found:
+        text = left[::-1] + right
+        for k in range(len(text) - 99):
+            windows.setdefault(text[k:k + 100], []).append((doc, ref - len(left) + k))
+    assert got == {p for places in windows.values() for p in places if p > min(places)}
+
+
+def test_loser_tree_merges_with_common_prefixes():
+    from quillspark.llm import suffixes as S
+    rng = random.Random(5)
+    for k in (1, 2, 3, 7, 8):
+        runs = [sorted((bytes(rng.choices(b"ab", k=rng.randint(1, 9))), b"l" * rng.randint(0, 3), i, j) for j in range(rng.randint(0, 30)))
+                for i in range(k)]
+        read = [S.read_run(S.front_code(r, [(1, 2, 3)])) for r in runs]
+        assert all(s.tolist() == [[1, 2, 3]] for _, s in read)
+        out = list(S.merge_runs([r for r, _ in read]))
+        assert [s[0] for _, s in out] == sorted(s[0] for r in runs for s in r)
+        assert sorted(s for _, s in out) == sorted(s for r in runs for s in r)
+        for (_, a), (p, b) in zip(out, out[1:]):
+            assert p == S.common(a[0], b[0], 0)
+
+
+def test_bytes_query_matches_brute_force(spark, sf_docs):
+    from quillspark.llm.queries import queries
+    got = {r.doc_id: tuple(r)[1:] for r in queries()["op10_suffix_dedup"](spark, SF).collect()}
+    assert got == bytes_result(sf_docs)
+
+
+def test_byte_edges(docs_of):
+    from quillspark.llm.suffixes import drop_repeated_text, remove_repeated_bytes
+    text = "".join(f"é{i}" for i in range(60))
+    rows = [(1, text), (1, text), (None, text + "tail"), (2, "few"), (3, None), (3, ""), (4, "z" * 250)]
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans) for r in remove_repeated_bytes(docs_of(rows)).collect())
+    n = len(text.encode())
+    assert got == [("1", n, 0, 0), ("1", n, 0, 0), ("2", 3, 0, 0), ("3", 0, 0, 0), ("3", 0, 0, 0), ("4", 250, 249, 1),
+                   ("None", n + 4, n, 1)]
+    kept = {(r.doc_id, r.text, r.n_chars) for r in drop_repeated_text(docs_of(rows)).collect()}
+    assert kept == {(1, text, len(text)), (2, "few", 3), (3, "", 0), (4, "z", 1), (None, "tail", 4)}
+    assert remove_repeated_bytes(docs_of(rows).filter("false")).count() == 0
+
+
+def test_long_texts_are_read_in_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK", 300)
+    rng = np.random.default_rng(4)
+    a = rng.integers(97, 105, 2500).astype(np.uint8).tobytes().decode()
+    h = np.frombuffer(a.encode(), np.uint8).astype(np.uint64)
+    starts = [base + i for base, lo, hi, *_ in R.runs(h, 100, 20, block=300) for l, u in zip(lo, hi) for i in range(l, u + 1)]
+    assert starts == list(range(2401))
