@@ -74,13 +74,15 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
 
 
 def grid_blocks(n: int, max_bits: int) -> int:
-    """Number of blocks for ``n`` fingerprints: least total of rows moved and pairs compared."""
+    """Number of blocks for ``n`` fingerprints: least total of rows moved and pairs compared, but
+    at least two blocks must agree, so that the copies of a row stay as many over a wide range
+    of sizes."""
     def cost(blocks: int) -> float:
         choices = comb(blocks, max_bits)
         same = SAME_COUNT ** (SEGMENTS * (blocks - max_bits) / blocks)
         return choices * n * (ROW_COST + PAIR_COST * n * same / 2)
 
-    return min(range(max_bits + 1, min(SEGMENTS, max_bits + 9) + 1), key=cost)
+    return min(range(max_bits + 2, min(SEGMENTS, max_bits + 9) + 1), key=cost)
 
 
 def _cells(fps: np.ndarray, blocks: int, max_bits: int):
