@@ -26,12 +26,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import map_batches, stored, text_bytes
+from quillspark.session import ship_package
 
 _STRIP = ".,;:!?\"'()[]*_-"
 #: Digests that no word is mapped to: before the first word, and any word outside the vocabulary.
@@ -338,7 +340,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
     model = fit(docs, labels, settings)
     if isinstance(model, float | int):
         return docs.filter(F.lit(model < 0.5))
-    import pandas as pd
+    ship_package(docs.sparkSession)
 
     @F.pandas_udf("double")
     def evidence(texts: pd.Series) -> pd.Series:
