@@ -10,9 +10,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# The same rule as SQL text, for the registered function: NULL unless four octets in 0..255.
+_OCTETS = [f"try_cast(get(split(ip, '[.]', -1), {i}) AS BIGINT)" for i in range(4)]
+IP_TO_LONG_SQL = ("CASE WHEN size(split(ip, '[.]', -1)) = 4 AND "
+                  + " AND ".join(f"{o} BETWEEN 0 AND 255" for o in _OCTETS) + " THEN "
+                  + " + ".join(f"{o} * {1 << (24 - 8 * i)}" for i, o in enumerate(_OCTETS)) + " END")
+
+
 def ip_to_long(ip) -> Column:
     """Dotted quad to its 32-bit value (bigint); NULL unless four octets in 0..255."""
-    parts = F.split(_c(ip), "\\.", -1)
+    parts = F.split(_c(ip), "[.]", -1)
     octs = [F.get(parts, i).try_cast("bigint") for i in range(4)]
     value = octs[0] * 16777216 + octs[1] * 65536 + octs[2] * 256 + octs[3]
     ok = (F.size(parts) == 4)
@@ -22,7 +29,9 @@ def ip_to_long(ip) -> Column:
 
 
 def cidr_prefix(network) -> Column:
-    return F.substring_index(_c(network), "/", -1).try_cast("int")
+    """Prefix length; a network without one is a single address (32)."""
+    n = _c(network)
+    return F.when(n.contains("/"), F.substring_index(n, "/", -1)).otherwise("32").try_cast("int")
 
 
 def cidr_start(network) -> Column:

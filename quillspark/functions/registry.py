@@ -8,16 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from quillspark.functions.ip import IP_TO_LONG_SQL
+
 FUNCTIONS = {
     "soft_threshold": "(x DOUBLE, l DOUBLE) RETURNS DOUBLE "
                       "RETURN signum(x) * greatest(abs(x) - l, 0D) + 0D",
     "relu": "(x DOUBLE) RETURNS DOUBLE RETURN greatest(x, 0D)",
-    "ip_to_long": "(ip STRING) RETURNS BIGINT RETURN "
-                  "CASE WHEN size(split(ip, '[.]')) = 4 THEN "
-                  "try_cast(split(ip, '[.]')[0] AS BIGINT) * 16777216 + "
-                  "try_cast(split(ip, '[.]')[1] AS BIGINT) * 65536 + "
-                  "try_cast(split(ip, '[.]')[2] AS BIGINT) * 256 + "
-                  "try_cast(split(ip, '[.]')[3] AS BIGINT) END",
+    "ip_to_long": f"(ip STRING) RETURNS BIGINT RETURN {IP_TO_LONG_SQL}",
     "month_bucket": "(ts TIMESTAMP_NTZ) RETURNS STRING RETURN date_format(ts, 'yyyy-MM')",
 }
 

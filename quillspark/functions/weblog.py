@@ -18,12 +18,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def matches(line) -> Column:
-    return _c(line).rlike(ACCESS_LOG_PATTERN)
+def fields(line) -> Column:
+    """The ten groups of a line as an array, by one pass of the pattern; NULL if it does not
+    match. A line holds no newline, so one can part the groups."""
+    parted = F.regexp_replace(_c(line), ACCESS_LOG_PATTERN + ".*$", "\n".join(f"${i + 1}" for i in range(len(GROUPS))))
+    parts = F.split(parted, "\n", -1)
+    return F.when(~_c(line).contains("\n") & (F.size(parts) == len(GROUPS)), parts)
 
 
-def group(line, name: str) -> Column:
-    return F.regexp_extract(_c(line), ACCESS_LOG_PATTERN, GROUPS.index(name) + 1)
+def group(parts, name: str) -> Column:
+    return F.get(_c(parts), GROUPS.index(name))
 
 
 def local_time(ts_raw) -> Column:
@@ -36,21 +40,19 @@ def local_time(ts_raw) -> Column:
     return F.when(ok, F.to_timestamp_ntz(local, F.lit(LOG_TIME_FORMAT)))
 
 
-def parsed_columns(line) -> list[Column]:
-    """Typed fields of a matching line; status and size use try_cast ('-' is a size)."""
-    ts_raw = group(line, "ts_raw")
-    ts = local_time(ts_raw)
+def parsed_columns(parts, ts) -> list[Column]:
+    """Typed fields of a line's groups; status and size use try_cast ('-' is a size)."""
     return [
-        group(line, "host").alias("host"),
-        group(line, "identity").alias("identity"),
-        group(line, "user").alias("user"),
-        ts_raw.alias("ts_raw"),
-        ts.alias("ts"),
-        F.to_date(ts).alias("day"),
-        group(line, "verb").alias("verb"),
-        group(line, "url").alias("url"),
-        group(line, "status").try_cast("int").alias("status"),
-        group(line, "size").try_cast("bigint").alias("size"),
-        group(line, "referrer").alias("referrer"),
-        group(line, "agent").alias("agent"),
+        group(parts, "host").alias("host"),
+        group(parts, "identity").alias("identity"),
+        group(parts, "user").alias("user"),
+        group(parts, "ts_raw").alias("ts_raw"),
+        _c(ts).alias("ts"),
+        F.to_date(_c(ts)).alias("day"),
+        group(parts, "verb").alias("verb"),
+        group(parts, "url").alias("url"),
+        group(parts, "status").try_cast("int").alias("status"),
+        group(parts, "size").try_cast("bigint").alias("size"),
+        group(parts, "referrer").alias("referrer"),
+        group(parts, "agent").alias("agent"),
     ]

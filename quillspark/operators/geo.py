@@ -26,6 +26,14 @@ def join_blocks_country(blocks: DataFrame, places: DataFrame) -> DataFrame:
         .select("network", "geoname_id", "country_name")
 
 
+def blocks_with_country(blocks: DataFrame, places: DataFrame) -> DataFrame:
+    """(network, geoname_id, country_name) of every block; a place that is not listed has no
+    country. Lookups use this, so that an unlisted nested block still hides the wider one."""
+    p = bounded_broadcast(places.select("geoname_id", "country_name"), MAX_BROADCAST_PLACES)
+    return blocks.select("network", "geoname_id").join(p, "geoname_id", "left") \
+        .select("network", "geoname_id", "country_name")
+
+
 def block_keys(blocks_country: DataFrame) -> DataFrame:
     """Blocks with the equi-join key for their own prefix, one row per (plen, key).
 
@@ -84,21 +92,24 @@ def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
 
 def _geolocate_shuffled(df: DataFrame, keys: DataFrame, plens: list[int], ip_col: str,
                         cols: list[str]) -> DataFrame:
-    """Shuffle plan for block tables too big to broadcast: every address probes all prefix
-    lengths in one equi-join on (plen, key), and ``max_by`` keeps the longest match.
-    ``df`` should hold each address once (e.g. distinct hosts)."""
+    """Shuffle plan for block tables too big to broadcast: every distinct address probes all
+    prefix lengths in one equi-join on (plen, key), ``max_by`` keeps the longest match, and the
+    answers are joined back to the rows, which thus keep their number. Rows without a readable
+    address never enter the joins."""
+    rows = df.withColumn("_ip", IP.ip_to_long(ip_col))
+    no_place = [F.lit(None).cast("int").alias("geoname_id"), F.lit(None).cast("string").alias("country_name")]
     if not plens:
-        return df.select(*cols, F.lit(None).cast("int").alias("geoname_id"),
-                         F.lit(None).cast("string").alias("country_name"))
-    probes = (df.withColumn("_ip", IP.ip_to_long(ip_col))
+        return rows.select(*cols, *no_place)
+    probes = (rows.where(F.col("_ip").isNotNull()).select("_ip").distinct()
               .withColumn("plen", F.explode(F.array(*[F.lit(p) for p in plens])))
               .withColumn("key", F.call_function("shiftright", F.col("_ip"), 32 - F.col("plen"))))
-    matched = probes.join(keys, ["plen", "key"], "left")
-    best = F.max_by(F.struct("geoname_id", "country_name"),
-                    F.when(F.col("geoname_id").isNotNull(), F.col("plen")))
-    return (matched.groupBy(*cols).agg(best.alias("_b"))
-            .select(*cols, F.col("_b.geoname_id").alias("geoname_id"),
-                    F.col("_b.country_name").alias("country_name")))
+    best = F.max_by(F.struct("geoname_id", "country_name"), F.col("plen"))
+    placed = (probes.join(keys, ["plen", "key"]).groupBy("_ip").agg(best.alias("_b"))
+              .select("_ip", F.col("_b.geoname_id").alias("geoname_id"),
+                      F.col("_b.country_name").alias("country_name")))
+    known = rows.where(F.col("_ip").isNotNull()).join(placed, "_ip", "left") \
+        .select(*cols, "geoname_id", "country_name")
+    return known.unionAll(rows.where(F.col("_ip").isNull()).select(*cols, *no_place))
 
 
 def hits_by_country(parsed: DataFrame, blocks_country: DataFrame) -> DataFrame:

@@ -12,16 +12,22 @@ from pyspark.sql import functions as F
 from quillspark.functions import weblog as L
 
 
+def _read(lines: DataFrame, line_col: str) -> DataFrame:
+    """Lines with their groups and time; either is NULL where it cannot be read."""
+    parts = lines.select(F.col(line_col).alias("_line"), L.fields(line_col).alias("_parts"))
+    return parts.select("_line", "_parts", L.local_time(L.group("_parts", "ts_raw")).alias("_ts"))
+
+
 def parse_access_log(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Typed fields of every line the pattern matches (non-matching lines are dropped here
-    and reported by ``reject_access_log``)."""
-    return lines.where(L.matches(line_col)).select(*L.parsed_columns(line_col))
+    """Typed fields of every line that matches the pattern and has a readable time; all other
+    lines are in ``reject_access_log``."""
+    return _read(lines, line_col).where(F.col("_ts").isNotNull()).select(*L.parsed_columns("_parts", "_ts"))
 
 
 def reject_access_log(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Lines the pattern does not match, null and empty lines included."""
-    line = F.col(line_col)
-    return lines.where(line.isNull() | ~L.matches(line_col)).select(line.alias("line"))
+    """The complement of ``parse_access_log``: lines that do not match, null and empty lines,
+    and lines whose time cannot be read."""
+    return _read(lines, line_col).where(F.col("_ts").isNull()).select(F.col("_line").alias("line"))
 
 
 def in_year(parsed: DataFrame, year: int | None) -> DataFrame:

@@ -35,15 +35,16 @@ def _parsed(spark, sf):
 
 
 def _blocks_country(spark, sf):
+    """All blocks with their country, unlisted places included."""
     blocks = D.address_blocks(table(spark, sf, "nation"), table(spark, sf, "supplier"))
     places = D.locations(table(spark, sf, "nation"), table(spark, sf, "region"))
-    return G.join_blocks_country(blocks, places)
+    return G.blocks_with_country(blocks, places)
 
 
 # ---- DuckDB fragments ----------------------------------------------------------------
 _HOST = "printf('10.%d.%d.%d', user_id % 25 + 1, user_id % 256, event_id % 256)"
 _IPNUM = "(167772160 + (user_id % 25 + 1) * 65536 + (user_id % 256) * 256 + event_id % 256)"
-_GOOD = "event_id % 97 <> 0"
+_GOOD = "event_id % 97 <> 0 AND event_id % 89 <> 0"
 _PARSED_SQL = f"""
 SELECT {_HOST} AS host, '-' AS identity, 'u' || user_id AS "user",
        strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000' AS ts_raw,
@@ -54,15 +55,16 @@ SELECT {_HOST} AS host, '-' AS identity, 'u' || user_id AS "user",
        '-' AS referrer, 'agent' AS agent
 FROM events WHERE {_GOOD}"""
 _LINE_SQL = f"""CASE WHEN event_id % 97 = 0 THEN 'junk ' || event_id
-ELSE printf('%s - u%d [%s +0000] "GET /%s/%d HTTP/1.1" %s %s "-" "agent"', {_HOST}, user_id,
-  strftime(ts, '%d/%b/%Y:%H:%M:%S'), event_type, user_id % 50,
+ELSE printf('%s - u%d [%s%s +0000] "GET /%s/%d HTTP/1.1" %s %s "-" "agent"', {_HOST}, user_id,
+  CASE WHEN event_id % 89 = 0 THEN '?' ELSE '' END, strftime(ts, '%d/%b/%Y:%H:%M:%S'), event_type, user_id % 50,
   CASE WHEN event_type = 'error' THEN '500' ELSE '200' END,
   CASE WHEN event_id % 11 = 0 THEN '-' ELSE CAST(event_id % 5000 AS VARCHAR) END) END"""
 _BLOCKS_SQL = """
 SELECT printf('10.%d.0.0/16', n_nationkey + 1) AS network, n_nationkey AS geoname_id
 FROM nation WHERE n_nationkey <> 7
 UNION ALL
-SELECT printf('10.%d.%d.0/24', s_suppkey % 25 + 1, s_suppkey % 256), s_nationkey FROM supplier"""
+SELECT printf('10.%d.%d.0/24', s_suppkey % 25 + 1, s_suppkey % 256),
+  CASE WHEN s_suppkey % 4 = 1 THEN 99 ELSE s_nationkey END FROM supplier"""
 _PLACES_SQL = """
 SELECT n_nationkey AS geoname_id, 'en' AS locale_code, upper(substr(r_name, 1, 2)) AS continent_code,
        r_name AS continent_name, upper(substr(n_name, 1, 2)) AS country_iso_code,
@@ -78,12 +80,11 @@ FROM ({_BLOCKS_SQL})"""
 _LOCATED_SQL = f"""
 WITH hosts AS (SELECT DISTINCT {_HOST} AS host, {_IPNUM} AS ip FROM events WHERE {_GOOD}),
 b AS (SELECT *, start + (CAST(1 AS BIGINT) << (32 - prefix)) - 1 AS stop FROM ({_BOUNDS_SQL})),
-p AS ({_PLACES_SQL})
-SELECT h.host, arg_max(b.geoname_id, b.prefix) AS geoname_id,
-       arg_max(p.country_name, b.prefix) AS country_name
-FROM hosts h LEFT JOIN b ON h.ip BETWEEN b.start AND b.stop
-LEFT JOIN p ON p.geoname_id = b.geoname_id
-GROUP BY h.host"""
+p AS ({_PLACES_SQL}),
+longest AS (
+  SELECT h.host, max_by(b.geoname_id, b.prefix * 1000 - b.geoname_id) AS geoname_id
+  FROM hosts h LEFT JOIN b ON h.ip BETWEEN b.start AND b.stop GROUP BY h.host)
+SELECT l.host, l.geoname_id, p.country_name FROM longest l LEFT JOIN p ON p.geoname_id = l.geoname_id"""
 
 
 # ---- log parsing and reports -----------------------------------------------------------
@@ -92,7 +93,7 @@ def parse_access_log(spark, sf):
     return _parsed(spark, sf)
 
 
-@register("reject_access_log", f"SELECT 'junk ' || event_id AS line FROM events WHERE NOT ({_GOOD})")
+@register("reject_access_log", f"SELECT {_LINE_SQL} AS line FROM events WHERE NOT ({_GOOD})")
 def reject_access_log(spark, sf):
     return L.reject_access_log(_lines(spark, sf))
 

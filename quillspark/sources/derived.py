@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from quillspark.session import bounded_broadcast
 
 # The rendered access-log line (F2). Every 97th event becomes a junk
-# line; every 11th size is '-'.
+# line; every 89th has a time that cannot be read; every 11th size is '-'.
 _LOG_LINE_SQL = """
 CASE WHEN event_id % 97 = 0 THEN concat('junk ', event_id)
-ELSE format_string('10.%d.%d.%d - u%d [%s +0000] "GET /%s/%d HTTP/1.1" %s %s "-" "agent"',
+ELSE format_string('10.%d.%d.%d - u%d [%s%s +0000] "GET /%s/%d HTTP/1.1" %s %s "-" "agent"',
   user_id % 25 + 1, user_id % 256, event_id % 256, user_id,
-  date_format(ts, 'dd/MMM/yyyy:HH:mm:ss'), event_type, user_id % 50,
+  CASE WHEN event_id % 89 = 0 THEN '?' ELSE '' END, date_format(ts, 'dd/MMM/yyyy:HH:mm:ss'), event_type, user_id % 50,
   CASE WHEN event_type = 'error' THEN '500' ELSE '200' END,
   CASE WHEN event_id % 11 = 0 THEN '-' ELSE cast(event_id % 5000 AS string) END) END
 """
@@ -38,14 +38,16 @@ def access_log_lines(events: DataFrame, with_day: bool = False) -> DataFrame:
 
 
 def address_blocks(nation: DataFrame, supplier: DataFrame) -> DataFrame:
-    """F3 (network, geoname_id): a /16 per nation but nation 7, nested /24s per supplier."""
+    """F3 (network, geoname_id): a /16 per nation but nation 7, nested /24s per supplier; every
+    fourth nested block belongs to a place (99) that is not listed."""
     wide = (nation.where(F.col("n_nationkey") != 7)
             .select(F.format_string("10.%d.0.0/16", F.col("n_nationkey") + 1).alias("network"),
                     F.col("n_nationkey").cast("int").alias("geoname_id")))
     narrow = supplier.select(
         F.format_string("10.%d.%d.0/24", F.col("s_suppkey") % 25 + 1, F.col("s_suppkey") % 256)
         .alias("network"),
-        F.col("s_nationkey").cast("int").alias("geoname_id"))
+        F.when(F.col("s_suppkey") % 4 == 1, F.lit(99)).otherwise(F.col("s_nationkey")).cast("int")
+        .alias("geoname_id"))
     return wide.unionByName(narrow)
 
 

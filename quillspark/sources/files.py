@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from quillspark.session import scratch_path
+
 BLOCKS_SCHEMA = StructType([StructField("network", StringType()),
                             StructField("geoname_id", IntegerType())])
 LOCATIONS_SCHEMA = StructType([StructField("geoname_id", IntegerType()),
@@ -41,18 +43,29 @@ def sink_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("quote", "").csv(path)
 
 
-def sink_single_file(df: DataFrame, path: str, order_by: list[str], max_rows: int = 5_000_000) -> None:
-    """One ordered file, like merging the part files of a sorted result.
+def sink_single_file(df: DataFrame, path: str, order_by: list[str]) -> None:
+    """One ordered file at ``path``, whatever the size of the result.
 
-    Only for bounded results: the row count is checked first; beyond ``max_rows`` the
-    result is written range-partitioned and sorted, so its part files in name order
-    already form the ordered whole.
+    The result is sorted and written as part files in parallel; their bytes, in name order, are
+    then streamed into the one file through the Hadoop file system, so no task holds the whole.
     """
-    n = df.limit(max_rows + 1).count()
-    ordered = df.orderBy(*order_by)
-    if n <= max_rows:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("overwrite").option("sep", "\t").option("quote", "").csv(path)
+    spark = df.sparkSession
+    parts = scratch_path(spark, "single-file-parts")
+    df.orderBy(*order_by).write.option("sep", "\t").option("quote", "").csv(parts)
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    fs, to = source.getFileSystem(conf), target.getFileSystem(conf)
+    to.delete(target, True)
+    out = to.create(jvm.org.apache.hadoop.fs.Path(target, "part-00000.csv"))
+    try:
+        for name in sorted(f.getPath().getName() for f in fs.listStatus(source)):
+            if name.startswith("part-"):
+                part = fs.open(jvm.org.apache.hadoop.fs.Path(source, name))
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                part.close()
+    finally:
+        out.close()
+    fs.delete(source, True)
 
 
 def file_day(file_path_col: str = "file_path"):

@@ -89,3 +89,37 @@ def test_longest_match_kept_when_its_country_is_null(spark):
     hosts = spark.createDataFrame([("10.1.0.1",), ("10.2.0.1",)], "host string")
     got = {r.host: (r.geoname_id, r.country_name) for r in G.geolocate_ip(hosts, blocks).collect()}
     assert got == {"10.1.0.1": (2, None), "10.2.0.1": (1, "Wide")}
+
+
+def test_both_plans_keep_duplicate_and_unreadable_hosts(spark, monkeypatch):
+    blocks = _blocks(spark, [("10.0.0.0/8", 1, "Wide"), ("10.1.0.0/16", 99, None)])
+    rows = [("10.1.0.1",)] * 3 + [("10.2.0.1",)] * 2 + [(None,)] * 2 + [("300.1.1.1",), ("1.1.1.1",)]
+    hosts = spark.createDataFrame(rows, "host string")
+    fast = sorted(map(str, G.geolocate_ip(hosts, blocks).collect()))
+    monkeypatch.setattr(G, "MAX_BROADCAST_BLOCKS", 0)
+    assert sorted(map(str, G.geolocate_ip(hosts, blocks).collect())) == fast and len(fast) == len(rows)
+    assert sum("geoname_id=99, country_name=None" in r for r in fast) == 3
+
+
+def test_unlisted_nested_place_hides_the_wider_block(spark):
+    blocks = spark.createDataFrame([("10.0.0.0/8", 1), ("10.1.0.0/16", 99)], "network string, geoname_id int")
+    places = spark.createDataFrame([(1, "One")], "geoname_id int, country_name string")
+    hosts = spark.createDataFrame([("10.1.2.3",), ("10.2.0.1",)], "host string")
+    got = {r.host: (r.geoname_id, r.country_name)
+           for r in G.geolocate_ip(hosts, G.blocks_with_country(blocks, places)).collect()}
+    assert got == {"10.1.2.3": (99, None), "10.2.0.1": (1, "One")}
+
+
+def test_registered_address_function_checks_octets(spark):
+    from quillspark.functions.registry import register_functions
+    register_functions(spark)
+    got = spark.sql("SELECT ip, ip_to_long(ip) AS n FROM VALUES ('1.2.3.4'), ('300.1.1.1'), ('-1.0.0.0'), "
+                    "('1.2.3'), ('1.2.3.4.5'), ('a.b.c.d') AS t(ip)").collect()
+    assert {r.ip: r.n for r in got if r.n is not None} == {"1.2.3.4": 16909060}
+
+
+def test_network_without_a_prefix_is_one_address(spark):
+    blocks = _blocks(spark, [("10.0.0.0/8", 1, "Wide"), ("10.1.2.3", 2, "Single")])
+    hosts = spark.createDataFrame([("10.1.2.3",), ("10.1.2.4",)], "host string")
+    assert {r.host: r.country_name for r in G.geolocate_ip(hosts, blocks).collect()} == {
+        "10.1.2.3": "Single", "10.1.2.4": "Wide"}

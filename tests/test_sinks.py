@@ -28,17 +28,18 @@ def test_single_file_is_ordered(spark, tmp_path):
     assert rows == sorted((i % 7, i) for i in range(50))
 
 
-def test_large_result_parts_concatenate_in_order(spark, tmp_path):
+def test_any_number_of_parts_becomes_one_file(spark, tmp_path):
     path = str(tmp_path / "many")
     df = spark.createDataFrame([((i * 37) % 101, i) for i in range(300)], "k int, v int").repartition(4)
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(key)
-    spark.conf.set(key, "false")     # keep several range partitions on tiny data
+    spark.conf.set(key, "false")     # several sorted part files on tiny data
     try:
-        IO.sink_single_file(df, path, ["k", "v"], max_rows=10)
+        IO.sink_single_file(df, path, ["k", "v"])
+        IO.sink_single_file(df, path, ["k", "v"])     # replaces the older result
     finally:
         spark.conf.set(key, old)
     files = _parts(path)
-    assert len(files) > 1
-    rows = [tuple(map(int, line.split("\t"))) for f in files for line in open(f).read().splitlines()]
+    assert len(files) == 1
+    rows = [tuple(map(int, line.split("\t"))) for line in open(files[0]).read().splitlines()]
     assert rows == sorted(((i * 37) % 101, i) for i in range(300))

@@ -62,11 +62,11 @@ def test_reject_keeps_junk_empty_and_null(spark):
     lines = spark.createDataFrame([(GOOD,), ("junk",), ("",), (None,),
                                    ('h i u [bad-time] "GET / HTTP/1.0" x y "r" "a"',)], "line string")
     rejected = sorted(("<null>" if r.line is None else r.line) for r in L.reject_access_log(lines).collect())
-    assert rejected == ["", "<null>", "junk"]
-    parsed = L.parse_access_log(lines).orderBy("host").collect()
-    assert [p.host for p in parsed] == ["1.2.3.4", "h"]
-    odd = parsed[1]
-    assert odd.ts is None and odd.day is None and odd.status is None and odd.size is None
+    assert rejected == ["", "<null>", 'h i u [bad-time] "GET / HTTP/1.0" x y "r" "a"', "junk"]
+    assert [p.host for p in L.parse_access_log(lines).collect()] == ["1.2.3.4"]
+    odd = L.parse_access_log(spark.createDataFrame(
+        [('h i u [01/Jan/2024:10:00:00 +0000] "GET / HTTP/1.0" x y "r" "a"',)], "line string")).first()
+    assert odd.day is not None and odd.status is None and odd.size is None
 
 
 def test_only_junk_gives_empty_reports(spark):
@@ -109,3 +109,13 @@ def test_status_filter_is_optional(spark):
     assert [r.n for r in L.hits_by_day(parsed).collect()] == [3]
     assert [r.n for r in L.hits_by_day(parsed, statuses=[200]).collect()] == [1]
     assert [(r.url, r.n) for r in L.top_pages(parsed, 5, statuses=[404]).collect()] == [("/a?x=1", 2)]
+
+
+def test_rejects_are_the_complement_of_the_report(spark):
+    from quillspark.operators import weblog as L
+    good = '10.0.0.1 - u [01/Jan/2024:10:00:00 +0000] "GET /a HTTP/1.1" 200 - "r" "a" extra'
+    lines = [good, good.replace("Jan", "Foo"), good.replace("01/Jan", "?01/Jan"), "junk", "", None, good + "\nmore"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    parsed, rejected = L.parse_access_log(df).collect(), L.reject_access_log(df).collect()
+    assert [r.host for r in parsed] == ["10.0.0.1"] and parsed[0].size is None and parsed[0].agent == "a"
+    assert len(parsed) + len(rejected) == len(lines) and good not in [r.line for r in rejected]
