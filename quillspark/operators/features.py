@@ -26,8 +26,8 @@ def feature_matrix(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str =
 
 def scan_feature_matrix(embeddings: DataFrame, dim: int | None = None,
                         num_rows: int | None = None) -> DataFrame:
-    """First ``dim`` features of the first ``num_rows`` rows by id (the reference's
-    ``data[:num, :dim]``); the row limit is a top-k by id, not a sample."""
+    """First ``dim`` features of the first ``num_rows`` rows by id, like the slice
+    ``data[:num_rows, :dim]``; the row limit is a top-k by id, not a sample."""
     df = feature_matrix(embeddings)
     if dim is not None:
         df = df.withColumn("x", F.slice("x", 1, dim))
@@ -87,10 +87,12 @@ def pixel_percentiles(df: DataFrame, qs: Sequence[float] = (0.01, 0.98, 0.99)) -
                                           for q, n in zip(qs, names)])).alias("s")).select("s.*")
 
 
-def clip_range(df: DataFrame, lo_q: float = 0.01, hi_q: float = 0.99) -> DataFrame:
-    """Clamp every value into [percentile lo_q, percentile hi_q] of all values."""
-    lims = {r["q"]: r["value"] for r in pixel_percentiles(df, (lo_q, hi_q)).collect()}
-    lo, hi = F.lit(lims[float(lo_q)]), F.lit(lims[float(hi_q)])
+def clip_range(df: DataFrame, lo_q: float | None = 0.01, hi_q: float = 0.99, low: float = 0.0) -> DataFrame:
+    """Clamp every value into [percentile lo_q, percentile hi_q] of all values; without
+    ``lo_q``, into [``low``, percentile hi_q]."""
+    qs = (hi_q,) if lo_q is None else (lo_q, hi_q)
+    lims = {r["q"]: r["value"] for r in pixel_percentiles(df, qs).collect()}
+    lo, hi = F.lit(low if lo_q is None else lims[float(lo_q)]), F.lit(lims[float(hi_q)])
     return df.withColumn("x", F.transform("x", lambda v: F.least(F.greatest(v, lo), hi)))
 
 
@@ -130,9 +132,12 @@ MAX_TOP_ROWS = 100_000
 
 
 def limit_rows(df: DataFrame, n: int) -> DataFrame:
-    """First n rows by id. Beyond MAX_TOP_ROWS the cut is a filter on global positions,
-    so no task has to hold n rows."""
+    """First n rows by id, in id order (ids are unique).
+
+    Beyond MAX_TOP_ROWS the ids alone are ranked and the n-th one becomes a filter, so no task
+    holds n rows and the wide rows are not ranked; rows and order are the same either way.
+    """
     if n <= MAX_TOP_ROWS:
         return df.orderBy("vec_id").limit(n)
-    ranked = rank_within(df, [F.col("vec_id")], [])
-    return ranked.where(F.col("pos") < n).drop("pos", "group_n")
+    cut = rank_within(df.select("vec_id"), [F.col("vec_id")], []).where(F.col("pos") == n - 1).first()
+    return (df if cut is None else df.where(F.col("vec_id") <= cut["vec_id"])).orderBy("vec_id")

@@ -203,9 +203,12 @@ def gaussian_basis_frame(spark: SparkSession, res: int, centres: np.ndarray, sig
 
 
 def gaussian_raster(df: DataFrame, basis: np.ndarray, x_col: str = "x", out_col: str = "img") -> DataFrame:
-    """Image of a row = sum over features of value x that feature's Gaussian."""
+    """Image of a row = sum over features of value x that feature's Gaussian; a row whose
+    number of features is not the number of Gaussians is an error."""
     k = basis.shape[1]
-    src = df.withColumn("_xk", F.slice(x_col, 1, k))
+    fits = F.size(x_col) == k
+    wrong = F.raise_error(F.format_string(f"a row has %d features for {k} Gaussians", F.size(x_col)))
+    src = df.withColumn("_xk", F.when(fits, F.col(x_col)).otherwise(wrong.cast("array<double>")))
     return MX.project_rows(src, basis.T, "_xk", out_col).drop("_xk")
 
 

@@ -1,7 +1,7 @@
 """RBF kernels against landmark rows and kernel principal coordinates (Nystroem form).
 
 Landmarks are the m rows first in md5(id) order, so the choice is reproducible and spread
-over the table. Only m x d landmarks and m x m kernels reach the driver; the N x N
+over the table. Only m x d landmarks and m x m matrices reach the driver; the N x N
 kernel is never built. With m = N the coordinates equal full kernel PCA up to sign.
 """
 
@@ -49,36 +49,32 @@ def rbf_pairs(df: DataFrame, lm: np.ndarray, gamma: float, x_col: str = "x",
 
 def kernel_pca(df: DataFrame, m: int, n_components: int, gamma: float | None = None,
                x_col: str = "x", out_col: str = "z") -> DataFrame:
-    """(vec_id, z): RBF kernel principal coordinates through m landmarks.
+    """(vec_id, z): RBF kernel principal coordinates, fitted on every row through m landmarks.
 
-    Components with a zero eigenvalue (the centred m x m kernel has rank <= m - 1) are
-    dropped, so z may be shorter than ``n_components``.
+    A row's features are its kernel values against the landmarks times K_mm^(-1/2); their inner
+    products approximate the kernel. Mean and covariance of the features are sums over all rows
+    (one Gram pass), and the axes are the covariance's leading eigenvectors: m x m numbers on
+    the driver, whatever the row count. ``m`` must exceed ``n_components``; components without
+    variance are dropped.
     """
+    if m <= n_components:
+        raise ValueError(f"{n_components} components need more than {m} landmarks")
     _, lm = landmarks(df, m, x_col)
     gamma = gamma if gamma is not None else 1.0 / lm.shape[1]
-    kmm = np.exp(-gamma * _sqdist(lm, lm))
-    col_mean = kmm.mean(axis=0)
-    grand = kmm.mean()
-    kc = kmm - col_mean[None, :] - col_mean[:, None] + grand
-    w, v = np.linalg.eigh(kc)
-    w, v = w[::-1], v[:, ::-1]
-    keep = w > max(w[0], 0.0) * 1e-10
-    w, v = w[keep][:n_components], v[:, keep][:, :n_components]
-    idx = np.argmax(np.abs(v), axis=0)
-    v = v * np.sign(v[idx, np.arange(v.shape[1])])
-    proj = v / np.sqrt(w)
-    b_p = MX.broadcast_matrix(df.sparkSession, proj)
-    b_c = MX.broadcast_matrix(df.sparkSession, col_mean[None, :])
+    w, v = np.linalg.eigh(np.exp(-gamma * _sqdist(lm, lm)))
+    keep = w > max(w[-1], 0.0) * 1e-12
+    half = v[:, keep] / np.sqrt(w[keep])
     kr = rbf_pairs(df, lm, gamma, x_col, "_k")
-    schema = StructType([StructField("vec_id", LongType()), StructField(out_col, ArrayType(DoubleType()))])
-
-    def run(batches):
-        p, cm = b_p.value, b_c.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            k = MX._stack(pdf["_k"])
-            kcen = k - k.mean(axis=1, keepdims=True) - cm + grand
-            yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("int64"), out_col: list(kcen @ p)})
-
-    return kr.mapInPandas(run, schema)
+    phi = MX.project_rows(kr, half, "_k", "_phi", keep=["vec_id"])
+    # A constant feature makes the Gram matrix carry the sums and the row count too.
+    one = phi.withColumn("_phi", F.concat("_phi", F.array(F.lit(1.0))))
+    d = half.shape[1]
+    g = MX.collect_matrix(MX.gram_matrix(one, "_phi"), (d + 1, d + 1))
+    mean = g[:d, d] / g[d, d]
+    lam, axes = np.linalg.eigh(g[:d, :d] - g[d, d] * np.outer(mean, mean))
+    lam, axes = lam[::-1][:n_components], axes[:, ::-1][:, :n_components]
+    axes = axes[:, lam > max(lam[0], 0.0) * 1e-10]
+    idx = np.argmax(np.abs(axes), axis=0)
+    axes = axes * np.sign(axes[idx, np.arange(axes.shape[1])])
+    z = MX.project_rows(one, np.vstack([axes, -(mean @ axes)[None, :]]), "_phi", out_col, keep=["vec_id"])
+    return z.select("vec_id", out_col)

@@ -25,6 +25,8 @@ MAX_BROADCAST_CHUNKS = 2_000_000
 # Largest group a single task may hold (window / exact percentile buffers). Above it the
 # range-partitioned path is used, which never puts a whole group in one task.
 MAX_GROUP_IN_TASK = 1_000_000
+# Rows of a range partition: their number follows the table, whatever the session's default.
+ROWS_PER_RANGE = 5_000_000
 
 
 def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
@@ -36,10 +38,6 @@ def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
     return int(r["mx"] or 0), int(r["g"] or 0)
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    return group_sizes(df, group)[0]
-
-
 def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[str] = (),
                 num_partitions: int | None = None, pos_col: str = "pos",
                 n_col: str = "group_n", n_groups: int | None = None) -> DataFrame:
@@ -52,7 +50,7 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
     spark = df.sparkSession
     group = list(group)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_RANGE))
     keys = [F.col(g) for g in group] + order
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id()))
@@ -112,7 +110,9 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Seque
         pc = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
         g = src.groupBy(*group).agg(pc.alias("_qs"))
         return g.select(*group, *[F.get("_qs", i).alias(nm) for i, nm in enumerate(names)])
-    ranked = global_rank(src, [F.col(value)], group, n_groups=n_groups)
+    # The tiebreak parts equal values, so a value that fills most rows is spread like any other.
+    spread = src.select(*group, value).withColumn("_tie", F.monotonically_increasing_id())
+    ranked = global_rank(spread, [F.col(value), F.col("_tie")], group, n_groups=n_groups)
     pos, cnt = F.col("pos"), F.col("group_n")
     targets = [F.lit(float(q)) * (cnt - 1) for q in qs]
     keep = None

@@ -34,7 +34,7 @@ def _long_rounded(df, digits=6):
 SELECT vec_id, p, v FROM ({_LONG}) WHERE p < 30
 AND vec_id IN (SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT 10000)""")
 def scan_feature_matrix(spark, sf):
-    """The reference's ``data[:10000, :30]``: first 10,000 rows by id, first 30 features."""
+    """Like the slice ``data[:10000, :30]``: first 10,000 rows by id, first 30 features."""
     return X.long_form(X.scan_feature_matrix(table(spark, sf, "embeddings"), dim=30, num_rows=10000))
 
 

@@ -49,21 +49,23 @@ def rbf_pairs(spark, sf):
 
 @register("gaussian_raster", f"""
 WITH l AS ({_LONG}),
-c AS (SELECT CAST(range AS INTEGER) AS k, range / 8 AS cx, ((3 * range) % 8) / 8 AS cy FROM range(8)),
+c AS (SELECT CAST(range AS INTEGER) AS k, (range % 8) / 8 AS cx,
+  ((3 * range + range // 8) % 8) / 8 AS cy FROM range({K.N_CENTRES})),
 px AS (SELECT CAST(range AS INTEGER) AS p, (range % {n}) / {n - 1} AS x, (range // {n}) / {n - 1} AS y
        FROM range({n * n}))
 SELECT l.vec_id, px.p, round(sum(l.v * exp(-((c.cx - px.x) ^ 2 + (c.cy - px.y) ^ 2) / {K.SIGMA})), 6) AS v
 FROM l JOIN c ON l.p = c.k CROSS JOIN px GROUP BY 1, 2""")
 def gaussian_raster(spark, sf):
-    """First 8 features painted as Gaussians at the fixed centres (sigma 0.05)."""
+    """All features painted as Gaussians at the fixed centres (sigma 0.05)."""
     basis = IM.gaussian_basis(n, K.centres(), K.SIGMA)
     return _explode(IM.gaussian_raster(feats(spark, sf), basis), "img")
 
 
 @register("kernel_pca")
 def kernel_pca(spark, sf):
-    """RBF kernel principal coordinates through 32 md5-ordered landmarks, gamma 1/64."""
-    z = KN.kernel_pca(feats(spark, sf), K.N_LANDMARKS, 32, 1.0 / 64)
+    """32 RBF kernel principal coordinates, fitted on all rows through md5-ordered landmarks,
+    gamma 1/64."""
+    z = KN.kernel_pca(feats(spark, sf), K.N_FIT_LANDMARKS, 32, 1.0 / 64)
     return _explode(z, "z", idx="comp")
 
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 import numpy as np
 
 RES = 8            # 64 = 8 x 8 pixels per embedding
-N_CENTRES = 8
+N_CENTRES = 64
 SIGMA = 0.05
 N_LANDMARKS = 32
+N_FIT_LANDMARKS = 96
 
 
 def score_matrix(k: int = 3, d: int = 64) -> np.ndarray:
@@ -28,4 +29,4 @@ def conv_kernel() -> np.ndarray:
 
 def centres() -> np.ndarray:
     k = np.arange(N_CENTRES)
-    return np.stack([k / 8.0, ((3 * k) % 8) / 8.0], axis=1)
+    return np.stack([(k % 8) / 8.0, ((3 * k + k // 8) % 8) / 8.0], axis=1)

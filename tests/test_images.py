@@ -1,6 +1,7 @@
 """Image jobs: invariants and equality with dense NumPy on small inputs."""
 
 import numpy as np
+import pytest
 
 from quillspark.operators import grid as GR
 from quillspark.operators import images as IM
@@ -44,32 +45,34 @@ def test_embedding_variation_equals_sum_of_squared_differences(spark):
     assert np.isclose(_variation(x, f, 4), np.sum((y @ GR.diff_matrix(4).T) ** 2))
 
 
-def _tv_numpy(res, x, f, lam, gam, rounds):
-    F_, X = f.T, x.T
-    D = GR.diff_matrix(res)
-    A = gam * D.T @ D + F_ @ F_.T
-    phi = F_ @ X
-    h = F_ @ X
-    q = np.zeros((D.shape[0], phi.shape[1]))
-    b = np.zeros_like(q)
-    errs = []
-    for _ in range(rounds):
-        phi = np.linalg.solve(A, h + gam * D.T @ (q - b))
-        q = np.sign(b + D @ phi) * np.maximum(np.abs(b + D @ phi) - lam / gam, 0)
-        b = b + D @ phi - q
-        errs.append(np.sqrt(np.sum((F_.T @ phi - X) ** 2)))
-    return phi.T, errs
-
-
-def test_tv_smooth_images_equals_dense(spark):
+def _tv_dual(res, h, lam, steps=4000):
+    """argmin over y of |y - h|^2 / 2 + lam |D y|_1 by projected gradient on the dual:
+    y = h - D'u, where u minimises |h - D'u|^2 / 2 over the box |u| <= lam."""
+    d = GR.diff_matrix(res)
+    u = np.zeros(d.shape[0])
+    rate = 1 / np.linalg.norm(d, 2) ** 2
+    for _ in range(steps):
+        u = np.clip(u + rate * d @ (h - d.T @ u), -lam, lam)
+    return h - d.T @ u
+
+
+def test_tv_smooth_images_converges_to_the_minimum(spark):
     rng = np.random.default_rng(2)
-    x = rng.normal(size=(20, 16))
+    x = rng.normal(size=(6, 16))
     f = IM.image_embedding(_frame(spark, x), 4)
-    sm = IM.tv_smooth_images(_frame(spark, x).repartition(3), f, 4, lam=1.0, gam=0.1, rounds=15)
-    want, errs = _tv_numpy(4, x, f, 1.0, 0.1, 15)
-    assert np.allclose(_col(sm, "img"), want, atol=1e-9)
-    got_err = {r["round"]: r.err for r in IM.tv_fit_error(sm).collect()}
-    assert np.allclose([got_err[i] for i in range(15)], errs)
+    sm = IM.tv_smooth_images(_frame(spark, x).repartition(3), f, 4, lam=0.3, gam=0.5, rounds=600)
+    want = np.stack([_tv_dual(4, h, 0.3) for h in x @ f])
+    assert np.allclose(_col(sm, "img"), want, atol=1e-4)
+
+
+def test_tv_fit_error_is_the_distance_to_the_rows(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(8, 16))
+    f = IM.image_embedding(_frame(spark, x), 4)
+    sm = IM.tv_smooth_images(_frame(spark, x), f, 4, lam=0.3, gam=0.5, rounds=5)
+    err = {r["round"]: r.err for r in IM.tv_fit_error(sm).collect()}
+    assert sorted(err) == list(range(5))
+    assert np.isclose(err[4], np.linalg.norm(_col(sm, "img") @ f.T - x))
 
 
 def test_tv_image_embedding_keeps_orthonormal_rows(spark):
@@ -101,6 +104,7 @@ def test_kernel_pca_all_rows_equals_dense(spark):
     x = rng.normal(size=(25, 4))
     g = 0.3
     z = _col(KN.kernel_pca(_frame(spark, x), 25, 5, g), "z")
+    assert z.shape == (25, 5)
     d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
     k = np.exp(-g * d2)
     one = np.full((25, 25), 1 / 25)
@@ -154,3 +158,27 @@ def test_collect_matrix_shape(spark):
 def test_objective_table(spark):
     t = IM.objective_table(spark, [3.0, 2.5])
     assert [tuple(r) for r in t.orderBy("round").collect()] == [(0, 3.0), (1, 2.5)]
+
+
+def test_kernel_pca_gives_the_components_asked_and_every_row_has_a_say(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(200, 16))
+    assert _col(KN.kernel_pca(_frame(spark, x), 64, 32, 0.1), "z").shape == (200, 32)
+    ids, _ = KN.landmarks(_frame(spark, x), 12)
+    other = next(i for i in range(200) if i not in ids)
+    y = x.copy()
+    y[other] *= 5
+    a, b = (_col(KN.kernel_pca(_frame(spark, m), 12, 5, 0.1), "z") for m in (x, y))
+    first = next(i for i in range(200) if i != other)
+    assert not np.allclose(np.abs(a[first]), np.abs(b[first]), atol=1e-9)
+    with pytest.raises(ValueError):
+        KN.kernel_pca(_frame(spark, x), 5, 5, 0.1)
+
+
+def test_raster_wants_a_gaussian_for_every_feature(spark):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(4, 3))
+    basis = IM.gaussian_basis(4, rng.random((3, 2)), 0.05)
+    assert np.allclose(_col(IM.gaussian_raster(_frame(spark, x), basis), "img"), x @ basis.T)
+    with pytest.raises(Exception, match="3 features for 2 Gaussians"):
+        IM.gaussian_raster(_frame(spark, x), basis[:, :2]).collect()

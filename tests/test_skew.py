@@ -38,3 +38,19 @@ def test_hot_class_top_n(spark):
     df = spark.createDataFrame(rows, "vec_id long, x array<double>, label int").repartition(4)
     got = X.top_n_per_class(df, 3).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
     assert {r.label: r.n for r in got} == {0: 3, 1: 3}
+
+
+def test_hot_value_is_spread_over_the_ranges(spark):
+    """Four fifths of all values are zero; no range partition gets much above its share."""
+    from pyspark.sql import functions as F
+    from quillspark.operators import ranking as RK
+    n = 40_000
+    df = spark.range(n).select((F.when(F.col("id") % 5 == 0, F.col("id")).otherwise(0)).cast("double").alias("v"))
+    df = df.withColumn("_tie", F.monotonically_increasing_id())
+    ranked = RK.global_rank(df, [F.col("v"), F.col("_tie")], num_partitions=8)
+    sizes = ranked.select(F.floor(F.col("pos") / (n / 8)).alias("p")).groupBy("p").count().collect()
+    assert len(sizes) == 8
+    parts = df.repartitionByRange(8, "v", "_tie").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 2 * n / 8
+    got = RK.exact_quantiles(df.select("v"), "v", [0.5, 0.9], max_in_task=100).first()
+    assert got.q0 == 0.0 and got.q1 > 0
