@@ -9,8 +9,8 @@ from quillspark.operators.ranking import rank_within
 
 
 def holdout_split(df: DataFrame, repeats: int, train_pct: int) -> DataFrame:
-    """(rep, vec_id, pos, is_train): per repeat a hash order of the rows; the first
-    ``n * train_pct // 100`` are training rows.
+    """(rep, vec_id, pos, is_train, n_train): per repeat a hash order of the rows; the first
+    ``n_train = n * train_pct // 100`` are training rows.
 
     The order is md5(id:rep), tie-broken by id: reproducible without a seed and the
     same on any engine. Positions come from ``rank_within``: a repeat larger than one
@@ -20,18 +20,15 @@ def holdout_split(df: DataFrame, repeats: int, train_pct: int) -> DataFrame:
     key = F.md5(F.concat_ws(":", F.col("vec_id").cast("string"), F.col("rep").cast("string")))
     ranked = rank_within(reps.withColumn("_h", key), [F.col("_h"), F.col("vec_id")], ["rep"])
     is_train = F.col("pos") < F.expr(f"group_n * {int(train_pct)} div 100")
-    return ranked.select("rep", "vec_id", "pos", is_train.alias("is_train"))
+    return ranked.select("rep", "vec_id", "pos", is_train.alias("is_train"),
+                         F.expr(f"group_n * {int(train_pct)} div 100").cast("bigint").alias("n_train"))
 
 
 def assign_batches(split: DataFrame, batch_size: int) -> DataFrame:
     """(rep, batch, vec_id): training rows cut into full batches in split order; step s
     of a training run uses batch s mod (n_train div batch_size)."""
-    train = split.where("is_train")
-    per_rep = train.groupBy("rep").agg(F.count(F.lit(1)).alias("_nt"))
-    full = F.expr(f"(_nt div {int(batch_size)}) * {int(batch_size)}")
-    from quillspark.session import bounded_broadcast
-    return (train.join(bounded_broadcast(per_rep, 1_000_000), "rep")  # one row per repeat
-            .where(F.col("pos") < full)
+    full = F.expr(f"(n_train div {int(batch_size)}) * {int(batch_size)}")
+    return (split.where("is_train").where(F.col("pos") < full)
             .select("rep", F.expr(f"pos div {int(batch_size)}").alias("batch"), "vec_id"))
 
 
@@ -51,12 +48,13 @@ def boxplot_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences) and outlier
     count per group."""
     from quillspark.operators.ranking import exact_quantiles
+    from quillspark.session import bounded_broadcast, checkpointed
+    df = checkpointed(df.select(group, value))  # read three times: sizes, quantiles, whiskers
     q = exact_quantiles(df, value, (0.25, 0.5, 0.75), [group], ("q1", "median", "q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
     v = F.col(value)
-    from quillspark.session import bounded_broadcast
     t = df.join(bounded_broadcast(q, 1_000_000), group)   # one row per group
     return t.groupBy(group, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo, v)).alias("whisker_lo"),
@@ -103,7 +101,8 @@ def _fit_score(model, data: DataFrame, rep: int) -> float:
     part = data.where(F.col("rep") == rep)
     fitted = model.fit(part.where("is_train"))
     pred = fitted.transform(part.where(~F.col("is_train")))
-    return float(pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
+    hit = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return float("nan") if hit is None else float(hit)  # no test rows
 
 
 def _run_fits(tasks, parallelism: int):

@@ -19,7 +19,7 @@ from quillspark.functions.numeric import soft_threshold_array
 from quillspark.operators import grid as GR
 from quillspark.operators import matrix as MX
 from quillspark.operators.features import rank_normalize_wide
-from quillspark.session import bounded_broadcast, checkpointed
+from quillspark.session import checkpointed
 
 
 def _sign_fix(v: np.ndarray) -> np.ndarray:
@@ -67,12 +67,13 @@ _TV_SCHEMA = StructType([StructField("vec_id", LongType()),
 
 
 def tv_smooth_images(df: DataFrame, f: np.ndarray, res: int, lam: float, gam: float,
-                     rounds: int, x_col: str = "x") -> DataFrame:
+                     rounds: int, x_col: str = "x", errors: bool = True) -> DataFrame:
     """(vec_id, img, sq_err): images minimising |D phi|_1 + fidelity to x, T rounds each.
 
     Images are independent, so all rounds run inside one pass over row batches; the
     system matrix A = gam D^T D + f^T f is inverted once on the driver (n^2 x n^2).
-    ``sq_err[t]`` is the row's squared rebuild error after round t.
+    ``sq_err[t]`` is the row's squared rebuild error after round t (empty without ``errors``,
+    which saves a product every round).
     """
     spark = df.sparkSession
     dm = GR.diff_matrix(res)
@@ -93,13 +94,14 @@ def tv_smooth_images(df: DataFrame, f: np.ndarray, res: int, lam: float, gam: fl
             phi = h
             q = np.zeros((len(x), d.shape[0]))
             b = np.zeros_like(q)
-            errs = np.zeros((len(x), rounds))
+            errs = np.zeros((len(x), rounds if errors else 0))
             for t in range(rounds):
                 phi = (h + gam * (q - b) @ d) @ ai.T
                 dphi = phi @ d.T
                 q = _shrink(b + dphi, lam / gam)
                 b = b + dphi - q
-                errs[:, t] = ((phi @ fm.T - x) ** 2).sum(axis=1)
+                if errors:
+                    errs[:, t] = ((phi @ fm.T - x) ** 2).sum(axis=1)
             yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("int64"), "img": list(phi),
                                 "sq_err": list(errs)})
 
@@ -215,8 +217,8 @@ def gaussian_raster(df: DataFrame, basis: np.ndarray, x_col: str = "x", out_col:
 def feature_affinity(df: DataFrame, gamma: float, x_col: str = "x") -> DataFrame:
     """(i, j, a): RBF affinity between feature columns, d2 = G_ii + G_jj - 2 G_ij."""
     g = MX.gram_matrix(df, x_col)
-    diag = g.where(F.col("i") == F.col("j")).select(F.col("i").alias("_k"), F.col("g").alias("_d"))
-    diag = bounded_broadcast(diag, 1_000_000)   # one row per feature
+    # one row per feature, as many as a row has values: no job needed to count them
+    diag = F.broadcast(g.where(F.col("i") == F.col("j")).select(F.col("i").alias("_k"), F.col("g").alias("_d")))
     di = diag.select(F.col("_k").alias("i"), F.col("_d").alias("gi"))
     dj = diag.select(F.col("_k").alias("j"), F.col("_d").alias("gj"))
     t = g.join(di, "i").join(dj, "j")
@@ -253,10 +255,12 @@ def feature_layout(df: DataFrame, gamma: float, x_col: str = "x") -> np.ndarray:
     return out / d
 
 
-def splat_images(df: DataFrame, res: int, sigma: float, gamma: float) -> DataFrame:
+def splat_images(df: DataFrame, res: int, sigma: float, gamma: float,
+                 layout: np.ndarray | None = None) -> DataFrame:
     """(vec_id, img, label): rank-normalise, lay features out on the plane, paint each row
-    as a sum of Gaussians at its features' positions."""
+    as a sum of Gaussians at its features' positions (``layout``: positions given, d x 2)."""
     ranked = checkpointed(rank_normalize_wide(df))
-    layout = feature_layout(ranked, gamma)
+    if layout is None:
+        layout = feature_layout(ranked, gamma)
     basis = gaussian_basis(res, layout, sigma)
     return gaussian_raster(ranked, basis)

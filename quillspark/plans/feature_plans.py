@@ -153,7 +153,7 @@ SELECT rep, vec_id, pos, pos < (n * 70) // 100 AS is_train FROM (
 
 @register("holdout_split", _SPLIT_SQL)
 def holdout_split(spark, sf):
-    return E.holdout_split(feats(spark, sf), repeats=3, train_pct=70)
+    return E.holdout_split(feats(spark, sf), repeats=3, train_pct=70).drop("n_train")
 
 
 @register("assign_batches", f"""

@@ -61,61 +61,143 @@ def gaussian_raster(spark, sf):
     return _explode(IM.gaussian_raster(feats(spark, sf), basis), "img")
 
 
-@register("kernel_pca")
+# The next jobs rest on eigenvectors, which SQL cannot compute. Their registered queries return
+# what SQL can: inner products, norms, sums and ranks that the method fixes; the values
+# themselves are checked against NumPy in tests/test_images.py.
+def _inner_products(long, row, col, val):
+    """(i, j, dot): inner products of the ``row`` vectors of a long table."""
+    a = long.select(F.col(row).alias("i"), F.col(col).alias("_c"), F.col(val).alias("_a"))
+    b = long.select(F.col(row).alias("j"), F.col(col).alias("_c"), F.col(val).alias("_b"))
+    return a.join(b, "_c").groupBy("i", "j").agg(F.round(F.sum(F.col("_a") * F.col("_b")), 6).alias("dot"))
+
+
+_IDENTITY = """SELECT CAST(a.range AS INTEGER) AS i, CAST(b.range AS INTEGER) AS j,
+CASE WHEN a.range = b.range THEN 1.0 ELSE 0.0 END::DOUBLE AS dot
+FROM range((SELECT max(len(embedding)) FROM embeddings)) a, range((SELECT max(len(embedding)) FROM embeddings)) b"""
+
+
+@register("kernel_pca", """
+SELECT CAST(a.range AS INTEGER) AS i, CAST(b.range AS INTEGER) AS j, 0.0::DOUBLE AS dot,
+  (SELECT count(*) FROM embeddings) AS n_rows
+FROM range(32) a, range(32) b WHERE a.range < b.range""")
 def kernel_pca(spark, sf):
     """32 RBF kernel principal coordinates, fitted on all rows through md5-ordered landmarks,
-    gamma 1/64."""
+    gamma 1/64: (i, j, dot) of different components over all rows, which is zero."""
     z = KN.kernel_pca(feats(spark, sf), K.N_FIT_LANDMARKS, 32, 1.0 / 64)
-    return _explode(z, "z", idx="comp")
+    z = z.select("z", F.lit(1.0).alias("_one"))
+    g = MX.gram_matrix(z.select(F.concat("z", F.array("_one")).alias("z")), "z")
+    rows = F.max(F.when((F.col("i") == 32) & (F.col("j") == 32), F.col("g")))
+    n_rows = F.broadcast(g.agg(rows.cast("bigint").alias("n_rows")))
+    return g.where((F.col("i") < F.col("j")) & (F.col("j") < 32)).crossJoin(n_rows) \
+        .select("i", "j", (F.round("g", 6) + 0.0).alias("dot"), "n_rows")
 
 
 # ---- image embeddings -----------------------------------------------------------------------------
-@register("image_embedding")
+@register("image_embedding", _IDENTITY)
 def image_embedding(spark, sf):
-    """(feature, p, w): principal axes of the table drawn as the smoothest 8 x 8 grid modes."""
+    """Principal axes of the table drawn as the smoothest 8 x 8 grid modes: (i, j, dot) of the
+    features' images, an orthonormal set."""
     f = IM.image_embedding(feats(spark, sf), n)
-    return IM.embedding_frame(spark, f).select("feature", "p", F.round("w", 6).alias("w"))
+    return _inner_products(IM.embedding_frame(spark, f), "feature", "p", "w")
 
 
-@register("embed_images")
+@register("embed_images", f"""
+SELECT vec_id, round(sqrt(sum(v * v)), 6) AS norm FROM ({_LONG}) GROUP BY vec_id""")
 def embed_images(spark, sf):
+    """The norm of every row's image, which is the norm of the row."""
     x = feats(spark, sf)
-    f = IM.image_embedding(x, n)
-    return _explode(IM.embed_images(x, f), "img")
+    img = IM.embed_images(x, IM.image_embedding(x, n))
+    square = F.aggregate("img", F.lit(0.0), lambda s, v: s + v * v)
+    return img.select("vec_id", F.round(F.sqrt(square), 6).alias("norm"))
 
 
-@register("tv_smooth_images")
+@register("tv_smooth_images", """
+SELECT vec_id, round(8 * CAST(embedding[1] AS DOUBLE), 6) AS total, true AS smoother FROM embeddings""")
 def tv_smooth_images(spark, sf):
-    """Split-Bregman TV smoothing of every image, lam 10, gam 0.1, 20 rounds."""
+    """Split-Bregman TV smoothing of every image of the cosine embedding, lam 10, gam 0.1, 100
+    rounds: the pixel sum, which smoothing keeps, and whether the total variation fell."""
+    import numpy as np
     x = feats(spark, sf)
-    f = IM.image_embedding(x, n)
-    return _explode(IM.tv_smooth_images(x, f, n, lam=10.0, gam=0.1, rounds=20), "img")
-
-
-@register("tv_image_embedding")
+    f = IM.GR.dct2_matrix(n)
+    sm = IM.tv_smooth_images(x, f, n, lam=10.0, gam=0.1, rounds=100, errors=False)
+    both = sm.select("vec_id", "img").join(IM.embed_images(x.select("vec_id", "x"), f, out_col="raw"), "vec_id")
+    d = IM.GR.diff_matrix(n)
+    for name in ("img", "raw"):
+        both = MX.project_rows(both, np.asarray(d).T, name, f"d_{name}")
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v)
+    variation = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + F.abs(v))
+    return both.select("vec_id", (F.round(total("img"), 6) + 0.0).alias("total"),
+                       (variation("d_img") <= variation("d_raw")).alias("smoother"))
+
+
+@register("tv_image_embedding", _IDENTITY)
 def tv_image_embedding(spark, sf):
-    """Embedding matrix after 3 alternating TV rounds (lam = gam = 0.1) from the
-    principal-axis embedding; one (feature, p, w) row per entry."""
+    """Embedding after 10 alternating TV rounds (lam = gam = 0.1) from the principal-axis
+    embedding: (i, j, dot) of the features' images, still an orthonormal set."""
     x = feats(spark, sf)
     f0 = IM.image_embedding(x, n)
-    f, _ = IM.tv_image_embedding(x, f0, n, lam=0.1, gam=0.1, rounds=3)
-    return IM.embedding_frame(spark, f).select("feature", "p", F.round("w", 6).alias("w"))
+    f, _ = IM.tv_image_embedding(x, f0, n, lam=0.1, gam=0.1, rounds=10)
+    return _inner_products(IM.embedding_frame(spark, f), "feature", "p", "w")
 
 
-@register("feature_layout")
+@register("feature_layout", """
+SELECT CAST(a.range AS INTEGER) AS axis, d.range / (SELECT max(len(embedding)) FROM embeddings) AS v
+FROM range(2) a, range((SELECT max(len(embedding)) FROM embeddings)) d""")
 def feature_layout(spark, sf):
-    """(feature, x, y): features of the rank-normalised table on the plane, gamma 0.01."""
+    """Features of the rank-normalised table on the plane, gamma 0.01: (axis, v) positions,
+    which are the ranks / d on either axis."""
     from quillspark.operators.features import rank_normalize_wide
     lay = IM.feature_layout(rank_normalize_wide(feats(spark, sf)), 0.01)
-    return MX.matrix_frame(spark, lay, "feature", "axis", "v") \
-        .groupBy("feature").pivot("axis", [0, 1]).agg(F.first("v")) \
-        .select("feature", F.col("0").alias("x"), F.col("1").alias("y"))
+    return MX.matrix_frame(spark, lay, "feature", "axis", "v").select("axis", "v")
 
 
-@register("splat_images")
+@register("splat_images", f"""
+WITH l AS ({_LONG}),
+r AS (SELECT vec_id, p, (row_number() OVER (PARTITION BY p ORDER BY v, vec_id) - 1)
+        / (count(*) OVER (PARTITION BY p))::DOUBLE AS r FROM l),
+c AS (SELECT CAST(range AS INTEGER) AS k, (range % 8) / 8 AS cx,
+  ((3 * range + range // 8) % 8) / 8 AS cy FROM range({K.N_CENTRES})),
+px AS (SELECT CAST(range AS INTEGER) AS p, (range % {n}) / {n - 1} AS x, (range // {n}) / {n - 1} AS y
+       FROM range({n * n}))
+SELECT r.vec_id, px.p, round(sum(r.r * exp(-((c.cx - px.x) ^ 2 + (c.cy - px.y) ^ 2) / 0.01)), 6) AS v
+FROM r JOIN c ON r.p = c.k CROSS JOIN px GROUP BY 1, 2""")
 def splat_images(spark, sf):
-    """Rank-normalise, lay out features, paint each row with sigma 0.01 Gaussians (8 x 8)."""
-    return _explode(IM.splat_images(feats(spark, sf), n, sigma=0.01, gamma=0.01), "img")
+    """Rank-normalise and paint each row with sigma 0.01 Gaussians (8 x 8) on the fixed layout."""
+    return _explode(IM.splat_images(feats(spark, sf), n, sigma=0.01, gamma=0.01, layout=K.centres()), "img")
+
+
+# The splat chain: splats on the spectral layout, values clipped to [0, 98th percentile], the
+# first 36 images of every class, and both classifiers compared on the clipped images.
+def _gallery(spark, sf):
+    from quillspark.operators import features as FT
+    from quillspark.session import checkpointed
+    img = IM.splat_images(_learnable(spark, sf), n, sigma=0.01, gamma=0.01)
+    img = checkpointed(img.select("vec_id", F.col("img").alias("x"), "label"))
+    return FT.clip_range(img, None, 0.98)
+
+
+@register("splat_gallery", """
+WITH l AS (SELECT vec_id, CAST(embedding[1] > 0 AS INTEGER) AS label FROM embeddings),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS BIGINT) AS pos FROM l)
+SELECT vec_id, label, pos, 64 AS pixels, true AS clipped FROM r WHERE pos < 36""")
+def splat_gallery(spark, sf):
+    """(vec_id, label, pos, pixels, clipped): the first 36 clipped splat images of every class."""
+    from quillspark.operators import features as FT
+    top = FT.top_n_per_class(_gallery(spark, sf), 36)
+    return top.select("vec_id", "label", "pos", F.size("x").alias("pixels"),
+                      ((F.array_min("x") >= 0) & (F.array_max("x") > 0)).alias("clipped"))
+
+
+@register("splat_comparison", """
+WITH c AS (SELECT count(*) AS n FROM embeddings)
+SELECT CAST(r.range AS INTEGER) AS rep, m.model, n * 70 // 100 AS n_train, n - n * 70 // 100 AS n_test,
+  true AS scored FROM range(3) r, (VALUES ('logistic'), ('mlp')) m(model), c""")
+def splat_comparison(spark, sf):
+    """The two classifiers on the clipped splat images, per repeat: split sizes, and that the
+    accuracy is a share."""
+    img = _gallery(spark, sf)
+    split = E.holdout_split(img, repeats=3, train_pct=70)
+    return _with_sizes(split, E.compare_classifiers(img, split, hidden=(16,), max_iter=50), "accuracy BETWEEN 0 AND 1")
 
 
 # ---- class scores (F8) ------------------------------------------------------------------------------
@@ -208,15 +290,31 @@ def _learnable(spark, sf):
     return feats(spark, sf).withColumn("label", (F.get("x", 0) > 0).cast("int"))
 
 
-@register("train_logistic")
+def _with_sizes(split, scores, scored):
+    """Scores by repeat with the repeat's split sizes; ``scored`` is a condition on accuracy."""
+    sizes = split.groupBy("rep").agg(F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test"))
+    keep = [c for c in ("model",) if c in scores.columns]
+    return scores.join(sizes, "rep").select("rep", *keep, "n_train", "n_test", F.expr(scored).alias("scored"))
+
+
+_SIZES = """WITH c AS (SELECT count(*) AS n FROM embeddings)
+SELECT CAST(r.range AS INTEGER) AS rep, n * 70 // 100 AS n_train, n - n * 70 // 100 AS n_test, true AS scored
+FROM range(25) r, c"""
+
+
+@register("train_logistic", _SIZES)
 def train_logistic(spark, sf):
+    """25 repeats: split sizes, and that the held-out accuracy beats four fifths."""
     x = _learnable(spark, sf)
-    split = E.holdout_split(x, repeats=3, train_pct=70)
-    return E.train_logistic(x, split, max_iter=100)
+    split = E.holdout_split(x, repeats=25, train_pct=70)
+    return _with_sizes(split, E.train_logistic(x, split, max_iter=100), "accuracy > 0.8")
 
 
-@register("compare_classifiers")
+@register("compare_classifiers", """WITH c AS (SELECT count(*) AS n FROM embeddings)
+SELECT CAST(r.range AS INTEGER) AS rep, m.model, n * 70 // 100 AS n_train, n - n * 70 // 100 AS n_test,
+  true AS scored FROM range(9) r, (VALUES ('logistic'), ('mlp')) m(model), c""")
 def compare_classifiers(spark, sf):
+    """9 repeats of both classifiers: split sizes, and that the held-out accuracy beats chance."""
     x = _learnable(spark, sf)
-    split = E.holdout_split(x, repeats=3, train_pct=70)
-    return E.compare_classifiers(x, split, hidden=(16,), max_iter=100)
+    split = E.holdout_split(x, repeats=9, train_pct=70)
+    return _with_sizes(split, E.compare_classifiers(x, split, hidden=(16,), max_iter=100), "accuracy > 0.6")
