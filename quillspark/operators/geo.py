@@ -50,18 +50,22 @@ def block_keys(blocks_country: DataFrame) -> DataFrame:
         .select("plen", "key", "_b.geoname_id", "_b.country_name")
 
 
-def geolocate_ip(df: DataFrame, blocks_country: DataFrame, ip_col: str = "host",
-                 carry: tuple[str, ...] | None = None) -> DataFrame:
+def geolocate_ip(df: DataFrame, blocks_country: DataFrame | None, ip_col: str = "host",
+                 carry: tuple[str, ...] | None = None, keys: DataFrame | None = None) -> DataFrame:
     """``df`` plus (geoname_id, country_name) of each address; unplaced -> NULLs.
 
+    ``keys``: the blocks as ``block_keys`` gives them, already stored (else they are built and
+    checkpointed here).
+
     Broadcast plan (block table within MAX_BROADCAST_BLOCKS): the block table is broadcast
     once, and one hash join per prefix length present probes it, longest first, filling
     only rows still unplaced. It is map-only, so any number of rows (log lines, distinct
     hosts) can be placed with no shuffle. Larger block tables use ``_geolocate_shuffled``.
     """
-    # The block table is small next to the rows it places: materialise it once (reliable
-    # checkpoint) so the stats job and every lookup step read the same files.
-    keys = checkpointed(block_keys(blocks_country))
+    # The block table is small next to the rows it places: the stats job and every lookup
+    # step read the same files.
+    if keys is None:
+        keys = checkpointed(block_keys(blocks_country))
     # One small job gives the prefix lengths present (at most 33 rows: 0..32) and the
     # block count that decides between broadcasts and a shuffle join.
     stats = keys.groupBy("plen").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -112,12 +116,13 @@ def _geolocate_shuffled(df: DataFrame, keys: DataFrame, plens: list[int], ip_col
     return known.unionAll(rows.where(F.col("_ip").isNull()).select(*cols, *no_place))
 
 
-def hits_by_country(parsed: DataFrame, blocks_country: DataFrame) -> DataFrame:
+def hits_by_country(parsed: DataFrame, blocks_country: DataFrame | None,
+                    keys: DataFrame | None = None) -> DataFrame:
     """(country_name, n): log lines per country of their host; NULL = no block.
 
     Hosts are counted first (map-side combine), so the lookup sees each address once
     however hot it is; with broadcast blocks the lookup itself adds no shuffle.
     """
     per_host = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("hits"))
-    located = geolocate_ip(per_host, blocks_country, "host", carry=("hits",))
+    located = geolocate_ip(per_host, blocks_country, "host", carry=("hits",), keys=keys)
     return located.groupBy("country_name").agg(F.sum("hits").alias("n"))

@@ -34,11 +34,17 @@ def _parsed(spark, sf):
     return L.parse_access_log(_lines(spark, sf))
 
 
-def _blocks_country(spark, sf):
-    """All blocks with their country, unlisted places included."""
+def _block_keys(spark, sf):
+    """The lookup keys of all blocks with their country, unlisted places included (built once
+    per application, like any dimension kept in storage)."""
+    path = materialized(spark, "geo-block-keys", sf, lambda p: _write_block_keys(spark, sf, p))
+    return spark.read.parquet(path)
+
+
+def _write_block_keys(spark, sf, path):
     blocks = D.address_blocks(table(spark, sf, "nation"), table(spark, sf, "supplier"))
     places = D.locations(table(spark, sf, "nation"), table(spark, sf, "region"))
-    return G.blocks_with_country(blocks, places)
+    G.block_keys(G.blocks_with_country(blocks, places)).write.parquet(path)
 
 
 # ---- DuckDB fragments ----------------------------------------------------------------
@@ -212,7 +218,7 @@ def cidr_bounds(spark, sf):
 @register("geolocate_ip", _LOCATED_SQL)
 def geolocate_ip(spark, sf):
     hosts = _parsed(spark, sf).select("host").distinct()
-    return G.geolocate_ip(hosts, _blocks_country(spark, sf), "host")
+    return G.geolocate_ip(hosts, None, "host", keys=_block_keys(spark, sf))
 
 
 @register("hits_by_country", f"""
@@ -221,7 +227,13 @@ SELECT l.country_name, count(*) AS n
 FROM (SELECT {_HOST} AS host FROM events WHERE {_GOOD}) e JOIN located l ON e.host = l.host
 GROUP BY 1""")
 def hits_by_country(spark, sf):
-    return G.hits_by_country(_parsed(spark, sf), _blocks_country(spark, sf))
+    return G.hits_by_country(_parsed(spark, sf), None, _block_keys(spark, sf))
+
+
+def build_inputs(spark, sf):
+    """Write every derived input once, as it would already sit in storage."""
+    for build in (_lines, _written_dims, _block_keys, _articles):
+        build(spark, sf)
 
 
 # ---- article dump ------------------------------------------------------------------------

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,10 +59,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir).
+
+    An application's scratch folders lie together and go when its driver ends normally.
+    """
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{spark.sparkContext.applicationId}"
+    if base not in _SCRATCH:
+        _SCRATCH.add(base)
+        atexit.register(_remove, spark.sparkContext._jvm, base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(jvm, path: str) -> None:
+    from py4j.protocol import Py4JError, Py4JNetworkError
+    try:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+    except (Py4JError, Py4JNetworkError, ConnectionError):
+        pass  # the JVM has gone already; the folder stays for the operator of the cluster
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -74,6 +94,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 _MATERIALIZED: dict[tuple[str, str, str], str] = {}
+_MATERIALIZED_LOCK = threading.RLock()
 
 
 def materialized(spark: SparkSession, name: str, source: str, write) -> str:
@@ -83,12 +104,13 @@ def materialized(spark: SparkSession, name: str, source: str, write) -> str:
     the files, as they would read input that already sits in storage.
     """
     key = (spark.sparkContext.applicationId, name, source)
-    path = _MATERIALIZED.get(key)
-    if path is None:
-        path = scratch_path(spark, name)
-        write(path)
-        _MATERIALIZED[key] = path
-    return path
+    with _MATERIALIZED_LOCK:  # two threads asking at once write it once
+        path = _MATERIALIZED.get(key)
+        if path is None:
+            path = scratch_path(spark, name)
+            write(path)
+            _MATERIALIZED[key] = path
+        return path
 
 
 _SHIPPED: set[str] = set()
