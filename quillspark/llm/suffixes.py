@@ -40,7 +40,9 @@ from quillspark.llm.common import map_batches, stored, text_bytes
 from quillspark.session import ship_package
 
 GRAM = 20
-RUN_RECORDS = 150_000
+#: Suffixes of a sorted run and anchors of a chunk: a worker holds one of either in memory.
+RUN_RECORDS = 50_000
+ANCHOR_CHUNK = 300_000
 RECORDS_PER_RANGE = 150_000
 PAIRWISE = 12
 MAX_CLASS = 200_000
@@ -69,7 +71,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     yield digest.view(np.int64), np.full(len(lo), doc, np.int64), lo + (base | key)
 
     def run(batches):
-        for seed, doc, ref in R.in_chunks(of_texts(batches)):
+        for seed, doc, ref in R.in_chunks(of_texts(batches), ANCHOR_CHUNK):
             _, first, group, count = np.unique(seed, return_index=True, return_inverse=True, return_counts=True)
             known = count[group] > 1
             one = np.zeros(len(seed), bool)
@@ -154,18 +156,19 @@ def read_run(blob: bytes) -> tuple[Iterator[tuple[int, Suffix]], np.ndarray]:
     shared = np.frombuffer(raw, "u1", 2 * n, at)
     sizes = np.frombuffer(raw, "u1", 2 * n, at + 2 * n)
 
-    def walk():
-        nonlocal at
-        at += 4 * n
+    def walk(at: int):
         right = left = b""
-        lens = zip(shared[::2].tolist(), sizes[::2].tolist(), shared[1::2].tolist(), sizes[1::2].tolist())
-        for (p, k, q, m), (doc, ref) in zip(lens, places.tolist()):
-            right = right[:p] + raw[at:at + k]
-            left = left[:q] + raw[at + k:at + k + m]
-            at += k + m
-            yield p, (right, left, doc, ref)
+        for i in range(0, n, 1024):  # numbers become Python objects a few at a time
+            part = slice(2 * i, 2 * (i + 1024))
+            lens = zip(shared[part][::2].tolist(), sizes[part][::2].tolist(),
+                       shared[part][1::2].tolist(), sizes[part][1::2].tolist())
+            for (p, k, q, m), (doc, ref) in zip(lens, places[i:i + 1024].tolist()):
+                right = right[:p] + raw[at:at + k]
+                left = left[:q] + raw[at + k:at + k + m]
+                at += k + m
+                yield p, (right, left, doc, ref)
 
-    return walk(), settled
+    return walk(at + 4 * n), settled
 
 
 def merge_runs(runs: list[Iterator[tuple[int, Suffix]]]) -> Iterator[tuple[int, Suffix]]:
@@ -299,7 +302,10 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, cuts: list[bytes], length:
         parts: dict[int, list[Suffix]] = {}
         for s in held:
             parts.setdefault(bisect_right(cuts, s[0]), []).append(s)
-        blobs = [(p, front_code(r, settled if i == 0 else [])) for i, (p, r) in enumerate(parts.items())]
+        del held
+        blobs = []
+        for i, p in enumerate(sorted(parts)):
+            blobs.append((p, front_code(parts.pop(p), settled if i == 0 else [])))
         return R.batch((np.array([p for p, _ in blobs], np.int32), [r for _, r in blobs]), ["part", "run"])
 
     def run(batches):
@@ -326,12 +332,14 @@ def merged_spans(runs: DataFrame, ranges: int, length: int, gram: int, max_class
                 readers.append(reader)
                 for doc, ref, n in settled.tolist():
                     out.add(doc, ref, n)
+                if len(out) > 50_000:
+                    yield out.batch()
         found: list[Suffix] = []
         for shared, s in merge_runs(readers) if readers else ():
             if shared < gram and found:
                 settle_class(found, length, gram, out, max_class)
                 found = []
-                if len(out) > 200_000:
+                if len(out) > 50_000:
                     yield out.batch()
             found.append(s)
         settle_class(found, length, gram, out, max_class)
