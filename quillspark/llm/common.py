@@ -48,7 +48,7 @@ def text_bytes(name: str = "text"):
 class WordHashes(dict):
     """word (bytes) -> 64-bit xxhash, remembered for up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 250_000) -> None:
         super().__init__()
         self.limit = limit
 

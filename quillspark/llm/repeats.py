@@ -101,7 +101,7 @@ def batch(columns, names) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def in_chunks(rows, size: int = 1_000_000):
+def in_chunks(rows, size: int = 400_000):
     """Concatenate tuples of arrays until they hold ``size`` rows."""
     held, n = [], 0
     for r in rows:
