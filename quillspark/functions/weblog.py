@@ -18,12 +18,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def fields(line) -> Column:
-    """The ten groups of a line as an array, by one pass of the pattern; NULL if it does not
-    match. A line holds no newline, so one can part the groups."""
-    parted = F.regexp_replace(_c(line), ACCESS_LOG_PATTERN + ".*$", "\n".join(f"${i + 1}" for i in range(len(GROUPS))))
-    parts = F.split(parted, "\n", -1)
-    return F.when(~_c(line).contains("\n") & (F.size(parts) == len(GROUPS)), parts)
+def readable(line) -> Column:
+    """An array of one struct (parts, ts) for a line that can be read, else empty: the ten groups
+    by one pass of the pattern, and the local time. A line holds no newline, so one can part
+    the groups."""
+    to_groups = "\n".join(f"${i + 1}" for i in range(len(GROUPS)))
+    one = F.filter(F.array(_c(line)), lambda x: ~x.contains("\n"))
+    parts = F.transform(one, lambda x: F.split(F.regexp_replace(x, ACCESS_LOG_PATTERN + ".*$", to_groups), "\n", -1))
+    matched = F.filter(parts, lambda p: F.size(p) == len(GROUPS))
+    timed = F.transform(matched, lambda p: F.struct(p.alias("parts"), local_time(group(p, "ts_raw")).alias("ts")))
+    return F.filter(timed, lambda s: s["ts"].isNotNull())
 
 
 def group(parts, name: str) -> Column:

@@ -13,21 +13,25 @@ from quillspark.functions import weblog as L
 
 
 def _read(lines: DataFrame, line_col: str) -> DataFrame:
-    """Lines with their groups and time; either is NULL where it cannot be read."""
-    parts = lines.select(F.col(line_col).alias("_line"), L.fields(line_col).alias("_parts"))
-    return parts.select("_line", "_parts", L.local_time(L.group("_parts", "ts_raw")).alias("_ts"))
+    """Lines with their groups and time; ``_pos`` is NULL for a line that cannot be read.
+
+    Generating the row (rather than filtering on it) keeps the pattern to one pass: a filter on
+    the parsed time would be pushed below and parse the line again.
+    """
+    return (lines.select(F.col(line_col).alias("_line"), F.posexplode_outer(L.readable(line_col)).alias("_pos", "_r"))
+            .select("_line", "_pos", "_r.parts", "_r.ts"))
 
 
 def parse_access_log(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Typed fields of every line that matches the pattern and has a readable time; all other
     lines are in ``reject_access_log``."""
-    return _read(lines, line_col).where(F.col("_ts").isNotNull()).select(*L.parsed_columns("_parts", "_ts"))
+    return _read(lines, line_col).where(F.col("_pos").isNotNull()).select(*L.parsed_columns("parts", "ts"))
 
 
 def reject_access_log(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """The complement of ``parse_access_log``: lines that do not match, null and empty lines,
     and lines whose time cannot be read."""
-    return _read(lines, line_col).where(F.col("_ts").isNull()).select(F.col("_line").alias("line"))
+    return _read(lines, line_col).where(F.col("_pos").isNull()).select(F.col("_line").alias("line"))
 
 
 def in_year(parsed: DataFrame, year: int | None) -> DataFrame:
