@@ -29,28 +29,32 @@ MAX_GROUP_IN_TASK = 1_000_000
 ROWS_PER_RANGE = 5_000_000
 
 
-def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int]:
-    """(rows in the biggest group, number of groups) in one small aggregation job."""
+def group_sizes(df: DataFrame, group: Sequence[str]) -> tuple[int, int, int]:
+    """(rows in the biggest group, number of groups, rows) in one small aggregation job."""
     if not group:
-        return int(df.count()), 1
+        n = int(df.count())
+        return n, 1, n
     r = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) \
-        .agg(F.max("_n").alias("mx"), F.count(F.lit(1)).alias("g")).first()
-    return int(r["mx"] or 0), int(r["g"] or 0)
+        .agg(F.max("_n").alias("mx"), F.count(F.lit(1)).alias("g"), F.sum("_n").alias("n")).first()
+    return int(r["mx"] or 0), int(r["g"] or 0), int(r["n"] or 0)
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], group: Sequence[str] = (),
                 num_partitions: int | None = None, pos_col: str = "pos",
-                n_col: str = "group_n", n_groups: int | None = None) -> DataFrame:
+                n_col: str = "group_n", n_groups: int | None = None,
+                n_rows: int | None = None) -> DataFrame:
     """Add ``pos`` (0-based position inside its group by ``order``) and ``group_n``.
 
     Give ``order`` a unique tiebreak (an id) when positions must be reproducible.
     ``n_groups``, when known, bounds the offset table (partitions + groups rows) and
-    saves the job that would otherwise check its size before broadcasting it.
+    saves the job that would otherwise check its size before broadcasting it; ``n_rows``,
+    when known, sets the number of range partitions (else it is counted).
     """
     spark = df.sparkSession
     group = list(group)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_RANGE))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              -(-(df.count() if n_rows is None else n_rows) // ROWS_PER_RANGE))
     keys = [F.col(g) for g in group] + order
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id()))
@@ -84,9 +88,9 @@ def rank_within(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
     """
     group = list(group)
     limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
-    biggest, n_groups = group_sizes(df, group)
+    biggest, n_groups, n_rows = group_sizes(df, group)
     if not group or biggest > limit:
-        return global_rank(df, order, group, pos_col=pos_col, n_col=n_col, n_groups=n_groups)
+        return global_rank(df, order, group, pos_col=pos_col, n_col=n_col, n_groups=n_groups, n_rows=n_rows)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*group).orderBy(*order)
     return (df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("bigint"))
@@ -105,14 +109,14 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Seque
     names = list(names or [f"q{i}" for i in range(len(qs))])
     src = df.where(F.col(value).isNotNull())
     limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
-    biggest, n_groups = group_sizes(src, group)
+    biggest, n_groups, n_rows = group_sizes(src, group)
     if biggest <= limit:
         pc = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
         g = src.groupBy(*group).agg(pc.alias("_qs"))
         return g.select(*group, *[F.get("_qs", i).alias(nm) for i, nm in enumerate(names)])
     # The tiebreak parts equal values, so a value that fills most rows is spread like any other.
     spread = src.select(*group, value).withColumn("_tie", F.monotonically_increasing_id())
-    ranked = global_rank(spread, [F.col(value), F.col("_tie")], group, n_groups=n_groups)
+    ranked = global_rank(spread, [F.col(value), F.col("_tie")], group, n_groups=n_groups, n_rows=n_rows)
     pos, cnt = F.col("pos"), F.col("group_n")
     targets = [F.lit(float(q)) * (cnt - 1) for q in qs]
     keep = None
