@@ -27,9 +27,22 @@ def _stack(series: pd.Series, width: int | None = None) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in vals])
 
 
+# Matrices held by the driver or broadcast: 64 M cells are 512 MB. Their size follows features,
+# pixels or landmarks, so a wider table is an error that says so, not a lost driver.
+MAX_CELLS = 1 << 26
+
+
+def check_cells(shape: Sequence[int], what: str) -> None:
+    cells = int(np.prod([int(s) for s in shape]))
+    if cells > MAX_CELLS:
+        raise ValueError(f"{what} of shape {tuple(shape)} is over {MAX_CELLS} cells")
+
+
 def broadcast_matrix(spark: SparkSession, m: np.ndarray):
+    m = np.ascontiguousarray(np.asarray(m, dtype=float))
+    check_cells(m.shape, "a broadcast matrix")
     ship_package(spark)
-    return spark.sparkContext.broadcast(np.ascontiguousarray(np.asarray(m, dtype=float)))
+    return spark.sparkContext.broadcast(m)
 
 
 def project_rows(df: DataFrame, m: np.ndarray, x_col: str = "x", out_col: str = "y",
@@ -98,8 +111,12 @@ def cross_product(df: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFram
 
 def collect_matrix(ijg: DataFrame, shape: tuple[int, int] | None = None) -> np.ndarray:
     """Bring a small (i, j, g) table to the driver as a dense matrix."""
-    pdf = ijg.select("i", "j", "g").toPandas()          # Arrow transfer, d x k rows
+    ijg = ijg.select("i", "j", "g")
+    if shape is not None:
+        check_cells(shape, "a collected matrix")
+    pdf = ijg.limit(MAX_CELLS + 1).toPandas() if shape is None else ijg.toPandas()  # Arrow, d x k rows
     if shape is None:
+        check_cells((len(pdf),), "a collected matrix")
         shape = (int(pdf["i"].max()) + 1, int(pdf["j"].max()) + 1) if len(pdf) else (0, 0)
     m = np.zeros(shape)
     m[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["g"].to_numpy()

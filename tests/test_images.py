@@ -182,3 +182,11 @@ def test_raster_wants_a_gaussian_for_every_feature(spark):
     assert np.allclose(_col(IM.gaussian_raster(_frame(spark, x), basis), "img"), x @ basis.T)
     with pytest.raises(Exception, match="3 features for 2 Gaussians"):
         IM.gaussian_raster(_frame(spark, x), basis[:, :2]).collect()
+
+
+def test_matrices_beyond_the_bound_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(MX, "MAX_CELLS", 5)
+    with pytest.raises(ValueError, match="over 5 cells"):
+        MX.broadcast_matrix(spark, np.zeros((2, 3)))
+    with pytest.raises(ValueError, match="over 5 cells"):
+        MX.collect_matrix(MX.matrix_frame(spark, np.zeros((2, 3))))
