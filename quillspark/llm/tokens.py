@@ -69,7 +69,7 @@ class UnitEncoder(dict):
         "word_bpe_49k.json": (lower_word_units, True),
     }
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    def __init__(self, path: str, limit: int = 450_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import map_batches, stored, text_bytes
+from quillspark.llm.repeats import batch, in_chunks
 from quillspark.session import ship_package
 
 _STRIP = ".,;:!?\"'()[]*_-"
@@ -51,6 +52,8 @@ class Settings:
 
 
 STEMS = (5, 4)
+#: Rows that a task gathers before it removes or sums repeats.
+CHUNK = 500_000
 
 
 def _digest(expression: str) -> int:
@@ -76,7 +79,7 @@ def _stem(letters: int):
 class _Words(dict):
     """raw word (bytes) -> the number that ``of`` gives its plain form, remembered."""
 
-    def __init__(self, of, limit: int = 400_000) -> None:
+    def __init__(self, of, limit: int = 150_000) -> None:
         super().__init__()
         self.of, self.limit = of, limit
 
@@ -91,7 +94,7 @@ class _Words(dict):
 
 
 def _levels() -> list[_Words]:
-    return [_Words(_word), *(_Words(_stem(n), 200_000) for n in STEMS)]
+    return [_Words(_word), *(_Words(_stem(n), 100_000) for n in STEMS)]
 
 
 def _unique_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -114,23 +117,20 @@ def labelled_sample(labels: DataFrame, max_docs: int) -> DataFrame:
 
 def word_pairs(sample: DataFrame) -> DataFrame:
     """(toxic, v, w): the expressions w of the counted texts after each word v, distinct."""
-    def run(batches):
+    def rows(batches):
         levels = _levels()
         for b in batches:
-            tox, v, w = [], [], []
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = text.split()
                 each = [level.array(words) for level in levels]
                 before = np.concatenate(([START], each[0]))[:-1]
                 for a in each:
                     there = a != START
-                    tox.append(np.full(int(there.sum()), toxic, np.int64))
-                    v.append(before[there])
-                    w.append(a[there])
-            rows = _unique_rows([np.concatenate(x) for x in (tox, v, w)]) if tox else []
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0].astype(np.int32)), pa.array(rows[1]), pa.array(rows[2])], names=["toxic", "v", "w"])
+                    yield np.full(int(there.sum()), toxic, np.int32), before[there], a[there]
+
+    def run(batches):
+        for part in in_chunks(rows(batches), CHUNK):
+            yield batch(_unique_rows(part), ["toxic", "v", "w"])
 
     pairs = map_batches(sample.filter("not held").select("toxic", "text"), run, "toxic int, v long, w long")
     return pairs.repartition(F.col("w")).distinct()
@@ -138,47 +138,39 @@ def word_pairs(sample: DataFrame) -> DataFrame:
 
 def word_triples(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """(toxic, a, v, w) with v in the vocabulary and w in it or RARE; sorted ``vocabulary``."""
-    def run(batches):
+    def rows(batches):
         words = _Words(_word)
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 x = np.concatenate(([START, START], words.array(text.split())))
                 if len(x) < 4 or not len(vocabulary):
                     continue
                 known = vocabulary[np.minimum(np.searchsorted(vocabulary, x), len(vocabulary) - 1)] == x
                 i = np.flatnonzero(known[1:-1]) + 1
-                for o, c in zip(out, (np.full(len(i), toxic, np.int64), x[i - 1], x[i], np.where(known, x, RARE)[i + 1])):
-                    o.append(c)
-            if out[0]:
-                rows = _unique_rows([np.concatenate(o) for o in out])
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0].astype(np.int32)), *map(pa.array, rows[1:])],
-                                                 names=["toxic", "a", "v", "w"])
+                yield np.full(len(i), toxic, np.int32), x[i - 1], x[i], np.where(known, x, RARE)[i + 1]
+
+    def run(batches):
+        for part in in_chunks(rows(batches), CHUNK):
+            yield batch(_unique_rows(part), ["toxic", "a", "v", "w"])
 
-    rows = map_batches(sample.filter("not held").select("toxic", "text"), run, "toxic int, a long, v long, w long")
-    return rows.repartition(F.col("v"), F.col("w")).distinct()
+    triples = map_batches(sample.filter("not held").select("toxic", "text"), run, "toxic int, a long, v long, w long")
+    return triples.repartition(F.col("v"), F.col("w")).distinct()
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
     """(w, n): how often each expression occurs in all texts; tasks send sums, not occurrences."""
-    def run(batches):
-        levels, held, size = _levels(), [], 0
-
-        def summed():
-            w, n = np.unique(np.concatenate(held), return_counts=True)
-            w, n = w[w != START], n[w != START]
-            return pa.RecordBatch.from_arrays([pa.array(w), pa.array(n.astype(np.int64))], names=["w", "n"])
-
+    def rows(batches):
+        levels = _levels()
         for b in batches:
             for text in b.column(0).to_pylist():
                 words = text.split()
-                held += [level.array(words) for level in levels]
-                size += len(words)
-                if size > 3_000_000:
-                    yield summed()
-                    held, size = [], 0
-        if size:
-            yield summed()
+                for level in levels:
+                    yield (level.array(words),)
+
+    def run(batches):
+        for (found,) in in_chunks(rows(batches), 6 * CHUNK):
+            w, n = np.unique(found[found != START], return_counts=True)
+            yield batch((w, n.astype(np.int64)), ["w", "n"])
 
     return (map_batches(docs.select(text_bytes().alias("text")), run, "w long, n long")
             .groupBy("w").agg(F.sum("n").alias("n")))
