@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, text_bytes
+from quillspark.llm.common import map_batches, rows_of, text_bytes
 from quillspark.session import ship_package
 
 LEAST, WANTED, MOST = 12, 32, 96
@@ -145,9 +145,8 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
         pack = zstandard.ZstdCompressor(level=1).compress
         sent = set()
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             part, doc, order, copy, z = [], [], [], [], []
-            for d, t in zip(ids, texts):
+            for d, t in rows_of(b, 0, 1):
                 own = 0 if d is None else int(np.searchsorted(index, d, "left"))
                 digest = hashlib.sha256(t).hexdigest()
                 packed = pack(t)
@@ -184,7 +183,7 @@ def _neighbours(batches):
     last = None  # (part, doc_id, text, chunks) still waiting for its next document
     for b in batches:
         out = []
-        for part, doc, copy, z in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4))):
+        for part, doc, copy, z in rows_of(b, 0, 1, 3, 4):
             data = unpack(z)
             text, own = data.decode(), chunks(data)
             if last is not None and last[0] == part:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import xxhash
@@ -49,6 +50,24 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def rows_of(batch: pa.RecordBatch, *columns: int, step: int = 256) -> Iterator[tuple]:
+    """The values of some columns row by row, a few rows at a time as Python objects."""
+    for at in range(0, batch.num_rows, step):
+        yield from zip(*(batch.column(i).slice(at, step).to_pylist() for i in columns))
+
+
+def returning_memory(fn):
+    """A batch function for ``pandas_udf`` that hands memory back after each batch."""
+    @wraps(fn)
+    def run(*columns):
+        try:
+            return fn(*columns)
+        finally:
+            give_back()
+
+    return run
+
+
 def give_back() -> None:
     """Return freed memory of this worker to the system, where its C library can."""
     pa.default_memory_pool().release_unused()

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, stored
+from quillspark.llm.common import map_batches, rows_of, stored
 from quillspark.llm.tokens import encoder
 
 GROUP_PIECES = 1 << 16
@@ -204,7 +204,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
         encode = encoder(tokenizer).encode
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text in rows_of(b, 0, 1):
                 ids = encode(text) + end
                 n = len(ids) // 4
                 start, stop = 0, n % capacity or capacity

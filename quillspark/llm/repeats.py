@@ -145,14 +145,16 @@ def first_start() -> list[Column]:
 
 def carriers(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` plus __doc, __tkey and the text as compressed bytes __z, ready to shuffle."""
+    from quillspark.llm.common import returning_memory, text_bytes
+    from quillspark.session import ship_package
+    ship_package(docs.sparkSession)
+
     @F.pandas_udf("tkey long, z binary")
+    @returning_memory
     def carry(texts: pd.Series) -> pd.DataFrame:
         pack = zstandard.ZstdCompressor(level=1).compress
         return pd.DataFrame({"tkey": [text_digest(t) for t in texts], "z": [pack(t) for t in texts]})
 
-    from quillspark.llm.common import text_bytes
-    from quillspark.session import ship_package
-    ship_package(docs.sparkSession)
     out = docs.select(*columns, doc_order().alias("__doc"), carry(text_bytes()).alias("__c"))
     return out.select(*columns, "__doc", F.col("__c.tkey").alias("__tkey"), F.col("__c.z").alias("__z"))
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, stored, text_bytes
+from quillspark.llm.common import map_batches, rows_of, stored, text_bytes
 from quillspark.llm.components import connected_components
 
 SEGMENTS = 32
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fp long): ``fp`` holds the 64 bits; null and wordless texts give 0."""
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t.lower().split(), shingle) for t in b.column(1).to_pylist()]
+            fps = [fingerprint(t.lower().split(), shingle) for (t,) in rows_of(b, 1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
 

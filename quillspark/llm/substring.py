@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm import repeats as R
-from quillspark.llm.common import WordHashes, map_batches, stored, text_bytes
+from quillspark.llm.common import WordHashes, map_batches, returning_memory, rows_of, stored, text_bytes
 from quillspark.session import ship_package
 
 GRAM = 6
@@ -45,7 +45,7 @@ def seeds(docs: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
     def of_texts(batches):
         known = WordHashes()
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text in rows_of(b, 0, 1):
                 h = word_digests(text.split(), known)
                 key = R.text_digest(text) << 32
                 for base, lo, hi, _, digest, segment in R.runs(h, length, gram):
@@ -77,7 +77,7 @@ def edge_windows(texts: DataFrame, edges: DataFrame, length: int) -> DataFrame:
     def of_texts(batches):
         known = WordHashes()
         for b in batches:
-            for doc, key, z, at in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for doc, key, z, at in rows_of(b, 0, 1, 2, 3):
                 h = word_digests(R.unpack(z).split(), known)
                 at = np.unique(np.array(at, np.int64))
                 start = np.unique(np.concatenate([np.arange(a >> 7, (a >> 7) + (a & 127)) for a in at.tolist()]))
@@ -127,6 +127,7 @@ def remove_repeated_words(docs: DataFrame, length: int = 20, keep_text: bool = F
     kind = "n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
 
     @F.pandas_udf(kind)
+    @returning_memory
     def remove(z: pd.Series, at: pd.Series) -> pd.DataFrame:
         out = []
         for packed, spans in zip(z, at):

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm import repeats as R
-from quillspark.llm.common import map_batches, stored, text_bytes
+from quillspark.llm.common import map_batches, returning_memory, rows_of, stored, text_bytes
 from quillspark.session import ship_package
 
 GRAM = 20
@@ -65,7 +65,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """
     def of_texts(batches):
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text in rows_of(b, 0, 1):
                 key = R.text_digest(text) << 32
                 for base, lo, _, _, digest, _ in R.runs(elements(text), length, gram, segments=False):
                     yield digest.view(np.int64), np.full(len(lo), doc, np.int64), lo + (base | key)
@@ -99,7 +99,7 @@ def splitters(docs: DataFrame, ranges: int, length: int, gram: int, texts: int =
     def run(batches):
         for b in batches:
             out = []
-            for text in b.column(0).to_pylist():
+            for (text,) in rows_of(b, 0):
                 for base, _, _, anchor, _, _ in R.runs(elements(text), length, gram, segments=False):
                     for a in anchor[::max(1, len(anchor) // 32)][:32].tolist():
                         out.append(text[base + a:base + a + gram])
@@ -288,7 +288,7 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, cuts: list[bytes], length:
     """(part, run): front-coded runs of the suffixes at the wanted anchors, cut by range."""
     def suffixes(batches) -> Iterator[Suffix]:
         for b in batches:
-            for doc, key, z, at in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for doc, key, z, at in rows_of(b, 0, 1, 2, 3):
                 text = R.unpack(z)
                 starts = np.unique(np.array(at, np.int64) >> 7)
                 for base, lo, hi, anchor, _, _ in R.runs(elements(text), length, gram, segments=False):
@@ -327,7 +327,7 @@ def merged_spans(runs: DataFrame, ranges: int, length: int, gram: int, max_class
     def run(batches):
         readers, out = [], Spans()
         for b in batches:
-            for blob in b.column(1).to_pylist():
+            for (blob,) in rows_of(b, 1):
                 reader, settled = read_run(blob)
                 readers.append(reader)
                 for doc, ref, n in settled.tolist():
@@ -377,6 +377,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100, max_class: int = M
     joined = R.with_spans(texts, repeated_spans(docs, texts, length, max_class=max_class), "left")
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    @returning_memory
     def remove(z: pd.Series, at: pd.Series) -> pd.DataFrame:
         out = []
         for packed, spans in zip(z, at):
@@ -400,6 +401,7 @@ def drop_repeated_text(docs: DataFrame, length: int = 100) -> DataFrame:
     joined = R.with_spans(texts.drop("text"), repeated_spans(docs, texts, length), "left")
 
     @F.pandas_udf("string")
+    @returning_memory
     def cut(z: pd.Series, at: pd.Series) -> pd.Series:
         out = []
         for packed, spans in zip(z, at):

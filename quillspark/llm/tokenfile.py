@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches
+from quillspark.llm.common import map_batches, rows_of
 from quillspark.llm.tokens import encoder
 from quillspark.session import scratch_path
 
@@ -184,7 +184,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 names=["file_no", "segment_no", "n_ids", "payload"])
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc, text in rows_of(b, 0, 1):
                 names.append(doc)
                 held.append(np.frombuffer(encode(text) + end, "<u4"))
                 n += len(held[-1])
@@ -217,7 +217,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for file_no, segment_no, payload in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for file_no, segment_no, payload in rows_of(b, 0, 1, 2):
                 seg = Segment(payload)
                 ids = seg.ids().astype("<u4").tobytes()
                 stop = np.cumsum(seg.lengths)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, stored, text_bytes
+from quillspark.llm.common import map_batches, returning_memory, rows_of, stored, text_bytes
 from quillspark.llm.repeats import batch, in_chunks
 from quillspark.session import ship_package
 
@@ -120,7 +120,7 @@ def word_pairs(sample: DataFrame) -> DataFrame:
     def rows(batches):
         levels = _levels()
         for b in batches:
-            for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for toxic, text in rows_of(b, 0, 1):
                 words = text.split()
                 each = [level.array(words) for level in levels]
                 before = np.concatenate(([START], each[0]))[:-1]
@@ -141,7 +141,7 @@ def word_triples(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     def rows(batches):
         words = _Words(_word)
         for b in batches:
-            for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for toxic, text in rows_of(b, 0, 1):
                 x = np.concatenate(([START, START], words.array(text.split())))
                 if len(x) < 4 or not len(vocabulary):
                     continue
@@ -162,7 +162,7 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     def rows(batches):
         levels = _levels()
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for (text,) in rows_of(b, 0):
                 words = text.split()
                 for level in levels:
                     yield (level.array(words),)
@@ -277,7 +277,7 @@ def _evidence(df: DataFrame, model: Model, carry: str, kind: str) -> DataFrame:
     def run(batches):
         words = model.words()
         for b in batches:
-            x = [model.evidence(words.array(t.split())) for t in b.column(1).to_pylist()]
+            x = [model.evidence(words.array(t.split())) for (t,) in rows_of(b, 1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], names=[carry, "x"])
 
     return map_batches(df.select(carry, text_bytes().alias("text")), run, f"{carry} {kind}, x double")
@@ -335,6 +335,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("double")
+    @returning_memory
     def evidence(texts: pd.Series) -> pd.Series:
         words = model.words()
         return pd.Series([model.evidence(words.array((t or "").encode().split())) for t in texts], dtype="float64")
