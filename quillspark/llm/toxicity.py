@@ -54,6 +54,8 @@ class Settings:
 STEMS = (5, 4)
 #: Rows that a task gathers before it removes or sums repeats.
 CHUNK = 500_000
+#: Words that a task of the corpus counts numbers before it sends their sums.
+MAX_WORDS = 250_000
 
 
 def _digest(expression: str) -> int:
@@ -79,7 +81,7 @@ def _stem(letters: int):
 class _Words(dict):
     """raw word (bytes) -> the number that ``of`` gives its plain form, remembered."""
 
-    def __init__(self, of, limit: int = 150_000) -> None:
+    def __init__(self, of, limit: int = 300_000) -> None:
         super().__init__()
         self.of, self.limit = of, limit
 
@@ -93,8 +95,29 @@ class _Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+_EXPRESSIONS = (_word, *map(_stem, STEMS))
+
+
 def _levels() -> list[_Words]:
-    return [_Words(_word), *(_Words(_stem(n), 100_000) for n in STEMS)]
+    return [_Words(of, 100_000) for of in _EXPRESSIONS]
+
+
+class _Vocabulary(dict):
+    """raw word (bytes) -> its number; ``digests`` lists each number's expressions by level."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.digests: list[list[int]] = [[] for _ in _EXPRESSIONS]
+
+    def __missing__(self, word: bytes) -> int:
+        plain = _plain(word)
+        for found, of in zip(self.digests, _EXPRESSIONS):
+            found.append(of(plain))
+        n = self[word] = len(self)
+        return n
+
+    def array(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def _unique_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -159,18 +182,31 @@ def word_triples(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
     """(w, n): how often each expression occurs in all texts; tasks send sums, not occurrences."""
-    def rows(batches):
-        levels = _levels()
-        for b in batches:
-            for (text,) in rows_of(b, 0):
-                words = text.split()
-                for level in levels:
-                    yield (level.array(words),)
-
     def run(batches):
-        for (found,) in in_chunks(rows(batches), 6 * CHUNK):
-            w, n = np.unique(found[found != START], return_counts=True)
-            yield batch((w, n.astype(np.int64)), ["w", "n"])
+        words = _Vocabulary()
+        sums = np.zeros(0, np.int64)
+
+        def rows():
+            for b in batches:
+                for (text,) in rows_of(b, 0):
+                    yield (words.array(text.split()),)
+
+        def summed():
+            each = np.concatenate([np.array(found, np.int64) for found in words.digests])
+            w, group = np.unique(each, return_inverse=True)
+            n = np.zeros(len(w), np.int64)
+            np.add.at(n, group, np.tile(sums, len(words.digests)))
+            return batch((w[w != START], n[w != START]), ["w", "n"])
+
+        for (found,) in in_chunks(rows(), 2 * CHUNK):
+            now = np.bincount(found, minlength=len(words))
+            now[:len(sums)] += sums
+            sums = now
+            if len(words) > MAX_WORDS:
+                yield summed()
+                words, sums = _Vocabulary(), np.zeros(0, np.int64)
+        if len(words):
+            yield summed()
 
     return (map_batches(docs.select(text_bytes().alias("text")), run, "w long, n long")
             .groupBy("w").agg(F.sum("n").alias("n")))
@@ -193,8 +229,7 @@ class Model:
 
     def words(self) -> _Words:
         """raw word -> the index of its kept expression: itself, else its longest stem, else 0."""
-        parts = [_word, *map(_stem, STEMS)]
-        return _Words(lambda plain: next((i for i in (self.index.get(p(plain), 0) for p in parts) if i), 0))
+        return _Words(lambda plain: next((i for i in (self.index.get(of(plain), 0) for of in _EXPRESSIONS) if i), 0))
 
     def evidence(self, ids: np.ndarray) -> float:
         """Length-normalised difference of the two log-likelihoods; 0 for a wordless text."""

@@ -73,3 +73,14 @@ def test_edges(spark, docs_of):
     assert {r.score for r in none} == {0.0}
     assert {r.score for r in T.score_toxicity(docs, train.filter("toxic = 1")).collect()} == {1.0}
     assert T.score_toxicity(docs.filter("false"), train).count() == 0
+
+
+def test_corpus_counts_cover_every_word_and_stem(docs_of):
+    rows = [(1, "Alphabet alphas alpha, b"), (2, None), (3, "alpha b b alphabets"), (4, "")]
+    got = {r.w: r.n for r in T.corpus_counts(docs_of(rows)).collect()}
+    want = {"alphabet": 1, "alphas": 1, "alpha": 2, "b": 3, "alphabets": 1, "alpha*": 3, "alph*": 5}
+    assert got == {T._digest(k): n for k, n in want.items()}
+
+
+def test_expressions_need_more_letters_than_their_stem():
+    assert T._stem(5)("alpha") == T.START and T._stem(4)("alpha") == T._digest("alph*")
