@@ -235,9 +235,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> Dat
     groups = max(1, -(-cut.count() // GROUP_PIECES))
 
     def run(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         sizes = table.column("length").to_numpy()
         sequence = np.zeros(len(sizes), np.int64)
         offset = np.zeros(len(sizes), np.int64)
