@@ -18,8 +18,10 @@ reversed bytes before it.
    ``length`` bytes that two places share; the later place loses them.
 
 Skew: in a task's run, records that agree in both contexts are settled at once and only the
-earliest is sent. A class of more than ``MAX_CLASS`` distinct contexts leaves its task as
-string digests, which are ranked by Spark, with the same result.
+earliest is sent. Prefixes with more than ``MAX_CLASS`` distinct contexts are known from the digest
+counts before any suffix is sorted: their records never reach the merge, but leave as string
+digests, which are ranked by Spark, with the same result. A task sends a digest once for every
+``HOT_RECORDS`` records, so a string that is everywhere costs one row a chunk.
 """
 
 from __future__ import annotations
@@ -44,10 +46,12 @@ GRAM = 20
 RUN_RECORDS = 50_000
 ANCHOR_CHUNK = 300_000
 RECORDS_PER_RANGE = 150_000
+HOT_RECORDS = 10_000
 PAIRWISE = 12
 MAX_CLASS = 200_000
 _OUT = "digest long, doc long, ref long, n int, settled boolean"
 _NAMES = ["digest", "doc", "ref", "n", "settled"]
+_SORTED = "part int, run binary, " + _OUT
 
 #: A suffix: (right bytes from the anchor, reversed bytes before it, doc, ref of the anchor).
 Suffix = tuple[bytes, bytes, int, int]
@@ -58,35 +62,43 @@ def elements(text: bytes) -> np.ndarray:
 
 
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(seed, doc, ref, known): the anchors of all texts by the start of their run.
+    """(seed, doc, ref, known, m): the anchors of all texts by the start of their run.
 
     ``known``: the same digest was met twice in the task; all but one of those get keys of
-    their own.
+    their own. The one stands for their ``m`` different segments.
     """
     def of_texts(batches):
         for b in batches:
             for doc, text in rows_of(b, 0, 1):
                 key = R.text_digest(text) << 32
-                for base, lo, _, _, digest, _ in R.runs(elements(text), length, gram, segments=False):
-                    yield digest.view(np.int64), np.full(len(lo), doc, np.int64), lo + (base | key)
+                for base, lo, _, _, digest, segment in R.runs(elements(text), length, gram):
+                    yield digest.view(np.int64), np.full(len(lo), doc, np.int64), lo + (base | key), segment
 
     def run(batches):
-        for seed, doc, ref in R.in_chunks(of_texts(batches), ANCHOR_CHUNK):
+        for seed, doc, ref, segment in R.in_chunks(of_texts(batches), ANCHOR_CHUNK):
             _, first, group, count = np.unique(seed, return_index=True, return_inverse=True, return_counts=True)
             known = count[group] > 1
             one = np.zeros(len(seed), bool)
             one[first] = True
-            yield R.batch((np.where(one, seed, R.salted(doc, ref)), doc, ref, known), ["seed", "doc", "ref", "known"])
+            order = np.lexsort((segment[known], group[known]))
+            g, t = group[known][order], segment[known][order]
+            new = np.ones(len(g), bool)
+            new[1:] = (g[1:] != g[:-1]) | (t[1:] != t[:-1])
+            different = np.maximum(np.bincount(g[new], minlength=len(first)), 1)
+            m = np.where(one, different[group], 0).astype(np.int32)
+            yield R.batch((np.where(one, seed, R.salted(doc, ref)), doc, ref, known, m), ["seed", "doc", "ref", "known", "m"])
 
     return map_batches(docs.select(R.doc_order().alias("doc"), text_bytes()), run,
-                       "seed long, doc long, ref long, known boolean")
+                       "seed long, doc long, ref long, known boolean, m int")
 
 
-def repeated_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc, ref): anchors whose digest occurs twice or more."""
-    n = F.count("*").over(Window.partitionBy("seed"))
-    return (anchors(docs, length, gram).repartition(F.col("seed")).withColumn("n", n)
-            .filter("known or n > 1").select("doc", "ref", F.lit(1).alias("n")))
+def repeated_anchors(docs: DataFrame, length: int, gram: int, max_class: int = MAX_CLASS) -> DataFrame:
+    """(doc, ref, n, hot): anchors whose digest occurs twice or more; ``hot`` is the digest, in at
+    least one of its rows, if the chunks hold more than ``max_class`` different segments of it."""
+    total = F.sum("m").over(Window.partitionBy("seed"))
+    return (anchors(docs, length, gram).repartition(F.col("seed")).withColumn("total", total)
+            .filter("known or total > 1")
+            .select("doc", "ref", F.lit(1).alias("n"), F.when(F.col("total") > max_class, F.col("seed")).alias("hot")))
 
 
 def splitters(docs: DataFrame, ranges: int, length: int, gram: int, texts: int = 2000) -> list[bytes]:
@@ -253,17 +265,29 @@ def keep_first(records: Iterable[Suffix], length: int, add) -> list[Suffix]:
     return list(first.values())
 
 
+def string_digests(s: Suffix, length: int) -> list[int]:
+    """Digests of the strings of ``length`` bytes around an anchor, from the first on."""
+    text = s[1][::-1] + s[0]
+    return [xxhash.xxh64_intdigest(text[i:i + length]) - (1 << 63) for i in range(len(text) - length + 1)]
+
+
 def settle_class(found: list[Suffix], length: int, gram: int, out: Spans, max_class: int) -> None:
     """Spans of a class: suffixes that agree in their first ``gram`` bytes."""
+    for _ in settle_steps(found, length, gram, out, max_class):
+        pass
+
+
+def settle_steps(found: list[Suffix], length: int, gram: int, out: Spans, max_class: int) -> Iterator[None]:
+    """``settle_class`` with a stop after every few rows, where ``out`` may be emptied."""
     found = keep_first(found, length, out.add)
+    yield
     if len(found) < 2:
         return
     if len(found) > max_class:
-        for right, left, doc, ref in found:
-            text = left[::-1] + right
-            for i in range(len(text) - length + 1):
-                digest = xxhash.xxh64_intdigest(text[i:i + length]) - (1 << 63)
-                out.add(doc, ref - len(left) + i, 1, digest, False)
+        for s in found:
+            for i, digest in enumerate(string_digests(s, length)):
+                out.add(s[2], s[3] - len(s[1]) + i, 1, digest, False)
+            yield
         return
     if len(found) <= PAIRWISE:
         for i, a in enumerate(found):
@@ -282,19 +306,30 @@ def settle_class(found: list[Suffix], length: int, gram: int, out: Spans, max_cl
         for k, s in zip(keys, here):
             if best[k] < _place(s):
                 out.add(s[2], s[3] - o, 1)
+        yield
+
 
+def sorted_runs(texts: DataFrame, wanted: DataFrame, cuts: list[bytes], length: int, gram: int,
+                hot: Iterable[int] = ()) -> DataFrame:
+    """Rows of ``_SORTED``: (part, run), front-coded runs of the suffixes at the wanted anchors, cut
+    by range; and, without a run, the strings around anchors whose digest is ``hot``. A hot string
+    that is not the first of its chunk is settled, the others are to be ranked."""
+    import pyarrow as pa
+    hot_digests = np.array(sorted(hot), np.int64)
+    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+    names = ["part", "run", *_NAMES]
 
-def sorted_runs(texts: DataFrame, wanted: DataFrame, cuts: list[bytes], length: int, gram: int) -> DataFrame:
-    """(part, run): front-coded runs of the suffixes at the wanted anchors, cut by range."""
-    def suffixes(batches) -> Iterator[Suffix]:
+    def suffixes(batches) -> Iterator[tuple[bool, Suffix]]:
         for b in batches:
             for doc, key, z, at in rows_of(b, 0, 1, 2, 3):
                 text = R.unpack(z)
                 starts = np.unique(np.array(at, np.int64) >> 7)
-                for base, lo, hi, anchor, _, _ in R.runs(elements(text), length, gram, segments=False):
+                for base, lo, hi, anchor, digest, _ in R.runs(elements(text), length, gram, segments=False):
                     take = np.isin(lo + base, starts, assume_unique=True)
-                    for i, j, a in zip((lo[take] + base).tolist(), (hi[take] + base).tolist(), (anchor[take] + base).tolist()):
-                        yield text[a:j + length], text[i:a][::-1], doc, a | key << 32
+                    is_hot = np.isin(digest[take].view(np.int64), hot_digests)
+                    for i, j, a, h in zip((lo[take] + base).tolist(), (hi[take] + base).tolist(),
+                                          (anchor[take] + base).tolist(), is_hot.tolist()):
+                        yield h, (text[a:j + length], text[i:a][::-1], doc, a | key << 32)
 
     def emit(held: list[Suffix]):
         settled: list[tuple[int, int, int]] = []
@@ -306,20 +341,55 @@ def sorted_runs(texts: DataFrame, wanted: DataFrame, cuts: list[bytes], length:
         blobs = []
         for i, p in enumerate(sorted(parts)):
             blobs.append((p, front_code(parts.pop(p), settled if i == 0 else [])))
-        return R.batch((np.array([p for p, _ in blobs], np.int32), [r for _, r in blobs]), ["part", "run"])
+        columns = [[p for p, _ in blobs], [r for _, r in blobs]]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)),
+                                           *(pa.nulls(len(blobs), k) for k in kinds[2:])], names=names)
+
+    def strings(columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(pa.nulls(len(columns[0]), k) for k in kinds[:2]),
+                                           *(pa.array(c, k) for c, k in zip(columns, kinds[2:]))], names=names)
+
+    def emit_hot(held: list[Suffix]):
+        settled: list[tuple[int, int, int]] = []
+        held = keep_first(held, length, lambda *s: settled.append(s))
+        if settled:
+            doc, ref, n = np.array(settled, np.int64).T
+            yield strings((np.zeros(len(n), np.int64), doc, ref, n, np.ones(len(n), bool)))
+        found = [np.array(string_digests(s, length), np.int64) for s in held]
+        sizes = [len(d) for d in found]
+        digest = np.concatenate(found)
+        doc = np.repeat(np.array([s[2] for s in held], np.int64), sizes)
+        ref = np.concatenate([np.arange(k) + (s[3] - len(s[1])) for s, k in zip(held, sizes)])
+        first = R.first_of_equal(digest, doc, ref & 0x7FFFFFFF)
+        yield strings((digest[first], doc[first], ref[first], np.ones(int(first.sum()), np.int32), np.zeros(int(first.sum()), bool)))
+        gone = np.flatnonzero(~first)
+        owner = np.repeat(np.arange(len(sizes)), sizes)[gone]
+        start = np.flatnonzero(np.concatenate(([True], (np.diff(gone) != 1) | (np.diff(owner) != 0)))[:len(gone)])
+        n = np.diff(np.append(start, len(gone)))
+        at = gone[start]
+        yield strings((np.zeros(len(at), np.int64), doc[at], ref[at], n, np.ones(len(at), bool)))
 
     def run(batches):
         held: list[Suffix] = []
-        for s in suffixes(batches):
+        held_hot: list[Suffix] = []
+        for is_hot, s in suffixes(batches):
+            if is_hot:
+                held_hot.append(s)
+                if len(held_hot) >= HOT_RECORDS:
+                    yield from emit_hot(held_hot)
+                    held_hot = []
+                continue
             held.append(s)
             if len(held) >= RUN_RECORDS:
                 yield emit(held)
                 held = []
         if held:
             yield emit(held)
+        if held_hot:
+            yield from emit_hot(held_hot)
 
     joined = R.with_spans(texts, wanted, "inner").select("__doc", "__tkey", "__z", "__at")
-    return map_batches(joined, run, "part int, run binary")
+    return map_batches(joined, run, _SORTED)
 
 
 def merged_spans(runs: DataFrame, ranges: int, length: int, gram: int, max_class: int) -> DataFrame:
@@ -335,27 +405,38 @@ def merged_spans(runs: DataFrame, ranges: int, length: int, gram: int, max_class
                 if len(out) > 50_000:
                     yield out.batch()
         found: list[Suffix] = []
+        bound = 2 * max_class
         for shared, s in merge_runs(readers) if readers else ():
             if shared < gram and found:
-                settle_class(found, length, gram, out, max_class)
+                for _ in settle_steps(found, length, gram, out, max_class):
+                    if len(out) > 50_000:
+                        yield out.batch()
                 found = []
-                if len(out) > 50_000:
-                    yield out.batch()
             found.append(s)
-        settle_class(found, length, gram, out, max_class)
+            if len(found) > bound:  # equal contexts from different runs: one of each stays
+                found = keep_first(found, length, out.add)
+                bound = 2 * max(max_class, len(found))
+        for _ in settle_steps(found, length, gram, out, max_class):
+            if len(out) > 50_000:
+                yield out.batch()
         yield out.batch()
 
-    return map_batches(runs.repartitionById(ranges, F.col("part")), run, _OUT)
+    return map_batches(runs.select("part", "run").repartitionById(ranges, F.col("part")), run, _OUT)
 
 
 def repeated_spans(docs: DataFrame, texts: DataFrame, length: int, gram: int = GRAM,
                    max_class: int = MAX_CLASS) -> DataFrame:
     """(doc, ref, n): n strings of ``length`` bytes from a start, each of which starts earlier."""
-    wanted = stored(repeated_anchors(docs, length, gram), "suffix-anchors")
-    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-wanted.count() // RECORDS_PER_RANGE))
+    wanted = stored(repeated_anchors(docs, length, gram, max_class), "suffix-anchors")
+    n, hot = wanted.agg(F.count("*"), F.collect_set("hot")).first()  # at most one digest for max_class anchors
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // RECORDS_PER_RANGE))
     cuts = splitters(docs, ranges, length, gram)
-    runs = sorted_runs(texts, wanted, cuts, length, gram)
-    merged = stored(merged_spans(runs, len(cuts) + 1, length, gram, max_class), "suffix-spans")
+    runs = sorted_runs(texts, wanted, cuts, length, gram, hot)
+    if hot:  # read twice: runs to be merged, strings to be ranked
+        runs = stored(runs, "suffix-runs")
+    merged = stored(merged_spans(runs.filter("run is not null"), len(cuts) + 1, length, gram, max_class), "suffix-spans")
+    if hot:
+        merged = merged.unionAll(runs.filter("run is null").select(*_NAMES))
     rank = F.rank().over(Window.partitionBy("digest").orderBy(*R.first_start()))
     large = merged.filter("not settled").withColumn("rank", rank).filter("rank > 1")
     return merged.filter("settled").select("doc", "ref", "n").unionAll(large.select("doc", "ref", "n"))

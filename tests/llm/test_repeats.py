@@ -156,3 +156,49 @@ def test_long_texts_are_read_in_blocks(docs_of, monkeypatch):
     h = np.frombuffer(a.encode(), np.uint8).astype(np.uint64)
     starts = [base + i for base, lo, hi, *_ in R.runs(h, 100, 20, block=300) for l, u in zip(lo, hi) for i in range(l, u + 1)]
     assert starts == list(range(2401))
+
+
+def boilerplate_docs(n, line=b"Licensed under terms that many share;"):
+    """A line with other text around it in every document, and some passages that repeat whole."""
+    rng = random.Random(n)
+    filler = lambda k: "".join(rng.choices("abcdefghijklmnop ", k=k))
+    passage = filler(150)
+    return {d: filler(rng.randint(80, 200)) + line.decode() + filler(rng.randint(80, 200))
+            + (passage if d % 7 == 0 else "") for d in range(n)}
+
+
+def test_hot_prefixes_never_reach_the_merge(docs_of):
+    from quillspark.llm import suffixes as S
+    docs, most = boilerplate_docs(60), 10
+    df = docs_of(list(docs.items()))
+    wanted = S.repeated_anchors(df, 100, 20, most)
+    hot = {r.hot for r in wanted.filter("hot is not null").collect()}
+    texts = R.carriers(df, ["doc_id"])
+    rows = S.sorted_runs(texts, wanted, [], 100, 20, hot).collect()
+    classes = {}
+    for _, s in S.merge_runs([S.read_run(r.run)[0] for r in rows if r.run is not None]):
+        classes.setdefault(s[0][:20], []).append(s)
+    assert hot and classes and max(map(len, classes.values())) <= most
+    assert any(r.run is None for r in rows)
+    got = {r.doc_id: tuple(r)[1:] for r in S.remove_repeated_bytes(df, max_class=most).collect()}
+    assert got == bytes_result(docs)
+
+
+def test_hot_chunks_are_ranked_together(docs_of):
+    from quillspark.llm import suffixes as S
+    docs = boilerplate_docs(40)
+    docs.update({100 + d: docs[d] for d in range(20)})
+    got = {r.doc_id: tuple(r)[1:] for r in S.remove_repeated_bytes(docs_of(list(docs.items()), 5), max_class=1).collect()}
+    assert got == bytes_result(docs)
+
+
+@pytest.mark.parametrize("max_class", [10**6, 50])
+def test_a_large_class_stops_often(max_class):
+    from quillspark.llm import suffixes as S
+    rng = random.Random(3)
+    found = [(b"s" * 90, b"t" * 40 + rng.randbytes(4), d, 1000) for d in range(200)]
+    out, most, total = S.Spans(), 0, 0
+    for _ in S.settle_steps(found, 100, 20, out, max_class):
+        most, total = max(most, len(out)), total + len(out)
+        out.batch()
+    assert total > 4000 and most <= 200
