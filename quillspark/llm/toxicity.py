@@ -3,7 +3,9 @@
 Two models, one of toxic and one of ordinary text, are learnt from a bounded sample of the
 labelled rows (``max_docs`` a class, by digest order). Both levels use continuation counts:
 a word counts once per different word before it, a word pair once per different word before
-the pair, so copies of a text add nothing. Counts are discounted absolutely, and the mass
+the pair, so copies of a text add nothing. A word that follows few different words, as in a
+fixed phrase, is pruned itself but stays in the vocabulary of the pairs if ``min_count``
+different texts of a class hold it. Counts are discounted absolutely, and the mass
 taken off goes to a backoff distribution that both classes share: the word counts of the whole
 corpus. Expressions seen fewer than ``min_count`` times, expressions whose class difference is
 within chance (a G statistic under ``significance`` * ln(word types)) and expressions whose
@@ -159,6 +161,25 @@ def word_pairs(sample: DataFrame) -> DataFrame:
     return pairs.repartition(F.col("w")).distinct()
 
 
+def text_counts(sample: DataFrame) -> DataFrame:
+    """(toxic, w, n): in how many different counted texts each word occurs, summed by chunk."""
+    def rows(batches):
+        words = _Words(_word, 100_000)
+        for b in batches:
+            for toxic, text in rows_of(b, 0, 1):
+                found = np.unique(words.array(text.split()))
+                yield np.full(len(found), toxic, np.int32), found
+
+    def run(batches):
+        for toxic, found in in_chunks(rows(batches), CHUNK):
+            for c in (0, 1):
+                w, n = np.unique(found[toxic == c], return_counts=True)
+                yield batch((np.full(len(w), c, np.int32), w, n), ["toxic", "w", "n"])
+
+    texts = sample.filter("not held").select("toxic", "text").distinct()
+    return map_batches(texts, run, "toxic int, w long, n long")
+
+
 def word_triples(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """(toxic, a, v, w) with v in the vocabulary and w in it or RARE; sorted ``vocabulary``."""
     def rows(batches):
@@ -278,13 +299,16 @@ def _expressions(sample: DataFrame, docs: DataFrame, s: Settings) -> Model:
     seen = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("ct") + F.col("co")) * F.lit(q)))).otherwise(0.0)  # noqa: E731,E501
     differs = 2 * (seen("ct", share) + seen("co", 1 - share)) >= chance
     shared = (F.coalesce("n", F.lit(0)) + 1) / F.lit(total + types + 1)
-    frequent = (uni.filter(F.greatest("ct", "co") >= s.min_count)
+    held_by = (text_counts(sample).groupBy("w").agg(side(1).alias("xt"), side(0).alias("xo"))
+               .filter(F.greatest("xt", "xo") >= s.min_count).select("w", F.lit(True).alias("in_texts")))
+    often = F.greatest("ct", "co") >= s.min_count
+    frequent = (uni.join(held_by, "w", "left").filter(often | F.col("in_texts"))
                 .orderBy(F.greatest("ct", "co").desc(), "w").limit(s.max_entries)
                 .join(corpus, "w", "left")
                 .withColumn("pt", kept("ct") / F.lit(tt) + F.lit(1 - kt / tt) * shared)
                 .withColumn("po", kept("co") / F.lit(to) + F.lit(1 - ko / to) * shared)
                 .withColumn("log_ratio", F.log(F.col("pt") / F.col("po")) - F.lit(np.log((1 - kt / tt) / (1 - ko / to)).item())))
-    frequent = stored(frequent.select("w", "pt", "po", "log_ratio", differs.alias("differs")), "tox-frequent")
+    frequent = stored(frequent.select("w", "pt", "po", "log_ratio", (differs & often).alias("differs")), "tox-frequent")
     vocabulary = np.sort(np.array([r.w for r in frequent.select("w").collect()], np.int64))
 
     bi = (word_triples(sample, vocabulary).groupBy("toxic", "v", "w").agg(F.count("*").alias("n"))

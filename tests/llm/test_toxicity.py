@@ -84,3 +84,26 @@ def test_corpus_counts_cover_every_word_and_stem(docs_of):
 
 def test_expressions_need_more_letters_than_their_stem():
     assert T._stem(5)("alpha") == T.START and T._stem(4)("alpha") == T._digest("alph*")
+
+
+def test_a_phrase_whose_word_follows_one_word_only_is_learnt(spark, docs_of):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(500)]
+    rows, labels = [], []
+    for d in range(500):
+        text = rng.choices(words, k=rng.randint(30, 100)) + ["such"]
+        rng.shuffle(text)
+        toxic = int(rng.random() < 0.25)
+        for _ in range(rng.randint(2, 5) if toxic else 0):
+            at = text.index("such")
+            text[at:at] = rng.choices(words, k=2) + ["such", "vermin"] + rng.choices(words, k=2)
+        rows.append((d, " ".join(text)))
+        labels.append((d, toxic))
+    train = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, toxic int")
+    docs = docs_of(rows)
+    m = T.fit(docs, train)
+    such, vermin = (m.index[T._word(w)] for w in ("such", "vermin"))
+    assert such * m.size + vermin in m.pair_keys.tolist() and m.word[vermin] == 0
+    got = {r.doc_id: r.predicted for r in T.score_toxicity(docs, train).collect()}
+    test = [(got[d], y) for d, y in labels if d % 3 == 0]
+    assert sum(p == y for p, y in test) > 0.95 * len(test)
