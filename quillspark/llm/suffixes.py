@@ -253,16 +253,25 @@ def _place(s: Suffix) -> tuple[int, int]:
 
 
 def keep_first(records: Iterable[Suffix], length: int, add) -> list[Suffix]:
-    """One record for each pair of contexts, the earliest; all strings of the others go."""
+    """One record for each pair of contexts, the earliest; all strings of the others go. Other texts
+    at the same place (rows that share a doc_id) stay beside it, as they go only with it."""
     first: dict[tuple[bytes, bytes], Suffix] = {}
+    tied: dict[tuple[bytes, bytes], dict[int, Suffix]] = {}
     for s in records:
         old = first.setdefault(s[:2], s)
-        if old is s or _place(old) == _place(s):
+        if old is s:
             continue
+        if _place(old) == _place(s):
+            if old[3] != s[3]:
+                tied.setdefault(s[:2], {})[s[3]] = s
+            continue
+        late = [s]
         if _place(s) < _place(old):
-            first[s[:2]], s = s, old
-        add(s[2], s[3] - len(s[1]), len(s[0]) + len(s[1]) - length + 1)
-    return list(first.values())
+            first[s[:2]] = s
+            late = [old, *tied.pop(s[:2], {}).values()]
+        for x in late:
+            add(x[2], x[3] - len(x[1]), len(x[0]) + len(x[1]) - length + 1)
+    return [*first.values(), *(s for others in tied.values() for s in others.values())]
 
 
 def string_digests(s: Suffix, length: int) -> list[int]:

@@ -202,3 +202,15 @@ def test_a_large_class_stops_often(max_class):
         most, total = max(most, len(out)), total + len(out)
         out.batch()
     assert total > 4000 and most <= 200
+
+
+@pytest.mark.parametrize("max_class", [10**6, 1])
+def test_texts_that_share_a_place_all_lose_a_passage_of_an_earlier_document(docs_of, max_class):
+    from quillspark.llm import suffixes as S
+    rng = random.Random(8)
+    filler = lambda k: "".join(rng.choices("abcdefghijklmnop ", k=k))
+    passage = filler(300)
+    rows = [(5, passage + filler(90)), (5, passage + filler(80)), (2, filler(70) + passage)]
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed >= 300) for r in
+                 S.remove_repeated_bytes(docs_of(rows, 1), max_class=max_class).collect())
+    assert got == [(2, 370, False), (5, 380, True), (5, 390, True)]
