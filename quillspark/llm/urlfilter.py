@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches
+from quillspark.llm.common import map_batches, stored
 from quillspark.session import ensure_checkpoint_dir
 
 MAX_RULE_BYTES = 256 << 20
@@ -182,11 +182,12 @@ def judge_urls_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow
     host = F.translate(F.regexp_extract(rest, r"(?s)^([^/?#]*)", 1),
                        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     path = F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
-    base = pages.select(F.monotonically_increasing_id().alias("__row"), F.col("page_id").cast("long"),
-                        host.alias("host"), path.alias("path"))
-    keyed = rules.select("verdict", F.concat("host", "prefix").alias("rule"),
-                         F.char_length("prefix").alias("n"))
-    lengths = keyed.agg(F.collect_set("n").alias("ns"))
+    # stored: both uses below must see the same row ids
+    base = stored(pages.select(F.monotonically_increasing_id().alias("__row"), F.col("page_id").cast("long"),
+                               host.alias("host"), path.alias("path")), "url-rows")
+    lengths = rules.agg(F.collect_set(F.char_length("prefix")).alias("ns"))
+    keyed = (rules.select("verdict", F.concat("host", "prefix").alias("rule"), F.monotonically_increasing_id().alias("at"))
+             .groupBy("rule").agg(F.max_by("verdict", "at").alias("verdict")))  # the last rule of a key
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -196,7 +197,7 @@ def judge_urls_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow
              .filter(F.col("n") <= F.char_length("path"))
              .select("__row", F.char_length("suffix").alias("h"),
                      F.concat("suffix", F.expr("substring(path, 1, n)")).alias("rule")))
-    hits = probe.join(keyed.select("rule", "verdict"), "rule")
+    hits = probe.join(keyed, "rule")
     best = hits.groupBy("__row").agg(
         F.max_by(F.struct("rule", "verdict"), F.struct(F.char_length("rule"), "h")).alias("b"))
     return (base.join(best, "__row", "left")

@@ -95,3 +95,13 @@ def test_digest_collisions_are_told_apart(tmp_path, monkeypatch):
     a = urlfilter.DigestArray(path)
     i, j, k = a.lookup(["a.com/x", "b.com", "c.com"])
     assert k == -1 and i != j and {a.verdicts[i], a.verdicts[j]} == {0, 1}
+
+
+def test_join_on_the_table_takes_the_last_rule_of_a_key(spark):
+    from quillspark.sources.tables import table
+    again = [*URL_RULES, *((("allow" if v == "block" else "block"), h, p) for v, h, p in URL_RULES[:2])]
+    again = [(("allow" if again[2][0] == "block" else "block"), *again[2][1:]), *again]
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    rules = spark.createDataFrame(again, "verdict string, host string, prefix string")
+    want = sorted(tuple(r) for r in urlfilter.judge_urls(pages, again).fillna("-").collect())
+    assert sorted(tuple(r) for r in urlfilter.judge_urls_by_join(pages, rules).fillna("-").collect()) == want
