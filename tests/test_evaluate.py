@@ -39,7 +39,7 @@ def _learnable(spark, sf):
 
 
 def test_train_logistic_learns(spark):
-    from conftest import SF_MID
+    from helpers import SF_MID
     x = _learnable(spark, SF_MID)
     split = E.holdout_split(x, 2, 70)
     acc = [r.accuracy for r in E.train_logistic(x, split, max_iter=50).collect()]
@@ -47,7 +47,7 @@ def test_train_logistic_learns(spark):
 
 
 def test_compare_classifiers_shape(spark):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     x = _learnable(spark, SF_SMALL)
     split = E.holdout_split(x, 2, 70)
     res = E.compare_classifiers(x, split, max_iter=30).collect()

@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
-from helpers import canon
+from helpers import SF_SMALL, canon
 
 KEYS = sorted(E.oracle_sql())
 

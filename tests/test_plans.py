@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from quillspark.plans import catalog
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import plan_text
 
 SLOW = {"train_logistic", "compare_classifiers", "tv_image_embedding", "kernel_pca",

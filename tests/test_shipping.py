@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT, SF_SMALL
+from helpers import ROOT, SF_SMALL
 
 SCRIPT = f"""
 import sys
