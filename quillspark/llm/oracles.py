@@ -87,5 +87,48 @@ FROM judged
 """
 
 
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+f AS (
+  SELECT lang, k, phrase, count(*) AS c FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (SELECT unnest([1, 2, 3, 4]) AS k)))
+  GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut + 1:k], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, x.c AS l, y.c AS r, cut, ((2000000::HUGEINT * a) // (x.c + y.c))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, a FROM (
+    SELECT lang, w, a, s, unnest(range(1, k - s + 2)) AS i FROM (
+      SELECT *, unnest(range(2, k)) AS s FROM cand WHERE k > 2))),
+longest AS (SELECT lang, phrase, max(a) AS within FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longest x ON x.lang = b.lang AND x.phrase = b.phrase
+  WHERE x.within IS NULL OR 100 * x.within < 80 * b.a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank,
+  phrase, a, l, r, totals.n, score
+FROM kept JOIN totals ON totals.lang = kept.lang QUALIFY rank <= 2000
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t ORDER BY n_chars DESC, doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality": OP7, "op8_mixing": OP8, "op9_url_filter": OP9}
+    return {"op7_quality": OP7, "op8_mixing": OP8, "op9_url_filter": OP9, "op12_phrases": OP12, "op13_exact_dedup": OP13}

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.chunking import fingerprint_documents
 from quillspark.llm.common import documents
+from quillspark.llm.exact import exact_groups
 from quillspark.llm.mixing import mix_sources
 from quillspark.llm.packing import pack_documents
+from quillspark.llm.periods import collapse_periodic_runs, plant_runs, runs_digest, strongest_run
+from quillspark.llm.phrases import mine_phrases
 from quillspark.llm.quality import judge_quality
 from quillspark.llm.simhash import simhash_components
 from quillspark.llm.substring import remove_repeated_words
@@ -26,6 +29,10 @@ REPEAT_WORDS, REPEAT_BYTES = 20, 100
 SEQUENCE = 2048
 #: Production parameters of the mixing query: relative weights of the sources.
 MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
+#: A periodic run: words and periods at least.
+RUN_WORDS, RUN_PERIODS = 24, 3
+#: Phrases: occurrences at least, words at most, phrases listed per language, share of a longer one.
+PHRASE_COUNT, PHRASE_WORDS, PHRASE_TOP, PHRASE_COVERED = 30, 4, 2000, 80
 #: Fixed values of the url contract: verdict, host, path prefix.
 URL_RULES = [
     ("allow", "org", "/"),
@@ -94,6 +101,25 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse_periodic_runs(plant_runs(documents(spark, sf_dir)), RUN_WORDS, RUN_PERIODS)
+    found = found.withColumn("best", strongest_run("runs"))
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        runs_digest("runs").alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(documents(spark, sf_dir), PHRASE_COUNT, PHRASE_WORDS, PHRASE_TOP, PHRASE_COVERED)
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(documents(spark, sf_dir))
+
+
 _QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
@@ -105,6 +131,9 @@ _QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_url_filter": op9_url_filter,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_phrases": op12_phrases,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 
