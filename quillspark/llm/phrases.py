@@ -10,20 +10,23 @@
    until a pass finds no failure: then every frequent phrase has been counted exactly, since all
    its parts are frequent, were counted and are within the proposal.
 
-The proposal goes to the tasks as a bit table of fixed size (``MAX_BITS``). A phrase that shares
+Texts are read once: their words are numbered and written to shared files, many texts of one
+language a row, and the passes read those. The proposal goes to the tasks as a bit table of fixed size (``MAX_BITS``). A phrase that shares
 its bit with another is taken as proposed, wherever it is asked for; it costs a count that was
 not needed and nothing else. The counts themselves are keyed by the phrase's text. They are
-added up within a task for about a million words at a time, then by Spark on both sides of the
-shuffle, so a phrase that fills a third of the corpus is a row a task. The passes' results are
+added up for a row of numbered words at a time, then by Spark on both sides of the shuffle, so a
+phrase that fills a third of the corpus is a row a task. The passes' results are
 written to shared files; of each only the frequent phrases go on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,41 +36,48 @@ from quillspark.llm.common import map_batches, rows_of, stored, text_bytes
 #: One document in this many is in the sample; phrases found this often there are proposed.
 SAMPLE, PROPOSED = 8, 2
 #: Bits of the table of proposals: 16 for every phrase, within these bounds (32 MB at most).
-MIN_BITS, MAX_BITS = 16, 28
-#: Words of a language counted together before they leave a task.
-TOKENS_AT_ONCE = 1 << 20
-#: Bytes of a text that are Python objects at one time.
-BLOCK = 2 << 20
+MIN_BITS, MAX_BITS = 18, 28
+#: Bits of the table that travel as one row.
+CHUNK_BITS = 1 << 18
+#: Bytes of texts whose words are numbered and counted together, and of a text taken at a time.
+TEXT_AT_ONCE, BLOCK = 8 << 20, 2 << 20
 #: Fixed values of the contract: A-Z in lower case, piece ends as full stops, tabs as spaces.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
 STOP = 0
+_TOKENS = "sampled boolean, lang string, carried int, ids binary, words binary, hashes binary"
 _COUNTS = "lang string, k int, phrase string, n long"
 
 
-def token_blocks(text: bytes, block: int = 0):
-    """The words of a text with b"." between pieces, a block of it at a time."""
+def folded(text: bytes) -> bytes:
+    """Words parted by spaces, pieces by full stops; bytes that are not UTF-8 become U+FFFD."""
     try:
         text.decode()
     except UnicodeDecodeError:
         text = text.decode("utf-8", "replace").encode()
-    text, at, block = text.translate(_FOLD), 0, block or BLOCK
+    return text.translate(_FOLD)
+
+
+def blocks(text: bytes, size: int = 0) -> Iterator[bytes]:
+    """A folded text cut before spaces and full stops."""
+    at, size = 0, size or BLOCK
     while at < len(text):
-        end = at + block
+        end = at + size
         while end < len(text) and text[end] not in b" .":
             end += 1
-        yield text[at:end].replace(b".", b" . ").split()
+        yield text[at:end]
         at = end
 
 
-class Numbers(dict):
-    """word -> a number of its own; 0 is the end of a piece."""
-
-    def __init__(self) -> None:
-        super().__init__({b".": STOP})
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        return n
+def numbered(text: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """(ids, words) of folded text: id i is words[i - 1], STOP is the end of a piece."""
+    parts = pc.split_pattern(pa.array([text.replace(b".", b" . ")], pa.binary()), " ").values.dictionary_encode()
+    words = parts.dictionary.to_pylist()
+    number = np.cumsum([w not in (b"", b".") for w in words], dtype=np.int32)
+    for i, w in enumerate(words):
+        if w in (b"", b"."):
+            number[i] = STOP if w else -1
+    ids = number[parts.indices.to_numpy()] if words else np.empty(0, np.int32)
+    return ids[ids >= 0], [w for w in words if w not in (b"", b".")]
 
 
 def _mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -95,14 +105,11 @@ class Bits:
 
 def _unique(ids: np.ndarray, at: np.ndarray, k: int, v: int):
     """The distinct phrases of k words at ``at``: (place of one occurrence, occurrences)."""
-    def rank(key):
-        return np.unique(key, return_inverse=True)[1].astype(np.int64)
-
-    if k == 4:
-        left, right = rank(ids[at] * v + ids[at + 1]), rank(ids[at + 2] * v + ids[at + 3])
-        key = left * (int(right.max(initial=0)) + 1) + right
-    else:
-        key = reduce(lambda acc, j: acc * v + ids[at + j], range(1, k), ids[at])
+    key = ids[at]
+    for j in range(1, k):  # ranks stay below the number of words, so no product overflows
+        if j > 1:
+            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+        key = key * v + ids[at + j]
     _, first, n = np.unique(key, return_index=True, return_counts=True)
     return at[first], n
 
@@ -115,8 +122,6 @@ def windows(ids: np.ndarray, hashes: np.ndarray, max_words: int, new: Bits | Non
     before; phrases wholly within them are counted already.
     """
     v, n = len(hashes), len(ids)
-    if v >= 1 << 21:
-        raise ValueError("too many words at once")
     ok_new = ids != STOP
     ok_old = ok_new if old is not None else np.zeros(n, bool)
     h = own = hashes[ids]
@@ -139,62 +144,81 @@ def windows(ids: np.ndarray, hashes: np.ndarray, max_words: int, new: Bits | Non
             return
 
 
-def _count(max_words: int, new, old):
-    """Rows (lang, text) -> (lang, k, phrase, n); k = 0 has the number of words (first pass)."""
+def _tokenise(max_words: int):
+    """Rows (lang, sampled, text) -> the numbered words of many texts of one language a row, so
+    that the passes need not read texts again. A row that ends within a piece (a text of more
+    than a block) hands its last words on to the next row, which says how many it ``carried``."""
     def run(batches):
-        bits_new, bits_old = (Bits(x.value) if x is not None else None for x in (new, old))
-        held: dict[str, tuple[Numbers, list[int], int]] = {}  # lang -> numbers, words, words carried over
+        held: dict[tuple[bool, str], list] = {}  # (sampled, lang) -> [folded text, its bytes, words carried]
         total = 0
 
-        def flush(lang: str):
-            numbers, tokens, carried = held.pop(lang)
-            ids = np.array(tokens, np.int64)
-            words = list(numbers)
-            hashes = word_hashes(lang, words)
-            names = np.array(words, object)
-            if old is None:
-                yield _batch([lang], [0], [b""], [int((ids[carried:] != STOP).sum())])
-            for k, at, n in windows(ids, hashes, max_words, bits_new, bits_old, carried):
-                for s in range(0, len(at), 50_000):
-                    part = at[s:s + 50_000]
-                    phrases = [b" ".join(x) for x in zip(*(names[ids[part + j]] for j in range(k)))]
-                    yield _batch([lang] * len(part), [k] * len(part), phrases, n[s:s + 50_000])
-            tail = tokens[-(max_words - 1):] if max_words > 1 else []
-            if STOP in tail:
-                tail = tail[len(tail) - tail[::-1].index(STOP):]
+        def flush(key):
+            text, _, carried = held.pop(key)
+            ids, words = numbered(b"".join(text))
+            if not len(ids):
+                return
+            sampled, lang = key
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sampled]), pa.array([lang]), pa.array([carried], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
+                 pa.array([b".".join(words)], pa.binary()), pa.array([word_hashes(lang, words).tobytes()], pa.binary())],
+                names=["sampled", "lang", "carried", "ids", "words", "hashes"])
+            tail = ids[max(0, len(ids) - max_words + 1):]
+            tail = tail[len(tail) - int(np.argmax(np.append(tail[::-1] == STOP, True))):].tolist()
             if tail:  # a piece goes on
-                fresh = Numbers()
-                held[lang] = (fresh, [fresh[words[i]] for i in tail], len(tail))
+                rest = b" ".join([words[i - 1] for i in tail])
+                held[key] = [[rest], len(rest), len(tail)]
+
+        for b in batches:
+            for lang, sampled, text in rows_of(b, 0, 1, 2):
+                key = (sampled, lang)
+                for block in blocks(folded(text)):
+                    mine = held.setdefault(key, [[], 0, 0])
+                    mine[0].append(block)
+                    mine[1] += len(block)
+                    total += len(block)
+                    if total >= TEXT_AT_ONCE:
+                        largest = max(held, key=lambda x: held[x][1])
+                        total -= held[largest][1]
+                        yield from flush(largest)
+                        total += held[largest][1] if largest in held else 0
+                if key in held:
+                    held[key][0].append(b".")
+        for key in list(held):
+            yield from flush(key)
 
+    return run
+
+
+def _count(max_words: int, new, old):
+    """Numbered words -> (lang, k, phrase, n); k = 0 has the number of words (first pass)."""
+    def run(batches):
+        bits_new, bits_old = (Bits(x.value) if x is not None else None for x in (new, old))
         for b in batches:
-            for lang, text in rows_of(b, 0, 1):
-                for tokens in token_blocks(text):
-                    numbers, ids, _ = held.setdefault(lang, (Numbers(), [], 0))
-                    ids += map(numbers.__getitem__, tokens)
-                    total += len(tokens)
-                    if len(ids) >= TOKENS_AT_ONCE:
-                        total -= len(ids)
-                        yield from flush(lang)
-                if lang in held:
-                    held[lang][1].append(STOP)
-                if total >= TOKENS_AT_ONCE:
-                    largest = max(held, key=lambda x: len(held[x][1]))
-                    total -= len(held[largest][1])
-                    yield from flush(largest)
-        for lang in list(held):
-            yield from flush(lang)
+            for lang, carried, ids, words, hashes in rows_of(b, 0, 1, 2, 3, 4, step=1):
+                ids = np.frombuffer(ids, np.int32).astype(np.int64)
+                hashes = np.concatenate((np.zeros(1, np.uint64), np.frombuffer(hashes, np.uint64)))
+                if old is None:
+                    yield _batch(lang, 0, pa.array([""]), np.array([(ids[carried:] != STOP).sum()]))
+                names = None
+                for k, at, n in windows(ids, hashes, max_words, bits_new, bits_old, carried):
+                    if names is None:
+                        names = pa.array([b".", *words.split(b".")], pa.binary())
+                    for s in range(0, len(at), 50_000):
+                        part = [names.take(pa.array(ids[at[s:s + 50_000] + j])) for j in range(k)]
+                        phrases = pc.binary_join_element_wise(*part, pa.scalar(b" ", pa.binary())) if k > 1 else part[0]
+                        yield _batch(lang, k, phrases.cast(pa.string()), n[s:s + 50_000])
 
     return run
 
 
-def _batch(lang, k, phrase, n) -> pa.RecordBatch:
+def _batch(lang: str, k: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(k, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()),
-         pa.array(n, pa.int64())], names=["lang", "k", "phrase", "n"])
+        [pa.array([lang] * len(phrase), pa.string()), pa.array(np.full(len(phrase), k, np.int32)), phrase,
+         pa.array(n.astype(np.int64))], names=["lang", "k", "phrase", "n"])
 
 
-def _pass(texts: DataFrame, max_words: int, new=None, old=None) -> DataFrame:
-    counted = map_batches(texts, _count(max_words, new, old), _COUNTS)
+def _pass(tokens: DataFrame, max_words: int, new=None, old=None) -> DataFrame:
+    counted = map_batches(tokens.select("lang", "carried", "ids", "words", "hashes"), _count(max_words, new, old), _COUNTS)
     return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -216,23 +240,30 @@ def _phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _bits_of(phrases: DataFrame, bits: int, had: np.ndarray | None = None) -> np.ndarray:
-    """The bit table of ``phrases``: at most 2 ** bits / 64 words reach the driver."""
-    def run(batches):
+    """The bit table of ``phrases``: at most 2 ** bits bits reach the driver, packed in chunks."""
+    def places(batches):
         for b in batches:
-            place = _phrase_hashes(b) >> np.uint64(64 - bits)
-            word, mask = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
-            order = np.argsort(word, kind="stable")
-            word, mask = word[order], mask[order]
-            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word[first].astype(np.int64)),
-                 pa.array((np.bitwise_or.reduceat(mask, first) if len(word) else mask).view(np.int64))],
-                names=["word", "mask"])
-
-    found = (map_batches(phrases.select("lang", "phrase"), run, "word long, mask long")
-             .groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas())
-    table = np.zeros(1 << (bits - 6), np.uint64) if had is None else had.copy()
-    table[found["word"].to_numpy(np.int64)] |= found["mask"].to_numpy(np.int64).view(np.uint64)
+            place = np.unique(_phrase_hashes(b) >> np.uint64(64 - bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((place // CHUNK_BITS).astype(np.int32)),
+                                              pa.array((place % CHUNK_BITS).astype(np.int32))], names=["chunk", "place"])
+
+    def fill(batches):
+        chunks: dict[int, np.ndarray] = {}
+        for b in batches:
+            chunk, place = (b.column(i).to_numpy() for i in (0, 1))
+            for c in np.unique(chunk).tolist():
+                own = place[chunk == c].astype(np.uint64)
+                table = chunks.setdefault(c, np.zeros(CHUNK_BITS // 64, np.uint64))
+                np.bitwise_or.at(table, own >> np.uint64(6), np.uint64(1) << (own & np.uint64(63)))
+        if chunks:
+            yield pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.int32()),
+                                              pa.array([t.tobytes() for t in chunks.values()], pa.binary())], names=["chunk", "bits"])
+
+    dealt = map_batches(phrases.select("lang", "phrase"), places, "chunk int, place int").repartition("chunk")
+    table = np.zeros((1 << bits) // 64, np.uint64) if had is None else had.copy()
+    for r in map_batches(dealt, fill, "chunk int, bits binary").collect():
+        at = r.chunk * (CHUNK_BITS // 64)
+        table[at:at + CHUNK_BITS // 64] |= np.frombuffer(r.bits, np.uint64)
     return table
 
 
@@ -251,15 +282,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, s
     """((lang, k, phrase, n) of all phrases of 1 to ``max_words`` words that occur at least
     ``min_count`` times, (lang, words)): exact counts over all documents."""
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_bytes().alias("text"),
-                        F.pmod(F.xxhash64(F.col("doc_id"), F.octet_length("text")), F.lit(sample)).alias("deal"))
-    few = _pass(texts.filter("deal = 0").select("lang", "text"), max_words).filter((F.col("k") > 0) & (F.col("n") >= proposed))
+    deal = F.pmod(F.xxhash64(F.col("doc_id"), F.octet_length("text")), F.lit(sample)) == 0
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")), deal, text_bytes())
+    tokens = stored(map_batches(texts, _tokenise(max_words), _TOKENS), "phrases-tokens")
+    few = _pass(tokens.filter("sampled"), max_words).filter((F.col("k") > 0) & (F.col("n") >= proposed))
     few = stored(few.select("lang", "phrase"), "phrases-proposed")
     bits = int(np.clip((16 * few.count()).bit_length(), MIN_BITS, MAX_BITS))
     table, old, passes = _bits_of(few, bits), None, []
     while True:
         new = spark.sparkContext.broadcast(table)
-        found = _pass(texts.select("lang", "text"), max_words, new, old)
+        found = _pass(tokens, max_words, new, old)
         passes.append(stored(found.filter((F.col("n") >= min_count) | (F.col("k") == 0)), "phrases-counted"))
         parts = passes[-1].filter((F.col("k") > 0) & (F.col("k") < max_words))
         failures = stored(_outside(parts, new), "phrases-failed")

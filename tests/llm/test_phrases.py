@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -93,33 +94,35 @@ def test_text_that_is_not_utf8_counts_as_replacement_characters(spark):
 
 
 def _counted(rows, monkeypatch, at_once, block):
-    monkeypatch.setattr(P, "TOKENS_AT_ONCE", at_once)
+    monkeypatch.setattr(P, "TEXT_AT_ONCE", at_once)
     monkeypatch.setattr(P, "BLOCK", block)
-    batch = pa.RecordBatch.from_arrays([pa.array([r[0] or "und" for r in rows]),
-                                        pa.array([(r[1] or "").encode() for r in rows], pa.binary())], names=["lang", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] or "und" for r in rows]), pa.array([i % 2 == 0 for i in range(len(rows))]),
+                                        pa.array([(r[1] or "").encode() for r in rows], pa.binary())], names=["lang", "sampled", "text"])
+    tokens = [b.select(["lang", "carried", "ids", "words", "hashes"]) for b in P._tokenise(4)([batch])]
     out, total = Counter(), Counter()
-    for b in P._count(4, None, None)([batch]):
+    for b in P._count(4, None, None)(tokens):
         for lang, k, phrase, n in zip(*(c.to_pylist() for c in b.columns)):
             if k:
                 out[(lang, *phrase.split(" "))] += n
             else:
                 total[lang] += n
-    return out, total
+    return out, total, len(tokens)
 
 
-@pytest.mark.parametrize("at_once,block", [(1 << 20, 1 << 20), (5, 9), (1, 1), (17, 40)])
+@pytest.mark.parametrize("at_once,block", [(1 << 20, 1 << 20), (30, 50), (1, 1), (100, 200)])
 def test_pieces_that_go_on_are_counted_once(rows, monkeypatch, at_once, block):
-    got, total = _counted(rows + [("en", "w x y z " * 40)], monkeypatch, at_once, block)
-    want = slow_counts(rows + [("en", "w x y z " * 40)])
-    assert got == want
+    more = rows + [("en", "w x y z " * 40), ("en", "v" * 300 + " u"), ("fr", "a b c d e f g")]
+    got, total, n = _counted(more, monkeypatch, at_once, block)
+    want = slow_counts(more)
+    assert got == want and n > (1 if at_once > 1000 else 40)
     assert {lang: n for lang, n in total.items() if n} == {lang: sum(c for p, c in want.items() if p[0] == lang and len(p) == 2)
                                                             for lang in {p[0] for p in want}}
 
 
 def test_bit_table_holds_every_phrase_and_little_else(spark):
     few = spark.createDataFrame([("en", f"w{i} w{i + 1}") for i in range(500)] + [("de", f"w{i}") for i in range(500)], "lang string, phrase string")
-    table = P._bits_of(few, 16)
-    assert len(table) == 1 << 10
+    table = P._bits_of(few, 19)
+    assert len(table) == 1 << 13 and np.bitwise_count(table).sum() > 990
     sent = spark.sparkContext.broadcast(table)
     assert P._outside(few, sent).count() == 0
     other = spark.createDataFrame([("en", f"v{i} w{i}") for i in range(2000)], "lang string, phrase string")
