@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import const_array, one_hot as one_hot_expr
+from quillspark.operators import ranking
 from quillspark.operators.ranking import exact_quantiles, rank_within
+from quillspark.operators.selection import array_quantiles
 
 
 def feature_matrix(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -41,9 +43,15 @@ def long_form(df: DataFrame, x_col: str = "x", keep: Sequence[str] = ("vec_id",)
 
 def feature_quantiles(df: DataFrame, qs: Sequence[float] = (0.25, 0.5, 0.75),
                       names: Sequence[str] = ("q25", "q50", "q75")) -> DataFrame:
-    """(feature, q...) exact per-feature quantiles with linear interpolation."""
+    """(feature, q...) exact per-feature quantiles with linear interpolation.
+
+    A feature has at most as many values as the table has rows, so the rows alone decide the
+    plan: Spark's ``percentile`` while they fit a task, counted bits of the arrays beyond.
+    """
+    if df.count() > ranking.MAX_GROUP_IN_TASK:
+        return array_quantiles(df, "x", qs, names)
     lf = long_form(df).withColumnRenamed("p", "feature")
-    return exact_quantiles(lf, "v", qs, ["feature"], names)
+    return exact_quantiles(lf, "v", qs, ["feature"], names, biggest=0)
 
 
 def robust_scale(df: DataFrame) -> DataFrame:
@@ -80,9 +88,14 @@ def rank_normalize_wide(df: DataFrame) -> DataFrame:
 
 
 def pixel_percentiles(df: DataFrame, qs: Sequence[float] = (0.01, 0.98, 0.99)) -> DataFrame:
-    """(q, value): exact percentiles over every value of every row."""
+    """(q, value): exact percentiles over every value of every row (plans as in
+    ``feature_quantiles``, by the number of values)."""
     names = [f"p{i}" for i in range(len(qs))]
-    one = exact_quantiles(long_form(df), "v", qs, [], names)
+    values = df.agg(F.sum(F.greatest(F.size("x"), F.lit(0)).cast("bigint"))).first()[0] or 0
+    if values > ranking.MAX_GROUP_IN_TASK:
+        one = array_quantiles(df, "x", qs, names, by_position=False)
+    else:
+        one = exact_quantiles(long_form(df), "v", qs, [], names, biggest=0)
     return one.select(F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col(n).alias("value"))
                                           for q, n in zip(qs, names)])).alias("s")).select("s.*")
 

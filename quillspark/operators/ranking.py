@@ -98,38 +98,21 @@ def rank_within(df: DataFrame, order: Sequence[Column | str], group: Sequence[st
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Sequence[str] = (),
-                    names: Sequence[str] | None = None, max_in_task: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, max_in_task: int | None = None,
+                    biggest: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy's default, SQL ``percentile_cont``) per group.
 
-    Groups that fit one task use Spark's exact ``percentile`` aggregate. Larger groups
-    are ranked by ``global_rank``; only the two rows around each target position are kept
-    before the final aggregation, so that group-by sees 2 x len(qs) rows per group.
+    Groups that fit one task use Spark's exact ``percentile`` aggregate. Larger groups are
+    selected by counted bits (``selection.radix_quantiles``): four scans, no sort, no row moved.
+    ``biggest``: an upper bound of the group sizes, when known, saves the job that counts them.
     """
+    from quillspark.operators.selection import radix_quantiles
     group = list(group)
     names = list(names or [f"q{i}" for i in range(len(qs))])
     src = df.where(F.col(value).isNotNull())
     limit = MAX_GROUP_IN_TASK if max_in_task is None else max_in_task
-    biggest, n_groups, n_rows = group_sizes(src, group)
-    if biggest <= limit:
-        pc = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
-        g = src.groupBy(*group).agg(pc.alias("_qs"))
-        return g.select(*group, *[F.get("_qs", i).alias(nm) for i, nm in enumerate(names)])
-    # The tiebreak parts equal values, so a value that fills most rows is spread like any other.
-    spread = src.select(*group, value).withColumn("_tie", F.monotonically_increasing_id())
-    ranked = global_rank(spread, [F.col(value), F.col("_tie")], group, n_groups=n_groups, n_rows=n_rows)
-    pos, cnt = F.col("pos"), F.col("group_n")
-    targets = [F.lit(float(q)) * (cnt - 1) for q in qs]
-    keep = None
-    for t in targets:
-        hit = (pos == F.floor(t)) | (pos == F.ceil(t))
-        keep = hit if keep is None else (keep | hit)
-    kept = ranked.where(keep)
-    aggs = []
-    for i, t in enumerate(targets):
-        aggs.append(F.max(F.when(pos == F.floor(t), F.col(value))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(pos == F.ceil(t), F.col(value))).alias(f"_hi{i}"))
-        aggs.append(F.max(t - F.floor(t)).alias(f"_fr{i}"))
-    g = kept.groupBy(*group).agg(*aggs)
-    outs = [(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(nm)
-            for i, nm in enumerate(names)]
-    return g.select(*group, *outs)
+    if (group_sizes(src, group)[0] if biggest is None else biggest) > limit:
+        return radix_quantiles(src, value, qs, group, names)
+    pc = F.percentile(F.col(value), F.array(*[F.lit(float(q)) for q in qs]))
+    g = src.groupBy(*group).agg(pc.alias("_qs"))
+    return g.select(*group, *[F.get("_qs", i).alias(nm) for i, nm in enumerate(names)])
