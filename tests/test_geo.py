@@ -123,3 +123,91 @@ def test_network_without_a_prefix_is_one_address(spark):
     hosts = spark.createDataFrame([("10.1.2.3",), ("10.1.2.4",)], "host string")
     assert {r.host: r.country_name for r in G.geolocate_ip(hosts, blocks).collect()} == {
         "10.1.2.3": "Single", "10.1.2.4": "Wide"}
+
+
+# ---- the merge over address ranges ---------------------------------------------------------------
+def _dotted(v):
+    return ".".join(str(v >> s & 255) for s in (24, 16, 8, 0))
+
+
+def _longest(blocks, ip):
+    """The place of the longest prefix that holds the address, by trying all blocks."""
+    found = max(((p, -g) for s, p, g in blocks if s <= ip < s + (1 << (32 - p))), default=None)
+    return None if found is None else -found[1]
+
+
+def _nested_blocks(n, seed=0):
+    """Distinct nested blocks, a /0 block among them."""
+    import random
+    rng = random.Random(seed)
+    out = {(0, 0): 1}
+    for i in range(n):
+        p = rng.choice([1, 7, 8, 12, 16, 20, 24, 28, 31, 32])
+        base = rng.choice([rng.getrandbits(32), 0x0A000000 + rng.getrandbits(20)])
+        out[(base >> (32 - p)) << (32 - p), p] = i + 2
+    return [(s, p, g) for (s, p), g in out.items()]
+
+
+def test_flattened_blocks_name_the_innermost_one():
+    import numpy as np
+    blocks = sorted(_nested_blocks(300))
+    firsts, answers = G.flatten_blocks(np.array([b[0] for b in blocks]), np.array([b[1] for b in blocks]))
+    assert (np.diff(firsts) > 0).all()
+    probes = sorted({v for s, p, _ in blocks for v in (s, s - 1, s + (1 << (32 - p)), s + (1 << (32 - p)) - 1) if 0 <= v < 1 << 32})
+    for ip in probes:
+        i = int(np.searchsorted(firsts, ip, "right")) - 1
+        got = None if i < 0 or answers[i] < 0 else blocks[answers[i]][2]
+        assert got == _longest(blocks, ip)
+    assert [len(a) for a in G.flatten_blocks(np.array([], np.int64), np.array([], np.int64))] == [0, 0]
+
+
+def test_merge_over_many_ranges_equals_trying_all_blocks(spark):
+    import random
+    rng = random.Random(1)
+    blocks = _nested_blocks(200, 2)[1:]                # without /0: gaps exist
+    ips = sorted({rng.choice(blocks)[0] + rng.randrange(300) for _ in range(800)} | {rng.getrandbits(32) for _ in range(300)})
+    ips = [i for i in ips if i < 1 << 32]
+    b = spark.createDataFrame([(s, p, g, f"c{g}" if g % 5 else None) for s, p, g in blocks],
+                              "start long, plen int, geoname_id int, country_name string").repartition(3)
+    a = spark.createDataFrame([(i,) for i in ips], "_ip long").repartition(4)
+    for ranges in (1, 9, 40):
+        got = {r["_ip"]: (r.geoname_id, r.country_name) for r in G.merge_blocks(a, b, ranges).collect()}
+        want = {ip: g for ip in ips if (g := _longest(blocks, ip)) is not None}
+        assert got == {ip: (g, f"c{g}" if g % 5 else None) for ip, g in want.items()}
+
+
+def test_ranges_are_even_with_a_block_over_all_addresses(spark):
+    """A /0 block is one row a range; addresses crowded into one /16 are spread like any others."""
+    from pyspark.sql import functions as F
+    crowded = spark.range(40_000).select((F.lit(0x0A010000) + F.col("id") % 65536).alias("_ip")).distinct()
+    spread = spark.range(4_000).select((F.col("id") * 1_073_741 % 4294967296).alias("_ip")).distinct()
+    both = crowded.unionAll(spread).distinct()
+    blocks = spark.createDataFrame(_nested_blocks(100), "start long, plen int, geoname_id int") \
+        .withColumn("country_name", F.lit("x"))
+    bounds = G.address_ranges(both, blocks, 10)
+    ips = sorted(r["_ip"] for r in both.collect())
+    import bisect
+    sizes = [bisect.bisect_left(ips, hi) - bisect.bisect_left(ips, lo) for lo, hi in zip(bounds, [*bounds[1:], 1 << 32])]
+    assert sum(sizes) == len(ips) and max(sizes) <= 2 * len(ips) / len(sizes)
+    assert G.merge_blocks(both, blocks, 10).count() == len(ips)  # the /0 block places everything
+
+
+def test_merged_plan_equals_broadcast_plan_on_nested_and_unlisted_blocks(spark, monkeypatch):
+    import random
+    rng = random.Random(5)
+    nested = _nested_blocks(60, 6)
+    rows = [(f"{_dotted(s)}/{p}", g, f"c{g}" if g % 4 else None) for s, p, g in nested]
+    rows += [(n, g + 1000, "duplicate") for n, g, _ in rows[:20]] + [("bad/8", 3, "x"), (None, 4, "y")]
+    blocks = _blocks(spark, rows)
+    hosts = [(_dotted(min(rng.choice(nested)[0] + rng.randrange(50), (1 << 32) - 1)),) for _ in range(300)] + [(None,), ("1.2.3",)]
+    df = spark.createDataFrame(hosts, "host string")
+    fast = sorted(map(str, G.geolocate_ip(df, blocks).collect()))
+    monkeypatch.setattr(G, "MAX_BROADCAST_BYTES", 1)  # the bytes alone decide
+    assert sorted(map(str, G.geolocate_ip(df, blocks).collect())) == fast and len(fast) == len(hosts)
+
+
+def test_no_blocks_at_all(spark, monkeypatch):
+    monkeypatch.setattr(G, "MAX_BROADCAST_BLOCKS", -1)
+    hosts = spark.createDataFrame([("10.1.2.3",)], "host string")
+    r = G.geolocate_ip(hosts, _blocks(spark, [("10.1.0.0/16", 2, "Mid")]).limit(0)).collect()
+    assert [tuple(x) for x in r] == [("10.1.2.3", None, None)]
