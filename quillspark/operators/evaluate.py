@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators import logistic as LG
 from quillspark.operators.ranking import rank_within
+from quillspark.session import bounded_broadcast, checkpointed
 
 
 def holdout_split(df: DataFrame, repeats: int, train_pct: int) -> DataFrame:
@@ -48,7 +52,6 @@ def boxplot_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences) and outlier
     count per group."""
     from quillspark.operators.ranking import exact_quantiles
-    from quillspark.session import bounded_broadcast, checkpointed
     df = checkpointed(df.select(group, value))  # read three times: sizes, quantiles, whiskers
     q = exact_quantiles(df, value, (0.25, 0.5, 0.75), [group], ("q1", "median", "q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -74,37 +77,6 @@ def sort_scores(scores: DataFrame, by_model, other_model) -> DataFrame:
 
 
 # ---- classifiers ---------------------------------------------------------------------------------
-def _vectors(df: DataFrame, x_col: str, label_col: str) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    return df.select("rep", "vec_id", "is_train", array_to_vector(x_col).alias("features"),
-                     F.col(label_col).cast("double").alias("label"))
-
-
-# Rows of feature vectors per training task: iterative fits run one job per iteration, so
-# a small table spread over many tasks pays the scheduling cost every iteration.
-ROWS_PER_TRAIN_TASK = 200_000
-
-
-def _split_table(split: DataFrame, df: DataFrame, x_col: str, label_col: str) -> DataFrame:
-    """Split rows with their vectors, checkpointed once for all repeats and models, and
-    narrowed (no shuffle) to about ROWS_PER_TRAIN_TASK rows per partition."""
-    import math
-
-    from quillspark.session import checkpointed
-    joined = split.join(df.select("vec_id", x_col, label_col), "vec_id")
-    data = checkpointed(_vectors(joined, x_col, label_col))
-    want = max(1, math.ceil(data.count() / ROWS_PER_TRAIN_TASK))
-    return data.coalesce(want) if want < data.rdd.getNumPartitions() else data
-
-
-def _fit_score(model, data: DataFrame, rep: int) -> float:
-    part = data.where(F.col("rep") == rep)
-    fitted = model.fit(part.where("is_train"))
-    pred = fitted.transform(part.where(~F.col("is_train")))
-    hit = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-    return float("nan") if hit is None else float(hit)  # no test rows
-
-
 def _run_fits(tasks, parallelism: int):
     """Run independent fits from up to ``parallelism`` driver threads (as Spark ML's
     CrossValidator does): each fit is a sequence of small distributed jobs, so
@@ -116,34 +88,61 @@ def _run_fits(tasks, parallelism: int):
         return list(pool.map(lambda t: t(), tasks))
 
 
+def _accuracies(predictions: DataFrame, wanted: list[tuple], *by: str) -> DataFrame:
+    """(by..., accuracy) for the ``wanted`` combinations (repeats x models); NaN without test rows."""
+    hit = F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy")
+    found = {tuple(r[:-1]): r["accuracy"] for r in predictions.groupBy(*by).agg(hit).collect()}
+    schema = ", ".join({"rep": "rep int", "model": "model string"}[b] for b in by)
+    rows = [(*w, found.get(w, float("nan"))) for w in wanted]
+    return predictions.sparkSession.createDataFrame(rows, f"{schema}, accuracy double")
+
+
 def train_logistic(df: DataFrame, split: DataFrame, max_iter: int = 100, x_col: str = "x",
-                   label_col: str = "label", parallelism: int = 4) -> DataFrame:
-    """(rep, accuracy): multinomial logistic regression per repeat, test accuracy."""
-    from pyspark.ml.classification import LogisticRegression
-    data = _split_table(split, df, x_col, label_col)
-    reps = sorted(r[0] for r in split.select("rep").distinct().collect())  # R repeats
-    lr = LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter)
-    scores = _run_fits([lambda rep=rep: _fit_score(lr, data, rep) for rep in reps], parallelism)
-    rows = list(zip(reps, scores))
-    return df.sparkSession.createDataFrame(rows, "rep int, accuracy double")
+                   label_col: str = "label") -> DataFrame:
+    """(rep, accuracy): multinomial logistic regression per repeat, test accuracy. One training
+    loop for all repeats (``operators/logistic.py``)."""
+    data, reps = LG.split_table(df, split, x_col, label_col)
+    weights = LG.fit_logistic(data, len(reps), max_iter)
+    return _accuracies(LG.predict_test_rows(data, reps, weights), [(r,) for r in reps], "rep")
+
+
+def _mlp_predictions(data: DataFrame, reps: list[int], d: int, k: int, hidden: tuple[int, ...], max_iter: int,
+                     seed: int, parallelism: int) -> DataFrame:
+    """(rep, vec_id, label, pred) of the test rows by a perceptron per repeat."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+    mlp = MultilayerPerceptronClassifier(layers=[d, *hidden, max(k, 2)], maxIter=max_iter, seed=seed)
+    rows = data.select("vec_id", "role", array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
+    role = lambda i, r: F.get("role", F.lit(i)) == r
+    fitted = _run_fits([lambda i=i: mlp.fit(rows.where(role(i, 1))) for i in range(len(reps))], parallelism)
+    out = [m.transform(rows.where(role(i, 0))).select(
+        F.lit(rep).cast("int").alias("rep"), F.col("vec_id").cast("long").alias("vec_id"),
+        F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
+        for i, (rep, m) in enumerate(zip(reps, fitted))]
+    return reduce(DataFrame.unionAll, out)
+
+
+def classifier_predictions(df: DataFrame, split: DataFrame, hidden: tuple[int, ...] = (16,), max_iter: int = 100,
+                           x_col: str = "x", label_col: str = "label", seed: int = 7, parallelism: int = 4
+                           ) -> tuple[DataFrame, list[int]]:
+    """((rep, model, vec_id, label, pred), repeats): the stored predictions of logistic
+    regression and a multilayer perceptron for the test rows of every repeat, both trained on
+    the same rows. They read one stored table, whose rows know their role in every repeat. An
+    empty table gives none."""
+    data, reps = LG.split_table(df, split, x_col, label_col)
+    d, k = LG.shape_of(data)
+    if not d:
+        return df.sparkSession.createDataFrame([], "rep int, model string, vec_id long, label int, pred int"), []
+    weights = LG.fit_logistic(data, len(reps), max_iter)
+    models = {"logistic": LG.predict_test_rows(data, reps, weights),
+              "mlp": _mlp_predictions(data, reps, d, k, hidden, max_iter, seed, parallelism)}
+    named = [p.select("rep", F.lit(name).alias("model"), "vec_id", "label", "pred") for name, p in models.items()]
+    return checkpointed(named[0].unionAll(named[1])), reps
 
 
 def compare_classifiers(df: DataFrame, split: DataFrame, hidden: tuple[int, ...] = (16,),
                         max_iter: int = 100, x_col: str = "x", label_col: str = "label",
                         seed: int = 7, parallelism: int = 4) -> DataFrame:
-    """(rep, model, accuracy): logistic regression and a multilayer perceptron trained and
-    tested on the same split of every repeat."""
-    from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-    data = _split_table(split, df, x_col, label_col)
-    d = len(data.select("features").first()[0])
-    k = int(data.agg(F.max("label")).first()[0]) + 1
-    reps = sorted(r[0] for r in split.select("rep").distinct().collect())  # R repeats
-    models = {
-        "logistic": LogisticRegression(family="multinomial", regParam=0.0, maxIter=max_iter),
-        "mlp": MultilayerPerceptronClassifier(layers=[d, *hidden, k], maxIter=max_iter, seed=seed),
-    }
-    pairs = [(rep, name) for rep in reps for name in models]
-    scores = _run_fits([lambda rep=rep, name=name: _fit_score(models[name], data, rep)
-                        for rep, name in pairs], parallelism)
-    rows = [(rep, name, acc) for (rep, name), acc in zip(pairs, scores)]
-    return df.sparkSession.createDataFrame(rows, "rep int, model string, accuracy double")
+    """(rep, model, accuracy) of ``classifier_predictions``; NaN without test rows."""
+    found, reps = classifier_predictions(df, split, hidden, max_iter, x_col, label_col, seed, parallelism)
+    return _accuracies(found, [(r, m) for r in reps for m in ("logistic", "mlp")], "rep", "model")

@@ -2,8 +2,8 @@
 
 Images are rows with a row-major ``array<double>`` of n*n pixels (p = r*n + c). Every
 per-image operator here is an array expression, so it runs as a projection: no shuffle,
-however many images there are. Small closed-form matrices (n x n, n^2 x n^2) are built
-with numpy on the driver; their size depends on the resolution only.
+however many images there are. Small closed-form matrices are built with numpy on the driver;
+their size depends on the resolution only. Transforms and systems are in ``spectral.py``.
 """
 
 from __future__ import annotations
@@ -90,14 +90,6 @@ def dct2_matrix(n: int) -> np.ndarray:
     return np.kron(c, c)
 
 
-def laplacian_solve_matrix(n: int, lam: float, gam: float) -> np.ndarray:
-    """(lam L + gam I)^-1 through its cosine diagonalisation (never a dense solve)."""
-    k = dct2_matrix(n)
-    lv = path_eigenvalues(n)
-    m = 1.0 / (lam * (lv[:, None] + lv[None, :]).reshape(-1) + gam)
-    return k.T @ (m[:, None] * k)
-
-
 # ---- per-image array expressions ----------------------------------------------------------
 def grid_diff_expr(x, n: int) -> Column:
     """D x for each image: n(n-1) down differences, then n(n-1) across differences."""

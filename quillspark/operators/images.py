@@ -16,10 +16,12 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 
 from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import soft_threshold_array
+from quillspark.operators import decompose as DC
 from quillspark.operators import grid as GR
 from quillspark.operators import matrix as MX
+from quillspark.operators import spectral as SP
 from quillspark.operators.features import rank_normalize_wide
-from quillspark.session import checkpointed
+from quillspark.session import checkpointed, ship_package
 
 
 def _sign_fix(v: np.ndarray) -> np.ndarray:
@@ -36,11 +38,9 @@ def _shrink(x: np.ndarray, l: float) -> np.ndarray:
 
 # ---- embedding matrices ----------------------------------------------------------------------
 def principal_axes(df: DataFrame, x_col: str = "x") -> tuple[np.ndarray, np.ndarray]:
-    """Eigenvalues (descending) and eigenvectors (columns) of X^T X."""
-    d = MX.dim_of(df, x_col)
-    g = MX.collect_matrix(MX.gram_matrix(df, x_col), (d, d))
-    w, v = np.linalg.eigh(g)
-    return w[::-1], _sign_fix(v[:, ::-1])
+    """Eigenvalues (descending) and eigenvectors (columns) of X^T X, from the R factor of X."""
+    s, v = DC.right_singular(df, MX.dim_of(df, x_col), x_col)
+    return s ** 2, _sign_fix(v)
 
 
 def image_embedding(df: DataFrame, res: int, x_col: str = "x") -> np.ndarray:
@@ -70,40 +70,41 @@ def tv_smooth_images(df: DataFrame, f: np.ndarray, res: int, lam: float, gam: fl
                      rounds: int, x_col: str = "x", errors: bool = True) -> DataFrame:
     """(vec_id, img, sq_err): images minimising |D phi|_1 + fidelity to x, T rounds each.
 
-    Images are independent, so all rounds run inside one pass over row batches; the
-    system matrix A = gam D^T D + f^T f is inverted once on the driver (n^2 x n^2).
+    Images are independent, so all rounds run inside one pass over row batches. A round works in
+    the cosine basis, where the system gam D^T D + f^T f is a division per mode (for an f that is
+    no orthonormal set of modes, with a d x d correction); see ``spectral.TvSystem``. What is
+    broadcast is f itself and the res x res basis.
     ``sq_err[t]`` is the row's squared rebuild error after round t (empty without ``errors``,
     which saves a product every round).
     """
     spark = df.sparkSession
-    dm = GR.diff_matrix(res)
-    a = gam * dm.T @ dm + f.T @ f
-    try:
-        a_inv = np.linalg.inv(a)
-    except np.linalg.LinAlgError:
-        a_inv = np.linalg.pinv(a)
-    b_f, b_d, b_a = (MX.broadcast_matrix(spark, m) for m in (f, dm, a_inv))
+    ship_package(spark)
+    MX.check_cells(f.shape, "a broadcast matrix")
+    shared = spark.sparkContext.broadcast((SP.TvSystem(f, res, gam), GR.cosine_basis(res)))
+
+    def smooth(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        system, c = shared.value
+        h = x @ system.f_hat
+        phi_hat, phi = h, SP.idct2(h, c)
+        q = b = np.zeros((len(x), 2 * res * (res - 1)))
+        errs = np.zeros((len(x), rounds if errors else 0))
+        for t in range(rounds):
+            phi_hat = system.solve(h + gam * SP.dct2(SP.differences_adjoint(q - b, res), c))
+            phi = SP.idct2(phi_hat, c)
+            dphi = SP.differences(phi, res)
+            q = _shrink(b + dphi, lam / gam)
+            b = b + dphi - q
+            if errors:
+                errs[:, t] = ((phi_hat @ system.f_hat.T - x) ** 2).sum(axis=1)
+        return phi, errs
 
     def run(batches):
-        fm, d, ai = b_f.value, b_d.value, b_a.value
         for pdf in batches:
-            if pdf.empty:
-                continue
-            x = MX._stack(pdf[x_col])
-            h = x @ fm
-            phi = h
-            q = np.zeros((len(x), d.shape[0]))
-            b = np.zeros_like(q)
-            errs = np.zeros((len(x), rounds if errors else 0))
-            for t in range(rounds):
-                phi = (h + gam * (q - b) @ d) @ ai.T
-                dphi = phi @ d.T
-                q = _shrink(b + dphi, lam / gam)
-                b = b + dphi - q
-                if errors:
-                    errs[:, t] = ((phi @ fm.T - x) ** 2).sum(axis=1)
-            yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("int64"), "img": list(phi),
-                                "sq_err": list(errs)})
+            for s in SP.blocks(len(pdf), 4 * res * res):
+                part = pdf.iloc[s]
+                phi, errs = smooth(MX._stack(part[x_col]))
+                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy("int64"), "img": list(phi),
+                                    "sq_err": list(errs)})
 
     return df.select("vec_id", x_col).mapInPandas(run, _TV_SCHEMA)
 
@@ -140,14 +141,13 @@ def tv_image_embedding(df: DataFrame, f0: np.ndarray, res: int, lam: float, gam:
     """Embedding matrix under a TV penalty by alternating updates.
 
     Per round: f = U V^T from the SVD of X^T Y (distributed sum, d x n^2 on the driver);
-    z = shrink(Y D^T, lam) and Y = (lam L + gam I)^-1 (lam z D + gam X f) per row (cosine
-    diagonalisation, precomputed). The row state is checkpointed every round so lineage
-    stays one round long and a lost executor recomputes one round at most.
+    z = shrink(Y D^T, lam) and Y = (lam L + gam I)^-1 (lam z D + gam X f) per row, solved in the
+    cosine basis. The row state is checkpointed every round so lineage stays one round long and
+    a lost executor recomputes one round at most.
     """
     spark = df.sparkSession
-    dm = GR.diff_matrix(res)
-    s = GR.laplacian_solve_matrix(res, lam, gam)
-    b_d, b_s = MX.broadcast_matrix(spark, dm), MX.broadcast_matrix(spark, s)
+    b_c = MX.broadcast_matrix(spark, GR.cosine_basis(res))
+    scale = 1.0 / (lam * SP.grid_eigenvalues(res) + gam)
     state = checkpointed(MX.project_rows(df.select("vec_id", x_col), f0, x_col, "y"))
     d = f0.shape[0]
     f = f0
@@ -155,25 +155,25 @@ def tv_image_embedding(df: DataFrame, f0: np.ndarray, res: int, lam: float, gam:
     schema = StructType([StructField("vec_id", LongType()), StructField(x_col, ArrayType(DoubleType())),
                          StructField("y", ArrayType(DoubleType())), StructField("obj", DoubleType())])
     for _ in range(rounds):
-        xty = MX.collect_matrix(MX.cross_product(state, x_col, "y"), (d, res * res))
+        xty = MX.product_array(state, (d, res * res), x_col, "y")
         u, _, vt = np.linalg.svd(xty, full_matrices=False)
         f = u @ vt
         b_f = MX.broadcast_matrix(spark, f)
 
         def step(batches, b_f=b_f):
-            fm, dd, ss = b_f.value, b_d.value, b_s.value
+            fm, c = b_f.value, b_c.value
             for pdf in batches:
-                if pdf.empty:
-                    continue
-                x = MX._stack(pdf[x_col])
-                y = MX._stack(pdf["y"])
-                z = _shrink(y @ dd.T, lam)
-                xf = x @ fm
-                y_new = (lam * z @ dd + gam * xf) @ ss.T
-                obj = (np.abs(z).sum(1) + 0.5 * lam * ((z - y_new @ dd.T) ** 2).sum(1)
-                       + 0.5 * gam * ((y_new - xf) ** 2).sum(1))
-                yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("int64"), x_col: list(x),
-                                    "y": list(y_new), "obj": obj})
+                for s in SP.blocks(len(pdf), 4 * res * res):
+                    part = pdf.iloc[s]
+                    x, y = MX._stack(part[x_col]), MX._stack(part["y"])
+                    z = _shrink(SP.differences(y, res), lam)
+                    xf = x @ fm
+                    right = lam * SP.differences_adjoint(z, res) + gam * xf
+                    y_new = SP.idct2(SP.dct2(right, c) * scale, c)
+                    obj = (np.abs(z).sum(1) + 0.5 * lam * ((z - SP.differences(y_new, res)) ** 2).sum(1)
+                           + 0.5 * gam * ((y_new - xf) ** 2).sum(1))
+                    yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy("int64"), x_col: list(x),
+                                        "y": list(y_new), "obj": obj})
 
         state = checkpointed(state.select("vec_id", x_col, "y").mapInPandas(step, schema))
         objectives.append(float(state.agg(F.sum("obj")).first()[0] or 0.0))
@@ -204,14 +204,36 @@ def gaussian_basis_frame(spark: SparkSession, res: int, centres: np.ndarray, sig
     return g.select("p", "k", F.exp(-d2 / F.lit(sigma)).alias("w"))
 
 
-def gaussian_raster(df: DataFrame, basis: np.ndarray, x_col: str = "x", out_col: str = "img") -> DataFrame:
+def gaussian_factors(res: int, centres: np.ndarray, sigma: float) -> tuple[np.ndarray, np.ndarray]:
+    """(down, across), both res x k: a Gaussian of the plane is the product of its two axes'."""
+    at = np.arange(res) / (res - 1)
+    c = np.asarray(centres, dtype=float)
+    return tuple(np.exp(-(c[None, :, axis] - at[:, None]) ** 2 / sigma) for axis in (1, 0))
+
+
+def gaussian_raster(df: DataFrame, res: int, centres: np.ndarray, sigma: float, x_col: str = "x",
+                    out_col: str = "img") -> DataFrame:
     """Image of a row = sum over features of value x that feature's Gaussian; a row whose
-    number of features is not the number of Gaussians is an error."""
-    k = basis.shape[1]
+    number of features is not the number of Gaussians is an error.
+
+    The Gaussians are separable, so an image is one product of two thin factors, the first
+    scaled by the row: 2 x res x k numbers are broadcast instead of the res^2 x k basis.
+    """
+    k = len(centres)
     fits = F.size(x_col) == k
     wrong = F.raise_error(F.format_string(f"a row has %d features for {k} Gaussians", F.size(x_col)))
     src = df.withColumn("_xk", F.when(fits, F.col(x_col)).otherwise(wrong.cast("array<double>")))
-    return MX.project_rows(src, basis.T, "_xk", out_col).drop("_xk")
+    MX.check_cells((2, res, k), "the broadcast factors")
+    shared = df.sparkSession.sparkContext.broadcast(gaussian_factors(res, centres, sigma))
+
+    def paint(x: np.ndarray) -> np.ndarray:
+        down, across = shared.value
+        out = np.empty((len(x), res * res))
+        for s in SP.blocks(len(x), res * max(res, k)):
+            out[s] = ((x[s][:, None, :] * down) @ across.T).reshape(-1, res * res)
+        return out
+
+    return MX.map_rows(src, paint, "_xk", out_col).drop("_xk")
 
 
 def feature_affinity(df: DataFrame, gamma: float, x_col: str = "x") -> DataFrame:
@@ -244,15 +266,38 @@ def spectral_layout(affinity: np.ndarray) -> np.ndarray:
     return emb[:, 1:3]
 
 
+#: Cells of an affinity matrix that the driver decomposes itself (2,048 features); beyond,
+#: the same vectors come from products on the executors.
+MAX_DENSE_CELLS = 1 << 22
+
+
 def feature_layout(df: DataFrame, gamma: float, x_col: str = "x") -> np.ndarray:
-    """d x 2 plane positions of the features: spectral layout, coordinates -> rank / d."""
-    aff = MX.collect_matrix(feature_affinity(df, gamma, x_col).select("i", "j", F.col("a").alias("g")))
-    emb = spectral_layout(aff)
-    d = emb.shape[0]
+    """d x 2 plane positions of the features: spectral layout, coordinates -> rank / d.
+
+    With more than MAX_DENSE_CELLS affinities these stay on the executors, in tiles, and the
+    layout's two vectors are found by Lanczos rounds; only vectors reach the driver.
+    """
+    d = MX.dim_of(df, x_col)
+    if d * d <= min(MAX_DENSE_CELLS, MX.MAX_CELLS):
+        emb = spectral_layout(MX.collect_matrix(feature_affinity(df, gamma, x_col)
+                                                .select("i", "j", F.col("a").alias("g")), (d, d)))
+    else:
+        emb = tiled_layout(DC.affinity_tiles(df, gamma, d, x_col), d)
     out = np.zeros_like(emb)
-    for k in range(2):
+    for k in range(emb.shape[1]):
         out[np.argsort(emb[:, k], kind="stable"), k] = np.arange(d)
-    return out / d
+    return out / max(d, 1)
+
+
+def tiled_layout(tiles: DataFrame, d: int) -> np.ndarray:
+    """``spectral_layout`` of an affinity matrix in tiles. The constant vector of the normalised
+    Laplacian is known, sqrt(degree); the two smoothest others are the leading vectors of the
+    scaled affinities beside it."""
+    degree = DC.tiles_times(tiles, np.ones(d))
+    s = np.sqrt(degree)
+    s[s == 0] = 1.0
+    v = DC.leading_vectors(lambda x: DC.tiles_times(tiles, x / s) / s, d, 2, np.sqrt(degree))
+    return _sign_fix(v / s[:, None])
 
 
 def splat_images(df: DataFrame, res: int, sigma: float, gamma: float,
@@ -262,5 +307,4 @@ def splat_images(df: DataFrame, res: int, sigma: float, gamma: float,
     ranked = checkpointed(rank_normalize_wide(df))
     if layout is None:
         layout = feature_layout(ranked, gamma)
-    basis = gaussian_basis(res, layout, sigma)
-    return gaussian_raster(ranked, basis)
+    return gaussian_raster(ranked, res, layout, sigma)

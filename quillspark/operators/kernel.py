@@ -47,17 +47,17 @@ def rbf_pairs(df: DataFrame, lm: np.ndarray, gamma: float, x_col: str = "x",
     return df.select("vec_id", x_col).mapInPandas(run, schema)
 
 
-def kernel_pca(df: DataFrame, m: int, n_components: int, gamma: float | None = None,
+def kernel_pca(df: DataFrame, m: int, n_components: int | None, gamma: float | None = None,
                x_col: str = "x", out_col: str = "z") -> DataFrame:
     """(vec_id, z): RBF kernel principal coordinates, fitted on every row through m landmarks.
 
     A row's features are its kernel values against the landmarks times K_mm^(-1/2); their inner
     products approximate the kernel. Mean and covariance of the features are sums over all rows
     (one Gram pass), and the axes are the covariance's leading eigenvectors: m x m numbers on
-    the driver, whatever the row count. ``m`` must exceed ``n_components``; components without
-    variance are dropped.
+    the driver, whatever the row count. ``m`` must exceed ``n_components`` (None: all);
+    components without variance are dropped.
     """
-    if m <= n_components:
+    if n_components is not None and m <= n_components:
         raise ValueError(f"{n_components} components need more than {m} landmarks")
     _, lm = landmarks(df, m, x_col)
     gamma = gamma if gamma is not None else 1.0 / lm.shape[1]
@@ -69,7 +69,7 @@ def kernel_pca(df: DataFrame, m: int, n_components: int, gamma: float | None = N
     # A constant feature makes the Gram matrix carry the sums and the row count too.
     one = phi.withColumn("_phi", F.concat("_phi", F.array(F.lit(1.0))))
     d = half.shape[1]
-    g = MX.collect_matrix(MX.gram_matrix(one, "_phi"), (d + 1, d + 1))
+    g = MX.product_array(one, (d + 1, d + 1), "_phi")
     mean = g[:d, d] / g[d, d]
     lam, axes = np.linalg.eigh(g[:d, :d] - g[d, d] * np.outer(mean, mean))
     lam, axes = lam[::-1][:n_components], axes[:, ::-1][:, :n_components]

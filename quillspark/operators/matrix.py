@@ -2,17 +2,18 @@
 
 Rows stay distributed; a small matrix (size set by features / pixels / landmarks, never by
 the row count) is broadcast once and applied to Arrow batches with numpy inside
-``mapInPandas``. Sums over rows (X^T X, X^T Y) are per-partition partial matrices emitted
-as (i, j, value) rows and added by a group-by, so the shuffle is partitions x entries,
-independent of the number of rows.
+``mapInPandas``. Sums over rows (X^T X, X^T Y) are per-partition partial matrices, cut into
+packed tiles that a tree of two shuffles adds element by element, so the shuffle is partitions x
+tiles rows, independent of the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
@@ -45,68 +46,149 @@ def broadcast_matrix(spark: SparkSession, m: np.ndarray):
     return spark.sparkContext.broadcast(m)
 
 
+def map_rows(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], x_col: str = "x", out_col: str = "y",
+             keep: Sequence[str] | None = None) -> DataFrame:
+    """``fn`` applied to the rows of ``x_col`` a batch at a time, as a matrix (rows x d) that it
+    turns into one of as many rows; NULL x stays NULL. Kept columns pass through untouched."""
+    keep = [c for c in (keep if keep is not None else df.columns) if c != out_col]
+    ship_package(df.sparkSession)
+    schema = StructType([df.schema[c] for c in keep] + [StructField(out_col, ArrayType(DoubleType()))])
+    src = df.select(*keep, F.col(x_col).cast("array<double>").alias("__x"))
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            column = b.column(len(keep))
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            y = fn(column_matrix(column.filter(pa.array(there)))) if there.any() else np.zeros((0, 0))
+            offsets = np.concatenate(([0], np.cumsum(there * y.shape[1]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(~there, False)), pa.array(y.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], lists], names=[*keep, out_col])
+
+    return src.mapInArrow(run, schema)
+
+
 def project_rows(df: DataFrame, m: np.ndarray, x_col: str = "x", out_col: str = "y",
                  keep: Sequence[str] | None = None) -> DataFrame:
     """Row x matrix: ``out = x @ m`` for every row (m is d x k); NULL x stays NULL."""
-    keep = [c for c in (keep if keep is not None else df.columns) if c != out_col]
     bm = broadcast_matrix(df.sparkSession, m)
-    fields = [df.schema[c] for c in keep] + [StructField(out_col, ArrayType(DoubleType()))]
-    schema = StructType(fields)
-    src = df.select(*dict.fromkeys([*keep, x_col]))
+    return map_rows(df, lambda x: x @ bm.value, x_col, out_col, keep)
 
-    def run(batches):
-        mat = bm.value
-        for pdf in batches:
-            ok = pdf[x_col].notna().to_numpy()
-            out = pdf[keep].copy()
-            res = [None] * len(pdf)
-            if ok.any():
-                y = _stack(pdf[x_col][ok]) @ mat
-                for i, row in zip(np.flatnonzero(ok), y):
-                    res[i] = row
-            out[out_col] = res
-            yield out
 
-    return src.mapInPandas(run, schema)
+def column_matrix(column: pa.Array) -> np.ndarray:
+    """An Arrow list column without null rows as a matrix; NULL elements become NaN."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    if len(sizes) and (sizes != sizes[0]).any():
+        raise ValueError(f"rows of {sizes.min()} to {sizes.max()} values where all should be equally long")
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(float, copy=False).reshape(len(sizes), -1)
+
 
+# ---- packed sums ------------------------------------------------------------------------------
+# Partials added by one task of the first level of the tree.
+FAN_IN = 64
 
-_IJG = StructType([StructField("i", IntegerType()), StructField("j", IntegerType()),
-                   StructField("g", DoubleType())])
 
+def add_packed(partials: DataFrame, keys: Sequence[str], packed: str,
+               merge: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add) -> DataFrame:
+    """Sum of the ``packed`` arrays (array<double>) of each key, element by element, or what
+    ``merge`` makes of two of them.
 
-def _partial_products(df: DataFrame, x_col: str, y_col: str | None, upper: bool) -> DataFrame:
+    A partial is one shuffled row whatever its length. Partials are added in a tree of two
+    levels, FAN_IN input partitions a key first, so no task adds those of all partitions; a task
+    reads them one by one and holds one sum a key. ``keys``: integer columns.
+    """
+    ship_package(partials.sparkSession)
+    keys = list(keys)
+    fields = [partials.schema[k] for k in keys] + [partials.schema[packed]]
+    schema = StructType(fields)
+
+    def add(batches):
+        sums: dict[tuple, np.ndarray] = {}
+        for b in batches:
+            lists = b.column(len(keys))
+            flat, sizes = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy()
+            stop = np.cumsum(sizes)
+            for key, i, j in zip(zip(*(b.column(k).to_pylist() for k in range(len(keys)))), stop - sizes, stop):
+                sums[key] = merge(sums[key], flat[i:j]) if key in sums else flat[i:j].astype(float)
+        for key, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()) for k in key] + [pa.array([total])],
+                                             names=[*keys, packed])
+
+    level = partials.withColumn("_salt", F.floor(F.spark_partition_id() / F.lit(FAN_IN)))
+    level = level.repartition(*keys, "_salt").select(*keys, packed).mapInArrow(add, schema)
+    return level.repartition(*keys).mapInArrow(add, schema)
+
+
+# ---- products of rows ---------------------------------------------------------------------------
+# Rows and columns of a tile of X^T Y; a tile is one packed row (32 KB).
+TILE = 64
+_TILES = StructType([StructField("ti", IntegerType()), StructField("tj", IntegerType()),
+                     StructField("width", IntegerType()), StructField("tile", ArrayType(DoubleType()))])
+
+
+def product_tiles(df: DataFrame, x_col: str, y_col: str | None = None) -> DataFrame:
+    """(ti, tj, width, tile): X^T Y (or X^T X, tiles on and above the diagonal only) of the rows
+    whose arrays are not NULL, as packed tiles of TILE x TILE cells in row order."""
     cols = [x_col] if y_col is None else [x_col, y_col]
     ship_package(df.sparkSession)
+    there = F.lit(True)
+    for c in cols:
+        there = there & F.col(c).isNotNull()
+    src = df.where(there).select(*[F.col(c).cast("array<double>").alias(f"m{i}") for i, c in enumerate(cols)])
 
     def run(batches):
         acc = None
-        for pdf in batches:
-            ok = pdf[cols].notna().all(axis=1).to_numpy()
-            if not ok.any():
+        for b in batches:
+            if not b.num_rows:
                 continue
-            x = _stack(pdf[x_col][ok])
-            y = x if y_col is None else _stack(pdf[y_col][ok])
-            part = x.T @ y
+            x = column_matrix(b.column(0))
+            part = x.T @ (x if y_col is None else column_matrix(b.column(1)))
             acc = part if acc is None else acc + part
         if acc is None:
             return
-        ii, jj = np.triu_indices(acc.shape[0]) if upper else np.indices(acc.shape).reshape(2, -1)
-        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "g": acc[ii, jj]})
+        for i in range(0, acc.shape[0], TILE):
+            for j in range(i if y_col is None else 0, acc.shape[1], TILE):
+                tile = acc[i:i + TILE, j:j + TILE]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i // TILE], pa.int32()), pa.array([j // TILE], pa.int32()),
+                     pa.array([tile.shape[1]], pa.int32()), pa.array([tile.ravel()])],
+                    names=["ti", "tj", "width", "tile"])
 
-    return df.select(*cols).mapInPandas(run, _IJG)
+    return add_packed(src.mapInArrow(run, _TILES), ["ti", "tj", "width"], "tile")
 
 
 def gram_matrix(df: DataFrame, x_col: str = "x") -> DataFrame:
-    """(i, j, g) = X^T X, both triangles; partials carry the upper triangle only."""
-    up = _partial_products(df, x_col, None, upper=True).groupBy("i", "j").agg(F.sum("g").alias("g"))
-    low = up.where(F.col("i") != F.col("j")).select(F.col("j").alias("i"), F.col("i").alias("j"), "g")
-    return up.unionByName(low)
+    """(i, j, g) = X^T X, both triangles; only tiles on and above the diagonal are summed."""
+    cells = _cells(product_tiles(df, x_col))
+    both = F.when(F.col("ti") == F.col("tj"), F.array(F.struct("i", "j"))) \
+        .otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return cells.select(F.explode(both).alias("c"), "g").select("c.i", "c.j", "g")
 
 
 def cross_product(df: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFrame:
     """(i, j, g) = X^T Y for two array columns of the same rows."""
-    return _partial_products(df, x_col, y_col, upper=False).groupBy("i", "j") \
-        .agg(F.sum("g").alias("g"))
+    return _cells(product_tiles(df, x_col, y_col)).select("i", "j", "g")
+
+
+def _cells(tiles: DataFrame) -> DataFrame:
+    long = tiles.select("ti", "tj", "width", F.posexplode("tile").alias("pos", "g"))
+    return long.select("ti", "tj", (F.col("ti") * TILE + (F.col("pos") / F.col("width")).cast("int")).alias("i"),
+                       (F.col("tj") * TILE + F.col("pos") % F.col("width")).alias("j"), "g")
+
+
+def product_array(df: DataFrame, shape: tuple[int, int], x_col: str = "x", y_col: str | None = None) -> np.ndarray:
+    """X^T Y (or X^T X) at the driver, brought there tile by tile; zeros for a table without rows."""
+    check_cells(shape, "a collected matrix")
+    m = np.zeros(shape)
+    for r in product_tiles(df, x_col, y_col).toLocalIterator():
+        tile = np.array(r["tile"]).reshape(-1, r["width"])
+        i, j = r["ti"] * TILE, r["tj"] * TILE
+        m[i:i + tile.shape[0], j:j + tile.shape[1]] = tile
+        if y_col is None:
+            m[j:j + tile.shape[1], i:i + tile.shape[0]] = tile.T
+    return m
 
 
 def collect_matrix(ijg: DataFrame, shape: tuple[int, int] | None = None) -> np.ndarray:

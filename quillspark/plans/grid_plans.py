@@ -8,6 +8,7 @@ from quillspark.functions.arrays import explode_rows
 from quillspark.functions.numeric import soft_threshold_array
 from quillspark.operators import grid as GR
 from quillspark.operators import matrix as MX
+from quillspark.operators import spectral as SP
 from quillspark.plans.feature_plans import feats
 from quillspark.plans.registry import register
 from quillspark.sources import constants as K
@@ -109,8 +110,7 @@ SELECT l.vec_id, c1.k * {n} + c2.k AS p, round(sum(c1.c * c2.c * l.v), 6) AS v
 FROM l JOIN c c1 ON c1.j = l.p // {n} JOIN c c2 ON c2.j = l.p % {n}
 GROUP BY 1, 2""")
 def cosine_transform_2d(spark, sf):
-    y = MX.project_rows(feats(spark, sf), GR.dct2_matrix(n).T, "x", "y", keep=["vec_id"])
-    return _explode(y, "y")
+    return _explode(SP.cosine_transform(feats(spark, sf), n, keep=["vec_id"]), "y")
 
 
 _LAM, _GAM = 0.1, 0.1
@@ -129,9 +129,7 @@ FROM scaled s JOIN c c1 ON c1.k = s.a JOIN c c2 ON c2.k = s.b
 GROUP BY 1, 2""")
 def laplacian_solve(spark, sf):
     """y with (lam L + gam I) y = x for every image, lam = gam = 0.1."""
-    s = GR.laplacian_solve_matrix(n, _LAM, _GAM)
-    y = MX.project_rows(feats(spark, sf), s.T, "x", "y", keep=["vec_id"])
-    return _explode(y, "y")
+    return _explode(SP.laplacian_solve(feats(spark, sf), n, _LAM, _GAM, keep=["vec_id"]), "y")
 
 
 _MAT = """SELECT CAST(k.range AS INTEGER) AS k, CAST(p.range AS INTEGER) AS p,
@@ -176,7 +174,7 @@ FROM y a JOIN y b ON a.vec_id = b.vec_id AND b.p = a.p + 1 AND a.p % {n} <> {n -
 
 def _images_f10(spark, sf):
     """images y = x f with f the 64 x 64 orthonormal cosine basis."""
-    return MX.project_rows(feats(spark, sf), GR.dct2_matrix(n), "x", "y", keep=["vec_id", "x"])
+    return SP.cosine_transform(feats(spark, sf), n, keep=["vec_id", "x"], inverse=True)
 
 
 @register("embedding_variation", f"""
@@ -197,7 +195,7 @@ FROM r JOIN ({_LONG}) l ON r.vec_id = l.vec_id AND r.p = l.p""")
 def fit_residual(spark, sf):
     """Frobenius distance between the rows and their rebuild from shrunk coefficients."""
     y = _images_f10(spark, sf).withColumn("y", soft_threshold_array("y", 0.1))
-    back = MX.project_rows(y, GR.dct2_matrix(n).T, "y", "xr", keep=["vec_id", "x"])
+    back = SP.cosine_transform(y, n, "y", "xr", keep=["vec_id", "x"])
     sq = back.select(F.aggregate(F.zip_with("xr", "x", lambda a, b: (a - b) * (a - b)),
                                  F.lit(0.0), lambda s, v: s + v).alias("s"))
     return sq.agg(F.round(F.sqrt(F.sum("s")), 6).alias("residual"))

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from quillspark.functions import numeric as N
 from quillspark.functions.arrays import explode_rows
 from quillspark.operators import evaluate as E
+from quillspark.operators import features as FT
 from quillspark.operators import images as IM
 from quillspark.operators import kernel as KN
+from quillspark.operators import logistic as LG
 from quillspark.operators import matrix as MX
 from quillspark.plans.feature_plans import feats
 from quillspark.plans.registry import register
+from quillspark.session import checkpointed
 from quillspark.sources import constants as K
 
 n = K.RES
@@ -57,48 +60,71 @@ SELECT l.vec_id, px.p, round(sum(l.v * exp(-((c.cx - px.x) ^ 2 + (c.cy - px.y) ^
 FROM l JOIN c ON l.p = c.k CROSS JOIN px GROUP BY 1, 2""")
 def gaussian_raster(spark, sf):
     """All features painted as Gaussians at the fixed centres (sigma 0.05)."""
-    basis = IM.gaussian_basis(n, K.centres(), K.SIGMA)
-    return _explode(IM.gaussian_raster(feats(spark, sf), basis), "img")
+    return _explode(IM.gaussian_raster(feats(spark, sf), n, K.centres(), K.SIGMA), "img")
 
 
-# The next jobs rest on eigenvectors, which SQL cannot compute. Their registered queries return
-# what SQL can: inner products, norms, sums and ranks that the method fixes; the values
-# themselves are checked against NumPy in tests/test_images.py.
-def _inner_products(long, row, col, val):
-    """(i, j, dot): inner products of the ``row`` vectors of a long table."""
-    a = long.select(F.col(row).alias("i"), F.col(col).alias("_c"), F.col(val).alias("_a"))
-    b = long.select(F.col(row).alias("j"), F.col(col).alias("_c"), F.col(val).alias("_b"))
-    return a.join(b, "_c").groupBy("i", "j").agg(F.round(F.sum(F.col("_a") * F.col("_b")), 6).alias("dot"))
+# The next jobs rest on eigenvectors, which SQL cannot compute. A query with SQL returns what
+# follows from the data whatever solver was used (distances, reconstructions, pixels with a closed
+# form); the query beside it without SQL returns the job's own result, which tests/ compare with
+# NumPy.
+_PAIRS = f"""WITH l AS ({_LONG}),
+lm AS (SELECT vec_id FROM embeddings ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id LIMIT {K.N_LANDMARKS}),
+b AS (SELECT l.* FROM l JOIN lm ON l.vec_id = lm.vec_id)"""
+# Products of rows that follow each other by id.
+_NEIGHBOURS = f"""WITH l AS ({_LONG})
+SELECT a.vec_id, round(sum(a.v * b.v), 6) AS dot
+FROM l a JOIN l b ON b.vec_id = a.vec_id + 1 AND b.p = a.p GROUP BY a.vec_id"""
 
 
-_IDENTITY = """SELECT CAST(a.range AS INTEGER) AS i, CAST(b.range AS INTEGER) AS j,
-CASE WHEN a.range = b.range THEN 1.0 ELSE 0.0 END::DOUBLE AS dot
-FROM range((SELECT max(len(embedding)) FROM embeddings)) a, range((SELECT max(len(embedding)) FROM embeddings)) b"""
+def _neighbour_products(images):
+    """(vec_id, dot): inner products of the images of rows that follow each other by id."""
+    after = images.select((F.col("vec_id") - 1).alias("vec_id"), F.col("img").alias("_next"))
+    dot = F.aggregate(F.zip_with("img", "_next", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    return images.join(after, "vec_id").select("vec_id", (F.round(dot, 6) + 0.0).alias("dot"))
 
 
-@register("kernel_pca", """
-SELECT CAST(a.range AS INTEGER) AS i, CAST(b.range AS INTEGER) AS j, 0.0::DOUBLE AS dot,
-  (SELECT count(*) FROM embeddings) AS n_rows
-FROM range(32) a, range(32) b WHERE a.range < b.range""")
+@register("kernel_pca", f"""{_PAIRS}
+SELECT a.vec_id AS i, c.vec_id AS j, round(2 - 2 * exp(-sum((a.v - c.v) * (a.v - c.v)) / 64), 6) AS d2
+FROM b a JOIN b c ON a.p = c.p AND a.vec_id < c.vec_id GROUP BY 1, 2""")
 def kernel_pca(spark, sf):
-    """32 RBF kernel principal coordinates, fitted on all rows through md5-ordered landmarks,
-    gamma 1/64: (i, j, dot) of different components over all rows, which is zero."""
-    z = KN.kernel_pca(feats(spark, sf), K.N_FIT_LANDMARKS, 32, 1.0 / 64)
-    z = z.select("z", F.lit(1.0).alias("_one"))
-    g = MX.gram_matrix(z.select(F.concat("z", F.array("_one")).alias("z")), "z")
-    rows = F.max(F.when((F.col("i") == 32) & (F.col("j") == 32), F.col("g")))
-    n_rows = F.broadcast(g.agg(rows.cast("bigint").alias("n_rows")))
-    return g.where((F.col("i") < F.col("j")) & (F.col("j") < 32)).crossJoin(n_rows) \
-        .select("i", "j", (F.round("g", 6) + 0.0).alias("dot"), "n_rows")
+    """(i, j, d2): squared distances of the first landmarks in the RBF kernel's principal
+    coordinates (all components, fitted on all rows, gamma 1/64). There the landmarks lie as the
+    kernel says: d2 = 2 - 2 k."""
+    x = feats(spark, sf)
+    ids, _ = KN.landmarks(x, K.N_LANDMARKS)
+    z = KN.kernel_pca(x, K.N_FIT_LANDMARKS, None, 1.0 / 64).where(F.col("vec_id").isin([int(i) for i in ids]))
+    z = checkpointed(z)
+    other = F.broadcast(z.select(F.col("vec_id").alias("j"), F.col("z").alias("zj")))  # N_LANDMARKS rows
+    d2 = F.aggregate(F.zip_with("z", "zj", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    return z.join(other, F.col("vec_id") < F.col("j")).select(F.col("vec_id").alias("i"), "j", F.round(d2, 6).alias("d2"))
+
+
+@register("kernel_coordinates")
+def kernel_coordinates(spark, sf):
+    """(vec_id, component, z): the 32 leading RBF kernel principal coordinates of every row."""
+    return _explode(KN.kernel_pca(feats(spark, sf), K.N_FIT_LANDMARKS, 32, 1.0 / 64), "z", "component", "z")
 
 
 # ---- image embeddings -----------------------------------------------------------------------------
-@register("image_embedding", _IDENTITY)
+@register("image_embedding", f"""
+WITH l AS ({_LONG})
+SELECT a.p AS i, b.p AS j, round(sum(a.v * b.v), 6) AS g
+FROM l a JOIN l b ON a.vec_id = b.vec_id GROUP BY 1, 2""")
 def image_embedding(spark, sf):
-    """Principal axes of the table drawn as the smoothest 8 x 8 grid modes: (i, j, dot) of the
-    features' images, an orthonormal set."""
-    f = IM.image_embedding(feats(spark, sf), n)
-    return _inner_products(IM.embedding_frame(spark, f), "feature", "p", "w")
+    """(i, j, g): X^T X rebuilt from the embedding. Its coefficients on the smoothest 8 x 8 grid
+    modes are the axes, and the energy of the images on a mode is that axis's eigenvalue; both
+    are right only if together they give the table's own X^T X."""
+    x = feats(spark, sf)
+    axes = IM.image_embedding(x, n) @ IM.GR.mode_vectors(n, 64).T
+    on_modes = MX.project_rows(x, axes, keep=["vec_id"])
+    energy = MX.product_array(on_modes, (64, 64), "y").diagonal()
+    return MX.matrix_frame(spark, (axes * energy) @ axes.T).select("i", "j", (F.round("g", 6) + 0.0).alias("g"))
+
+
+@register("image_embedding_weights")
+def image_embedding_weights(spark, sf):
+    """(feature, p, w): the embedding matrix, principal axes drawn as the smoothest grid modes."""
+    return IM.embedding_frame(spark, IM.image_embedding(feats(spark, sf), n))
 
 
 @register("embed_images", f"""
@@ -111,33 +137,68 @@ def embed_images(spark, sf):
     return img.select("vec_id", F.round(F.sqrt(square), 6).alias("norm"))
 
 
-@register("tv_smooth_images", """
-SELECT vec_id, round(8 * CAST(embedding[1] AS DOUBLE), 6) AS total, true AS smoother FROM embeddings""")
+@register("embedded_images")
+def embedded_images(spark, sf):
+    """(vec_id, p, v): the pixels of every row's image under the principal-axis embedding."""
+    x = feats(spark, sf)
+    return _explode(IM.embed_images(x, IM.image_embedding(x, n)), "img")
+
+
+# While no gradient sum has reached lam / gam (100 here, on values of order 1), a round divides
+# the coefficient of a mode by 1 + gam * eigenvalue, so that rounds have a closed form; tests
+# compare rounds that do shrink with dense NumPy.
+_SMOOTHED = f"""WITH l AS ({_LONG}),
+c AS (SELECT CAST(k.range AS INTEGER) AS k, CAST(j.range AS INTEGER) AS j,
+  CASE WHEN k.range = 0 THEN sqrt(1.0 / {n}) ELSE sqrt(2.0 / {n}) END
+    * cos(pi() * k.range * (2 * j.range + 1) / (2.0 * {n})) AS c FROM range({n}) k, range({n}) j),
+m AS (SELECT CAST(range AS INTEGER) AS p, 1 + 0.1 * ((2 - 2 * cos(pi() * (range // {n}) / {n}))
+  + (2 - 2 * cos(pi() * (range % {n}) / {n}))) AS grow FROM range({n * n}))"""
+
+
+def _smoothed(spark, sf, errors):
+    return IM.tv_smooth_images(feats(spark, sf), IM.GR.dct2_matrix(n), n, lam=10.0, gam=0.1, rounds=100, errors=errors)
+
+
+@register("tv_smooth_images", f"""{_SMOOTHED}
+SELECT l.vec_id, a.j * {n} + b.j AS p, round(sum(l.v / m.grow ** 100 * a.c * b.c), 6) AS v
+FROM l JOIN m ON l.p = m.p JOIN c a ON a.k = l.p // {n} JOIN c b ON b.k = l.p % {n} GROUP BY 1, 2""")
 def tv_smooth_images(spark, sf):
-    """Split-Bregman TV smoothing of every image of the cosine embedding, lam 10, gam 0.1, 100
-    rounds: the pixel sum, which smoothing keeps, and whether the total variation fell."""
-    import numpy as np
+    """(vec_id, p, v): the images of the cosine embedding after 100 rounds of split-Bregman TV
+    smoothing, lam 10, gam 0.1."""
+    return _explode(_smoothed(spark, sf, False), "img")
+
+
+@register("tv_fit_error", f"""{_SMOOTHED}
+SELECT CAST(t.range AS INTEGER) AS "round", round(sqrt(sum((l.v / m.grow ** (t.range + 1) - l.v) ** 2)), 6) AS err
+FROM l JOIN m ON l.p = m.p, range(100) t GROUP BY 1""")
+def tv_fit_error(spark, sf):
+    """(round, err): distance between the rows and their rebuild from the smoothed images."""
+    return IM.tv_fit_error(_smoothed(spark, sf, True)).select("round", F.round("err", 6).alias("err"))
+
+
+def _tv_embedding(spark, sf):
     x = feats(spark, sf)
-    f = IM.GR.dct2_matrix(n)
-    sm = IM.tv_smooth_images(x, f, n, lam=10.0, gam=0.1, rounds=100, errors=False)
-    both = sm.select("vec_id", "img").join(IM.embed_images(x.select("vec_id", "x"), f, out_col="raw"), "vec_id")
-    d = IM.GR.diff_matrix(n)
-    for name in ("img", "raw"):
-        both = MX.project_rows(both, np.asarray(d).T, name, f"d_{name}")
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v)
-    variation = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + F.abs(v))
-    return both.select("vec_id", (F.round(total("img"), 6) + 0.0).alias("total"),
-                       (variation("d_img") <= variation("d_raw")).alias("smoother"))
-
-
-@register("tv_image_embedding", _IDENTITY)
+    return IM.tv_image_embedding(x, IM.image_embedding(x, n), n, lam=0.1, gam=0.1, rounds=10)
+
+
+@register("tv_image_embedding", _NEIGHBOURS)
 def tv_image_embedding(spark, sf):
-    """Embedding after 10 alternating TV rounds (lam = gam = 0.1) from the principal-axis
-    embedding: (i, j, dot) of the features' images, still an orthonormal set."""
-    x = feats(spark, sf)
-    f0 = IM.image_embedding(x, n)
-    f, _ = IM.tv_image_embedding(x, f0, n, lam=0.1, gam=0.1, rounds=10)
-    return _inner_products(IM.embedding_frame(spark, f), "feature", "p", "w")
+    """(vec_id, dot): products of the images of neighbouring rows under the embedding after 10
+    alternating TV rounds (lam = gam = 0.1) from the principal-axis embedding. Its rows stay
+    orthonormal, so the products are those of the rows."""
+    f, _ = _tv_embedding(spark, sf)
+    return _neighbour_products(IM.embed_images(feats(spark, sf).select("vec_id", "x"), f))
+
+
+@register("tv_embedding_objective")
+def tv_embedding_objective(spark, sf):
+    """(round, objective) of those rounds."""
+    return IM.objective_table(spark, _tv_embedding(spark, sf)[1])
+
+
+def _layout(spark, sf):
+    from quillspark.operators.features import rank_normalize_wide
+    return IM.feature_layout(rank_normalize_wide(feats(spark, sf)), 0.01)
 
 
 @register("feature_layout", """
@@ -146,9 +207,13 @@ FROM range(2) a, range((SELECT max(len(embedding)) FROM embeddings)) d""")
 def feature_layout(spark, sf):
     """Features of the rank-normalised table on the plane, gamma 0.01: (axis, v) positions,
     which are the ranks / d on either axis."""
-    from quillspark.operators.features import rank_normalize_wide
-    lay = IM.feature_layout(rank_normalize_wide(feats(spark, sf)), 0.01)
-    return MX.matrix_frame(spark, lay, "feature", "axis", "v").select("axis", "v")
+    return MX.matrix_frame(spark, _layout(spark, sf), "feature", "axis", "v").select("axis", "v")
+
+
+@register("feature_positions")
+def feature_positions(spark, sf):
+    """(feature, axis, v): which feature has which of those positions."""
+    return MX.matrix_frame(spark, _layout(spark, sf), "feature", "axis", "v")
 
 
 @register("splat_images", f"""
@@ -166,38 +231,131 @@ def splat_images(spark, sf):
     return _explode(IM.splat_images(feats(spark, sf), n, sigma=0.01, gamma=0.01, layout=K.centres()), "img")
 
 
-# The splat chain: splats on the spectral layout, values clipped to [0, 98th percentile], the
-# first 36 images of every class, and both classifiers compared on the clipped images.
-def _gallery(spark, sf):
-    from quillspark.operators import features as FT
-    from quillspark.session import checkpointed
-    img = IM.splat_images(_learnable(spark, sf), n, sigma=0.01, gamma=0.01)
+# The splat chain: splats, values clipped to [0, 98th percentile], the first 36 images of every
+# class, and both classifiers compared on the clipped images.
+def _clipped_splats(spark, sf, layout=None):
+    img = IM.splat_images(_learnable(spark, sf), n, sigma=0.01, gamma=0.01, layout=layout)
     img = checkpointed(img.select("vec_id", F.col("img").alias("x"), "label"))
     return FT.clip_range(img, None, 0.98)
 
 
-@register("splat_gallery", """
-WITH l AS (SELECT vec_id, CAST(embedding[1] > 0 AS INTEGER) AS label FROM embeddings),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS BIGINT) AS pos FROM l)
-SELECT vec_id, label, pos, 64 AS pixels, true AS clipped FROM r WHERE pos < 36""")
+def _gallery(images):
+    top = FT.top_n_per_class(images, 36)
+    return explode_rows(top, "x", ["vec_id", "label", "pos"], "v", "p") \
+        .select("vec_id", "label", "pos", "p", F.round("v", 6).alias("v"))
+
+
+@register("splat_gallery", f"""
+WITH l AS ({_LONG}),
+r AS (SELECT vec_id, p, (row_number() OVER (PARTITION BY p ORDER BY v, vec_id) - 1)
+        / (count(*) OVER (PARTITION BY p))::DOUBLE AS r FROM l),
+c AS (SELECT CAST(range AS INTEGER) AS k, (range % 8) / 8 AS cx,
+  ((3 * range + range // 8) % 8) / 8 AS cy FROM range({K.N_CENTRES})),
+px AS (SELECT CAST(range AS INTEGER) AS p, (range % {n}) / {n - 1} AS x, (range // {n}) / {n - 1} AS y
+       FROM range({n * n})),
+s AS (SELECT r.vec_id, px.p, sum(r.r * exp(-((c.cx - px.x) ^ 2 + (c.cy - px.y) ^ 2) / 0.01)) AS v
+      FROM r JOIN c ON r.p = c.k CROSS JOIN px GROUP BY 1, 2),
+top AS (SELECT * FROM (
+  SELECT vec_id, CAST(embedding[1] > 0 AS INTEGER) AS label,
+    CAST(row_number() OVER (PARTITION BY embedding[1] > 0 ORDER BY vec_id) - 1 AS BIGINT) AS pos FROM embeddings)
+  WHERE pos < 36)
+SELECT s.vec_id, label, pos, p, round(least(greatest(v, 0), (SELECT quantile_cont(v, 0.98) FROM s)), 6) AS v
+FROM s JOIN top ON s.vec_id = top.vec_id""")
 def splat_gallery(spark, sf):
-    """(vec_id, label, pos, pixels, clipped): the first 36 clipped splat images of every class."""
-    from quillspark.operators import features as FT
-    top = FT.top_n_per_class(_gallery(spark, sf), 36)
-    return top.select("vec_id", "label", "pos", F.size("x").alias("pixels"),
-                      ((F.array_min("x") >= 0) & (F.array_max("x") > 0)).alias("clipped"))
+    """(vec_id, label, pos, p, v): the clipped splat images of the first 36 rows of every class,
+    on the fixed layout."""
+    return _gallery(_clipped_splats(spark, sf, K.centres()))
+
+
+@register("splat_gallery_spectral")
+def splat_gallery_spectral(spark, sf):
+    """The same on the layout that the features' affinities give."""
+    return _gallery(_clipped_splats(spark, sf))
+
+
+# A classifier's accuracy is its own result and has no SQL. The SQL counts are of the stored
+# predictions: every test row of a repeat is predicted once by every model, with its own label.
+_COUNTS = """
+WITH s AS (
+  SELECT rep, vec_id, pos, n FROM (SELECT rep, vec_id,
+    row_number() OVER (PARTITION BY rep ORDER BY md5(CAST(vec_id AS VARCHAR) || ':' || CAST(rep AS VARCHAR)), vec_id) - 1 AS pos,
+    count(*) OVER (PARTITION BY rep) AS n
+  FROM embeddings, (SELECT CAST(range AS INTEGER) AS rep FROM range(9)))),
+t AS (SELECT s.rep, CAST(e.embedding[1] > 0 AS INTEGER) AS label FROM s JOIN embeddings e ON e.vec_id = s.vec_id
+      WHERE s.pos >= (s.n * 70) // 100)
+SELECT rep, m.model, label, count(*) AS n_test FROM t, (VALUES ('logistic'), ('mlp')) m(model) GROUP BY 1, 2, 3"""
+
+
+def _predictions(images):
+    split = E.holdout_split(images, repeats=9, train_pct=70)
+    return E.classifier_predictions(images, split, hidden=(16,), max_iter=100)[0]
 
 
-@register("splat_comparison", """
-WITH c AS (SELECT count(*) AS n FROM embeddings)
-SELECT CAST(r.range AS INTEGER) AS rep, m.model, n * 70 // 100 AS n_train, n - n * 70 // 100 AS n_test,
-  true AS scored FROM range(3) r, (VALUES ('logistic'), ('mlp')) m(model), c""")
+def _test_counts(found):
+    return found.groupBy("rep", "model", "label").agg(F.count(F.lit(1)).alias("n_test"))
+
+
+def _confusion(found):
+    """(rep, model, label, pred, n): the confusion counts of every repeat."""
+    return found.groupBy("rep", "model", "label", "pred").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _scores_by_rep(found):
+    return found.groupBy("rep", "model").agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"))
+
+
+@register("splat_comparison", _COUNTS)
 def splat_comparison(spark, sf):
-    """The two classifiers on the clipped splat images, per repeat: split sizes, and that the
-    accuracy is a share."""
-    img = _gallery(spark, sf)
-    split = E.holdout_split(img, repeats=3, train_pct=70)
-    return _with_sizes(split, E.compare_classifiers(img, split, hidden=(16,), max_iter=50), "accuracy BETWEEN 0 AND 1")
+    """9 repeats of both classifiers on the clipped splat images: test rows predicted, by class."""
+    return _test_counts(_predictions(_clipped_splats(spark, sf)))
+
+
+@register("splat_comparison_scores")
+def splat_comparison_scores(spark, sf):
+    """(rep, model, label, pred, n): confusion counts of those predictions."""
+    return _confusion(_predictions(_clipped_splats(spark, sf)))
+
+
+@register("splat_comparison_boxplot")
+def splat_comparison_boxplot(spark, sf):
+    """Box plot figures of both models' accuracies over the 9 repeats."""
+    return E.boxplot_stats(_scores_by_rep(_predictions(_clipped_splats(spark, sf))), "accuracy", "model")
+
+
+@register("splat_comparison_sorted")
+def splat_comparison_sorted(spark, sf):
+    """The accuracies of both models side by side per repeat, in the order of the perceptron's."""
+    return E.sort_scores(_scores_by_rep(_predictions(_clipped_splats(spark, sf))), by_model="mlp", other_model="logistic")
+
+
+# The other chain: robust scale -> kernel coordinates -> robust scale -> embedding -> smoothing ->
+# comparison, on 32 coordinates drawn as 8 x 8 images.
+def _embedded_chain(spark, sf):
+    x = _learnable(spark, sf)
+    z = KN.kernel_pca(FT.robust_scale(x), K.N_FIT_LANDMARKS, 32, 1.0 / 64)
+    z = FT.robust_scale(checkpointed(z.withColumnRenamed("z", "x").join(x.select("vec_id", "label"), "vec_id")))
+    f = IM.image_embedding(z, n)
+    smooth = IM.tv_smooth_images(z, f, n, lam=10.0, gam=0.1, rounds=100, errors=False)
+    return checkpointed(smooth.select("vec_id", F.col("img").alias("x")).join(x.select("vec_id", "label"), "vec_id"))
+
+
+@register("embedding_comparison", _COUNTS)
+def embedding_comparison(spark, sf):
+    """9 repeats of both classifiers on the smoothed kernel images: test rows predicted, by class."""
+    return _test_counts(_predictions(_embedded_chain(spark, sf)))
+
+
+@register("embedding_comparison_scores")
+def embedding_comparison_scores(spark, sf):
+    """(rep, model, label, pred, n): confusion counts of those predictions."""
+    return _confusion(_predictions(_embedded_chain(spark, sf)))
+
+
+@register("embedding_gallery")
+def embedding_gallery(spark, sf):
+    """(vec_id, label, pos, p, v): the smoothed kernel images of the first 36 rows of every
+    class, clipped to their 1st and 99th percentile."""
+    return _gallery(FT.clip_range(_embedded_chain(spark, sf), 0.01, 0.99))
 
 
 # ---- class scores (F8) ------------------------------------------------------------------------------
@@ -290,31 +448,47 @@ def _learnable(spark, sf):
     return feats(spark, sf).withColumn("label", (F.get("x", 0) > 0).cast("int"))
 
 
-def _with_sizes(split, scores, scored):
-    """Scores by repeat with the repeat's split sizes; ``scored`` is a condition on accuracy."""
-    sizes = split.groupBy("rep").agg(F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test"))
-    keep = [c for c in ("model",) if c in scores.columns]
-    return scores.join(sizes, "rep").select("rep", *keep, "n_train", "n_test", F.expr(scored).alias("scored"))
+_REPEATS = 25
 
 
-_SIZES = """WITH c AS (SELECT count(*) AS n FROM embeddings)
-SELECT CAST(r.range AS INTEGER) AS rep, n * 70 // 100 AS n_train, n - n * 70 // 100 AS n_test, true AS scored
-FROM range(25) r, c"""
+def _fitted(spark, sf):
+    x = _learnable(spark, sf).withColumn("label", (F.get("x", 0) + F.get("x", 1) * F.get("x", 2) > 0).cast("int"))
+    data, reps = LG.split_table(x, E.holdout_split(x, repeats=_REPEATS, train_pct=70))
+    return data, reps, LG.fit_logistic(data, len(reps))
 
 
-@register("train_logistic", _SIZES)
+@register("train_logistic", f"""
+WITH s AS (
+  SELECT rep, vec_id, pos, n FROM (SELECT rep, vec_id,
+    row_number() OVER (PARTITION BY rep ORDER BY md5(CAST(vec_id AS VARCHAR) || ':' || CAST(rep AS VARCHAR)), vec_id) - 1 AS pos,
+    count(*) OVER (PARTITION BY rep) AS n
+  FROM embeddings, (SELECT CAST(range AS INTEGER) AS rep FROM range({_REPEATS})))),
+t AS (SELECT s.rep, e.embedding::DOUBLE[] || [1.0] AS x,
+        e.embedding[1]::DOUBLE + e.embedding[2]::DOUBLE * e.embedding[3]::DOUBLE > 0 AS y
+      FROM s JOIN embeddings e ON e.vec_id = s.vec_id WHERE s.pos < (s.n * 70) // 100)
+SELECT rep, feature, round(sum(CASE WHEN y THEN v ELSE 0 END), 2) AS expected FROM (
+  SELECT rep, y, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS feature, unnest(x) AS v FROM t) GROUP BY 1, 2""")
 def train_logistic(spark, sf):
-    """25 repeats: split sizes, and that the held-out accuracy beats four fifths."""
-    x = _learnable(spark, sf)
-    split = E.holdout_split(x, repeats=25, train_pct=70)
-    return _with_sizes(split, E.train_logistic(x, split, max_iter=100), "accuracy > 0.8")
+    """(rep, feature, expected): 25 fits of a noisy label; the sum of predicted probability times
+    feature over the training rows. At the optimum, and only there, it is the sum over the rows
+    of class 1 (the last feature is the constant 1)."""
+    return LG.fitted_moments(*_fitted(spark, sf)).select("rep", "feature", (F.round("expected", 2) + 0.0).alias("expected"))
+
 
+@register("train_logistic_scores")
+def train_logistic_scores(spark, sf):
+    """(rep, label, pred, n): confusion counts of those fits on the held-out rows."""
+    found = LG.predict_test_rows(*_fitted(spark, sf))
+    return found.groupBy("rep", "label", "pred").agg(F.count(F.lit(1)).alias("n"))
 
-@register("compare_classifiers", """WITH c AS (SELECT count(*) AS n FROM embeddings)
-SELECT CAST(r.range AS INTEGER) AS rep, m.model, n * 70 // 100 AS n_train, n - n * 70 // 100 AS n_test,
-  true AS scored FROM range(9) r, (VALUES ('logistic'), ('mlp')) m(model), c""")
+
+@register("compare_classifiers", _COUNTS)
 def compare_classifiers(spark, sf):
-    """9 repeats of both classifiers: split sizes, and that the held-out accuracy beats chance."""
-    x = _learnable(spark, sf)
-    split = E.holdout_split(x, repeats=9, train_pct=70)
-    return _with_sizes(split, E.compare_classifiers(x, split, hidden=(16,), max_iter=100), "accuracy > 0.6")
+    """9 repeats of both classifiers on the feature table: test rows predicted, by class."""
+    return _test_counts(_predictions(_learnable(spark, sf)))
+
+
+@register("compare_classifiers_scores")
+def compare_classifiers_scores(spark, sf):
+    """(rep, model, label, pred, n): confusion counts of those predictions."""
+    return _confusion(_predictions(_learnable(spark, sf)))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quillspark.operators import grid as GR
 from quillspark.operators import images as IM
 from quillspark.operators import matrix as MX
+from quillspark.operators import spectral as SP
 
 
 def _imgs(spark, n, k=6, seed=0):
@@ -77,8 +78,7 @@ def test_convolve_same_padding(spark):
 def test_laplacian_solve_solves_the_system(spark):
     n, lam, gam = 5, 0.3, 0.2
     x, df = _imgs(spark, n)
-    s = GR.laplacian_solve_matrix(n, lam, gam)
-    y = _col(MX.project_rows(df, s.T, "x", "y"), "y")
+    y = _col(SP.laplacian_solve(df, n, lam, gam), "y")
     a = lam * GR.laplacian_matrix(n) + gam * np.eye(n * n)
     assert np.allclose(y @ a.T, x)
 

@@ -178,10 +178,10 @@ def test_kernel_pca_gives_the_components_asked_and_every_row_has_a_say(spark):
 def test_raster_wants_a_gaussian_for_every_feature(spark):
     rng = np.random.default_rng(10)
     x = rng.normal(size=(4, 3))
-    basis = IM.gaussian_basis(4, rng.random((3, 2)), 0.05)
-    assert np.allclose(_col(IM.gaussian_raster(_frame(spark, x), basis), "img"), x @ basis.T)
+    c = rng.random((3, 2))
+    assert np.allclose(_col(IM.gaussian_raster(_frame(spark, x), 4, c, 0.05), "img"), x @ IM.gaussian_basis(4, c, 0.05).T)
     with pytest.raises(Exception, match="3 features for 2 Gaussians"):
-        IM.gaussian_raster(_frame(spark, x), basis[:, :2]).collect()
+        IM.gaussian_raster(_frame(spark, x), 4, c[:2], 0.05).collect()
 
 
 def test_matrices_beyond_the_bound_are_refused(spark, monkeypatch):
