@@ -136,14 +136,11 @@ def top_pages(spark, sf):
 SELECT strftime(ts, '%Y-%m-%d') AS day, {_LINE_SQL} AS line FROM events
 WHERE strftime(ts, '%Y-%m') = '2024-01'""")
 def scan_text_glob(spark, sf):
-    """Log shards written one folder per day (the first day gzip), read back by a ``??`` glob."""
-    root = scratch_path(spark, "access-logs")
-    lines = D.access_log_lines(table(spark, sf, "events"), with_day=True)
-    first = lines.agg(F.min("day")).first()[0]
-    lines.where(F.col("day") != first).write.partitionBy("day").text(root)
-    lines.where(F.col("day") == first).write.mode("append").partitionBy("day") \
-        .option("compression", "gzip").text(root)
-    got = read_glob(spark, f"{root}/day=2024-01-??")
+    """Log shards in one folder per day (the first of the month gzip), read by a ``??`` glob. The
+    shards are written once per application, like logs that lie in storage."""
+    root = materialized(spark, "access-log-days", sf, lambda p: IO.write_daily_text(
+        D.access_log_lines(table(spark, sf, "events"), with_day=True), p, gzip_days=("2024-01-01",)))
+    got = read_glob(spark, f"{root}/*/day=2024-01-??")
     return got.select(IO.file_day().alias("day"), "line")
 
 

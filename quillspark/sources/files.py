@@ -68,6 +68,32 @@ def sink_single_file(df: DataFrame, path: str, order_by: list[str]) -> None:
     fs.delete(source, True)
 
 
+def write_daily_text(lines: DataFrame, path: str, gzip_days: tuple[str, ...] = (), split: str | None = None) -> None:
+    """Lines (``day``, ``line``) as text files in folders ``plain/day=...`` and ``gzip/day=...``.
+
+    ``lines`` is read once: a rebalancing shuffle puts a day's lines together, splits a day
+    beyond ``split`` bytes (default: the session's advisory partition size) over several tasks
+    and lets small days share one, so a day has one file per split. A codec holds for a whole
+    write, so the days to be compressed are written again from their own files.
+    """
+    spark = lines.sparkSession
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        if split:
+            spark.conf.set(key, split)
+        lines.select("day", "line").hint("rebalance", "day").write.partitionBy("day").text(f"{path}/plain")
+    finally:
+        spark.conf.set(key, before)
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for day in gzip_days:
+        plain = jvm.org.apache.hadoop.fs.Path(f"{path}/plain/day={day}")
+        fs = plain.getFileSystem(conf)
+        if fs.exists(plain):
+            spark.read.text(plain.toString()).write.option("compression", "gzip").text(f"{path}/gzip/day={day}")
+            fs.delete(plain, True)
+
+
 def file_day(file_path_col: str = "file_path"):
     """The day a log shard covers, from a ``day=yyyy-MM-dd`` folder in its path."""
     return F.regexp_extract(F.col(file_path_col), r"day=(\d{4}-\d{2}-\d{2})", 1)
