@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, rows_of, text_bytes
+from quillspark.llm.common import map_batches, plain_text, rows_of, text_bytes
 from quillspark.session import ship_package
 
 LEAST, WANTED, MOST = 12, 32, 96
@@ -117,8 +117,9 @@ def fingerprint_documents(docs: DataFrame, parts: int | None = None) -> DataFram
 
     Edge cases: null texts count as empty, and an empty text's fingerprint is empty; rows with
     equal doc_ids follow each other in text order, null doc_ids come last in the order; a table
-    of one row is its own next document; texts are read whole; other columns are not read; an
-    empty table gives an empty result.
+    of one row is its own next document; texts are read whole; bytes that are not UTF-8 are
+    fingerprinted as they are and edited as U+FFFD; other columns are not read; an empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -185,7 +186,7 @@ def _neighbours(batches):
         out = []
         for part, doc, copy, z in rows_of(b, 0, 1, 3, 4):
             data = unpack(z)
-            text, own = data.decode(), chunks(data)
+            text, own = plain_text(data), chunks(data)
             if last is not None and last[0] == part:
                 _, before, before_text, before_chunks = last
                 edited = edit(before_text, text).encode()

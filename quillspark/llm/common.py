@@ -81,6 +81,14 @@ def text_bytes(name: str = "text"):
     return F.coalesce(F.col(name).cast("binary"), F.lit("").cast("binary"))
 
 
+def plain_text(data: bytes) -> str:
+    """UTF-8 bytes as text; bytes that are not UTF-8 become U+FFFD."""
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return data.decode("utf-8", "replace")
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit xxhash, remembered for up to ``limit`` words."""
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, rows_of, stored
+from quillspark.llm.common import map_batches, plain_text, rows_of, stored, text_bytes
 from quillspark.llm.tokens import encoder
 
 GROUP_PIECES = 1 << 16
@@ -205,7 +205,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             for doc, text in rows_of(b, 0, 1):
-                ids = encode(text) + end
+                ids = encode(plain_text(text)) + end
                 n = len(ids) // 4
                 start, stop = 0, n % capacity or capacity
                 for no in range(-(-n // capacity)):
@@ -217,8 +217,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
                  *(pa.array(c, pa.int64()) for c in out[2:])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")),
-                       run, PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), text_bytes()), run, PIECES)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> DataFrame:
@@ -228,8 +227,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048) -> Dat
 
     Edge cases: null and empty texts have one piece, the end id; a text longer than
     ``capacity`` has its shorter piece first and every full piece in a sequence of its own;
-    repeated rows and rows with equal or null doc_ids are packed each for itself; other columns
-    are not read; an empty table gives an empty result.
+    repeated rows and rows with equal or null doc_ids are packed each for itself; bytes that are
+    not UTF-8 count as U+FFFD; other columns are not read; an empty table gives an empty result.
     """
     cut = stored(pieces(docs, tokenizer, capacity), "pieces")
     groups = max(1, -(-cut.count() // GROUP_PIECES))

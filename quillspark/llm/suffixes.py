@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm import repeats as R
-from quillspark.llm.common import map_batches, returning_memory, rows_of, stored, text_bytes
+from quillspark.llm.common import map_batches, plain_text, returning_memory, rows_of, stored, text_bytes
 from quillspark.session import ship_package
 
 GRAM = 20
@@ -484,7 +484,8 @@ def drop_repeated_text(docs: DataFrame, length: int = 100) -> DataFrame:
     """``docs`` (all its columns) with repeated text cut out of ``text``; ``n_chars`` follows.
 
     A character goes when all its bytes lie in repeated strings, so the text stays valid. Null
-    texts become empty; rows never go, even when all their text does.
+    texts become empty; rows never go, even when all their text does; bytes that are not UTF-8
+    become U+FFFD.
     """
     ship_package(docs.sparkSession)
     texts = R.carriers(docs, [*docs.columns])
@@ -499,10 +500,10 @@ def drop_repeated_text(docs: DataFrame, length: int = 100) -> DataFrame:
             raw = np.frombuffer(text, np.uint8)
             gone = R.covered(len(raw), spans, length)
             if gone.any():
-                start = np.flatnonzero((raw & 0xC0) != 0x80)
+                start = np.union1d(0, np.flatnonzero((raw & 0xC0) != 0x80))
                 whole = np.minimum.reduceat(gone, start)
                 text = raw[~np.repeat(whole, np.diff(np.append(start, len(raw))))].tobytes()
-            out.append(text.decode())
+            out.append(plain_text(text))
         return pd.Series(out, dtype="object")
 
     kept = joined.withColumn("text", cut("__z", "__at"))

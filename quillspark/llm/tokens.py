@@ -1,10 +1,12 @@
 """Token ids of whole texts, by the ``tokenizers`` library, one unit of text at a time.
 
 The tokenizers used here never join characters across certain cuts, so a text's ids are the
-ids of its units one after another. Natural text repeats its units, so each distinct unit is
-encoded once per worker and remembered (up to ``limit`` units; then the memory is emptied).
+ids of its units one after another. Natural text repeats its units, so a distinct unit is
+encoded once per worker and remembered, in two generations of half of ``limit`` units: when the
+younger is full the older goes, and a unit met again moves from the older to the younger.
 A unit that is one run of plain Latin letters is a single pre-token and goes straight to the
-library's model; anything else goes through the whole tokenizer.
+library's model; one with ASCII symbols after the letters is the ids of both parts, which the
+pre-tokenizers never join; anything else goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ _UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _RARE_SPACE = re.compile(r"[^\S \n]")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _LETTERS = re.compile("[ \n]?[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
-_TAILS = frozenset(".,;:!?")
+_SYMBOL_TAIL = re.compile(r"[!-/:-@\[-`{-~]+")
 _ENCODERS: dict[str, "UnitEncoder"] = {}
 
 
@@ -69,7 +71,7 @@ class UnitEncoder(dict):
         "word_bpe_49k.json": (lower_word_units, True),
     }
 
-    def __init__(self, path: str, limit: int = 450_000) -> None:
+    def __init__(self, path: str, limit: int = 1_200_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -77,25 +79,36 @@ class UnitEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
+        self.packed = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         self.known = os.path.basename(path) in self.KINDS
         self.units, self.lower = self.KINDS.get(os.path.basename(path), (lambda t: [t], False))
         self.limit = limit
+        self.before: dict[str, bytes] = {}  # the generation that was remembered before this one
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        if self.known and len(unit) > 1 and unit[-1] in _TAILS and _LETTERS.fullmatch(unit[:-1]):
-            ids = self[unit[:-1]] + self[unit[-1]]
-        elif self.known and _LETTERS.fullmatch(unit) and unit[0] != "\n":
-            plain = unit.lower() if self.lower else unit
-            symbols = plain.encode().decode("latin-1").translate(_SYMBOLS)
-            ids = np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
-        else:
-            ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.before.get(unit)
+        if ids is None:
+            ids = self._first(unit)
         if len(unit) <= 200:
+            if len(self) >= self.limit // 2:
+                self.before = dict(self)
+                self.clear()
             self[unit] = ids
         return ids
 
+    def _first(self, unit: str) -> bytes:
+        """The ids of a unit met for the first time."""
+        if self.known and (letters := _LETTERS.match(unit)):
+            end = letters.end()
+            if end < len(unit) and _SYMBOL_TAIL.fullmatch(unit, end):
+                return self[unit[:end]] + self[unit[end:]]
+            if end == len(unit) and unit[0] != "\n":
+                plain = unit.lower() if self.lower else unit
+                symbols = (plain.replace(" ", _SYMBOLS[32]) if plain.isascii()
+                           else plain.encode().decode("latin-1").translate(_SYMBOLS))
+                return b"".join([self.packed[t.id] for t in self.model.tokenize(symbols)])
+        return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.units(text)))
 
