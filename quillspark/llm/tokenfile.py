@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import map_batches, rows_of
+from quillspark.llm.common import map_batches, plain_text, rows_of, text_bytes
 from quillspark.llm.tokens import encoder
 from quillspark.session import scratch_path
 
@@ -163,17 +163,57 @@ class Segment:
         return simple8b_decode(self.words[self.first_word[a]:end])[start - a * BLOCK:stop - a * BLOCK]
 
 
+#: Where null doc_ids stand: before all others.
+_NULL = -(1 << 63)
+
+
+def range_cuts(docs: DataFrame, parts: int) -> np.ndarray:
+    """Cuts between ``parts`` ranges of doc_id that hold about equally many rows. An id that
+    fills several ranges is a cut several times."""
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).cast("double").alias("d"))
+    cuts = ids.approxQuantile("d", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
+    return np.array(sorted(min(int(c), (1 << 63) - 1) for c in cuts), np.int64)
+
+
+def range_of(ids: np.ndarray, cuts: np.ndarray, first: int) -> np.ndarray:
+    """The range of each doc_id, in their order; rows of an id that is a cut take turns over the
+    ranges on both sides of it (and between), starting with the ``first`` one."""
+    low, high = np.searchsorted(cuts, ids, "left"), np.searchsorted(cuts, ids, "right")
+    return low + (first + np.arange(len(ids))) % (high - low + 1)
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, cuts: np.ndarray) -> DataFrame:
+    """(part, doc_id, width, ids): the range of doc_ids, and every text's ids and the end id, as
+    little-endian integers of ``width`` bytes (2 where they suffice)."""
+    end = np.array([end_id], "<u4").tobytes()
+
+    def run(batches):
+        encode, n = encoder(tokenizer).encode, 0
+        for b in batches:
+            width, packed = [], []
+            for (text,) in rows_of(b, 1):
+                ids = np.frombuffer(encode(plain_text(text)) + end, "<u4")
+                width.append(2 if ids.max() < 1 << 16 else 4)
+                packed.append(ids.astype(f"<u{width[-1]}").tobytes())
+            part = range_of(b.column(0).fill_null(_NULL).to_numpy(), cuts, n)
+            n += len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.astype(np.int32)), b.column(0), pa.array(width, pa.int32()), pa.array(packed, pa.binary())],
+                names=["part", "doc_id", "width", "ids"])
+
+    return map_batches(docs.select(F.col("doc_id").cast("long"), text_bytes()), run,
+                       "part int, doc_id long, width int, ids binary")
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1,
                       segment_ids: int = SEGMENT_IDS) -> None:
     """Tokenise every text, append ``end_id`` and write the files to ``path`` in doc_id order.
 
+    Texts are encoded where they are read, and their ids go to ranges of doc_id.
     Null texts count as empty. Rows with equal doc_ids follow each other, in no fixed order of
-    their texts; null doc_ids come first.
+    their texts, over as many ranges as they need; null doc_ids come first.
     """
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
-        encode = encoder(tokenizer).encode
         file_no, segment_no, n = TaskContext.get().partitionId(), 0, 0
         names, held = [], []
 
@@ -184,9 +224,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                 names=["file_no", "segment_no", "n_ids", "payload"])
 
         for b in batches:
-            for doc, text in rows_of(b, 0, 1):
+            for doc, width, ids in rows_of(b, 1, 2, 3):
                 names.append(doc)
-                held.append(np.frombuffer(encode(text) + end, "<u4"))
+                held.append(np.frombuffer(ids, f"<u{width}"))
                 n += len(held[-1])
                 if n >= segment_ids:
                     yield segment()
@@ -194,8 +234,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
         if names:
             yield segment()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = range_cuts(docs, parts)
+    rows = encoded(docs, tokenizer, end_id, cuts).repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("doc_id")
     files = map_batches(rows, run, "file_no int, segment_no int, n_ids long, payload binary")
     files.write.option("compression", "none").parquet(path)
 
@@ -241,9 +282,9 @@ def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, end_id
 
     ``path``: a new folder in shared storage; by default below the checkpoint folder.
 
-    Edge cases: null and empty texts hold only the end id; see ``write_token_files`` for equal
-    and null doc_ids; other columns are not read; an empty table writes no segment and gives an
-    empty result.
+    Edge cases: null and empty texts hold only the end id; bytes that are not UTF-8 count as
+    U+FFFD; see ``write_token_files`` for equal and null doc_ids; other columns are not read; an
+    empty table writes no segment and gives an empty result.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-files")

@@ -35,11 +35,18 @@ def test_units_give_the_ids_of_the_whole_text(whole, sf_docs, name):
         assert own.encode(text) == want, text[:80]
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("ab'sA .,\n\t é9!日")), max_size=30))
-def test_units_of_random_texts(whole, text):
+@pytest.fixture(scope="module")
+def fresh():
+    """Encoders that forget: emptied before each text, loaded once."""
+    return {name: UnitEncoder(public_tokenizers.path(name)) for name in FILES}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("ab'sA .,\n\t é9!日$")), max_size=30))
+def test_units_of_random_texts(whole, fresh, text):
     for name in FILES:
-        own = UnitEncoder(public_tokenizers.path(name))
+        own = fresh[name]
+        own.clear()
         assert own.encode(text) == np.array(whole[name].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -115,3 +122,61 @@ def test_edges(spark, docs_of):
     assert [r.doc_id for r in sorted(files, key=lambda r: r.start)] == [None, None, 1, 2, 2]
     assert packing.pack_documents(docs_of(rows).filter("false"), path).count() == 0
     assert tokenfile.token_files(docs_of(rows).filter("false"), path).count() == 0
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_units_that_hold_special_strings_and_generations(whole, sf_docs, name):
+    """Marks inside a text are ordinary text; what an emptied generation forgot is learnt again."""
+    own = UnitEncoder(public_tokenizers.path(name), limit=60)
+    odd = ["a <|endoftext|> b<|endoftext|>c", "x<|startoftext|>y z", "<|endoftext|>", "q" * 500 + " tail", "<|endoftext| ><|"]
+    for text in (odd + [sf_docs[d] for d in range(25)]) * 2:
+        assert own.encode(text) == np.array(whole[name].encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:60]
+        assert len(own) <= 30 and not any(len(u) > 200 for u in own)
+
+
+def test_bytes_that_are_not_utf8_count_as_replacement_characters(spark, whole):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, bytearray(b"ab \xff cd")), (2, bytearray(b"\x80"))], "doc_id long, b binary")
+    df = df.select("doc_id", F.col("b").cast("string").alias("text"))
+    texts = {1: "ab \ufffd cd", 2: "\ufffd"}
+    got = packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    files = tokenfile.token_files(df, public_tokenizers.path("word_bpe_49k.json")).collect()
+    for rows, name, end in ((got, "byte_bpe_50k.json", 0), (files, "word_bpe_49k.json", 1)):
+        want = {d: zlib.crc32(np.array(whole[name].encode(t, add_special_tokens=False).ids + [end], "<u4").tobytes()) for d, t in texts.items()}
+        assert {r.doc_id: r.ids_crc32 for r in rows} == want
+
+
+def test_rows_of_one_id_fill_several_files(spark):
+    rows = [(None, f"alpha {i}") for i in range(900)] + [(5, f"beta {i}") for i in range(900)] + [(9, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    from quillspark.session import scratch_path
+    folder = scratch_path(spark, "test-files")
+    tokenfile.write_token_files(df, path, folder)
+    sizes = [r[1] for r in spark.read.parquet(folder).groupBy("file_no").sum("n_ids").collect()]
+    got = tokenfile.read_token_files(spark, folder).collect()
+    assert len(sizes) > 2 and max(sizes) < 0.6 * sum(sizes)
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order == [None] * 900 + [5] * 900 + [9]
+
+
+def test_a_very_long_text(spark, whole):
+    text = " ".join(f"word{i % 7000} $$$,%% ünïcode" for i in range(60_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    ids = whole["byte_bpe_50k.json"].encode(text, add_special_tokens=False).ids
+    rows = packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert sum(r.length for r in rows) == len(ids) + 1
+    back = tokenfile.token_files(df, public_tokenizers.path("word_bpe_49k.json")).first()
+    want = whole["word_bpe_49k.json"].encode(text, add_special_tokens=False).ids + [1]
+    assert (back.n_tokens, back.ids_crc32) == (len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
+
+
+def test_ranges_keep_the_order_of_ids_and_spread_equal_ones():
+    rng = np.random.default_rng(1)
+    cuts = np.array([3, 3, 3, 8, 20])
+    ids = np.concatenate([np.full(400, 3), rng.integers(-5, 30, 300)])
+    part = tokenfile.range_of(ids, cuts, 7)
+    order = np.lexsort((ids, part))
+    assert (np.diff(ids[order]) >= 0).all() and part.min() == 0 and part.max() == 5
+    assert np.bincount(part[ids == 3], minlength=4)[:4].min() >= 100
+    assert tokenfile.range_of(ids, np.array([], np.int64), 0).max() == 0
