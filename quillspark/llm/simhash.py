@@ -1,8 +1,8 @@
 """SimHash near-duplicates by a segment-popcount embedding.
 
 1. Fingerprint: one pass over the texts; shingle digests are counted per bit.
-2. Equal fingerprints form one class, represented by its smallest doc_id (map-side minimum,
-   so a group of copies costs one row per task).
+2. Equal fingerprints form one class with its smallest doc_id (map-side minimum, so a group of
+   copies costs one row per task).
 3. Embedding: a fingerprint is cut into 32 segments of 2 bits and mapped to their bit counts.
    The Manhattan distance of two embeddings is at most the bit distance of the fingerprints,
    so a pair within ``max_bits`` is within ``max_bits`` there too.
@@ -62,15 +62,18 @@ def fingerprint(words: list[bytes], shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(raw)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long): ``fp`` holds the 64 bits; null and wordless texts give 0."""
+def fingerprints(docs: DataFrame, shingle: int = 4, row: str | None = None) -> DataFrame:
+    """(doc_id, fp long[, ``row`` long]): ``fp`` holds the 64 bits; null and wordless texts give 0."""
+    more = [row] if row else []
+
     def run(batches):
         for b in batches:
             fps = [fingerprint(t.lower().split(), shingle) for (t,) in rows_of(b, 1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *more])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), text_bytes()), run, "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), text_bytes(), *more), run,
+                       ", ".join(["doc_id long", "fp long", *(f"{c} long" for c in more)]))
 
 
 def grid_blocks(n: int, max_bits: int) -> int:
@@ -166,6 +169,25 @@ def near_links(classes: DataFrame, n: int, max_bits: int) -> DataFrame:
     return map_batches(grid, _verify(max_bits), "a long, b long")
 
 
+def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component, component_id) of the distinct fingerprints: ``component`` is the smallest
+    fingerprint reachable, ``component_id`` the smallest doc_id of all rows it holds.
+
+    Fingerprints, not doc_ids, are the nodes: rows of one doc_id with different texts may belong
+    to several components and tie none of them together.
+    """
+    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
+    links = near_links(classes.select("fp", F.col("fp").alias("rep")), classes.count(), max_bits)
+    found = connected_components(links)
+    linked = classes.join(found, F.col("fp") == F.col("node"))
+    ids = linked.groupBy(F.col("component").alias("c")).agg(F.min("first_id").alias("component_id"))
+    ids = linked.select(F.col("fp").alias("linked_fp"), "component").join(ids, F.col("component") == F.col("c"))
+    joined = classes.join(ids, F.col("fp") == F.col("linked_fp"), "left")
+    alone = F.col("linked_fp").isNull()
+    return joined.select("fp", F.coalesce("component", "fp").alias("component"),
+                         F.when(alone, F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) per input row.
 
@@ -174,25 +196,27 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4) ->
 
     Edge cases: null, empty and wordless texts have fingerprint zero and link like any other;
     rows with equal fingerprints are linked, whatever their texts; repeated rows get the same
-    component; null doc_ids never name a component unless all its ids are null; texts of any
-    length are read whole; other columns are not read; an empty table gives an empty result.
+    component, and rows that share a doc_id but not a text each their own; null doc_ids never
+    name a component unless all its ids are null; texts of any length are read whole; other
+    columns are not read; an empty table gives an empty result.
     """
     fps = stored(fingerprints(docs, shingle), "fingerprints")
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "classes")
-    links = near_links(classes, classes.count(), max_bits)
-    components = connected_components(links)
-    found = (classes.join(components, F.col("rep") == F.col("node"), "left")
-             .select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component_id")))
+    found = fingerprint_components(fps, max_bits).select(F.col("fp").alias("class_fp"), "component_id")
     joined = fps.join(found, F.col("fp") == F.col("class_fp"), "left")
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` (all its columns) without the rows that another row of their group stands for.
+    """``docs`` (all its columns) with one row of every group of near-duplicates.
 
-    The row whose doc_id names the component stays (all of them if that id repeats); rows with
-    a null doc_id stay.
+    The row with the group's smallest doc_id stays (one of them if that id repeats in the
+    group). Rows with a null doc_id stay. The table is stored once with row numbers, so what
+    goes is decided by row, whatever doc_ids repeat.
     """
-    out = simhash_components(docs, shingle, max_bits)
-    drop = out.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("__gone"), "left_anti")
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+    fps = stored(fingerprints(rows, shingle, "__row"), "fingerprints")
+    found = fingerprint_components(fps, max_bits).select(F.col("fp").alias("class_fp"), "component", "component_id")
+    named = fps.join(found, F.col("fp") == F.col("class_fp")).filter("doc_id = component_id")
+    keep = named.groupBy("component").agg(F.min("__row").alias("__keep")).select("__keep")
+    keep = keep.unionAll(fps.filter("doc_id is null").select("__row"))
+    return rows.join(keep, F.col("__row") == F.col("__keep"), "left_semi").drop("__row")

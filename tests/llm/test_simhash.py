@@ -76,3 +76,21 @@ def test_edges(spark, docs_of):
 def test_components_of_a_long_path(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in connected_components(edges).collect()} == {0}
+
+
+def test_repeated_ids_with_different_texts_lose_no_group(docs_of):
+    """Ids that stand in several groups tie none together, and every group keeps one row."""
+    a, b, c = "one two three four five six", "alpha beta gamma delta epsilon", "red green blue black white"
+    rows = [(2, b), (5, a), (5, b), (9, a), (5, c), (9, c), (9, c), (9, b)]
+    kept = sorted((r.doc_id, r.text) for r in keep_one_per_group(docs_of(rows)).collect())
+    assert kept == sorted([(2, b), (5, a), (5, c)])
+    comp = sorted((r.doc_id, r.component_id) for r in simhash_components(docs_of(rows)).collect())
+    assert comp == sorted([(2, 2), (5, 5), (5, 2), (9, 5), (5, 5), (9, 5), (9, 5), (9, 2)])
+
+
+def test_repeated_whole_rows_and_null_ids(docs_of):
+    a, long = "one two three four five six", "w " * 200_000
+    rows = [(3, a)] * 40 + [(None, a)] * 3 + [(None, None), (1, long), (7, long), (2, ""), (4, None)]
+    kept = sorted(((r.doc_id, (r.text or "")[:3]) for r in keep_one_per_group(docs_of(rows)).collect()), key=str)
+    assert kept == sorted([(3, "one")] + [(None, "one")] * 3 + [(None, ""), (1, "w w"), (2, "")], key=str)
+    assert keep_one_per_group(docs_of(rows).filter("false")).count() == 0
