@@ -2,9 +2,10 @@
 
 Every document is repeated a Poisson number of times whose mean is the repetition rate its
 source needs: ``rate = weight share * total size / source size``. The Poisson draw inverts
-the distribution at a uniform number taken from a hash of (seed, doc_id), so the same input
-gives the same copies wherever it runs. The copies are then dealt and sorted by a hash of
-(seed, copy, doc_id): a global shuffle.
+the distribution at a uniform number taken from a hash of (seed, doc_id, text), so the same
+input gives the same copies wherever it runs, and rows without an id draw apart. Rows that agree
+in both, told by one aggregation, add the place of their row, so they draw apart as well. The
+copies are then dealt and sorted by a hash of the same and the copy's number: a global shuffle.
 
 DataFrame functions only. Sources: sizes come from one aggregation with map-side sums, so a
 source holding a third of all rows costs one row per task. The table of rates is broadcast
@@ -25,9 +26,35 @@ SALTS = 64
 _STEPS = float(1 << 52)
 
 
-def uniform(seed: str, doc_id: Column) -> Column:
-    """A number strictly between 0 and 1 from md5(seed:doc_id)."""
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def row_name(doc_id: Column, text: Column) -> Column:
+    """doc_id:md5(text); a null id is "null", a null text is empty."""
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"),
+                    F.md5(F.coalesce(text.cast("binary"), F.lit("").cast("binary"))))
+
+
+def named_rows(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` with a column ``__name`` that no other row has: ``row_name``, and for rows that
+    are equal in it the place of the row in its task's input. Without equal rows, the usual case,
+    nothing is joined; their names are broadcast within ``MAX_BROADCAST_CELLS``."""
+    base = docs.select(*names, row_name(F.col("doc_id"), F.col("text")).alias("__name"))
+    twice = stored(base.groupBy("__name").count().filter("count > 1").select(F.col("__name").alias("__twice")), "mix-repeats")
+    n = twice.count()
+    if not n:
+        return base
+    base = base.withColumn("__place", F.monotonically_increasing_id())
+    if n <= MAX_BROADCAST_CELLS:
+        joined = base.join(F.broadcast(twice), F.col("__name") == F.col("__twice"), "left")
+    else:
+        salted = twice.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = base.join(salted, (F.col("__name") == F.col("__twice"))
+                           & (F.pmod("__place", F.lit(SALTS)) == F.col("__salt")), "left")
+    place = F.when(F.col("__twice").isNull(), F.lit("")).otherwise(F.concat(F.lit(":"), F.col("__place").cast("string")))
+    return joined.select(*names, F.concat("__name", place).alias("__name"))
+
+
+def uniform(seed: str, name: Column) -> Column:
+    """A number strictly between 0 and 1 from md5(seed:name)."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), name))
     return (F.conv(F.substring(h, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(_STEPS)
 
 
@@ -75,25 +102,24 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, defaul
 
     Edge cases: a null source is a source of its own (with ``default_weight``, or the weight
     given for no name); a source whose texts are all empty or null, or whose weight is 0,
-    yields no rows; rows that share a doc_id draw the same number of copies; a null doc_id
-    draws like the text "null"; an empty table gives an empty result.
+    yields no rows; every row draws on its own, also rows that share a doc_id, have none or
+    repeat whole; null and empty texts are equal; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     rates = stored(source_rates(docs, weights or {}, default_weight, epochs), "mix-rates")
     rows, cells = rates.agg(F.count("*"), F.coalesce(F.sum(F.size("cdf")), F.lit(0))).first()
-    base = docs.select(*names).withColumn("__u", uniform(seed, F.col("doc_id")))
+    base = named_rows(docs, names).withColumn("__u", uniform(seed, F.col("__name")))
     if rows + cells <= MAX_BROADCAST_CELLS:
         joined = base.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("mix_source")))
     else:
         salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = (base.withColumn("__s", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int"))
+        joined = (base.withColumn("__s", F.pmod(F.xxhash64("__name"), F.lit(SALTS)).cast("int"))
                   .join(salted, F.col("source").eqNullSafe(F.col("mix_source"))
                         & (F.col("__s") == F.col("__salt"))))
     n = F.size(F.filter("cdf", lambda c: c < F.col("__u")))
     copies = (joined.withColumn("__n", n).filter("__n > 0")
-              .select(*names, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy")))
-    key = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("copy").cast("string"), F.lit(":"),
-                                     F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 16)
-    return (copies.withColumn("shuffle_key", key)
+              .select(*names, "__name", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy")))
+    key = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("copy").cast("string"), F.lit(":"), F.col("__name"))), 1, 16)
+    return (copies.withColumn("shuffle_key", key).drop("__name")
             .repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key"))

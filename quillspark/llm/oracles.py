@@ -56,14 +56,14 @@ cdf AS (
   SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (
     PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS c FROM grid),
 drawn AS (
-  SELECT d.*, (('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5)
-    / 4503599627370496.0 AS u FROM documents d),
+  SELECT *, (('0x' || substr(md5('mix:' || name), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u FROM (
+    SELECT *, coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')) AS name FROM documents)),
 counted AS (
-  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars,
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.name,
     (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c < d.u) AS n
   FROM drawn d)
 SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy,
-  substr(md5('mix:' || copy || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 16) AS shuffle_key
+  substr(md5('mix:' || copy || ':' || name), 1, 16) AS shuffle_key
 FROM (SELECT *, unnest(range(0, n)) AS copy FROM counted)
 """
 

@@ -50,8 +50,7 @@ def test_mixing_is_native_and_edges(docs_of):
     got = out.collect()
     assert {r.source for r in got} == {"s", None}
     assert "cell" in out.columns and out.schema["copy"].dataType.simpleString() == "int"
-    one = [r.copy for r in got if r.doc_id == 1]
-    assert sorted(one) == sorted(list(range(max(one) + 1)) * 2)
+    assert len({r.shuffle_key for r in got}) == len(got)  # equal rows draw and are dealt apart
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "MapInArrow"))
     assert mixing.mix_sources(docs_of(rows).filter("false")).count() == 0
@@ -66,6 +65,20 @@ def test_mixing_reaches_its_rates(spark, cells, monkeypatch):
     assert abs(n["a"] - 3000) < 5 * math.sqrt(3000) and abs(n["b"] - 1000) < 5 * math.sqrt(1000)
 
 
+@pytest.mark.parametrize("rows", [
+    [(None, f"text {i}", "s") for i in range(2000)], [(None, "same", "s")] * 2000, [(7, "same", "s")] * 2000,
+    [(7, f"text {i % 50}", "s") for i in range(2000)]])
+@pytest.mark.parametrize("cells", [10**6, 0])
+def test_rows_without_an_id_of_their_own_draw_apart(docs_of, monkeypatch, rows, cells):
+    """At rate 1 the mean of 2,000 independent draws lies within 5 deviations, and so does the
+    share of rows that are left out."""
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_CELLS", cells)
+    got = mixing.mix_sources(docs_of(rows, 4)).collect()
+    assert abs(len(got) - 2000) < 5 * math.sqrt(2000)
+    drawn = sum(r.copy == 0 for r in got)
+    assert abs(drawn - 2000 * (1 - math.exp(-1))) < 5 * math.sqrt(2000 * 0.25)
+
+
 URLS = [None, "", "nohost", "http://", "HTTP://A.Example.ORG/en/12?x#y", "https://example.org/es/", "http://example.org",
         "http://x.com/fr/1", "http://com/de/", "http://dotcom/de/", "http://a.com?/de/", "http://a.com/de", "x://b.org#/",
         "http://my-example.org/es/", "http://deep.a.b.example.org/es/x", "ftp://é.org/ü?q"]
