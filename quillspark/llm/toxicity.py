@@ -19,8 +19,9 @@ to the all-backoff text of the same length and divided by the number of words. A
 sample that is held back from counting sets the threshold; the score is a logistic curve
 through it.
 
-The counting, joining and pruning are Spark aggregations; only kept expressions (at most
-``max_entries``) and the calibration values (a number per sampled text) reach the driver.
+The counting, joining and pruning are Spark aggregations; only the vocabulary of the sample, the
+kept expressions (each at most ``max_entries``; more are an error, none is cut) and the
+calibration values (a number per sampled text) reach the driver.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ START, RARE = 0, 1
 @dataclass(frozen=True)
 class Settings:
     max_docs: int = 4096
-    max_entries: int = 200_000
+    max_entries: int = 2_000_000
     discount: float = 0.75
     min_count: int = 5
     min_log_ratio: float = 1.0
@@ -283,6 +284,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip((np.asarray(x) - self.threshold) / self.width, -60, 60)))
 
 
+def within_bound(df: DataFrame, max_rows: int) -> list:
+    """All rows of ``df`` at the driver; more than the bound are an error, never cut."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"the model has more than {max_rows} expressions: raise max_entries or lower max_docs")
+    return rows
+
+
 def _expressions(sample: DataFrame, docs: DataFrame, s: Settings) -> Model:
     d = float(s.discount)
     side = lambda c: F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0))
@@ -295,6 +304,7 @@ def _expressions(sample: DataFrame, docs: DataFrame, s: Settings) -> Model:
         return Model([], [])
     corpus = stored(corpus_counts(docs), "tox-corpus")
     total, types = (float(x or 0) for x in corpus.agg(F.sum("n"), F.count("*")).first())
+    base = float(np.log((1 - kt / tt) / (1 - ko / to)))  # log ratio of a word that backs off wholly
     share, chance = tt / (tt + to), s.significance * float(np.log(types + 1))
     seen = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("ct") + F.col("co")) * F.lit(q)))).otherwise(0.0)  # noqa: E731,E501
     differs = 2 * (seen("ct", share) + seen("co", 1 - share)) >= chance
@@ -303,13 +313,12 @@ def _expressions(sample: DataFrame, docs: DataFrame, s: Settings) -> Model:
                .filter(F.greatest("xt", "xo") >= s.min_count).select("w", F.lit(True).alias("in_texts")))
     often = F.greatest("ct", "co") >= s.min_count
     frequent = (uni.join(held_by, "w", "left").filter(often | F.col("in_texts"))
-                .orderBy(F.greatest("ct", "co").desc(), "w").limit(s.max_entries)
                 .join(corpus, "w", "left")
                 .withColumn("pt", kept("ct") / F.lit(tt) + F.lit(1 - kt / tt) * shared)
                 .withColumn("po", kept("co") / F.lit(to) + F.lit(1 - ko / to) * shared)
-                .withColumn("log_ratio", F.log(F.col("pt") / F.col("po")) - F.lit(np.log((1 - kt / tt) / (1 - ko / to)).item())))
+                .withColumn("log_ratio", F.log(F.col("pt") / F.col("po")) - F.lit(base)))
     frequent = stored(frequent.select("w", "pt", "po", "log_ratio", (differs & often).alias("differs")), "tox-frequent")
-    vocabulary = np.sort(np.array([r.w for r in frequent.select("w").collect()], np.int64))
+    vocabulary = np.sort(np.array([r.w for r in within_bound(frequent.select("w"), s.max_entries)], np.int64))
 
     bi = (word_triples(sample, vocabulary).groupBy("toxic", "v", "w").agg(F.count("*").alias("n"))
           .groupBy("v", "w").agg(side(1).alias("ct"), side(0).alias("co")))
@@ -322,13 +331,12 @@ def _expressions(sample: DataFrame, docs: DataFrame, s: Settings) -> Model:
 
     pairs = (bi.filter((F.greatest("ct", "co") >= s.min_count) & (F.col("w") != RARE) & differs)
              .join(heads, F.col("v") == F.col("head")).join(frequent.drop("differs"), "w")
-             .withColumn("pair_ratio", F.log(conditional("ct", "ht", "hkt", "pt") / conditional("co", "ho", "hko", "po"))))
+             .withColumn("pair_ratio", F.log(conditional("ct", "ht", "hkt", "pt") / conditional("co", "ho", "hko", "po")) - F.lit(base)))
 
-    def strongest(df: DataFrame, ratio: str, *key: str) -> list:
-        return [tuple(r) for r in df.filter(F.abs(ratio) >= s.min_log_ratio)
-                .orderBy(F.abs(ratio).desc(), *key).limit(s.max_entries).select(*key, ratio).collect()]
+    def telling(df: DataFrame, ratio: str, *key: str) -> list:
+        return [tuple(r) for r in within_bound(df.filter(F.abs(ratio) >= s.min_log_ratio).select(*key, ratio), s.max_entries)]
 
-    return Model(strongest(frequent.filter("differs"), "log_ratio", "w"), strongest(pairs, "pair_ratio", "v", "w"))
+    return Model(telling(frequent.filter("differs"), "log_ratio", "w"), telling(pairs, "pair_ratio", "v", "w"))
 
 
 def _evidence(df: DataFrame, model: Model, carry: str, kind: str) -> DataFrame:

@@ -107,3 +107,125 @@ def test_a_phrase_whose_word_follows_one_word_only_is_learnt(spark, docs_of):
     got = {r.doc_id: r.predicted for r in T.score_toxicity(docs, train).collect()}
     test = [(got[d], y) for d, y in labels if d % 3 == 0]
     assert sum(p == y for p, y in test) > 0.95 * len(test)
+
+
+# ---- a plain Kneser-Ney -----------------------------------------------------------------------------
+def plain_model(texts, sample, s=T.Settings()):
+    """({expression: log ratio}, {(v, w): log ratio}) by dictionaries. ``sample``: (id, toxic) of
+    the counted rows; ``texts``: {id: text} of the corpus."""
+    import math
+    levels = (T._word, T._stem(5), T._stem(4))
+    forms = lambda raw: [e for e in (of(T._plain(raw)) for of in levels) if e != T.START]
+    pairs, held_by, corpus = [set(), set()], [{}, {}], {}
+    for t in texts.values():
+        for raw in (t or "").encode().split():
+            for e in forms(raw):
+                corpus[e] = corpus.get(e, 0) + 1
+    for d, toxic in sample:
+        words = texts[d].encode().split()
+        before = [T.START] + [T._word(T._plain(w)) for w in words]
+        pairs[toxic] |= {(v, e) for v, w in zip(before, words) for e in forms(w)}
+    for toxic in (0, 1):
+        for text in {texts[d] for d, y in sample if y == toxic}:
+            for e in {T._word(T._plain(w)) for w in text.encode().split()}:
+                held_by[toxic][e] = held_by[toxic].get(e, 0) + 1
+    c = {}
+    for toxic in (0, 1):
+        for _, e in pairs[toxic]:
+            c.setdefault(e, [0, 0])[toxic] += 1
+    cut = lambda n: max(n - s.discount, 0.0)
+    total = [sum(x[y] for x in c.values()) for y in (0, 1)]
+    rest = [1 - sum(cut(x[y]) for x in c.values()) / total[y] for y in (0, 1)]
+    base, share = math.log(rest[1] / rest[0]), total[1] / sum(total)
+    mass = sum(corpus.values()) + len(corpus) + 1
+
+    def differs(o, t):
+        g = sum(n * math.log(n / ((o + t) * q)) for n, q in ((t, share), (o, 1 - share)) if n)
+        return 2 * g >= s.significance * math.log(len(corpus) + 1)
+
+    p, words = {}, {}
+    for e, (o, t) in c.items():
+        often = max(o, t) >= s.min_count
+        if often or max(held_by[0].get(e, 0), held_by[1].get(e, 0)) >= s.min_count:
+            shared = (corpus.get(e, 0) + 1) / mass
+            p[e] = [cut(n) / total[y] + rest[y] * shared for y, n in ((0, o), (1, t))]
+            ratio = math.log(p[e][1] / p[e][0]) - base
+            if often and differs(o, t) and abs(ratio) >= s.min_log_ratio:
+                words[e] = ratio
+    triples = [set(), set()]
+    for d, toxic in sample:
+        x = [T.START, T.START] + [T._word(T._plain(w)) for w in texts[d].encode().split()]
+        triples[toxic] |= {(a, v, w if w in p else T.RARE) for a, v, w in zip(x, x[1:], x[2:]) if v in p}
+    two, head = {}, {}
+    for toxic in (0, 1):
+        for _, v, w in triples[toxic]:
+            two.setdefault((v, w), [0, 0])[toxic] += 1
+    for (v, _), n in two.items():
+        h = head.setdefault(v, [0, 0, 0.0, 0.0])
+        for y in (0, 1):
+            h[y] += n[y]
+            h[2 + y] += cut(n[y])
+    found = {}
+    for (v, w), n in two.items():
+        if w != T.RARE and max(n) >= s.min_count and differs(*n):
+            h = head[v]
+            q = [cut(n[y]) / h[y] + (1 - h[2 + y] / h[y]) * p[w][y] if h[y] else p[w][y] for y in (0, 1)]
+            ratio = math.log(q[1] / q[0]) - base
+            if abs(ratio) >= s.min_log_ratio:
+                found[v, w] = ratio
+    return words, found
+
+
+def plain_evidence(words, pairs, text):
+    known = set(words) | {e for pair in pairs for e in pair}
+    levels = (T._word, T._stem(5), T._stem(4))
+    forms = [[of(T._plain(w)) for of in levels] for w in (text or "").encode().split()]
+    own = [next((e for e in f if e in known), None) for f in forms]
+    value = [words.get(e, 0.0) for e in own]
+    for i in range(1, len(own)):
+        value[i] = pairs.get((own[i - 1], own[i]), value[i])
+    return sum(value) / len(value) if value else 0.0
+
+
+def check_against_plain(spark, docs, texts, labels):
+    sample = [(r.id, r.toxic) for r in T.labelled_sample(labels, T.Settings().max_docs).collect() if not r.held]
+    words, pairs = plain_model(texts, [x for x in sample if x[0] in texts])
+    m = T.fit(docs, labels)
+    name = {i: d for d, i in m.index.items()}
+    got_pairs = {(name[k // m.size], name[k % m.size]): x for k, x in zip(m.pair_keys.tolist(), m.pair_values.tolist())}
+    assert set(got_pairs) == set(pairs) and {name[i] for i in np.flatnonzero(m.word)} == set(words)
+    assert all(abs(got_pairs[k] - x) < 1e-9 for k, x in pairs.items())
+    assert all(abs(m.word[m.index[w]] - x) < 1e-9 for w, x in words.items())
+    scored = {r.doc_id: r.score for r in T.score_toxicity(docs, labels).collect()}
+    for d, t in texts.items():
+        assert abs(scored[d] - float(m.score(plain_evidence(words, pairs, t)))) < 1e-9
+    return words, pairs
+
+
+def test_every_score_equals_the_plain_models(spark, sf_docs):
+    from quillspark.llm.common import documents
+    from quillspark.llm.queries import training_labels
+    sf = "/root/testdata/sf0.01"
+    words, _ = check_against_plain(spark, documents(spark, sf), sf_docs, training_labels(spark, sf))
+    assert words
+
+
+def test_pairs_equal_the_plain_models(spark, docs_of):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(80)]
+    rows, labels = [], []
+    for d in range(500):
+        text, toxic = rng.choices(words, k=rng.randint(20, 60)), int(rng.random() < 0.3)
+        for _ in range(4 if toxic else 1):
+            at = rng.randint(0, len(text))
+            text[at:at] = ["such", "vermin"] if toxic else [rng.choice(["such", "vermin"])]
+        rows.append((d, " ".join(text)))
+        labels.append((d, toxic))
+    _, pairs = check_against_plain(spark, docs_of(rows), dict(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert pairs
+
+
+def test_expressions_over_the_bound_are_an_error(spark, docs_of):
+    rows, labels = made(200, seed=4)
+    with pytest.raises(ValueError, match="more than 5 expressions"):
+        T.fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int"), T.Settings(max_entries=5))
