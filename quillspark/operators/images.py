@@ -1,15 +1,16 @@
 """Rows of a numeric table turned into small images, and the smoothing jobs on them.
 
 Pattern throughout: statistics that sum over rows (X^T X, X^T Y) are distributed
-aggregations; the small matrices they produce (d x d, d x n^2, n^2 x n^2) are decomposed
-on the driver; the result is broadcast back and applied to every row in Arrow batches.
-Nothing that grows with the number of rows reaches the driver.
+aggregations; the small matrices they produce (d x d, d x n^2) are decomposed on the driver; the
+result is broadcast back and applied to every row in Arrow batches. Nothing that grows with the
+number of rows reaches the driver.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
@@ -136,47 +137,76 @@ def objective_table(spark: SparkSession, objectives: list[float]) -> DataFrame:
                                  "round int, objective double")
 
 
+#: Rounds of the TV embedding that are replayed from stored rows before the rows are stored anew.
+REPLAYED_ROUNDS = 16
+
+
 def tv_image_embedding(df: DataFrame, f0: np.ndarray, res: int, lam: float, gam: float,
                        rounds: int, x_col: str = "x") -> tuple[np.ndarray, list[float]]:
-    """Embedding matrix under a TV penalty by alternating updates.
+    """Embedding matrix under a TV penalty by alternating updates, and the objective per round.
 
     Per round: f = U V^T from the SVD of X^T Y (distributed sum, d x n^2 on the driver);
     z = shrink(Y D^T, lam) and Y = (lam L + gam I)^-1 (lam z D + gam X f) per row, solved in the
-    cosine basis. The row state is checkpointed every round so lineage stays one round long and
-    a lost executor recomputes one round at most.
+    cosine basis. A row's y follows from its x and the embeddings so far, so a round is one job
+    that replays the rounds before it and sums X^T Y and the objective; the table is stored once
+    and nothing is written between rounds. Every REPLAYED_ROUNDS rounds y is stored with x, which
+    bounds the replay.
     """
     spark = df.sparkSession
-    b_c = MX.broadcast_matrix(spark, GR.cosine_basis(res))
-    scale = 1.0 / (lam * SP.grid_eigenvalues(res) + gam)
-    state = checkpointed(MX.project_rows(df.select("vec_id", x_col), f0, x_col, "y"))
-    d = f0.shape[0]
-    f = f0
-    objectives = []
-    schema = StructType([StructField("vec_id", LongType()), StructField(x_col, ArrayType(DoubleType())),
-                         StructField("y", ArrayType(DoubleType())), StructField("obj", DoubleType())])
-    for _ in range(rounds):
-        xty = MX.product_array(state, (d, res * res), x_col, "y")
+    ship_package(spark)
+    d, size = f0.shape
+    scale, basis = 1.0 / (lam * SP.grid_eigenvalues(res) + gam), GR.cosine_basis(res)
+
+    def step(x: np.ndarray, y: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, float]:
+        z, xf = _shrink(SP.differences(y, res), lam), x @ f
+        new = SP.idct2(SP.dct2(lam * SP.differences_adjoint(z, res) + gam * xf, basis) * scale, basis)
+        objective = (np.abs(z).sum() + 0.5 * lam * ((z - SP.differences(new, res)) ** 2).sum()
+                     + 0.5 * gam * ((new - xf) ** 2).sum())
+        return new, objective
+
+    def job(rows: DataFrame, fs: list[np.ndarray], what: str):
+        """Rows (x, y) after the rounds ``fs``, or the tiles of X^T Y beside one of the objective."""
+        MX.check_cells((len(fs), d, size), "the broadcast embeddings")
+        shared = spark.sparkContext.broadcast(fs)
+
+        def run(batches):
+            total, objective = np.zeros((d, size)), 0.0
+            for b in batches:
+                xs, ys = MX.column_matrix(b.column(0)), MX.column_matrix(b.column(1))
+                for s in SP.blocks(len(xs), 4 * size):
+                    x, y, last = xs[s], ys[s], 0.0
+                    for f in shared.value:
+                        y, last = step(x, y, f)
+                    if what == "rows":
+                        yield pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(list(y))], names=["x", "y"])
+                        continue
+                    total += x.T @ y
+                    objective += last
+            if what == "sums":
+                yield from MX.packed_tiles(total)
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([1], pa.int32()),
+                                                  pa.array([[objective]])], names=["ti", "tj", "width", "tile"])
+
+        if what == "rows":
+            return checkpointed(rows.mapInArrow(run, "x array<double>, y array<double>"))
+        found = list(MX.add_tiles(rows.mapInArrow(run, MX.TILES)).toLocalIterator())  # d x n^2 cells
+        return (MX.collect_tiles((r for r in found if r["ti"] >= 0), (d, size)),
+                sum(r["tile"][0] for r in found if r["ti"] < 0))
+
+    there = df.where(F.col(x_col).isNotNull()).select(F.col(x_col).cast("array<double>").alias("x"))
+    rows = checkpointed(MX.project_rows(there, f0, "x", "y"))
+    fs, f, objectives = [], f0, []
+    for no in range(rounds):
+        xty, objective = job(rows, fs, "sums")
+        if no:
+            objectives.append(float(objective))
+        if len(fs) == REPLAYED_ROUNDS:
+            rows, fs = job(rows, fs, "rows"), []
         u, _, vt = np.linalg.svd(xty, full_matrices=False)
         f = u @ vt
-        b_f = MX.broadcast_matrix(spark, f)
-
-        def step(batches, b_f=b_f):
-            fm, c = b_f.value, b_c.value
-            for pdf in batches:
-                for s in SP.blocks(len(pdf), 4 * res * res):
-                    part = pdf.iloc[s]
-                    x, y = MX._stack(part[x_col]), MX._stack(part["y"])
-                    z = _shrink(SP.differences(y, res), lam)
-                    xf = x @ fm
-                    right = lam * SP.differences_adjoint(z, res) + gam * xf
-                    y_new = SP.idct2(SP.dct2(right, c) * scale, c)
-                    obj = (np.abs(z).sum(1) + 0.5 * lam * ((z - SP.differences(y_new, res)) ** 2).sum(1)
-                           + 0.5 * gam * ((y_new - xf) ** 2).sum(1))
-                    yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy("int64"), x_col: list(x),
-                                        "y": list(y_new), "obj": obj})
-
-        state = checkpointed(state.select("vec_id", x_col, "y").mapInPandas(step, schema))
-        objectives.append(float(state.agg(F.sum("obj")).first()[0] or 0.0))
+        fs.append(f)
+    if rounds:
+        objectives.append(float(job(rows, fs, "sums")[1]))
     return f, objectives
 
 

@@ -9,12 +9,12 @@ tiles rows, independent of the number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
@@ -124,8 +124,8 @@ def add_packed(partials: DataFrame, keys: Sequence[str], packed: str,
 # ---- products of rows ---------------------------------------------------------------------------
 # Rows and columns of a tile of X^T Y; a tile is one packed row (32 KB).
 TILE = 64
-_TILES = StructType([StructField("ti", IntegerType()), StructField("tj", IntegerType()),
-                     StructField("width", IntegerType()), StructField("tile", ArrayType(DoubleType()))])
+TILES = StructType([StructField("ti", IntegerType()), StructField("tj", IntegerType()),
+                    StructField("width", IntegerType()), StructField("tile", ArrayType(DoubleType()))])
 
 
 def product_tiles(df: DataFrame, x_col: str, y_col: str | None = None) -> DataFrame:
@@ -146,17 +146,25 @@ def product_tiles(df: DataFrame, x_col: str, y_col: str | None = None) -> DataFr
             x = column_matrix(b.column(0))
             part = x.T @ (x if y_col is None else column_matrix(b.column(1)))
             acc = part if acc is None else acc + part
-        if acc is None:
-            return
-        for i in range(0, acc.shape[0], TILE):
-            for j in range(i if y_col is None else 0, acc.shape[1], TILE):
-                tile = acc[i:i + TILE, j:j + TILE]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i // TILE], pa.int32()), pa.array([j // TILE], pa.int32()),
-                     pa.array([tile.shape[1]], pa.int32()), pa.array([tile.ravel()])],
-                    names=["ti", "tj", "width", "tile"])
+        if acc is not None:
+            yield from packed_tiles(acc, y_col is None)
 
-    return add_packed(src.mapInArrow(run, _TILES), ["ti", "tj", "width"], "tile")
+    return add_tiles(src.mapInArrow(run, TILES))
+
+
+def packed_tiles(m: np.ndarray, upper: bool = False) -> Iterator[pa.RecordBatch]:
+    """The tiles of a task's partial matrix (``upper``: on and above the diagonal), a row each."""
+    for i in range(0, m.shape[0], TILE):
+        for j in range(i if upper else 0, m.shape[1], TILE):
+            tile = m[i:i + TILE, j:j + TILE]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i // TILE], pa.int32()), pa.array([j // TILE], pa.int32()),
+                 pa.array([tile.shape[1]], pa.int32()), pa.array([tile.ravel()])],
+                names=["ti", "tj", "width", "tile"])
+
+
+def add_tiles(partials: DataFrame) -> DataFrame:
+    return add_packed(partials, ["ti", "tj", "width"], "tile")
 
 
 def gram_matrix(df: DataFrame, x_col: str = "x") -> DataFrame:
@@ -181,12 +189,18 @@ def _cells(tiles: DataFrame) -> DataFrame:
 def product_array(df: DataFrame, shape: tuple[int, int], x_col: str = "x", y_col: str | None = None) -> np.ndarray:
     """X^T Y (or X^T X) at the driver, brought there tile by tile; zeros for a table without rows."""
     check_cells(shape, "a collected matrix")
+    return collect_tiles(product_tiles(df, x_col, y_col).toLocalIterator(), shape, y_col is None)
+
+
+def collect_tiles(tiles: Iterable[Row], shape: tuple[int, int], mirror: bool = False) -> np.ndarray:
+    """The matrix of summed tiles (``mirror``: symmetric, given by its upper ones)."""
+    check_cells(shape, "a collected matrix")
     m = np.zeros(shape)
-    for r in product_tiles(df, x_col, y_col).toLocalIterator():
+    for r in tiles:
         tile = np.array(r["tile"]).reshape(-1, r["width"])
         i, j = r["ti"] * TILE, r["tj"] * TILE
         m[i:i + tile.shape[0], j:j + tile.shape[1]] = tile
-        if y_col is None:
+        if mirror:
             m[j:j + tile.shape[1], i:i + tile.shape[0]] = tile.T
     return m
 

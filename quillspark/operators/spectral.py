@@ -1,8 +1,8 @@
 """Separable work on stacks of n x n images: cosine transforms, differences, Laplacian systems.
 
 A 2-D cosine transform is a transform of the rows and then of the columns, so the only matrix
-that is ever built or broadcast is the n x n basis, and an image costs 2 n^3 multiplications
-instead of n^4. The grid Laplacian L = D^T D is diagonal in that basis; D itself is applied by
+that is broadcast is the n x n basis, and an image costs 2 n^3 multiplications instead of n^4
+(images of at most KRONECKER_SIDE aside). The grid Laplacian L = D^T D is diagonal in that basis; D itself is applied by
 subtracting neighbours. The numpy functions take and return stacks of flattened images
 (rows x n^2) and are used inside Arrow batches.
 """
@@ -28,8 +28,15 @@ def blocks(rows: int, width: int) -> Iterator[slice]:
         yield slice(at, at + step)
 
 
+#: Up to this side an image's transform is one product with the small Kronecker matrix, which
+#: costs more multiplications but fewer calls.
+KRONECKER_SIDE = 12
+
+
 def dct2(y: np.ndarray, basis: np.ndarray) -> np.ndarray:
     n = len(basis)
+    if n <= KRONECKER_SIDE:
+        return y @ np.kron(basis, basis).T
     return (basis @ y.reshape(-1, n, n) @ basis.T).reshape(-1, n * n)
 
 
@@ -68,7 +75,7 @@ class TvSystem:
     ``f_hat`` is f in that basis. If f's rows are an orthonormal set over exactly d modes (the
     principal-axis embedding, the cosine basis itself), f^T f is a 0/1 diagonal there and the
     system is one division per mode. Any other f is a change of rank d: a d x d system
-    (Woodbury) on top of the division. Nothing of n^2 x n^2 is ever formed.
+    (Woodbury) on top of the division. Nothing of n^2 x n^2 is formed.
     """
 
     def __init__(self, f: np.ndarray, n: int, gam: float) -> None:

@@ -77,8 +77,10 @@ def test_map_rows_keeps_columns_and_null_rows(spark):
 
 
 # ---- separable transforms ------------------------------------------------------------------------
+@pytest.mark.parametrize("side", [12, 0])
 @pytest.mark.parametrize("n", [2, 5, 8])
-def test_separable_functions_equal_the_dense_matrices(n):
+def test_separable_functions_equal_the_dense_matrices(n, side, monkeypatch):
+    monkeypatch.setattr(SP, "KRONECKER_SIDE", side)
     rng = np.random.default_rng(n)
     y, c = rng.normal(size=(6, n * n)), GR.cosine_basis(n)
     assert np.allclose(SP.dct2(y, c), y @ GR.dct2_matrix(n).T)
@@ -307,3 +309,36 @@ def test_layout_by_lanczos_has_the_dense_ranks(spark, monkeypatch):
     assert np.allclose(DC.tiles_times(tiles, y), a @ y)
     monkeypatch.setattr(MX, "MAX_CELLS", 70 * 70 - 1)
     assert np.array_equal(IM.feature_layout(df, 0.05), dense)
+
+
+# ---- the TV embedding ---------------------------------------------------------------------------
+def _dense_tv_embedding(x, f0, res, lam, gam, rounds):
+    """The alternating updates with dense matrices: (f, objective per round)."""
+    d = GR.diff_matrix(res)
+    a = np.linalg.inv(lam * d.T @ d + gam * np.eye(res * res))
+    y, f, out = x @ f0, f0, []
+    for _ in range(rounds):
+        u, _, vt = np.linalg.svd(x.T @ y, full_matrices=False)
+        f = u @ vt
+        z = np.sign(y @ d.T) * np.maximum(np.abs(y @ d.T) - lam, 0)
+        y = (lam * z @ d + gam * x @ f) @ a
+        out.append(np.abs(z).sum() + lam / 2 * ((z - y @ d.T) ** 2).sum() + gam / 2 * ((y - x @ f) ** 2).sum())
+    return f, out
+
+
+@pytest.mark.parametrize("replayed", [16, 2, 1])
+def test_tv_embedding_rounds_equal_the_dense_ones(spark, monkeypatch, replayed):
+    monkeypatch.setattr(IM, "REPLAYED_ROUNDS", replayed)
+    stored = []
+    keep = IM.checkpointed
+    monkeypatch.setattr(IM, "checkpointed", lambda df: stored.append(df.columns) or keep(df))
+    x = np.random.default_rng(11).normal(size=(30, 6)) * np.arange(1, 7)
+    df = _frame(spark, x)
+    f0 = IM.image_embedding(df, 3)
+    stored.clear()
+    f, objective = IM.tv_image_embedding(df, f0, 3, 0.1, 0.2, 5)
+    want, values = _dense_tv_embedding(x, f0, 3, 0.1, 0.2, 5)
+    assert np.allclose(f, want) and np.allclose(objective, values)
+    assert (np.diff(objective) <= 1e-9).all()
+    assert len(stored) == {16: 1, 2: 3, 1: 5}[replayed]  # x is written once while rounds are replayed
+    assert IM.tv_image_embedding(df, f0, 3, 0.1, 0.2, 0)[1] == []

@@ -5,12 +5,15 @@ import pytest
 
 import __spark_entry__ as E
 from quillspark.plans import catalog
-from helpers import SF_SMALL
-from helpers import plan_text
+from helpers import SF_SMALL, plan_text
 
 SLOW = {"train_logistic", "compare_classifiers", "tv_image_embedding", "kernel_pca",
         "image_embedding", "embed_images", "tv_smooth_images", "feature_layout", "splat_images",
-        "splat_gallery", "splat_comparison"}
+        "splat_gallery", "splat_comparison", "kernel_coordinates", "image_embedding_weights",
+        "embedded_images", "tv_fit_error", "tv_embedding_objective", "feature_positions",
+        "splat_gallery_spectral", "splat_comparison_scores", "splat_comparison_boxplot",
+        "splat_comparison_sorted", "embedding_comparison", "embedding_comparison_scores",
+        "embedding_gallery", "train_logistic_scores", "compare_classifiers_scores"}
 
 
 def test_topk_uses_take_ordered(spark):
