@@ -9,7 +9,6 @@ number of rows reaches the driver.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,14 +99,14 @@ def tv_smooth_images(df: DataFrame, f: np.ndarray, res: int, lam: float, gam: fl
         return phi, errs
 
     def run(batches):
-        for pdf in batches:
-            for s in SP.blocks(len(pdf), 4 * res * res):
-                part = pdf.iloc[s]
-                phi, errs = smooth(MX._stack(part[x_col]))
-                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy("int64"), "img": list(phi),
-                                    "sq_err": list(errs)})
-
-    return df.select("vec_id", x_col).mapInPandas(run, _TV_SCHEMA)
+        for b in batches:
+            x = MX.column_matrix(b.column(1)) if b.num_rows else np.zeros((0, len(f)))
+            for s in SP.blocks(len(x), 4 * res * res):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(s.start, s.stop - s.start),
+                                                  *map(MX.list_column, smooth(x[s]))], names=["vec_id", "img", "sq_err"])
+
+    src = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(x_col).cast("array<double>").alias(x_col))
+    return src.mapInArrow(run, _TV_SCHEMA)
 
 
 def tv_fit_error(smoothed: DataFrame) -> DataFrame:

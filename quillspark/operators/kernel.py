@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from quillspark.operators import matrix as MX
+from quillspark.session import ship_package
 
 
 def landmarks(df: DataFrame, m: int, x_col: str = "x") -> tuple[list[int], np.ndarray]:
@@ -64,17 +65,27 @@ def kernel_pca(df: DataFrame, m: int, n_components: int | None, gamma: float | N
     w, v = np.linalg.eigh(np.exp(-gamma * _sqdist(lm, lm)))
     keep = w > max(w[-1], 0.0) * 1e-12
     half = v[:, keep] / np.sqrt(w[keep])
-    kr = rbf_pairs(df, lm, gamma, x_col, "_k")
-    phi = MX.project_rows(kr, half, "_k", "_phi", keep=["vec_id"])
-    # A constant feature makes the Gram matrix carry the sums and the row count too.
-    one = phi.withColumn("_phi", F.concat("_phi", F.array(F.lit(1.0))))
     d = half.shape[1]
-    g = MX.product_array(one, (d + 1, d + 1), "_phi")
+    MX.check_cells((lm.shape[0], lm.shape[1] + d), "the broadcast landmarks")
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast((lm, half))
+
+    def features(x: np.ndarray) -> np.ndarray:
+        at, to = shared.value
+        # A constant feature makes the Gram matrix carry the sums and the row count too.
+        return np.hstack([np.exp(-gamma * _sqdist(x, at)) @ to, np.ones((len(x), 1))])
+
+    rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), x_col)
+    # One Python worker a task from a row to its share of the sums, and a block's kernel values
+    # at a time: memory follows neither the rows nor the number of steps.
+    g = MX.product_array(rows, (d + 1, d + 1), x_col, fn=features)
     mean = g[:d, d] / g[d, d]
     lam, axes = np.linalg.eigh(g[:d, :d] - g[d, d] * np.outer(mean, mean))
     lam, axes = lam[::-1][:n_components], axes[:, ::-1][:, :n_components]
     axes = axes[:, lam > max(lam[0], 0.0) * 1e-10]
     idx = np.argmax(np.abs(axes), axis=0)
     axes = axes * np.sign(axes[idx, np.arange(axes.shape[1])])
-    z = MX.project_rows(one, np.vstack([axes, -(mean @ axes)[None, :]]), "_phi", out_col, keep=["vec_id"])
+    last = MX.broadcast_matrix(df.sparkSession, np.vstack([axes, -(mean @ axes)[None, :]]))
+    z = MX.map_rows(rows, lambda x: np.concatenate([features(x[s]) @ last.value for s in MX.row_blocks(len(x))]),
+                    x_col, out_col, keep=["vec_id"])
     return z.select("vec_id", out_col)

@@ -69,6 +69,14 @@ def map_rows(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], x_col: str =
     return src.mapInArrow(run, schema)
 
 
+#: Rows that a function of rows is given at a time where what it makes of them is not kept.
+BLOCK_ROWS = 2048
+
+
+def row_blocks(rows: int) -> Iterator[slice]:
+    return (slice(at, at + BLOCK_ROWS) for at in range(0, rows, BLOCK_ROWS))
+
+
 def project_rows(df: DataFrame, m: np.ndarray, x_col: str = "x", out_col: str = "y",
                  keep: Sequence[str] | None = None) -> DataFrame:
     """Row x matrix: ``out = x @ m`` for every row (m is d x k); NULL x stays NULL."""
@@ -85,6 +93,12 @@ def column_matrix(column: pa.Array) -> np.ndarray:
     return flat.astype(float, copy=False).reshape(len(sizes), -1)
 
 
+def list_column(m: np.ndarray) -> pa.Array:
+    """The rows of a matrix as an Arrow list column, without a Python object a row."""
+    offsets = np.arange(len(m) + 1, dtype=np.int32) * np.int32(m.shape[1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(m).ravel()))
+
+
 # ---- packed sums ------------------------------------------------------------------------------
 # Partials added by one task of the first level of the tree.
 FAN_IN = 64
@@ -128,9 +142,11 @@ TILES = StructType([StructField("ti", IntegerType()), StructField("tj", IntegerT
                     StructField("width", IntegerType()), StructField("tile", ArrayType(DoubleType()))])
 
 
-def product_tiles(df: DataFrame, x_col: str, y_col: str | None = None) -> DataFrame:
+def product_tiles(df: DataFrame, x_col: str, y_col: str | None = None,
+                  fn: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """(ti, tj, width, tile): X^T Y (or X^T X, tiles on and above the diagonal only) of the rows
-    whose arrays are not NULL, as packed tiles of TILE x TILE cells in row order."""
+    whose arrays are not NULL, as packed tiles of TILE x TILE cells in row order. ``fn`` turns
+    blocks of X into the rows that are multiplied, in the same tasks."""
     cols = [x_col] if y_col is None else [x_col, y_col]
     ship_package(df.sparkSession)
     there = F.lit(True)
@@ -144,8 +160,11 @@ def product_tiles(df: DataFrame, x_col: str, y_col: str | None = None) -> DataFr
             if not b.num_rows:
                 continue
             x = column_matrix(b.column(0))
-            part = x.T @ (x if y_col is None else column_matrix(b.column(1)))
-            acc = part if acc is None else acc + part
+            y = x if y_col is None else column_matrix(b.column(1))
+            for s in ([slice(None)] if fn is None else row_blocks(len(x))):
+                left = x[s] if fn is None else fn(x[s])
+                part = left.T @ (left if y_col is None else y[s])
+                acc = part if acc is None else acc + part
         if acc is not None:
             yield from packed_tiles(acc, y_col is None)
 
@@ -186,10 +205,11 @@ def _cells(tiles: DataFrame) -> DataFrame:
                        (F.col("tj") * TILE + F.col("pos") % F.col("width")).alias("j"), "g")
 
 
-def product_array(df: DataFrame, shape: tuple[int, int], x_col: str = "x", y_col: str | None = None) -> np.ndarray:
+def product_array(df: DataFrame, shape: tuple[int, int], x_col: str = "x", y_col: str | None = None,
+                  fn: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
     """X^T Y (or X^T X) at the driver, brought there tile by tile; zeros for a table without rows."""
     check_cells(shape, "a collected matrix")
-    return collect_tiles(product_tiles(df, x_col, y_col).toLocalIterator(), shape, y_col is None)
+    return collect_tiles(product_tiles(df, x_col, y_col, fn).toLocalIterator(), shape, y_col is None)
 
 
 def collect_tiles(tiles: Iterable[Row], shape: tuple[int, int], mirror: bool = False) -> np.ndarray:

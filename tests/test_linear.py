@@ -8,6 +8,7 @@ from quillspark.operators import decompose as DC
 from quillspark.operators import evaluate as E
 from quillspark.operators import grid as GR
 from quillspark.operators import images as IM
+from quillspark.operators import kernel as KN
 from quillspark.operators import logistic as LG
 from quillspark.operators import matrix as MX
 from quillspark.operators import spectral as SP
@@ -342,3 +343,18 @@ def test_tv_embedding_rounds_equal_the_dense_ones(spark, monkeypatch, replayed):
     assert (np.diff(objective) <= 1e-9).all()
     assert len(stored) == {16: 1, 2: 3, 1: 5}[replayed]  # x is written once while rounds are replayed
     assert IM.tv_image_embedding(df, f0, 3, 0.1, 0.2, 0)[1] == []
+
+
+# ---- work of a round over many tasks, one worker a task -------------------------------------------
+def test_kernel_coordinates_take_one_worker_a_task_and_equal_numpy(spark):
+    x = np.random.default_rng(5).normal(size=(5000, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, x array<double>").coalesce(1)
+    z = KN.kernel_pca(df, 20, None, 0.25)
+    assert z._jdf.queryExecution().executedPlan().toString().count("MapIn") == 1
+    got = np.array([r.z for r in z.orderBy("vec_id").collect()])
+    _, lm = KN.landmarks(df, 20)
+    w, v = np.linalg.eigh(np.exp(-0.25 * KN._sqdist(lm, lm)))
+    phi = np.exp(-0.25 * KN._sqdist(x, lm)) @ (v / np.sqrt(w))
+    phi -= phi.mean(axis=0)
+    assert got.shape[0] == 5000
+    assert np.allclose(got[::100] @ got[::100].T, phi[::100] @ phi[::100].T, atol=1e-8)
