@@ -20,8 +20,9 @@ from quillspark.operators import matrix as MX
 from quillspark.session import checkpointed, ship_package
 
 #: Rows of feature vectors per training task: a round is one job, so a small table spread over
-#: many tasks pays the scheduling cost every round.
-ROWS_PER_TRAIN_TASK = 200_000
+#: many tasks pays the scheduling cost every round, while a few wide tasks leave cores idle in
+#: every round of either classifier.
+ROWS_PER_TRAIN_TASK = 10_000
 #: Rows worked on together inside a task.
 BLOCK_ROWS = 4096
 #: A model is done when a Newton step would lessen its mean loss by less than this, or when its
@@ -40,8 +41,11 @@ def split_table(df: DataFrame, split: DataFrame, x_col: str = "x", label_col: st
                        lambda r: F.when(is_in(r, True), 1).when(is_in(r, False), 0).otherwise(-1).cast("tinyint"))
     rows = df.where(F.col(x_col).isNotNull() & F.col(label_col).isNotNull()) \
         .select("vec_id", F.col(x_col).cast("array<double>").alias("x"), F.col(label_col).cast("int").alias("label"))
-    data = checkpointed(rows.join(held, "vec_id").select("vec_id", "x", "label", role.alias("role")))
-    want = max(1, math.ceil(data.count() / ROWS_PER_TRAIN_TASK))
+    found = rows.join(held, "vec_id").select("vec_id", "x", "label", role.alias("role"))
+    want = max(1, math.ceil(rows.count() / ROWS_PER_TRAIN_TASK))
+    if want > 1:  # dealt anew: the join's partitions follow bytes, keys and the session
+        return checkpointed(found.repartition(want)), reps
+    data = checkpointed(found)
     return (data.coalesce(want) if want < data.rdd.getNumPartitions() else data), reps
 
 

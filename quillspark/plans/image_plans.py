@@ -333,7 +333,9 @@ def splat_comparison_sorted(spark, sf):
 def _embedded_chain(spark, sf):
     x = _learnable(spark, sf)
     z = KN.kernel_pca(FT.robust_scale(x), K.N_FIT_LANDMARKS, 32, 1.0 / 64)
-    z = FT.robust_scale(checkpointed(z.withColumnRenamed("z", "x").join(x.select("vec_id", "label"), "vec_id")))
+    z = z.withColumnRenamed("z", "x").join(x.select("vec_id", "label"), "vec_id")
+    tasks = -(-x.count() // LG.ROWS_PER_TRAIN_TASK)
+    z = FT.robust_scale(checkpointed(z.repartition(tasks) if tasks > 1 else z))  # 100 rounds a row follow
     f = IM.image_embedding(z, n)
     smooth = IM.tv_smooth_images(z, f, n, lam=10.0, gam=0.1, rounds=100, errors=False)
     return checkpointed(smooth.select("vec_id", F.col("img").alias("x")).join(x.select("vec_id", "label"), "vec_id"))

@@ -346,6 +346,18 @@ def test_tv_embedding_rounds_equal_the_dense_ones(spark, monkeypatch, replayed):
 
 
 # ---- work of a round over many tasks, one worker a task -------------------------------------------
+def test_training_rows_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(LG, "ROWS_PER_TRAIN_TASK", 10)
+    rows = [(i % 90, [float(i), 1.0], i % 2) for i in range(95)]  # five ids come twice
+    df = spark.createDataFrame(rows, "vec_id long, x array<double>, label int").coalesce(1)
+    split = spark.range(90).selectExpr("0 AS rep", "id AS vec_id", "id % 3 > 0 AS is_train")
+    data, reps = LG.split_table(df, split)
+    sizes = data.rdd.glom().map(len).collect()
+    assert reps == [0] and len(sizes) == 10 and max(sizes) <= 14
+    got = sorted((r.vec_id, r.x[0], r.label, list(r.role)) for r in data.collect())
+    assert got == sorted((i, x[0], y, [int(i % 3 > 0)]) for i, x, y in rows)
+
+
 def test_kernel_coordinates_take_one_worker_a_task_and_equal_numpy(spark):
     x = np.random.default_rng(5).normal(size=(5000, 4))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, x array<double>").coalesce(1)
