@@ -64,7 +64,7 @@ def kernel_pca(df: DataFrame, m: int, n_components: int | None, gamma: float | N
     gamma = gamma if gamma is not None else 1.0 / lm.shape[1]
     w, v = np.linalg.eigh(np.exp(-gamma * _sqdist(lm, lm)))
     keep = w > max(w[-1], 0.0) * 1e-12
-    half = v[:, keep] / np.sqrt(w[keep])
+    half = np.ascontiguousarray(v[:, keep] / np.sqrt(w[keep]))
     d = half.shape[1]
     MX.check_cells((lm.shape[0], lm.shape[1] + d), "the broadcast landmarks")
     ship_package(df.sparkSession)
