@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators import logistic as LG
+from quillspark.operators import perceptron as PC
 from quillspark.operators.ranking import rank_within
 from quillspark.session import bounded_broadcast, checkpointed
 
@@ -77,17 +78,6 @@ def sort_scores(scores: DataFrame, by_model, other_model) -> DataFrame:
 
 
 # ---- classifiers ---------------------------------------------------------------------------------
-def _run_fits(tasks, parallelism: int):
-    """Run independent fits from up to ``parallelism`` driver threads (as Spark ML's
-    CrossValidator does): each fit is a sequence of small distributed jobs, so
-    concurrent fits keep the cluster busy between one model's iterations."""
-    from concurrent.futures import ThreadPoolExecutor
-    if parallelism <= 1 or len(tasks) <= 1:
-        return [t() for t in tasks]
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
-        return list(pool.map(lambda t: t(), tasks))
-
-
 def _accuracies(predictions: DataFrame, wanted: list[tuple], *by: str) -> DataFrame:
     """(by..., accuracy) for the ``wanted`` combinations (repeats x models); NaN without test rows."""
     hit = F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy")
@@ -106,43 +96,31 @@ def train_logistic(df: DataFrame, split: DataFrame, max_iter: int = 100, x_col:
     return _accuracies(LG.predict_test_rows(data, reps, weights), [(r,) for r in reps], "rep")
 
 
-def _mlp_predictions(data: DataFrame, reps: list[int], d: int, k: int, hidden: tuple[int, ...], max_iter: int,
-                     seed: int, parallelism: int) -> DataFrame:
-    """(rep, vec_id, label, pred) of the test rows by a perceptron per repeat."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
-    from pyspark.ml.functions import array_to_vector
-    mlp = MultilayerPerceptronClassifier(layers=[d, *hidden, max(k, 2)], maxIter=max_iter, seed=seed)
-    rows = data.select("vec_id", "role", array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
-    role = lambda i, r: F.get("role", F.lit(i)) == r
-    fitted = _run_fits([lambda i=i: mlp.fit(rows.where(role(i, 1))) for i in range(len(reps))], parallelism)
-    out = [m.transform(rows.where(role(i, 0))).select(
-        F.lit(rep).cast("int").alias("rep"), F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
-        for i, (rep, m) in enumerate(zip(reps, fitted))]
-    return reduce(DataFrame.unionAll, out)
-
-
 def classifier_predictions(df: DataFrame, split: DataFrame, hidden: tuple[int, ...] = (16,), max_iter: int = 100,
-                           x_col: str = "x", label_col: str = "label", seed: int = 7, parallelism: int = 4
-                           ) -> tuple[DataFrame, list[int]]:
+                           x_col: str = "x", label_col: str = "label", seed: int = 7) -> tuple[DataFrame, list[int]]:
     """((rep, model, vec_id, label, pred), repeats): the stored predictions of logistic
     regression and a multilayer perceptron for the test rows of every repeat, both trained on
-    the same rows. They read one stored table, whose rows know their role in every repeat. An
-    empty table gives none."""
+    the same rows. They read one stored table, whose rows know their role in every repeat, and
+    either's repeats are trained in one loop. An empty table gives none."""
     data, reps = LG.split_table(df, split, x_col, label_col)
     d, k = LG.shape_of(data)
     if not d:
         return df.sparkSession.createDataFrame([], "rep int, model string, vec_id long, label int, pred int"), []
-    weights = LG.fit_logistic(data, len(reps), max_iter)
+    packed = LG.packed_rows(data)
+    layers = [d, *hidden, max(k, 2)]
+    with ThreadPoolExecutor(2) as pool:  # either's jobs fill the gaps between the rounds of the other
+        weights = pool.submit(LG.fit_logistic, data, len(reps), max_iter, packed, (d, k))
+        nets = pool.submit(PC.fit_perceptrons, packed, len(reps), layers, max_iter, seed)
+        weights, nets = weights.result(), nets.result()
     models = {"logistic": LG.predict_test_rows(data, reps, weights),
-              "mlp": _mlp_predictions(data, reps, d, k, hidden, max_iter, seed, parallelism)}
+              "mlp": LG.predict_test_rows(data, reps, nets, PC.classifier(layers))}
     named = [p.select("rep", F.lit(name).alias("model"), "vec_id", "label", "pred") for name, p in models.items()]
     return checkpointed(named[0].unionAll(named[1])), reps
 
 
 def compare_classifiers(df: DataFrame, split: DataFrame, hidden: tuple[int, ...] = (16,),
                         max_iter: int = 100, x_col: str = "x", label_col: str = "label",
-                        seed: int = 7, parallelism: int = 4) -> DataFrame:
+                        seed: int = 7) -> DataFrame:
     """(rep, model, accuracy) of ``classifier_predictions``; NaN without test rows."""
-    found, reps = classifier_predictions(df, split, hidden, max_iter, x_col, label_col, seed, parallelism)
+    found, reps = classifier_predictions(df, split, hidden, max_iter, x_col, label_col, seed)
     return _accuracies(found, [(r, m) for r in reps for m in ("logistic", "mlp")], "rep", "model")

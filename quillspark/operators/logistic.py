@@ -4,12 +4,15 @@ The feature table is stored once, each row with its role in every repeat (train,
 A round of Newton's method is one job for all repeats: a task adds up loss, gradient and Hessian
 of every model over its rows, as one packed partial a repeat, and the sums (parameters squared
 a repeat, whatever the number of rows) are solved on the driver. The number of jobs is the
-number of rounds and does not depend on the number of repeats.
+number of rounds and does not depend on the number of repeats. What a round reads is stored once
+as packed blocks of rows (``packed_rows``), which reach the tasks' NumPy without a copy of every
+value; the perceptrons (``operators/perceptron.py``) read the same blocks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,10 @@ from quillspark.session import checkpointed, ship_package
 #: many tasks pays the scheduling cost every round, while a few wide tasks leave cores idle in
 #: every round of either classifier.
 ROWS_PER_TRAIN_TASK = 10_000
-#: Rows worked on together inside a task.
-BLOCK_ROWS = 4096
+#: Rows worked on together inside a task, and how many values they may have (8 MB).
+BLOCK_ROWS, BLOCK_CELLS = 4096, 1 << 20
+#: Training rows that share a mean in a perceptron's loss (the block size of Spark ML's).
+MEAN_ROWS = 128
 #: A model is done when a Newton step would lessen its mean loss by less than this, or when its
 #: mean loss is below it (classes that a plane parts have no finite optimum).
 TOLERANCE = 1e-9
@@ -61,11 +66,44 @@ def _batch(b: pa.RecordBatch):
     label = b.column(1).to_numpy(zero_copy_only=False)
     role = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    for at in range(0, len(x), BLOCK_ROWS):
-        s = slice(at, at + BLOCK_ROWS)
+    size = max(1, min(BLOCK_ROWS, BLOCK_CELLS // x.shape[1]))
+    for at in range(0, len(x), size):
+        s = slice(at, at + size)
         yield x[s], label[s], role[s]
 
 
+def packed_rows(data: DataFrame) -> DataFrame:
+    """(x, label, share) binary, stored: the rows of a split table as blocks, one after the other in
+    the partitions they are in. ``x`` are the features and a constant 1 (float64), ``label`` the
+    classes (int32), ``share`` (rows x repeats, uint8) says by how many rows a training row's mean
+    is shared: MEAN_ROWS, fewer for the last training rows of a partition, 0 for other rows."""
+    ship_package(data.sparkSession)
+
+    def run(batches):
+        blocks = [block for b in batches if b.num_rows for block in _batch(b)]  # ROWS_PER_TRAIN_TASK rows
+        if not blocks:
+            return
+        train = np.concatenate([role for _, _, role in blocks]) == 1
+        before, n = np.cumsum(train, axis=0) - train, train.sum(axis=0)
+        share = np.where(train, np.minimum(MEAN_ROWS, n - before // MEAN_ROWS * MEAN_ROWS), 0).astype(np.uint8)
+        at = 0
+        for x, label, _ in blocks:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([np.ascontiguousarray(m, t).tobytes()], pa.binary()) for m, t in
+                 ((x, np.float64), (label, np.int32), (share[at:at + len(x)], np.uint8))], names=["x", "label", "share"])
+            at += len(x)
+
+    return checkpointed(data.select("x", "label", "role").mapInArrow(run, "x binary, label binary, share binary"))
+
+
+def blocks_of(b: pa.RecordBatch):
+    """(rows x (features + 1), labels, rows x repeats shares) of every block of ``packed_rows``."""
+    for x, label, share in zip(*(b.column(i) for i in range(3))):
+        label = np.frombuffer(label.as_buffer(), np.int32)
+        yield (np.frombuffer(x.as_buffer()).reshape(len(label), -1), label,
+               np.frombuffer(share.as_buffer(), np.uint8).reshape(len(label), -1))
+
+
 def _scores(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Log probabilities (rows x classes) of one model; class 0 has score 0."""
     s = np.concatenate([np.zeros((len(x), 1)), x @ w.T], axis=1)
@@ -90,10 +128,12 @@ def _sums(x: np.ndarray, label: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.concatenate([[-logp[np.arange(len(x)), label].sum(), len(x)], gradient.ravel(), hessian.ravel()])
 
 
-def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100) -> np.ndarray:
+def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100, packed: DataFrame | None = None,
+                 shape: tuple[int, int] | None = None) -> np.ndarray:
     """Weights (repeats x (classes - 1) x (features + 1), the intercept last) of the unregularised
-    multinomial models, class 0 as the base."""
-    d, k = shape_of(data)
+    multinomial models, class 0 as the base. ``packed``, ``shape``: the table's ``packed_rows`` and
+    ``shape_of``, when they are there already."""
+    d, k = shape or shape_of(data)
     if not d or k < 2:
         return np.zeros((n_reps, max(k - 1, 0), d + 1))
     spark = data.sparkSession
@@ -101,7 +141,8 @@ def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100) -> np.ndarray:
     p = d + 1
     size = (k - 1) * p
     MX.check_cells((n_reps, 2 + size + size * size), "the sums of all models")
-    rows = data.select("x", "label", "role")
+    rows = packed_rows(data) if packed is None else packed
+    tasks = rows.rdd.getNumPartitions()
     best = np.zeros((n_reps, k - 1, p))
     step, loss = np.zeros_like(best), np.full(n_reps, np.inf)
     trial, active = best.copy(), np.ones(n_reps, bool)
@@ -115,13 +156,13 @@ def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100) -> np.ndarray:
             reps, weights = shared.value
             total = np.zeros((len(reps), 2 + size + size * size))
             for b in batches:
-                for x, label, role in _batch(b):
+                for x, label, share in blocks_of(b):
                     for i, rep in enumerate(reps):
-                        train = role[:, rep] == 1
+                        train = share[:, rep] > 0
                         total[i] += _sums(x[train], label[train], weights[i])
             yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int32()), pa.array(list(total))], names=["rep", "sums"])
 
-        found = MX.add_packed(rows.mapInArrow(run, "rep int, sums array<double>"), ["rep"], "sums").collect()
+        found = MX.add_packed(rows.mapInArrow(run, "rep int, sums array<double>"), ["rep"], "sums", np.add, tasks).collect()
         for r in found:
             i, sums = r["rep"], np.array(r["sums"])
             if not sums[1]:  # no training rows
@@ -147,8 +188,14 @@ def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100) -> np.ndarray:
     return best
 
 
-def predict_test_rows(data: DataFrame, reps: list[int], weights: np.ndarray) -> DataFrame:
-    """(rep, vec_id, label, pred): the predicted class of every test row of every repeat."""
+def _classes(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return _scores(x, w).argmax(axis=1) if len(w) else np.zeros(len(x), int)
+
+
+def predict_test_rows(data: DataFrame, reps: list[int], weights: np.ndarray,
+                      classify: Callable[[np.ndarray, np.ndarray], np.ndarray] = _classes) -> DataFrame:
+    """(rep, vec_id, label, pred): the class of every test row of every repeat, as ``classify``
+    predicts it from rows (the last feature is the constant 1) and a repeat's weights."""
     spark = data.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(weights)
@@ -161,7 +208,7 @@ def predict_test_rows(data: DataFrame, reps: list[int], weights: np.ndarray) ->
             for x, label, role in _batch(b):
                 for i, rep in enumerate(reps):
                     test = role[:, i] == 0
-                    pred = _scores(x[test], w[i]).argmax(axis=1) if w.shape[1] else np.zeros(test.sum(), int)
+                    pred = classify(x[test], w[i])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([rep] * len(pred), pa.int32()), pa.array(ids[at:at + len(x)][test], pa.int64()),
                          pa.array(label[test], pa.int32()), pa.array(pred, pa.int32())],

@@ -105,13 +105,14 @@ FAN_IN = 64
 
 
 def add_packed(partials: DataFrame, keys: Sequence[str], packed: str,
-               merge: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add) -> DataFrame:
+               merge: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add, tasks: int | None = None) -> DataFrame:
     """Sum of the ``packed`` arrays (array<double>) of each key, element by element, or what
     ``merge`` makes of two of them.
 
     A partial is one shuffled row whatever its length. Partials are added in a tree of two
     levels, FAN_IN input partitions a key first, so no task adds those of all partitions; a task
-    reads them one by one and holds one sum a key. ``keys``: integer columns.
+    reads them one by one and holds one sum a key. ``keys``: integer columns. ``tasks``: the
+    partitions of ``partials``, when known; up to FAN_IN of them need no first level.
     """
     ship_package(partials.sparkSession)
     keys = list(keys)
@@ -130,6 +131,8 @@ def add_packed(partials: DataFrame, keys: Sequence[str], packed: str,
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()) for k in key] + [pa.array([total])],
                                              names=[*keys, packed])
 
+    if tasks is not None and tasks <= FAN_IN:
+        return partials.select(*keys, packed).repartition(*keys).mapInArrow(add, schema)
     level = partials.withColumn("_salt", F.floor(F.spark_partition_id() / F.lit(FAN_IN)))
     level = level.repartition(*keys, "_salt").select(*keys, packed).mapInArrow(add, schema)
     return level.repartition(*keys).mapInArrow(add, schema)

@@ -1,6 +1,7 @@
 """Scores, box plots, classifier runs."""
 
 import numpy as np
+import pytest
 from quillspark.functions import numeric as N
 from quillspark.operators import evaluate as E
 
@@ -55,3 +56,45 @@ def test_compare_classifiers_shape(spark):
     assert {r.model for r in res} == {"logistic", "mlp"}
     assert all(0.0 <= r.accuracy <= 1.0 for r in res)
     assert res[0].rep == res[1].rep
+
+
+@pytest.mark.parametrize("k, hidden, max_iter", [(2, (5,), 25), (3, (4, 3), 15)])
+def test_perceptrons_of_all_repeats_equal_separate_fits(spark, monkeypatch, k, hidden, max_iter):
+    """One loop gives the weights and classes of Spark ML's fits, a job for all repeats."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    from quillspark.operators import logistic as LG
+    from quillspark.operators import perceptron as PC
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(700, 4))
+    y = (x @ rng.normal(size=(4, k)) + rng.gumbel(size=(700, k))).argmax(axis=1)
+    df = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, y))],
+                               "vec_id long, x array<double>, label int")
+    split = E.holdout_split(df, 3, 70)
+    data, reps = LG.split_table(df, split)
+    jobs, add = [], PC.MX.add_packed
+    monkeypatch.setattr(PC.MX, "add_packed", lambda *a: jobs.append(1) or add(*a))
+    layers = [4, *hidden, k]
+    got = PC.fit_perceptrons(LG.packed_rows(data), len(reps), layers, max_iter, seed=7)
+    assert max_iter <= len(jobs) < 2 * max_iter  # separate fits look at three times as many points
+    pred = {(r.rep, r.vec_id): r.pred for r in LG.predict_test_rows(data, reps, got, PC.classifier(layers)).collect()}
+    assert len(pred) == 3 * 210
+    rows = data.select("vec_id", "role", array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
+    mlp = MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=7)
+    for i, rep in enumerate(reps):
+        m = mlp.fit(rows.where(F.get("role", F.lit(i)) == 1))
+        assert np.allclose(got[i], m.weights.toArray(), rtol=1e-6, atol=1e-6)
+        for r in m.transform(rows.where(F.get("role", F.lit(i)) == 0)).collect():
+            assert pred[rep, r.vec_id] == r.prediction
+
+
+def test_perceptron_without_training_rows_keeps_its_first_weights(spark):
+    from quillspark.operators import logistic as LG
+    from quillspark.operators import perceptron as PC
+    df = spark.createDataFrame([(i, [float(i % 3), 1.0], i % 2) for i in range(20)], "vec_id long, x array<double>, label int")
+    split = spark.range(20).selectExpr("explode(array(0, 1)) AS rep", "id AS vec_id").selectExpr("rep", "vec_id", "rep = 1 AS is_train")
+    data, reps = LG.split_table(df, split)
+    got = PC.fit_perceptrons(LG.packed_rows(data), len(reps), [2, 3, 2], 5)
+    first = PC.first_weights(spark, [2, 3, 2], 7)
+    assert (got[0] == first).all() and not np.allclose(got[1], first)
