@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators import logistic as LG
 from quillspark.operators import perceptron as PC
+from quillspark.operators import rounds as RD
 from quillspark.operators.ranking import rank_within
 from quillspark.session import bounded_broadcast, checkpointed
 
@@ -101,17 +100,15 @@ def classifier_predictions(df: DataFrame, split: DataFrame, hidden: tuple[int, .
     """((rep, model, vec_id, label, pred), repeats): the stored predictions of logistic
     regression and a multilayer perceptron for the test rows of every repeat, both trained on
     the same rows. They read one stored table, whose rows know their role in every repeat, and
-    either's repeats are trained in one loop. An empty table gives none."""
+    all repeats of both are trained in one loop. An empty table gives none."""
     data, reps = LG.split_table(df, split, x_col, label_col)
     d, k = LG.shape_of(data)
     if not d:
         return df.sparkSession.createDataFrame([], "rep int, model string, vec_id long, label int, pred int"), []
-    packed = LG.packed_rows(data)
     layers = [d, *hidden, max(k, 2)]
-    with ThreadPoolExecutor(2) as pool:  # either's jobs fill the gaps between the rounds of the other
-        weights = pool.submit(LG.fit_logistic, data, len(reps), max_iter, packed, (d, k))
-        nets = pool.submit(PC.fit_perceptrons, packed, len(reps), layers, max_iter, seed)
-        weights, nets = weights.result(), nets.result()
+    fits = [LG.logistic_fit(len(reps), (d, k), max_iter),
+            PC.perceptron_fit(df.sparkSession, len(reps), layers, max_iter, seed)]
+    weights, nets = RD.train(LG.packed_rows(data), LG.blocks_of, fits)
     models = {"logistic": LG.predict_test_rows(data, reps, weights),
               "mlp": LG.predict_test_rows(data, reps, nets, PC.classifier(layers))}
     named = [p.select("rep", F.lit(name).alias("model"), "vec_id", "label", "pred") for name, p in models.items()]

@@ -12,7 +12,7 @@ value; the perceptrons (``operators/perceptron.py``) read the same blocks.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators import matrix as MX
+from quillspark.operators import rounds as RD
 from quillspark.session import checkpointed, ship_package
 
 #: Rows of feature vectors per training task: a round is one job, so a small table spread over
@@ -28,6 +29,9 @@ from quillspark.session import checkpointed, ship_package
 ROWS_PER_TRAIN_TASK = 10_000
 #: Rows worked on together inside a task, and how many values they may have (8 MB).
 BLOCK_ROWS, BLOCK_CELLS = 4096, 1 << 20
+#: Rows of a packed block: a round's sums work on a block that stays in a processor's cache, and
+#: blocks this small share out evenly among a round's tasks.
+PACKED_ROWS = 1024
 #: Training rows that share a mean in a perceptron's loss (the block size of Spark ML's).
 MEAN_ROWS = 128
 #: A model is done when a Newton step would lessen its mean loss by less than this, or when its
@@ -60,27 +64,28 @@ def shape_of(data: DataFrame) -> tuple[int, int]:
     return (0, 0) if r["d"] is None else (int(r["d"]), int(r["k"]) + 1)
 
 
-def _batch(b: pa.RecordBatch):
+def _batch(b: pa.RecordBatch, rows: int = BLOCK_ROWS):
     """(rows x (features + 1), labels, rows x repeats roles), a block of rows at a time."""
     x = MX.column_matrix(b.column(0))
     label = b.column(1).to_numpy(zero_copy_only=False)
     role = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    size = max(1, min(BLOCK_ROWS, BLOCK_CELLS // x.shape[1]))
+    size = max(1, min(rows, BLOCK_CELLS // x.shape[1]))
     for at in range(0, len(x), size):
         s = slice(at, at + size)
         yield x[s], label[s], role[s]
 
 
 def packed_rows(data: DataFrame) -> DataFrame:
-    """(x, label, share) binary, stored: the rows of a split table as blocks, one after the other in
-    the partitions they are in. ``x`` are the features and a constant 1 (float64), ``label`` the
-    classes (int32), ``share`` (rows x repeats, uint8) says by how many rows a training row's mean
-    is shared: MEAN_ROWS, fewer for the last training rows of a partition, 0 for other rows."""
+    """(x, label, share) binary, stored: the rows of a split table as blocks of one partition's rows,
+    dealt over the tasks of a round (``rounds.round_tasks``). ``x`` are the features and a constant
+    1 (float64), ``label`` the classes (int32), ``share`` (rows x repeats, uint8) says by how many
+    rows a training row's mean is shared: MEAN_ROWS, fewer for the last training rows of a
+    partition of ``data``, 0 for other rows."""
     ship_package(data.sparkSession)
 
     def run(batches):
-        blocks = [block for b in batches if b.num_rows for block in _batch(b)]  # ROWS_PER_TRAIN_TASK rows
+        blocks = [block for b in batches if b.num_rows for block in _batch(b, PACKED_ROWS)]  # ROWS_PER_TRAIN_TASK rows
         if not blocks:
             return
         train = np.concatenate([role for _, _, role in blocks]) == 1
@@ -93,7 +98,12 @@ def packed_rows(data: DataFrame) -> DataFrame:
                  ((x, np.float64), (label, np.int32), (share[at:at + len(x)], np.uint8))], names=["x", "label", "share"])
             at += len(x)
 
-    return checkpointed(data.select("x", "label", "role").mapInArrow(run, "x binary, label binary, share binary"))
+    blocks = data.select("x", "label", "role").mapInArrow(run, "x binary, label binary, share binary")
+    parts = data.rdd.getNumPartitions()
+    if parts == 1:
+        return checkpointed(blocks)
+    d = MX.dim_of(data)
+    return checkpointed(blocks.repartition(RD.round_tasks(data.sparkSession, parts, ROWS_PER_TRAIN_TASK * (d + 1))))
 
 
 def blocks_of(b: pa.RecordBatch):
@@ -128,43 +138,26 @@ def _sums(x: np.ndarray, label: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.concatenate([[-logp[np.arange(len(x)), label].sum(), len(x)], gradient.ravel(), hessian.ravel()])
 
 
-def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100, packed: DataFrame | None = None,
-                 shape: tuple[int, int] | None = None) -> np.ndarray:
-    """Weights (repeats x (classes - 1) x (features + 1), the intercept last) of the unregularised
-    multinomial models, class 0 as the base. ``packed``, ``shape``: the table's ``packed_rows`` and
-    ``shape_of``, when they are there already."""
-    d, k = shape or shape_of(data)
-    if not d or k < 2:
-        return np.zeros((n_reps, max(k - 1, 0), d + 1))
-    spark = data.sparkSession
-    ship_package(spark)
-    p = d + 1
+def _model_sums(x: np.ndarray, label: np.ndarray, share: np.ndarray, reps: Sequence[int], weights: np.ndarray) -> np.ndarray:
+    """``_sums`` of the models of some repeats, a row each."""
+    out = []
+    for rep, w in zip(reps, weights):
+        train = share[:, rep] > 0
+        out.append(_sums(x[train], label[train], w))
+    return np.stack(out)
+
+
+def _newton(n_reps: int, k: int, p: int, rounds: int):
+    """Steps of ``logistic_fit``."""
     size = (k - 1) * p
-    MX.check_cells((n_reps, 2 + size + size * size), "the sums of all models")
-    rows = packed_rows(data) if packed is None else packed
-    tasks = rows.rdd.getNumPartitions()
     best = np.zeros((n_reps, k - 1, p))
     step, loss = np.zeros_like(best), np.full(n_reps, np.inf)
     trial, active = best.copy(), np.ones(n_reps, bool)
     for _ in range(rounds):
-        which = np.flatnonzero(active)
-        if not len(which):
+        if k < 2 or not active.any():
             break
-        shared = spark.sparkContext.broadcast((which, trial[which]))
-
-        def run(batches, shared=shared):
-            reps, weights = shared.value
-            total = np.zeros((len(reps), 2 + size + size * size))
-            for b in batches:
-                for x, label, share in blocks_of(b):
-                    for i, rep in enumerate(reps):
-                        train = share[:, rep] > 0
-                        total[i] += _sums(x[train], label[train], weights[i])
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int32()), pa.array(list(total))], names=["rep", "sums"])
-
-        found = MX.add_packed(rows.mapInArrow(run, "rep int, sums array<double>"), ["rep"], "sums", np.add, tasks).collect()
-        for r in found:
-            i, sums = r["rep"], np.array(r["sums"])
+        found = yield {int(i): trial[i] for i in np.flatnonzero(active)}
+        for i, sums in found.items():
             if not sums[1]:  # no training rows
                 active[i] = False
                 continue
@@ -188,6 +181,23 @@ def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100, packed: DataFr
     return best
 
 
+def logistic_fit(n_reps: int, shape: tuple[int, int], rounds: int = 100) -> RD.Fit:
+    """Weights (repeats x (classes - 1) x (features + 1), the intercept last) of the unregularised
+    multinomial models, class 0 as the base. ``shape``: the table's ``shape_of``."""
+    d, k = shape
+    size = max(k - 1, 0) * (d + 1)
+    MX.check_cells((n_reps, 2 + size + size * size), "the sums of all models")
+    return RD.Fit(_newton(n_reps, max(k, 1), d + 1, rounds), _model_sums, 2 + size + size * size)
+
+
+def fit_logistic(data: DataFrame, n_reps: int, rounds: int = 100) -> np.ndarray:
+    """The weights of ``logistic_fit`` on a split table."""
+    shape = shape_of(data)
+    if not shape[0] or shape[1] < 2:
+        return np.zeros((n_reps, max(shape[1] - 1, 0), shape[0] + 1))
+    return RD.train(packed_rows(data), blocks_of, [logistic_fit(n_reps, shape, rounds)])[0]
+
+
 def _classes(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return _scores(x, w).argmax(axis=1) if len(w) else np.zeros(len(x), int)
 

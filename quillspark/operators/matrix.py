@@ -112,8 +112,11 @@ def add_packed(partials: DataFrame, keys: Sequence[str], packed: str,
     A partial is one shuffled row whatever its length. Partials are added in a tree of two
     levels, FAN_IN input partitions a key first, so no task adds those of all partitions; a task
     reads them one by one and holds one sum a key. ``keys``: integer columns. ``tasks``: the
-    partitions of ``partials``, when known; up to FAN_IN of them need no first level.
+    partitions of ``partials``, given by a caller that adds up to FAN_IN rows a key itself
+    (``collect_packed``): levels that it needs not are left out.
     """
+    if tasks is not None and tasks <= FAN_IN:
+        return partials.select(*keys, packed)
     ship_package(partials.sparkSession)
     keys = list(keys)
     fields = [partials.schema[k] for k in keys] + [partials.schema[packed]]
@@ -131,13 +134,26 @@ def add_packed(partials: DataFrame, keys: Sequence[str], packed: str,
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()) for k in key] + [pa.array([total])],
                                              names=[*keys, packed])
 
-    if tasks is not None and tasks <= FAN_IN:
-        return partials.select(*keys, packed).repartition(*keys).mapInArrow(add, schema)
     level = partials.withColumn("_salt", F.floor(F.spark_partition_id() / F.lit(FAN_IN)))
     level = level.repartition(*keys, "_salt").select(*keys, packed).mapInArrow(add, schema)
+    if tasks is not None and tasks <= FAN_IN * FAN_IN:
+        return level
     return level.repartition(*keys).mapInArrow(add, schema)
 
 
+def collect_packed(sums: DataFrame) -> dict[tuple[int, ...], np.ndarray]:
+    """key -> packed array at the driver, of a table whose last column is packed; rows of a key are
+    added in the order of their partitions. They come by Arrow, not as a Python object a value."""
+    found: dict[tuple[int, ...], np.ndarray] = {}
+    for b in sums.toArrow().to_batches():
+        lists = b.column(b.num_columns - 1)
+        flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        stop = np.cumsum(sizes)
+        for key, i, j in zip(zip(*(c.to_pylist() for c in b.columns[:-1])), stop - sizes, stop):
+            found[key] = found[key] + flat[i:j] if key in found else flat[i:j].copy()
+    return found
+
+
 # ---- products of rows ---------------------------------------------------------------------------
 # Rows and columns of a tile of X^T Y; a tile is one packed row (32 KB).
 TILE = 64

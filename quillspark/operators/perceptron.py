@@ -13,12 +13,11 @@ from __future__ import annotations
 from collections.abc import Callable, Generator, Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.operators import logistic as LG
 from quillspark.operators import matrix as MX
-from quillspark.session import ship_package
+from quillspark.operators import rounds as RD
 
 #: Steps remembered by a search, values that must differ for it to go on, and its tolerance.
 MEMORY, LAST_VALUES, TOLERANCE = 10, 20, 1e-6
@@ -194,37 +193,13 @@ def first_weights(spark: SparkSession, layers: Sequence[int], seed: int) -> np.n
     return MultilayerPerceptronClassifier(layers=list(layers), maxIter=0, seed=seed).fit(row).weights.toArray()
 
 
-def fit_perceptrons(packed: DataFrame, n_reps: int, layers: Sequence[int], max_iter: int = 100,
-                    seed: int = 7) -> np.ndarray:
-    """Flat weights (repeats x weights, in Spark ML's order) of a perceptron a repeat, trained on the
-    ``logistic.packed_rows`` of a split table. ``layers``: features, hidden units, classes. A repeat
-    without training rows keeps the first weights."""
-    spark = packed.sparkSession
-    ship_package(spark)
-    layers = [int(n) for n in layers]
-    size = sum((a + 1) * b for a, b in zip(layers[:-1], layers[1:]))
-    MX.check_cells((n_reps, 2 + size), "the sums of all models")
-    best = np.tile(first_weights(spark, layers, seed), (n_reps, 1))
-    searches = {i: search(best[i], max_iter) for i in range(n_reps)}
+def _descend(best: np.ndarray, max_iter: int):
+    """Steps of ``perceptron_fit`` from first weights a repeat."""
+    searches = {i: search(best[i], max_iter) for i in range(len(best))}
     points = {i: next(s) for i, s in searches.items()}
-    tasks = packed.rdd.getNumPartitions()
     while points:
-        shared = spark.sparkContext.broadcast((list(points), np.stack(list(points.values()))))
-
-        def run(batches, shared=shared):
-            reps, weights = shared.value
-            total = np.zeros((len(reps), 2 + size))
-            for b in batches:
-                for x, label, share in LG.blocks_of(b):
-                    for at in range(0, len(x), STEP_ROWS):
-                        s = slice(at, at + STEP_ROWS)
-                        total += _sums(x[s, :-1], label[s], share[s][:, reps], weights, layers)
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int32()), pa.array(list(total))], names=["rep", "sums"])
-
-        found = MX.add_packed(packed.mapInArrow(run, "rep int, sums array<double>"), ["rep"], "sums", np.add, tasks).collect()
-        points = {}
-        for r in found:
-            i, sums = r["rep"], np.array(r["sums"])
+        found, points = (yield points), {}
+        for i, sums in found.items():
             if not sums[1]:  # no training rows
                 continue
             try:
@@ -232,10 +207,33 @@ def fit_perceptrons(packed: DataFrame, n_reps: int, layers: Sequence[int], max_i
                     points[i] = searches[i].send((sums[0] / sums[1], sums[2:] / sums[1]))
             except StopIteration as done:
                 best[i] = done.value
-        shared.unpersist()
     return best
 
 
+def perceptron_fit(spark: SparkSession, n_reps: int, layers: Sequence[int], max_iter: int = 100, seed: int = 7) -> RD.Fit:
+    """Flat weights (repeats x weights, in Spark ML's order) of a perceptron a repeat. ``layers``:
+    features, hidden units, classes. A repeat without training rows keeps the first weights."""
+    layers = [int(n) for n in layers]
+    size = sum((a + 1) * b for a, b in zip(layers[:-1], layers[1:]))
+    MX.check_cells((n_reps, 2 + size), "the sums of all models")
+
+    def sums(x, label, share, reps, weights):
+        total = np.zeros((len(reps), 2 + size))
+        for at in range(0, len(x), STEP_ROWS):
+            s = slice(at, at + STEP_ROWS)
+            total += _sums(x[s, :-1], label[s], share[s][:, reps], weights, layers)
+        return total
+
+    return RD.Fit(_descend(np.tile(first_weights(spark, layers, seed), (n_reps, 1)), max_iter), sums, 2 + size)
+
+
+def fit_perceptrons(packed: DataFrame, n_reps: int, layers: Sequence[int], max_iter: int = 100,
+                    seed: int = 7) -> np.ndarray:
+    """The weights of ``perceptron_fit`` on the ``logistic.packed_rows`` of a split table."""
+    fit = perceptron_fit(packed.sparkSession, n_reps, layers, max_iter, seed)
+    return RD.train(packed, LG.blocks_of, [fit])[0]
+
+
 def classifier(layers: Sequence[int]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     """Classes of rows (the last feature is the constant 1) by the flat weights of a model."""
     return lambda x, w: _outputs(x[:, :-1], _layers(w[None, :], layers))[-1][0].argmax(axis=0)

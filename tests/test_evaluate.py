@@ -98,3 +98,53 @@ def test_perceptron_without_training_rows_keeps_its_first_weights(spark):
     got = PC.fit_perceptrons(LG.packed_rows(data), len(reps), [2, 3, 2], 5)
     first = PC.first_weights(spark, [2, 3, 2], 7)
     assert (got[0] == first).all() and not np.allclose(got[1], first)
+
+
+def test_both_classifiers_share_the_jobs_of_their_rounds(spark, monkeypatch):
+    """A round is one job without a shuffle for all repeats of both, over no more tasks than slots."""
+    from quillspark.operators import logistic as LG
+    from quillspark.operators import matrix as MX
+    from quillspark.operators import perceptron as PC
+    monkeypatch.setattr(LG, "ROWS_PER_TRAIN_TASK", 20)
+    monkeypatch.setattr(LG, "PACKED_ROWS", 4)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] + rng.logistic(size=400) > 0).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, y))],
+                               "vec_id long, x array<double>, label int")
+    split = E.holdout_split(df, 2, 70)
+    data, reps = LG.split_table(df, split)
+    packed = LG.packed_rows(data)
+    slots = spark.sparkContext.defaultParallelism
+    assert data.rdd.getNumPartitions() == 20 and packed.rdd.getNumPartitions() == min(20, slots)
+    sizes = packed.rdd.map(lambda r: len(r.label) // 4).collect()
+    assert sum(sizes) == 400 and max(sizes) == 4
+    rounds, add = [], MX.add_packed
+
+    def counted(partials, *a):
+        out = add(partials, *a)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        rounds.append(1)
+        return out
+
+    monkeypatch.setattr(MX, "add_packed", counted)
+    weights = LG.fit_logistic(data, len(reps), 12)
+    of_logistic = len(rounds)
+    nets = PC.fit_perceptrons(packed, len(reps), [3, 4, 2], 12)
+    of_nets = len(rounds) - of_logistic
+    rounds.clear()
+    found, _ = E.classifier_predictions(df, split, hidden=(4,), max_iter=12)
+    assert len(rounds) == max(of_logistic, of_nets)
+    apart = {"logistic": LG.predict_test_rows(data, reps, weights), "mlp": LG.predict_test_rows(data, reps, nets, PC.classifier([3, 4, 2]))}
+    for model, want in apart.items():
+        got = {(r.rep, r.vec_id): r.pred for r in found.where(found.model == model).collect()}
+        assert len(got) == 240 and got == {(r.rep, r.vec_id): r.pred for r in want.collect()}
+
+
+def test_tasks_of_a_round(spark):
+    from quillspark.operators import rounds as RD
+    slots = spark.sparkContext.defaultParallelism
+    assert RD.round_tasks(spark, 1, 650_000) == 1
+    assert RD.round_tasks(spark, 5 * slots, 650_000) == slots           # one wave, not five
+    assert RD.round_tasks(spark, 5 * slots, RD.TASK_CELLS // 2) == 3 * slots
+    assert RD.round_tasks(spark, 5 * slots, 2 * RD.TASK_CELLS) == 5 * slots

@@ -33,6 +33,17 @@ def test_packed_sums_add_element_by_element(spark, monkeypatch):
     assert got == {k: [float(sum(range(k, 700, 3))), float(len(range(k, 700, 3)))] for k in range(3)}
 
 
+@pytest.mark.parametrize("fan_in, rows_a_key", [(64, 7), (3, 3), (2, 1)])
+def test_packed_sums_that_the_driver_ends(spark, monkeypatch, fan_in, rows_a_key):
+    """Up to FAN_IN partials a key come to the driver; more are added in tasks before."""
+    monkeypatch.setattr(MX, "FAN_IN", fan_in)
+    df = spark.range(0, 14, 1, 7).select((F.col("id") % 2).cast("int").alias("k"),
+                                         F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
+    sums = MX.add_packed(df, ["k"], "v", np.add, 7)
+    assert sums.count() <= 2 * rows_a_key
+    assert {k: list(v) for k, v in MX.collect_packed(sums).items()} == {(0,): [42.0, 7.0], (1,): [49.0, 7.0]}
+
+
 @pytest.mark.parametrize("tile", [2, 3, 64])
 def test_products_over_several_tiles(spark, monkeypatch, tile):
     monkeypatch.setattr(MX, "TILE", tile)
