@@ -1,7 +1,8 @@
 """Phrases that are commoner than their parts suggest, by Toivonen's sampling algorithm.
 
-1. Proposal. All phrases of a hashed sample of the documents are counted; those over a lowered
-   threshold are the proposal. It decides only how much work follows, never the result.
+1. Proposal. The phrases of a hashed sample of the documents are counted; those over a lowered
+   threshold are the proposal. It decides only how much work follows, never the result. It is
+   asked only about the parts of phrases, so phrases of the full length are not in it.
 2. Full pass over all documents. A phrase of k words is counted exactly if both phrases of
    k - 1 words in it are proposed (single words always are). These are the proposed phrases and
    their negative border, as far as the border occurs at all.
@@ -11,12 +12,19 @@
    its parts are frequent, were counted and are within the proposal.
 
 Texts are read once: their words are numbered and written to shared files, many texts of one
-language a row, and the passes read those. The proposal goes to the tasks as a bit table of fixed size (``MAX_BITS``). A phrase that shares
-its bit with another is taken as proposed, wherever it is asked for; it costs a count that was
-not needed and nothing else. The counts themselves are keyed by the phrase's text. They are
-added up for a row of numbered words at a time, then by Spark on both sides of the shuffle, so a
-phrase that fills a third of the corpus is a row a task. The passes' results are
-written to shared files; of each only the frequent phrases go on.
+language a row, and the passes read those. The proposal goes to the tasks as a bit table of
+bounded size (``MAX_BITS``). A phrase that shares its bit with another is taken as proposed,
+wherever it is asked for; it costs a count that was not needed and nothing else.
+
+Nearly all phrases of a full pass occur a few times only, so their texts are never moved. The
+pass first tallies hashes: a task sorts the hashes of its phrases, and sends each range of them
+(a bucket) as packed 32-bit rests with their numbers; a bucket is added up in one place. A
+phrase occurs at most as often as its hash, so the hashes that occur often enough, again as a
+bit table, hold all frequent phrases of the pass. Then the pass counts the phrases in that table,
+keyed by their text: for many rows of numbered words at a time, then by Spark on both sides of
+the shuffle, so a phrase that fills a third of the corpus is a row a task. A pass after few
+failures has few phrases to count and goes without the tally. The passes' results are written to
+shared files; of each only the frequent phrases go on.
 """
 
 from __future__ import annotations
@@ -39,13 +47,21 @@ SAMPLE, PROPOSED = 8, 2
 MIN_BITS, MAX_BITS = 18, 28
 #: Bits of the table that travel as one row.
 CHUNK_BITS = 1 << 18
+#: Phrases a task holds before it adds them up, and words taken at a time.
+HELD, STRETCH = 4 << 20, 1 << 15
+#: Phrases in a bucket of the tally at most, on average, and the bounds of the buckets' number
+#: (as a power of 2).
+BUCKET, MIN_BUCKETS, MAX_BUCKETS = 4 << 20, 6, 16
+#: A pass is tallied unless the phrases proposed are this many times the failures before it.
+FEW_FAILURES = 16
 #: Bytes of texts whose words are numbered and counted together, and of a text taken at a time.
 TEXT_AT_ONCE, BLOCK = 8 << 20, 2 << 20
 #: Fixed values of the contract: A-Z in lower case, piece ends as full stops, tabs as spaces.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
 STOP = 0
-_TOKENS = "sampled boolean, lang string, carried int, ids binary, words binary, hashes binary"
+_TOKENS = "sampled boolean, lang string, carried int, ids binary, words binary, hashes binary, size int"
 _COUNTS = "lang string, k int, phrase string, n long"
+_TALLY, _REACHED = "bucket int, rests binary, numbers binary", "bucket int, size int, rests binary"
 
 
 def folded(text: bytes) -> bytes:
@@ -71,13 +87,15 @@ def blocks(text: bytes, size: int = 0) -> Iterator[bytes]:
 def numbered(text: bytes) -> tuple[np.ndarray, list[bytes]]:
     """(ids, words) of folded text: id i is words[i - 1], STOP is the end of a piece."""
     parts = pc.split_pattern(pa.array([text.replace(b".", b" . ")], pa.binary()), " ").values.dictionary_encode()
-    words = parts.dictionary.to_pylist()
-    number = np.cumsum([w not in (b"", b".") for w in words], dtype=np.int32)
-    for i, w in enumerate(words):
-        if w in (b"", b"."):
-            number[i] = STOP if w else -1
-    ids = number[parts.indices.to_numpy()] if words else np.empty(0, np.int32)
-    return ids[ids >= 0], [w for w in words if w not in (b"", b".")]
+    known = parts.dictionary
+    real = ~pc.is_in(known, value_set=pa.array([b"", b"."], pa.binary())).to_numpy(zero_copy_only=False).astype(bool)
+    number = np.cumsum(real, dtype=np.int32)
+    number[~real] = -1
+    number[pc.equal(known, b".").to_numpy(zero_copy_only=False).astype(bool)] = STOP
+    ids = number[parts.indices.to_numpy()] if len(known) else np.empty(0, np.int32)
+    known = known.filter(pa.array(real))  # words hold no full stop
+    words = pc.binary_join(pa.ListArray.from_arrays([0, len(known)], known), b".")[0].as_py()
+    return ids[ids >= 0], words.split(b".") if len(known) else []
 
 
 def _mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -103,9 +121,29 @@ class Bits:
         return (self.words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _unique(ids: np.ndarray, at: np.ndarray, k: int, v: int):
-    """The distinct phrases of k words at ``at``: (place of one occurrence, occurrences)."""
-    key = ids[at]
+def _unique(ids: np.ndarray, at: np.ndarray, h: np.ndarray, k: int):
+    """The distinct phrases of k words at ``at``, whose hashes are ``h``: (place of one
+    occurrence, occurrences)."""
+    if k == 1:
+        n = np.bincount(ids[at])
+        place = np.empty(len(n), np.int64)
+        place[ids[at]] = at
+        some = np.flatnonzero(n)
+        return place[some], n[some]
+    order = np.argsort(h)
+    sorted_at, h = at[order], h[order]
+    new = np.append(True, h[1:] != h[:-1])
+    for j in range(k):
+        word = ids[sorted_at + j]
+        if ((word[1:] != word[:-1]) & ~new[1:]).any():
+            return _unique_words(ids, at, k)  # one hash, two phrases
+    first = np.flatnonzero(new)
+    return sorted_at[first], np.diff(np.append(first, len(h)))
+
+
+def _unique_words(ids: np.ndarray, at: np.ndarray, k: int):
+    """``_unique`` by the words themselves."""
+    key, v = ids[at].astype(np.int64), int(ids.max()) + 1
     for j in range(1, k):  # ranks stay below the number of words, so no product overflows
         if j > 1:
             key = np.unique(key, return_inverse=True)[1].astype(np.int64)
@@ -115,33 +153,48 @@ def _unique(ids: np.ndarray, at: np.ndarray, k: int, v: int):
 
 
 def windows(ids: np.ndarray, hashes: np.ndarray, max_words: int, new: Bits | None, old: Bits | None, carried: int):
-    """(k, places, occurrences) of the phrases to count in a stretch of words.
+    """(k, places, hashes) of the phrases to count in a row of words, a stretch at a time.
 
     ``new``: the proposal (None: everything counts); ``old``: the proposal of the passes before,
-    whose phrases are counted already. The first ``carried`` words were part of the stretch
+    whose phrases are counted already. The first ``carried`` words were part of the row
     before; phrases wholly within them are counted already.
     """
-    v, n = len(hashes), len(ids)
-    ok_new = ids != STOP
-    ok_old = ok_new if old is not None else np.zeros(n, bool)
-    h = own = hashes[ids]
-    for k in range(1, max_words + 1):
-        if k > 1:
-            if len(ok_new) < 2:
-                return
-            ok_new = ok_new[:-1] & ok_new[1:]
-            ok_old = ok_old[:-1] & ok_old[1:]
-            h = _mix(h[:-1], own[k - 1:])
-        at = np.flatnonzero(ok_new & ~ok_old)
-        at = at[at + k > carried]
-        if len(at):
-            yield k, *_unique(ids, at, k, v)
-        if new is not None:
-            ok_new = ok_new & new.has(h)
-        if old is not None:
-            ok_old = ok_old & old.has(h)
-        if not ok_new.any():
-            return
+    word = np.arange(len(hashes)) != STOP
+    word_new = word & new.has(hashes) if new is not None else word
+    word_old = word & old.has(hashes) if old is not None else None
+    for start in range(0, len(ids), STRETCH):
+        part = ids[start:start + STRETCH + max_words - 1].astype(np.int64)
+        own = hashes[part]
+        full = own.copy()  # by place, the hash of the phrase there
+        inside, known = word[part], word[part] if old is not None else None
+        for k in range(1, max_words + 1):
+            if k > 1:
+                inside = inside[:-1] & inside[1:]
+                known = known[:-1] & known[1:] if old is not None else None
+            at = np.flatnonzero(inside)
+            if not len(at):
+                break
+            if k > 1:
+                full[at] = _mix(full[at], own[at + k - 1])
+            take = at[np.searchsorted(at, carried - k - start + 1):np.searchsorted(at, STRETCH)]
+            if old is not None:
+                take = take[~known[take]]
+            if len(take):
+                yield k, take + start, full[take]
+            if k == max_words:
+                break
+            if k == 1:
+                inside, known = word_new[part], word_old[part] if old is not None else None
+                continue
+            if new is not None:
+                at = at[new.has(full[at])]
+                inside = np.zeros(len(inside), bool)
+                inside[at] = True
+            if old is not None:
+                at = at[known[at]]
+                at = at[old.has(full[at])]
+                known = np.zeros(len(known), bool)
+                known[at] = True
 
 
 def _tokenise(max_words: int):
@@ -160,8 +213,9 @@ def _tokenise(max_words: int):
             sampled, lang = key
             yield pa.RecordBatch.from_arrays(
                 [pa.array([sampled]), pa.array([lang]), pa.array([carried], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
-                 pa.array([b".".join(words)], pa.binary()), pa.array([word_hashes(lang, words).tobytes()], pa.binary())],
-                names=["sampled", "lang", "carried", "ids", "words", "hashes"])
+                 pa.array([b".".join(words)], pa.binary()), pa.array([word_hashes(lang, words).tobytes()], pa.binary()),
+                 pa.array([len(ids)], pa.int32())],
+                names=["sampled", "lang", "carried", "ids", "words", "hashes", "size"])
             tail = ids[max(0, len(ids) - max_words + 1):]
             tail = tail[len(tail) - int(np.argmax(np.append(tail[::-1] == STOP, True))):].tolist()
             if tail:  # a piece goes on
@@ -189,36 +243,198 @@ def _tokenise(max_words: int):
     return run
 
 
-def _count(max_words: int, new, old):
-    """Numbered words -> (lang, k, phrase, n); k = 0 has the number of words (first pass)."""
+def _with_stop(hashes: bytes) -> np.ndarray:
+    """The hashes by word number; STOP has none."""
+    return np.concatenate((np.zeros(1, np.uint64), np.frombuffer(hashes, np.uint64)))
+
+
+class _Phrases:
+    """Phrases found in rows of numbered words of one language, whose words are numbered alike."""
+
+    def __init__(self, max_words: int) -> None:
+        self.number: dict[bytes, int] = {b".": STOP}
+        self.ids: list[np.ndarray] = []
+        self.words = self.size = 0
+        self.found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(max_words + 1)]
+
+    def add(self, ids: np.ndarray, words: bytes, found: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        """``found``: (k, places, hashes) in a row. Only the words of these phrases get numbers."""
+        words = words.split(b".")
+        used = np.zeros(len(words) + 1, bool)
+        for k, at, h in found:
+            for j in range(k):
+                used[ids[at + j]] = True
+            self.found[k].append((at + self.words, h))
+            self.size += len(at)
+        own, number = np.zeros(len(used), np.int32), self.number
+        used = np.flatnonzero(used)
+        own[used] = [number.setdefault(words[i - 1], len(number)) for i in used.tolist()]
+        self.ids.append(own[ids])
+        self.words += len(ids)
+        self.size += len(ids)
+
+    def counts(self, lang: str) -> Iterator[pa.RecordBatch]:
+        ids, names = np.concatenate(self.ids), pa.array(list(self.number), pa.binary())
+        for k, found in enumerate(self.found):
+            if not found:
+                continue
+            at, n = _unique(ids, *(np.concatenate(x) for x in zip(*found)), k)
+            found.clear()
+            for s in range(0, len(at), 50_000):
+                part = [names.take(pa.array(ids[at[s:s + 50_000] + j])) for j in range(k)]
+                phrases = pc.binary_join_element_wise(*part, pa.scalar(b" ", pa.binary())) if k > 1 else part[0]
+                yield _batch(lang, k, phrases.cast(pa.string()), n[s:s + 50_000])
+
+
+def _count(max_words: int, new, old, often=None):
+    """Numbered words -> (lang, k, phrase, n); k = 0 has the number of words (first pass).
+    ``often``: of the phrases to count, those in this table are (None: all)."""
     def run(batches):
-        bits_new, bits_old = (Bits(x.value) if x is not None else None for x in (new, old))
+        bits_new, bits_old, bits_often = (Bits(x.value) if x is not None else None for x in (new, old, often))
+        held: dict[str, _Phrases] = {}
+
+        def add(lang, *row):
+            if lang not in held:
+                held[lang] = _Phrases(max_words)
+            held[lang].add(*row)
+            while sum(x.size for x in held.values()) >= HELD:
+                largest = max(held, key=lambda x: held[x].size)
+                yield from held.pop(largest).counts(largest)
+
         for b in batches:
             for lang, carried, ids, words, hashes in rows_of(b, 0, 1, 2, 3, 4, step=1):
-                ids = np.frombuffer(ids, np.int32).astype(np.int64)
-                hashes = np.concatenate((np.zeros(1, np.uint64), np.frombuffer(hashes, np.uint64)))
+                ids = np.frombuffer(ids, np.int32)
                 if old is None:
                     yield _batch(lang, 0, pa.array([""]), np.array([(ids[carried:] != STOP).sum()]))
-                names = None
-                for k, at, n in windows(ids, hashes, max_words, bits_new, bits_old, carried):
-                    if names is None:
-                        names = pa.array([b".", *words.split(b".")], pa.binary())
-                    for s in range(0, len(at), 50_000):
-                        part = [names.take(pa.array(ids[at[s:s + 50_000] + j])) for j in range(k)]
-                        phrases = pc.binary_join_element_wise(*part, pa.scalar(b" ", pa.binary())) if k > 1 else part[0]
-                        yield _batch(lang, k, phrases.cast(pa.string()), n[s:s + 50_000])
+                found, size = [], 0
+                for k, at, h in windows(ids, _with_stop(hashes), max_words, bits_new, bits_old, carried):
+                    if often is not None:
+                        some = bits_often.has(h)
+                        at, h = at[some], h[some]
+                    if len(at):
+                        found.append((k, at, h))
+                        size += len(at)
+                    if size >= HELD:
+                        yield from add(lang, ids, words, found)
+                        found, size = [], 0
+                if found:
+                    yield from add(lang, ids, words, found)
+        for lang in list(held):
+            yield from held.pop(lang).counts(lang)
+
+    return run
+
+
+def _packed(parts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of stretches of an array, one after the other."""
+    offsets = np.append(0, ends).astype(np.int32) * np.int32(parts.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(parts))])
+
+
+def _tally(max_words: int, new, old, least: int, buckets: int):
+    """Numbered words -> (bucket, rests, numbers): how often hashes occur, up to ``least``. The
+    first ``buckets`` bits of a hash are its bucket, the 32 bits after them its rest."""
+    kind, shift = np.min_scalar_type(least), np.uint64(32 - buckets)
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        key = np.concatenate(held)
+        held.clear()
+        key >>= shift
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        n = np.minimum(np.diff(np.append(first, len(key))), least).astype(kind)
+        key = key[first]
+        bucket = (key >> np.uint64(32)).astype(np.int32)
+        last = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[last]), _packed(key.astype(np.uint32), last + 1), _packed(n, last + 1)],
+                                          names=["bucket", "rests", "numbers"])
+
+    def run(batches):
+        bits_new, bits_old = (Bits(x.value) if x is not None else None for x in (new, old))
+        held, size = [], 0
+        for b in batches:
+            for carried, ids, hashes in rows_of(b, 0, 1, 2, step=1):
+                for _, at, h in windows(np.frombuffer(ids, np.int32), _with_stop(hashes), max_words, bits_new, bits_old, carried):
+                    held.append(h)
+                    size += len(at)
+                    if size >= HELD:
+                        yield flush(held)
+                        size = 0
+        if held:
+            yield flush(held)
 
     return run
 
 
+def _add_up(least: int):
+    """(bucket, rests, numbers), sorted by bucket -> (bucket, size, rests): the hashes that occur
+    at least ``least`` times."""
+    kind = np.min_scalar_type(least)
+
+    def total(bucket, rests, numbers):
+        key = np.frombuffer(b"".join(rests), np.uint32).astype(np.uint64) << np.uint64(32)
+        key |= np.frombuffer(b"".join(numbers), kind)
+        key.sort()
+        rest, n = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
+        some = rest[first[np.add.reduceat(n, first) >= least]]
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([len(some)], pa.int32()),
+                                           pa.array([some.tobytes()], pa.binary())], names=["bucket", "size", "rests"])
+
+    def run(batches):
+        now, rests, numbers = None, [], []
+        for b in batches:
+            for bucket, rest, number in rows_of(b, 0, 1, 2):
+                if bucket != now and rests:
+                    yield total(now, rests, numbers)
+                    rests, numbers = [], []
+                now = bucket
+                rests.append(rest)
+                numbers.append(number)
+        if rests:
+            yield total(now, rests, numbers)
+
+    return run
+
+
+def _reaching(tokens: DataFrame, max_words: int, least: int, new=None, old=None) -> tuple[np.ndarray, int]:
+    """(bit table, number) of the hashes that occur at least ``least`` times among the phrases
+    that a pass counts."""
+    least = min(max(least, 1), (1 << 32) - 1)
+    words = tokens.agg(F.sum("size")).first()[0] or 0
+    buckets = int(np.clip((words * max_words // BUCKET).bit_length(), MIN_BUCKETS, MAX_BUCKETS))
+    tally = map_batches(tokens.select("carried", "ids", "hashes"), _tally(max_words, new, old, least, buckets), _TALLY)
+    tally = tally.repartition("bucket").sortWithinPartitions("bucket")
+    reached = stored(map_batches(tally, _add_up(least), _REACHED), "phrases-reached")
+    n = reached.agg(F.sum("size")).first()[0] or 0
+    bits = int(np.clip((16 * n).bit_length(), MIN_BITS, MAX_BITS))
+    own = bits - buckets  # bits of a bucket
+
+    def fill(batches):
+        for b in batches:
+            for bucket, rests in rows_of(b, 0, 1, step=1):
+                place = np.unique(np.frombuffer(rests, np.uint32) >> np.uint32(32 - own))
+                flags = np.zeros(1 << own, bool)
+                flags[place] = True
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()),
+                                                  pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())],
+                                                 names=["bucket", "bits"])
+
+    table = np.zeros((1 << bits) // 64, np.uint64)
+    for r in map_batches(reached.select("bucket", "rests"), fill, "bucket int, bits binary").collect():
+        at = r.bucket << own >> 6
+        table[at:at + (1 << own >> 6)] |= np.frombuffer(r.bits, "<u8")
+    return table, n
+
+
 def _batch(lang: str, k: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(phrase), pa.string()), pa.array(np.full(len(phrase), k, np.int32)), phrase,
          pa.array(n.astype(np.int64))], names=["lang", "k", "phrase", "n"])
 
 
-def _pass(tokens: DataFrame, max_words: int, new=None, old=None) -> DataFrame:
-    counted = map_batches(tokens.select("lang", "carried", "ids", "words", "hashes"), _count(max_words, new, old), _COUNTS)
+def _pass(tokens: DataFrame, max_words: int, new=None, old=None, often=None) -> DataFrame:
+    counted = map_batches(tokens.select("lang", "carried", "ids", "words", "hashes"), _count(max_words, new, old, often), _COUNTS)
     return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -285,19 +501,22 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, s
     deal = F.pmod(F.xxhash64(F.col("doc_id"), F.octet_length("text")), F.lit(sample)) == 0
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")), deal, text_bytes())
     tokens = stored(map_batches(texts, _tokenise(max_words), _TOKENS), "phrases-tokens")
-    few = _pass(tokens.filter("sampled"), max_words).filter((F.col("k") > 0) & (F.col("n") >= proposed))
-    few = stored(few.select("lang", "phrase"), "phrases-proposed")
-    bits = int(np.clip((16 * few.count()).bit_length(), MIN_BITS, MAX_BITS))
-    table, old, passes = _bits_of(few, bits), None, []
+    table, known = _reaching(tokens.filter("sampled"), max_words - 1, proposed)
+    bits, failed, old, passes = (len(table) * 64).bit_length() - 1, None, None, []
     while True:
-        new = spark.sparkContext.broadcast(table)
-        found = _pass(tokens, max_words, new, old)
+        new, often = spark.sparkContext.broadcast(table), None
+        if failed is None or failed * FEW_FAILURES > known:
+            often = spark.sparkContext.broadcast(_reaching(tokens, max_words, min_count, new, old)[0])
+        found = _pass(tokens, max_words, new, old, often)
         passes.append(stored(found.filter((F.col("n") >= min_count) | (F.col("k") == 0)), "phrases-counted"))
+        if often is not None:
+            often.unpersist()
         parts = passes[-1].filter((F.col("k") > 0) & (F.col("k") < max_words))
         failures = stored(_outside(parts, new), "phrases-failed")
-        if not failures.count():
+        failed = failures.count()
+        if not failed:
             break
-        table, old = _bits_of(failures, bits, table), new
+        table, old, known = _bits_of(failures, bits, table), new, known + failed
     counted = reduce(DataFrame.unionAll, passes)
     words = passes[0].filter("k = 0").select("lang", F.col("n").alias("words"))
     return counted.filter((F.col("k") > 0) & (F.col("n") >= min_count)), words

@@ -127,3 +127,75 @@ def test_bit_table_holds_every_phrase_and_little_else(spark):
     assert P._outside(few, sent).count() == 0
     other = spark.createDataFrame([("en", f"v{i} w{i}") for i in range(2000)], "lang string, phrase string")
     assert P._outside(other, sent).count() > 1900
+
+
+def _numbered_rows(rows, monkeypatch, at_once=200, block=100):
+    monkeypatch.setattr(P, "TEXT_AT_ONCE", at_once)
+    monkeypatch.setattr(P, "BLOCK", block)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] or "und" for r in rows]), pa.array([False] * len(rows)),
+                                        pa.array([(r[1] or "").encode() for r in rows], pa.binary())], names=["lang", "sampled", "text"])
+    return list(P._tokenise(4)([batch]))
+
+
+def test_numbers_and_words_of_a_text():
+    text = b" a  b.a c.."
+    ids, words = P.numbered(text)
+    assert [P.STOP if i == P.STOP else words[i - 1] for i in ids.tolist()] == [b"a", b"b", P.STOP, b"a", b"c", P.STOP, P.STOP]
+    for empty in (b"", b"  "):
+        assert [len(x) for x in P.numbered(empty)] == [0, 0]
+    assert P.numbered(b"..")[0].tolist() == [P.STOP, P.STOP] and P.numbered(b"..")[1] == []
+
+
+@pytest.mark.parametrize("stretch,held", [(1, 1), (3, 7), (64, 500), (1 << 15, 1 << 20)])
+def test_stretches_and_held_phrases_change_no_count(rows, monkeypatch, stretch, held):
+    monkeypatch.setattr(P, "STRETCH", stretch)
+    monkeypatch.setattr(P, "HELD", held)
+    got, _, _ = _counted(rows + [("en", "w x y z " * 40)], monkeypatch, 4000, 300)
+    assert got == slow_counts(rows + [("en", "w x y z " * 40)])
+
+
+def test_hashes_that_meet_are_told_apart_by_their_words():
+    ids = np.array([1, 2, 0, 1, 2, 0, 2, 1, 0, 3, 3, 1, 2], np.int32)
+    at = np.array([0, 3, 6, 9, 10, 11])
+    for k in (1, 2):
+        place, n = P._unique(ids, at, np.zeros(len(at), np.uint64), k)
+        got = {tuple(ids[p:p + k].tolist()): c for p, c in zip(place.tolist(), n.tolist())}
+        assert got == dict(Counter(tuple(ids[p:p + k].tolist()) for p in at.tolist()))
+
+
+@pytest.mark.parametrize("least", [1, 2, 5, 300, 1 << 40])
+def test_tally_holds_every_hash_that_occurs_often_enough(spark, rows, monkeypatch, least):
+    monkeypatch.setattr(P, "MIN_BITS", 24)
+    tokens = spark.createDataFrame(pa.Table.from_batches(_numbered_rows(rows, monkeypatch)).to_pandas(), P._TOKENS).repartition(3)
+    table, n = P._reaching(tokens, 4, least)
+    counts = slow_counts(rows)
+    often = [p for p, c in counts.items() if c >= least]
+    by_hash = lambda ps: [int(P._phrase_hashes(pa.RecordBatch.from_arrays(
+        [pa.array([p[0] for p in ps]), pa.array([" ".join(p[1:]) for p in ps])], names=["lang", "phrase"]))[i]) for i in range(len(ps))] if ps else []
+    bits = P.Bits(table)
+    assert bits.has(np.array(by_hash(often), np.uint64)).all()
+    assert n == len(often) and len(table) * 64 == 1 << 24
+    assert np.bitwise_count(table).sum() == len({h >> 40 for h in by_hash(often)})
+
+
+def test_phrases_that_are_too_rare_leave_no_row(rows, monkeypatch):
+    """The texts of rare phrases are never moved: a pass emits those that the tally names."""
+    more = rows + [("en", " ".join(f"once{i}" for i in range(3000)))]
+    class Sent:
+        value = np.full((1 << 20) // 64, ~np.uint64(0))
+    class Often:
+        value = np.zeros((1 << 20) // 64, np.uint64)
+    counts = slow_counts(more)
+    often = {p for p, c in counts.items() if c >= 20}
+    for lang, *w in often:
+        h = int(P._phrase_hashes(pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([" ".join(w)])], names=["lang", "phrase"]))[0]) >> 44
+        Often.value[h >> 6] |= np.uint64(1 << (h & 63))
+    tokens = [b.select(["lang", "carried", "ids", "words", "hashes"]) for b in _numbered_rows(more, monkeypatch, 20_000, 20_000)]
+    got, moved = Counter(), 0
+    for b in P._count(4, Sent, None, Often)(tokens):
+        for lang, k, phrase, n in zip(*(c.to_pylist() for c in b.columns)):
+            moved += k > 0
+            if k:
+                got[(lang, *phrase.split(" "))] += n
+    assert often <= set(got) and all(counts[p] == n for p, n in got.items())
+    assert moved < len(often) * len(tokens) + 500 < 12_000
